@@ -7,26 +7,28 @@ columns: the rest is pruned from the scan.
 
 from __future__ import annotations
 
+from math import sqrt
+
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols, HasLabelCol, HasOutputCol
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+from pyspark.ml.stat import Summarizer
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lunario import schema
 from lunario.operators.information import BINS, best_features, mutual_information
-from lunario.operators.metrics import column_statistics
 
 # The normal-equation solver of Spark ML accepts at most this many features.
 NORMAL_SOLVER_LIMIT = 4096
 
 
 class PopScaler(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
-    """Learn mean and population deviation of each column in one pass."""
+    """Learn mean and population deviation of each column in one pass over complete rows."""
 
     @keyword_only
     def __init__(self, *, inputCols=None):
@@ -35,11 +37,15 @@ class PopScaler(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWri
 
     def _fit(self, dataset: DataFrame) -> PopScalerModel:
         columns = self.getInputCols()
-        stats = {r["feature"]: r for r in column_statistics(dataset, columns).collect()}
+        vectors = VectorAssembler(inputCols=columns, outputCol="__row").transform(dataset)
+        measures = Summarizer.metrics("count", "mean", "variance").summary(F.col("__row"))
+        stats = vectors.select(measures.alias("s")).select("s.*").first()
+        # The summarizer divides by n - 1, the scaler by n.
+        shrink = (stats["count"] - 1) / stats["count"]
         return PopScalerModel(
             inputCols=columns,
-            means=[stats[c]["mean"] for c in columns],
-            deviations=[stats[c]["std"] for c in columns],
+            means=[float(m) for m in stats["mean"]],
+            deviations=[sqrt(v * shrink) for v in stats["variance"]],
         )
 
 

@@ -17,6 +17,11 @@ SKETCH_ACCURACY = 10_000
 SCORE_DIGITS = 9
 
 
+def _binned(column: str) -> Column:
+    """Single precision: equal figures reached by different sums land in the same bin."""
+    return F.col(column).cast("float")
+
+
 def bin_edges(
     df: DataFrame, columns: list[str], bins: int = BINS, accuracy: int = SKETCH_ACCURACY
 ) -> dict[str, list[float]]:
@@ -24,47 +29,54 @@ def bin_edges(
     shares = [i / bins for i in range(1, bins)]
     row = df.agg(
         *[
-            F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(f"q{i}")
+            F.percentile_approx(_binned(c), shares, accuracy).alias(f"q{i}")
             for i, c in enumerate(columns)
         ]
     ).first()
-    return {c: list(row[i] or []) for i, c in enumerate(columns)}
-
-
-def bin_of(value: Column, edges: list[float]) -> Column:
-    """Number of edges below the value."""
-    return sum([(value > F.lit(e)).cast("int") for e in edges], F.lit(0))
+    if row[0] is None:
+        raise ValueError("no rows to bin")
+    return {c: row[i] for i, c in enumerate(columns)}
 
 
 def mutual_information(
     df: DataFrame, features: list[str], label: str, bins: int = BINS
 ) -> DataFrame:
-    """(position, feature, score) with the score in nats."""
+    """(position, feature, score) with the score in nats.
+
+    The edges, a few numbers per feature, join the unpivoted values as a table,
+    so the plan does not grow with features x bins.
+    """
     edges = bin_edges(df, [*features, label], bins)
-    pairs = F.array(
+    marks = [f"e{i}" for i in range(bins - 1)]
+    edge_table = df.sparkSession.createDataFrame(
+        [(i, c, *edges[c]) for i, c in enumerate(features)],
+        "position int, feature string, " + ", ".join(f"{m} float" for m in marks),
+    )
+    values = F.array(
         *[
-            F.struct(F.lit(i).alias("position"), bin_of(F.col(c), edges[c]).alias("bx"))
+            F.struct(F.lit(i).alias("position"), _binned(c).alias("x"))
             for i, c in enumerate(features)
         ]
     )
+    label_bin = sum(
+        [(_binned(label) > F.lit(e).cast("float")).cast("int") for e in edges[label]], F.lit(0)
+    )
+    feature_bin = sum([(F.col("x") > F.col(m)).cast("int") for m in marks], F.lit(0))
     cells = (
-        df.select(bin_of(F.col(label), edges[label]).alias("by"), F.inline(pairs))
-        .groupBy("position", "bx", "by")
+        df.select(label_bin.alias("by"), F.inline(values))
+        .join(edge_table, "position")
+        .groupBy("position", "feature", feature_bin.alias("bx"), "by")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )
     total = F.sum("n").over(Window.partitionBy("position"))
     in_x = F.sum("n").over(Window.partitionBy("position", "bx"))
     in_y = F.sum("n").over(Window.partitionBy("position", "by"))
-    names = F.array(*[F.lit(c) for c in features])
     return (
-        cells.select("position", "n", total.alias("t"), in_x.alias("x"), in_y.alias("y"))
-        .groupBy("position")
-        .agg(F.sum(F.expr("n / t * ln(n * t / (x * y))")).alias("score"))
-        .select(
-            "position",
-            names[F.col("position")].alias("feature"),
-            F.round("score", SCORE_DIGITS).alias("score"),
+        cells.select(
+            "position", "feature", "n", total.alias("t"), in_x.alias("x"), in_y.alias("y")
         )
+        .groupBy("position", "feature")
+        .agg(F.round(F.sum(F.expr("n / t * ln(n * t / (x * y))")), SCORE_DIGITS).alias("score"))
     )
 
 

@@ -78,15 +78,13 @@ def request_rows(requests: DataFrame) -> DataFrame:
 
 
 def request_features(
-    requests: DataFrame,
-    layout: Layout = FULL,
-    months: int = schema.REQUEST_MONTHS,
+    requests: DataFrame, layout: Layout = FULL, months: int = schema.REQUEST_MONTHS
 ) -> DataFrame:
-    """Add the features of the last complete month of each request.
+    """Features of the last complete month of each request.
 
     Same numbers as the monthly table gives: broken text counts as missing, the
     first month has no deviation, incomplete months are skipped. A request
-    without a complete month keeps NULL features.
+    without a complete month gives no row.
     """
 
     def cell(column: str, i: int) -> Column:
@@ -97,10 +95,6 @@ def request_features(
             return index_number(raw, strict=False)
         return F.nanvl(raw.cast("double"), F.lit(None).cast("double"))
 
-    typed = requests.select(
-        "*", *[cell(c, i).alias(f"{c}__{i}") for c in layout.values for i in range(months)]
-    )
-
     def at(column: str, i: int) -> dict[str, Column]:
         seen = [F.col(f"{column}__{j}") for j in range(max(0, i - schema.ROLLING_WINDOW + 1), i + 1)]
         zero = F.lit(0.0)
@@ -113,26 +107,18 @@ def request_features(
             column: F.col(f"{column}__{i}"),
         }
 
-    candidates = [
-        {name: e for c in layout.values for name, e in at(c, i).items()} for i in range(1, months)
-    ]
-    complete = [
-        reduce(and_, [e.isNotNull() for e in candidate.values()]) for candidate in candidates
-    ]
-    newest = F.coalesce(
-        *[F.when(ok, F.lit(i)) for i, ok in reversed(list(enumerate(complete)))]
-    )
-    chosen = typed.withColumn("__newest", newest)
-
-    def pick(name: str) -> Column:
-        branches = F.when(F.col("__newest") == 0, candidates[0][name])
-        for i, candidate in enumerate(candidates[1:], 1):
-            branches = branches.when(F.col("__newest") == i, candidate[name])
-        return branches.alias(name)
+    def candidate(i: int) -> Column:
+        named = {name: e for c in layout.values for name, e in at(c, i).items()}
+        complete = reduce(and_, [e.isNotNull() for e in named.values()])
+        return F.when(complete, F.struct(*[named[n].alias(n) for n in layout.features]))
 
-    return chosen.select(
-        *requests.columns, *[pick(name) for name in layout.features]
+    typed = requests.select(
+        "*", *[cell(c, i).alias(f"{c}__{i}") for c in layout.values for i in range(months)]
     )
+    # Emitting the chosen month from an array, rather than filtering on all its
+    # features, keeps the filter out of the planner's constraint inference.
+    newest_first = F.array_compact(F.array(*[candidate(i) for i in range(months - 1, 0, -1)]))
+    return typed.select(*requests.columns, F.inline(F.slice(newest_first, 1, 1)))
 
 
 def score_requests(
@@ -145,8 +131,7 @@ def score_requests(
     valid = check_requests(requests, layout).where("valid").select("request_id", "data")
     months = request_months(valid, layout, sort_months=sort_months)
     features = request_features(months, layout)
-    complete = features.na.drop("any", subset=layout.features)
-    return model.transform(complete).select("request_id", "months", F.col("preds").alias("pred"))
+    return model.transform(features).select("request_id", "months", F.col("preds").alias("pred"))
 
 
 def rejected_requests(requests: DataFrame, layout: Layout = FULL) -> DataFrame:

@@ -90,8 +90,8 @@ CTES = {
     "price": f"""
         SELECT c_nationkey AS series, {_int_part('year', 'o_orderdate')} AS anio,
                {_int_part('month', 'o_orderdate')} AS mes,
-               CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT)
-                   / (count(*) * 100.0::DOUBLE) AS {PRICE}
+               (CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) // count(*))
+                   / 100.0::DOUBLE AS {PRICE}
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3""",
     "line_months": f"""
         SELECT s_nationkey AS series, {_int_part('year', 'l_shipdate')} AS anio,
@@ -148,22 +148,22 @@ CTES = {
         FROM complete""",
     "train": "SELECT *, concat_ws('|', series, Periodo) AS id FROM split WHERE is_test = 0",
     "long": " UNION ALL ".join(
-        f"SELECT id, target AS y, {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS v FROM train"
+        f"SELECT id, target AS y, {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS v,\n            CAST({c} AS FLOAT) AS fv, CAST(target AS FLOAT) AS fy FROM train"
         for i, c in enumerate(LAYOUT.features)
     ),
     "ranked": """
-        SELECT *, row_number() OVER (PARTITION BY position ORDER BY v) AS rv,
-               row_number() OVER (PARTITION BY position ORDER BY y) AS ry,
+        SELECT *, row_number() OVER (PARTITION BY position ORDER BY fv) AS rv,
+               row_number() OVER (PARTITION BY position ORDER BY fy) AS ry,
                count(*) OVER (PARTITION BY position) AS n
         FROM long""",
     "edges": f"""
         SELECT position, {', '.join(
-            f"max(CASE WHEN r{s} = ceil(CAST(0.{i} AS DOUBLE) * n) THEN {s} END) AS {s}{i}"
+            f"max(CASE WHEN r{s} = ceil(CAST(0.{i} AS DOUBLE) * n) THEN f{s} END) AS {s}{i}"
             for s in 'vy' for i in range(1, BINS))}
         FROM ranked GROUP BY position""",
     "cells": f"""
-        SELECT position, feature, {' + '.join(f'(v > v{i})::INT' for i in range(1, BINS))} AS bx,
-               {' + '.join(f'(y > y{i})::INT' for i in range(1, BINS))} AS by_,
+        SELECT position, feature, {' + '.join(f'(fv > v{i})::INT' for i in range(1, BINS))} AS bx,
+               {' + '.join(f'(fy > y{i})::INT' for i in range(1, BINS))} AS by_,
                count(*)::DOUBLE AS n
         FROM long JOIN edges USING (position) GROUP BY ALL""",
     "scores": """
@@ -344,7 +344,7 @@ def oracle_sql() -> dict[str, str]:
                             WHEN o_orderkey % 51 = 0 THEN year(o_orderdate) || '-13'
                             ELSE year(o_orderdate) || '-' || month(o_orderdate) END AS Periodo
                 FROM orders JOIN customer ON o_custkey = c_custkey)
-            SELECT request_id, coalesce(round(preds, 2), -1.0) AS prediction,
+            SELECT request_id, coalesce(round(preds, 4), -1.0) AS prediction,
                    CASE WHEN l.Periodo IS NULL THEN 'missing argument'
                         WHEN preds IS NULL THEN 'invalid period' ELSE 'ok' END AS status
             FROM lookups l LEFT JOIN smoothed USING (series, Periodo)""",

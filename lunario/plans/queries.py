@@ -44,7 +44,7 @@ from lunario.sources.collectors import collect_price
 from lunario.streaming.score import stream_score
 
 # Decimals kept per column kind, some six significant digits.
-DIGITS = {LAYOUT.price: 2} | dict.fromkeys(LAYOUT.rain, 4) | dict.fromkeys(LAYOUT.gdp, 0)
+DIGITS = {LAYOUT.price: 4} | dict.fromkeys(LAYOUT.rain, 4) | dict.fromkeys(LAYOUT.gdp, 0)
 DIGITS |= dict.fromkeys(LAYOUT.index, 5)
 MODEL = {"selector__k": 2, "poly__degree": 1, "model__alpha": 0.2}
 SMALL_GRID = {"selector__k": [1, 2, 3], "poly__degree": [1, 2], "model__alpha": [1, 0.2, 0.01]}
@@ -204,7 +204,7 @@ def period_lookup(spark: SparkSession, sf: str) -> DataFrame:
     )
     found = requests.lookup_predictions(lookups, predictions, SERIES)
     return found.select(
-        "request_id", F.coalesce(F.round("prediction", 2), F.lit(-1.0)).alias("prediction"), "status"
+        "request_id", F.coalesce(F.round("prediction", 4), F.lit(-1.0)).alias("prediction"), "status"
     )
 
 
