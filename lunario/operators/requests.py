@@ -7,9 +7,6 @@ the same code runs on a batch and on a stream.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import and_
-
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -95,30 +92,43 @@ def request_features(
             return index_number(raw, strict=False)
         return F.nanvl(raw.cast("double"), F.lit(None).cast("double"))
 
-    def at(column: str, i: int) -> dict[str, Column]:
-        seen = [F.col(f"{column}__{j}") for j in range(max(0, i - schema.ROLLING_WINDOW + 1), i + 1)]
-        zero = F.lit(0.0)
-        n = sum([v.isNotNull().cast("int") for v in seen], F.lit(0))
-        mean = F.try_divide(sum([F.coalesce(v, zero) for v in seen], zero), n)
-        squares = sum([F.coalesce(F.pow(v - mean, F.lit(2.0)), zero) for v in seen], zero)
-        return {
-            schema.rolling_name(column, "mean"): mean,
-            schema.rolling_name(column, "std"): F.sqrt(F.try_divide(squares, n - 1)),
-            column: F.col(f"{column}__{i}"),
-        }
-
-    def candidate(i: int) -> Column:
-        named = {name: e for c in layout.values for name, e in at(c, i).items()}
-        complete = reduce(and_, [e.isNotNull() for e in named.values()])
-        return F.when(complete, F.struct(*[named[n].alias(n) for n in layout.features]))
+    def seen(column: str, i: int) -> list[str]:
+        return [f"`{column}__{j}`" for j in range(max(0, i - schema.ROLLING_WINDOW + 1), i + 1)]
+
+    def count(column: str, i: int) -> str:
+        return " + ".join(f"int({v} IS NOT NULL)" for v in seen(column, i))
+
+    def mean(column: str, i: int) -> str:
+        total = " + ".join(f"coalesce({v}, 0D)" for v in seen(column, i))
+        return f"try_divide({total}, {count(column, i)})"
 
+    def deviation(column: str, i: int) -> str:
+        squares = [f"({v} - `{column}__mean{i}`)" for v in seen(column, i)]
+        total = " + ".join(f"coalesce({d} * {d}, 0D)" for d in squares)
+        return f"sqrt(try_divide({total}, {count(column, i)} - 1))"
+
+    def candidate(i: int) -> str:
+        columns = layout.values
+        sources = [f"{c}__mean{i}" for c in columns] + [f"{c}__std{i}" for c in columns]
+        sources += [f"{c}__{i}" for c in columns]
+        fields = ", ".join(f"'{name}', `{c}`" for name, c in zip(layout.features, sources))
+        complete = " AND ".join(f"`{c}` IS NOT NULL" for c in sources)
+        return f"CASE WHEN {complete} THEN named_struct({fields}) END"
+
+    # Month 0 has no deviation, so only the later ones can be complete.
+    scored = range(1, months)
+    each = [(c, i) for c in layout.values for i in scored]
     typed = requests.select(
         "*", *[cell(c, i).alias(f"{c}__{i}") for c in layout.values for i in range(months)]
     )
+    averaged = typed.selectExpr("*", *[f"{mean(c, i)} AS `{c}__mean{i}`" for c, i in each])
+    spread = averaged.selectExpr("*", *[f"{deviation(c, i)} AS `{c}__std{i}`" for c, i in each])
     # Emitting the chosen month from an array, rather than filtering on all its
     # features, keeps the filter out of the planner's constraint inference.
-    newest_first = F.array_compact(F.array(*[candidate(i) for i in range(months - 1, 0, -1)]))
-    return typed.select(*requests.columns, F.inline(F.slice(newest_first, 1, 1)))
+    newest_first = ", ".join(candidate(i) for i in reversed(scored))
+    return spread.select(
+        *requests.columns, F.expr(f"inline(slice(array_compact(array({newest_first})), 1, 1))")
+    )
 
 
 def score_requests(
