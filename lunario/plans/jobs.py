@@ -20,6 +20,8 @@ from lunario.schema import FULL, Layout
 from lunario.sources import files
 from lunario.sources.collectors import collect_bank, collect_price, collect_rain
 
+TRAIN, TEST = "train", "test"
+
 
 @dataclass(frozen=True)
 class Run:
@@ -91,23 +93,23 @@ def preprocess(spark: SparkSession, run: Run, seed: int = 42) -> None:
     files.write_table(forecast.apply_data_stages(fitted, merged), run.path("interm", "features"))
     features = files.read_table(spark, run.path("interm", "features"))
     split = splits.train_test_split(features, [*run.keys, schema.PERIOD], seed=seed)
+    sided = split.withColumn("side", F.when(F.col("is_test"), TEST).otherwise(TRAIN))
     # One pass writes both sides; reading one side prunes the other's folder.
-    files.write_table(split, run.path("preprocessed"), ["is_test"])
+    files.write_table(sided.drop("is_test"), run.path("preprocessed"), ["side"])
     forecast.save_model(fitted, run.path("artifacts", "data_stages"))
 
 
-def _side(spark: SparkSession, run: Run, is_test: bool) -> DataFrame:
-    table = files.read_table(spark, run.path("preprocessed"))
-    return table.where(F.col("is_test") == is_test).drop("is_test")
+def _side(spark: SparkSession, run: Run, side: str) -> DataFrame:
+    return files.read_table(spark, run.path("preprocessed")).where(F.col("side") == side).drop("side")
 
 
 def validate_data(spark: SparkSession, run: Run) -> None:
-    quality.require_nonempty(_side(spark, run, False), "training table")
+    quality.require_nonempty(_side(spark, run, TRAIN), "training table")
 
 
 def hypertune(spark: SparkSession, run: Run, params: dict = grid.PARAM_GRID) -> dict:
     """Three-fold grid search on the training side; keeps the best parameters."""
-    folded = splits.kfold(_side(spark, run, False), [*run.keys, schema.PERIOD])
+    folded = splits.kfold(_side(spark, run, TRAIN), [*run.keys, schema.PERIOD])
     scores = grid.grid_search(folded, grid=params, features=run.layout.features)
     files.write_table(scores, run.path("artifacts", "grid_scores"))
     best = grid.best_parameters(scores)
@@ -121,8 +123,8 @@ def train(spark: SparkSession, run: Run) -> DataFrame:
     """Fit with the best parameters, store test metrics and the staging model."""
     like = forecast.params_row(spark, forecast.BEST_PARAMS)
     best = forecast.read_object(spark, run.path("artifacts", "best_params"), like).first()
-    model = forecast.fit_model(_side(spark, run, False), best.asDict(), run.layout.features)
-    report = forecast.evaluate(model, _side(spark, run, True))
+    model = forecast.fit_model(_side(spark, run, TRAIN), best.asDict(), run.layout.features)
+    report = forecast.evaluate(model, _side(spark, run, TEST))
     forecast.write_object(report, run.path("artifacts", "model_metrics"))
     forecast.save_model(model, run.path("artifacts", "model_staging"))
     return forecast.read_object(spark, run.path("artifacts", "model_metrics"), report)
