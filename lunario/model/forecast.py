@@ -25,15 +25,16 @@ def data_stages(
     *,
     layout: Layout = FULL,
     keys: list[str] = [],
+    unit: str = "",
 ) -> Pipeline:
-    """Number repair, rolling mean, rolling deviation, feature columns."""
-    shared = {"columns": layout.values, "series": list(series)}
+    """Number repair, rolling mean and deviation, feature columns."""
     return Pipeline(
         stages=[
             RepairNumbers(columns=list(layout.gdp), kind="gdp"),
             RepairNumbers(columns=list(layout.index), kind="index"),
-            RollingFeatures(method="mean", **shared),
-            RollingFeatures(method="std", **shared),
+            RollingFeatures(
+                columns=layout.values, methods=["mean", "std"], series=list(series), unit=unit
+            ),
             PeriodLabel(),
             TakeColumns(
                 columns=layout.features,

@@ -70,29 +70,41 @@ class RepairNumbers(Transformer, _HasColumns, DefaultParamsReadable, DefaultPara
 
 
 class RollingFeatures(Transformer, _HasColumns, DefaultParamsReadable, DefaultParamsWritable):
-    """Append trailing-window statistics named ``{column}_rolling{window}_{method}``."""
+    """Append trailing-window statistics named ``{column}_rolling{window}_{method}``.
 
-    method = Param(Params._dummy(), "method", "mean or std", TypeConverters.toString)
+    ``unit`` is an SQL expression for the steps that long series may be cut at.
+    """
+
+    methods = Param(Params._dummy(), "methods", "mean and/or std", TypeConverters.toListString)
     window = Param(Params._dummy(), "window", "rows in the window", TypeConverters.toInt)
     series = Param(Params._dummy(), "series", "series key columns", TypeConverters.toListString)
     order = Param(Params._dummy(), "order", "row order columns", TypeConverters.toListString)
+    unit = Param(Params._dummy(), "unit", "step of the row order", TypeConverters.toString)
 
     @keyword_only
-    def __init__(self, *, columns=None, method=None, window=None, series=None, order=None):
+    def __init__(
+        self, *, columns=None, methods=None, window=None, series=None, order=None, unit=None
+    ):
         super().__init__()
         self._setDefault(
-            method="mean", window=schema.ROLLING_WINDOW, series=[], order=list(schema.TIME_COLS)
+            methods=["mean"],
+            window=schema.ROLLING_WINDOW,
+            series=[],
+            order=list(schema.TIME_COLS),
+            unit="",
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        unit = self.getOrDefault(self.unit)
         return windows.rolling(
             dataset,
             self.getOrDefault(self.series),
             self.getOrDefault(self.order),
             self.getColumns(),
-            [self.getOrDefault(self.method)],
+            self.getOrDefault(self.methods),
             self.getOrDefault(self.window),
+            unit=F.expr(unit) if unit else None,
         )
 
 

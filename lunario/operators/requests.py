@@ -17,6 +17,11 @@ from lunario.functions import gdp_number, index_number, normalise_period_part
 from lunario.operators.rows import keep_first
 
 
+def required_columns(merged: DataFrame) -> list[str]:
+    """What a request must carry: every column of the merged table but the label."""
+    return [c for c in merged.columns if c != schema.TARGET]
+
+
 def check_requests(
     requests: DataFrame,
     layout: Layout = FULL,

@@ -102,12 +102,11 @@ def time_split(
     """
     newest_first = Window.orderBy(*[F.col(c).desc() for c in time_cols])
     per_period = df.groupBy(*time_cols).agg(F.count(F.lit(1)).alias("n"))
-    total = df.count()
-    cut = (
-        per_period.withColumn("upto", F.sum("n").over(newest_first))
-        .where(F.col("upto") >= math.ceil(test_share * total))
-        .orderBy("upto")
-        .first()
+    running = per_period.withColumn("upto", F.sum("n").over(newest_first)).withColumn(
+        "total", F.sum("n").over(Window.partitionBy())
     )
+    cut = running.where(F.col("upto") >= F.ceil(F.col("total") * test_share)).orderBy("upto").first()
+    if cut is None:
+        return df.withColumn(name, F.lit(False))
     edge = F.struct(*[F.lit(cut[c]).alias(c) for c in time_cols])
     return df.withColumn(name, F.struct(*[F.col(c) for c in time_cols]) >= edge)

@@ -9,7 +9,7 @@ from __future__ import annotations
 import os
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +21,7 @@ from lunario.sources import files
 from lunario.sources.collectors import collect_bank, collect_price, collect_rain
 
 TRAIN, TEST = "train", "test"
+MONTH_NUMBER = "anio * 12 + mes"
 
 
 @dataclass(frozen=True)
@@ -46,10 +47,6 @@ class Run:
         return os.path.join(self.raw, name)
 
 
-def _month_number() -> Column:
-    return F.col("anio") * 12 + F.col("mes")
-
-
 def gather(spark: SparkSession, run: Run) -> None:
     """Collect the three raw files into stage tables."""
     keyed = dict(run.series)
@@ -80,7 +77,7 @@ def merge_step(spark: SparkSession, run: Run, include_open_period: bool = False)
         run.keys,
         layout=run.layout,
         include_open_period=include_open_period,
-        unit=_month_number(),
+        unit=F.expr(MONTH_NUMBER),
     )
     files.write_table(merged, run.path("interm", "merged"))
 
@@ -88,7 +85,7 @@ def merge_step(spark: SparkSession, run: Run, include_open_period: bool = False)
 def preprocess(spark: SparkSession, run: Run, seed: int = 42) -> None:
     """Feature table, exact random split, and the frozen data pipeline."""
     merged = files.read_table(spark, run.path("interm", "merged"))
-    stages = forecast.data_stages(run.keys, layout=run.layout)
+    stages = forecast.data_stages(run.keys, layout=run.layout, unit=MONTH_NUMBER)
     fitted = forecast.fit_data_stages(stages, merged)
     files.write_table(forecast.apply_data_stages(fitted, merged), run.path("interm", "features"))
     features = files.read_table(spark, run.path("interm", "features"))

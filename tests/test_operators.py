@@ -82,12 +82,12 @@ def test_rolling_skips_missing_values(spark):
 def test_rolling_arguments(spark):
     df = spark.createDataFrame([(1, 1.0)], "t int, x double")
     assert windows.rolling(df, [], ["t"], ["absent"], ["mean"]).columns == ["t", "x"]
-    assert RollingFeatures(columns=["absent"], method="shift", order=["t"]).transform(df).columns == [
+    assert RollingFeatures(columns=["absent"], methods=["shift"], order=["t"]).transform(df).columns == [
         "t",
         "x",
     ]
     with pytest.raises(NotImplementedError):
-        RollingFeatures(columns=["x"], method="shift", order=["t"]).transform(df)
+        RollingFeatures(columns=["x"], methods=["shift"], order=["t"]).transform(df)
 
 
 def test_means_and_deviations_share_one_window(spark):
