@@ -8,7 +8,7 @@ ranking every hash, the model from its two-feature closed form.
 from __future__ import annotations
 
 from lunario import schema
-from lunario.plans.queries import DIGITS, LINE_NUMBERS, MODEL
+from lunario.plans.queries import DIGITS, LINE_NUMBERS, LINEAR_GRID, MODEL
 from lunario.plans.standins import GDP_MODULUS, INDEX_MODULUS, LAYOUT, MONTH_NAMES
 from lunario.schema import rolling_name
 
@@ -146,51 +146,78 @@ CTES = {
         SELECT *, CAST(row_number() OVER (ORDER BY md5(concat_ws('|', '42', series, Periodo)))
                        <= ceil(0.2 * count(*) OVER ()) AS INTEGER) AS is_test
         FROM complete""",
-    "train": "SELECT *, concat_ws('|', series, Periodo) AS id FROM split WHERE is_test = 0",
-    "long": " UNION ALL ".join(
-        f"SELECT id, target AS y, {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS v,\n            CAST({c} AS FLOAT) AS fv, CAST(target AS FLOAT) AS fy FROM train"
+    "train": """
+        SELECT *, concat_ws('|', series, Periodo) AS id,
+               ntile(3) OVER (ORDER BY md5(concat_ws('|', '42', series, Periodo))) - 1 AS fold
+        FROM split WHERE is_test = 0""",
+    "base_long": " UNION ALL ".join(
+        f"SELECT id, fold, target AS y, {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS v,\n            CAST({c} AS FLOAT) AS fv, CAST(target AS FLOAT) AS fy FROM train"
         for i, c in enumerate(LAYOUT.features)
     ),
+    # Fitting rows of every fold; fold -1 holds nothing out.
+    "long": """
+        SELECT held, b.* FROM base_long b, (SELECT unnest([-1, 0, 1, 2]) AS held)
+        WHERE fold <> held""",
     "ranked": """
-        SELECT *, row_number() OVER (PARTITION BY position ORDER BY fv) AS rv,
-               row_number() OVER (PARTITION BY position ORDER BY fy) AS ry,
-               count(*) OVER (PARTITION BY position) AS n
+        SELECT *, row_number() OVER (PARTITION BY held, position ORDER BY fv) AS rv,
+               row_number() OVER (PARTITION BY held, position ORDER BY fy) AS ry,
+               count(*) OVER (PARTITION BY held, position) AS n
         FROM long""",
     "edges": f"""
-        SELECT position, {', '.join(
+        SELECT held, position, {', '.join(
             f"max(CASE WHEN r{s} = ceil(CAST(0.{i} AS DOUBLE) * n) THEN f{s} END) AS {s}{i}"
             for s in 'vy' for i in range(1, BINS))}
-        FROM ranked GROUP BY position""",
+        FROM ranked GROUP BY held, position""",
     "cells": f"""
-        SELECT position, feature, {' + '.join(f'(fv > v{i})::INT' for i in range(1, BINS))} AS bx,
+        SELECT held, position, feature, {' + '.join(f'(fv > v{i})::INT' for i in range(1, BINS))} AS bx,
                {' + '.join(f'(fy > y{i})::INT' for i in range(1, BINS))} AS by_,
                count(*)::DOUBLE AS n
-        FROM long JOIN edges USING (position) GROUP BY ALL""",
+        FROM long JOIN edges USING (held, position) GROUP BY ALL""",
     "scores": """
-        SELECT position, feature, round(sum(n / t * ln(n * t / (x * y))), 9) AS score
-        FROM (SELECT position, feature, n, sum(n) OVER (PARTITION BY position) AS t,
-                     sum(n) OVER (PARTITION BY position, bx) AS x,
-                     sum(n) OVER (PARTITION BY position, by_) AS y FROM cells)
-        GROUP BY position, feature""",
+        SELECT held, position, feature, round(sum(n / t * ln(n * t / (x * y))), 9) AS score
+        FROM (SELECT held, position, feature, n, sum(n) OVER (PARTITION BY held, position) AS t,
+                     sum(n) OVER (PARTITION BY held, position, bx) AS x,
+                     sum(n) OVER (PARTITION BY held, position, by_) AS y FROM cells)
+        GROUP BY held, position, feature""",
     "best": """
-        SELECT row_number() OVER (ORDER BY score DESC, position DESC) AS rank, position, feature
+        SELECT held, position, feature,
+               row_number() OVER (PARTITION BY held ORDER BY score DESC, position DESC) AS rank
         FROM scores""",
-    "fitted": f"""
-        SELECT *, ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12) AS w1,
-               ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12) AS w2
-        FROM (SELECT count(*) * var_pop(z1) AS s11, count(*) * var_pop(z2) AS s22,
-                     count(*) * covar_pop(z1, z2) AS s12, count(*) * covar_pop(z1, y) AS s1y,
-                     count(*) * covar_pop(z2, y) AS s2y, avg(y) AS my,
-                     {MODEL['model__alpha']}::DOUBLE AS a
-              FROM (SELECT id, any_value(y) AS y, sum(CASE WHEN rank = 1 THEN z END) AS z1,
-                           sum(CASE WHEN rank = 2 THEN z END) AS z2
-                    FROM (SELECT id, y, rank, (v - avg(v) OVER p) / stddev_pop(v) OVER p AS z
-                          FROM long JOIN best USING (position) WHERE rank <= 2
-                          WINDOW p AS (PARTITION BY position))
-                    GROUP BY id))""",
     "moments": """
-        SELECT rank, position, avg(v) AS m, stddev_pop(v) AS s
-        FROM long JOIN best USING (position) WHERE rank <= 2 GROUP BY rank, position""",
+        SELECT held, rank, position, avg(v) AS m, stddev_pop(v) AS s
+        FROM long JOIN best USING (held, position) WHERE rank <= 2 GROUP BY held, rank, position""",
+    "sums": """
+        SELECT held, count(*) * var_pop(z1) AS s11, count(*) * var_pop(z2) AS s22,
+               count(*) * covar_pop(z1, z2) AS s12, count(*) * covar_pop(z1, y) AS s1y,
+               count(*) * covar_pop(z2, y) AS s2y, avg(y) AS my
+        FROM (SELECT held, id, any_value(y) AS y, sum(CASE WHEN rank = 1 THEN (v - m) / s END) AS z1,
+                     sum(CASE WHEN rank = 2 THEN (v - m) / s END) AS z2
+              FROM long JOIN moments USING (held, position) GROUP BY held, id)
+        GROUP BY held""",
+    "fits": f"""
+        SELECT held, k, a, my,
+               CASE k WHEN 1 THEN s1y / (s11 + a)
+                    ELSE ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                    END AS w1,
+               CASE k WHEN 1 THEN 0
+                    ELSE ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                    END AS w2
+        FROM sums, (SELECT unnest([1, 2]) AS k),
+             (SELECT CAST(unnest({LINEAR_GRID['model__alpha']}) AS DOUBLE) AS a)""",
+    "fitted": f"""
+        SELECT * FROM fits
+        WHERE held = -1 AND k = 2 AND a = CAST({MODEL['model__alpha']} AS DOUBLE)""",
+    "held_out": """
+        SELECT held, id, any_value(y) AS y, sum(CASE WHEN rank = 1 THEN (v - m) / s END) AS z1,
+               sum(CASE WHEN rank = 2 THEN (v - m) / s END) AS z2
+        FROM base_long JOIN moments ON fold = held AND moments.position = base_long.position
+        GROUP BY held, id""",
+    "grid": """
+        SELECT a, k, avg(r2) AS mean_r2
+        FROM (SELECT held, a, k, 1 - sum(power(y - my - w1 * z1 - w2 * z2, 2))
+                                     / (count(*) * var_pop(y)) AS r2
+              FROM held_out JOIN fits USING (held) GROUP BY held, a, k)
+        GROUP BY a, k""",
     "all_long": " UNION ALL ".join(
         f"SELECT series, Periodo, target, is_test, {i} AS position, CAST({c} AS DOUBLE) AS v FROM split"
         for i, c in enumerate(LAYOUT.features)
@@ -199,7 +226,7 @@ CTES = {
         SELECT series, Periodo, target, is_test,
                round(any_value(my) + sum((CASE WHEN rank = 1 THEN w1 ELSE w2 END) * (v - m) / s), 1)
                    AS preds
-        FROM all_long JOIN moments USING (position), fitted GROUP BY ALL""",
+        FROM all_long JOIN moments USING (position) JOIN fitted USING (held) GROUP BY ALL""",
     "numbered": """
         SELECT *, row_number() OVER (PARTITION BY series ORDER BY anio, mes) AS nth,
                anio * 12 + mes + series AS key FROM merged""",
@@ -240,14 +267,19 @@ NEEDS = {
     "complete": ["rolled"],
     "split": ["complete"],
     "train": ["split"],
-    "long": ["train"],
+    "base_long": ["train"],
+    "long": ["base_long"],
     "ranked": ["long"],
-    "edges": ["ranked"],
+    "edges": ["ranked", "long"],
     "cells": ["edges"],
     "scores": ["cells"],
     "best": ["scores"],
-    "fitted": ["best"],
     "moments": ["best"],
+    "sums": ["moments", "long"],
+    "fits": ["sums"],
+    "fitted": ["fits"],
+    "held_out": ["base_long", "moments"],
+    "grid": ["held_out", "fits"],
     "all_long": ["split"],
     "predicted": ["fitted", "moments", "all_long"],
     "numbered": ["merged"],
@@ -371,9 +403,11 @@ def oracle_sql() -> dict[str, str]:
             for c in LINE_NUMBERS
         ),
         "mi_scores": _with("scores")
-        + "SELECT CAST(position AS INTEGER) AS position, feature, round(score, 7) AS score FROM scores",
+        + "SELECT CAST(position AS INTEGER) AS position, feature, round(score, 7) AS score FROM scores"
+        " WHERE held = -1",
         "select_k_best": _with("best")
-        + "SELECT CAST(rank AS INTEGER) AS rank, feature FROM best WHERE rank <= 7",
+        + "SELECT CAST(rank AS INTEGER) AS rank, feature FROM best"
+        " WHERE held = -1 AND rank <= 7",
         "ridge_1d": """
             SELECT round(slope, 5) AS slope, round(my - slope * mx, 4) AS intercept
             FROM (SELECT count(*) * covar_pop(l_quantity, l_extendedprice)
@@ -483,6 +517,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'l_quantity' AS term, round(w1, 4) AS weight FROM w
             UNION ALL SELECT 'l_discount', round(w2, 4) FROM w
             UNION ALL SELECT 'intercept', round(my - w1 * mq - w2 * md, 4) FROM w""",
+        "grid_search_linear": _with("grid")
+        + f"""SELECT CAST(row_number() OVER (ORDER BY a DESC, k) - 1 AS INTEGER) AS grid_position,
+                     a AS model__alpha, 1 AS poly__degree, k AS selector__k,
+                     round(mean_r2, 6) AS mean_r2,
+                     CAST(row_number() OVER (ORDER BY mean_r2 DESC, a DESC, k) = 1 AS INTEGER) AS best
+              FROM grid""",
         "model_fit_predict": test_predictions,
         "batch_predict": _with("predicted") + "SELECT series, Periodo, preds FROM predicted",
     }

@@ -48,6 +48,7 @@ DIGITS = {LAYOUT.price: 4} | dict.fromkeys(LAYOUT.rain, 4) | dict.fromkeys(LAYOU
 DIGITS |= dict.fromkeys(LAYOUT.index, 5)
 MODEL = {"selector__k": 2, "poly__degree": 1, "model__alpha": 0.2}
 SMALL_GRID = {"selector__k": [1, 2, 3], "poly__degree": [1, 2], "model__alpha": [1, 0.2, 0.01]}
+LINEAR_GRID = {"selector__k": [1, 2], "poly__degree": [1], "model__alpha": [1, 0.2, 0.01]}
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 # Orders and events have few, long series: the row order is cut by day or hour.
@@ -604,10 +605,10 @@ def ridge_fit(spark: SparkSession, sf: str) -> DataFrame:
     return table_rows.withColumn("weight", F.round("weight", 4))
 
 
-def grid_search(spark: SparkSession, sf: str) -> DataFrame:
+def _searched(spark: SparkSession, sf: str, space: dict[str, list]) -> DataFrame:
     train = _training(spark, sf).where(~F.col("is_test"))
     folded = splits.kfold(train, [*SERIES, schema.PERIOD])
-    scores = grid.grid_search(folded, grid=SMALL_GRID, features=LAYOUT.features)
+    scores = grid.grid_search(folded, grid=space, features=LAYOUT.features)
     best = grid.best_parameters(scores)
     chosen = reduce(lambda a, b: a & b, [F.col(n) == v for n, v in best.items()])
     return scores.select(
@@ -620,6 +621,14 @@ def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def grid_search(spark: SparkSession, sf: str) -> DataFrame:
+    return _searched(spark, sf, SMALL_GRID)
+
+
+def grid_search_linear(spark: SparkSession, sf: str) -> DataFrame:
+    return _searched(spark, sf, LINEAR_GRID)
+
+
 def model_fit_predict(spark: SparkSession, sf: str) -> DataFrame:
     training = _training(spark, sf)
     return _scored(_model(training), training.where("is_test"))
@@ -681,6 +690,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "feature_store": feature_store,
         "ridge_fit": ridge_fit,
         "grid_search": grid_search,
+        "grid_search_linear": grid_search_linear,
         "model_fit_predict": model_fit_predict,
         "batch_predict": batch_predict,
     }
