@@ -43,8 +43,9 @@ def mutual_information(
 ) -> DataFrame:
     """(position, feature, score) with the score in nats.
 
-    The edges, a few numbers per feature, join the unpivoted values as a table,
-    so the plan does not grow with features x bins.
+    The edges join the unpivoted values as a table, so the plan does not grow with
+    features x bins. That table has one row per feature, whatever the data size,
+    hence the broadcast.
     """
     edges = bin_edges(df, [*features, label], bins)
     marks = [f"e{i}" for i in range(bins - 1)]
@@ -64,19 +65,18 @@ def mutual_information(
     feature_bin = sum([(F.col("x") > F.col(m)).cast("int") for m in marks], F.lit(0))
     cells = (
         df.select(label_bin.alias("by"), F.inline(values))
-        .join(edge_table, "position")
+        .join(F.broadcast(edge_table), "position")
         .groupBy("position", "feature", feature_bin.alias("bx"), "by")
         .agg(F.count(F.lit(1)).cast("double").alias("n"))
     )
-    total = F.sum("n").over(Window.partitionBy("position"))
-    in_x = F.sum("n").over(Window.partitionBy("position", "bx"))
-    in_y = F.sum("n").over(Window.partitionBy("position", "by"))
-    return (
-        cells.select(
-            "position", "feature", "n", total.alias("t"), in_x.alias("x"), in_y.alias("y")
-        )
-        .groupBy("position", "feature")
-        .agg(F.round(F.sum(F.expr("n / t * ln(n * t / (x * y))")), SCORE_DIGITS).alias("score"))
+    # Gathered by position first: the finer windows and the final sum then need no
+    # further shuffle.
+    by_position = cells.withColumn("t", F.sum("n").over(Window.partitionBy("position")))
+    with_margins = by_position.withColumn(
+        "x", F.sum("n").over(Window.partitionBy("position", "bx"))
+    ).withColumn("y", F.sum("n").over(Window.partitionBy("position", "by")))
+    return with_margins.groupBy("position", "feature").agg(
+        F.round(F.sum(F.expr("n / t * ln(n * t / (x * y))")), SCORE_DIGITS).alias("score")
     )
 
 

@@ -7,7 +7,9 @@ A series key alone is a safe window partition only while every series is short.
 Callers whose series can grow without limit pass ``unit``, a coarse step of the
 leading order column such as its day. Series longer than ``target_rows`` are
 then cut into runs of consecutive units, each run is one window partition, and
-only the few rows next to a cut are worked out a second time.
+only the few rows next to a cut are worked out a second time. A unit stays whole;
+where one step of the order column can itself hold very many rows, pass a struct
+of that step and a step of the next order column.
 """
 
 from __future__ import annotations
@@ -113,14 +115,16 @@ def over_series(
     sized = tagged.withColumns(
         {
             _RANK: F.row_number().over(in_run),
-            _SIZE: F.count(F.lit(1)).over(
+            # Zero for rows of unsplit series, whose run number is NULL.
+            _SIZE: F.count(_RUN).over(
                 in_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
             ),
             **{name: make(in_run) for name, make in outputs.items()},
         }
     )
     rank, from_end = F.col(_RANK), F.col(_SIZE) - F.col(_RANK)
-    split = F.col(_RUN).isNotNull()
+    # Tested after the window, so that both branches below read the same shuffle.
+    split = F.col(_SIZE) > 0
     at_cut = split & ((rank <= before) | (from_end < after))
     margin = split & ((rank <= before + after) | (from_end < before + after))
     kept = sized.where(~at_cut)
@@ -165,20 +169,23 @@ def lag_columns(
     )
 
 
+def _clean(column: str) -> str:
+    return f"__clean_{column}"
+
+
 ROLLING = {"mean": F.avg, "std": F.stddev_samp}
 
 
 def rolling_outputs(
     columns: list[str], method: str, window: int = ROLLING_WINDOW, shift: int = 0
 ) -> dict[str, Output]:
-    """Trailing window of ``window`` rows ending ``shift`` rows back; NaN counts as missing."""
+    """Trailing window of ``window`` rows ending ``shift`` rows back, over cleaned columns."""
     if method not in ROLLING:
         raise NotImplementedError(f"rolling method {method!r}")
     statistic = ROLLING[method]
 
     def make(column: str) -> Output:
-        value = F.nanvl(F.col(column).cast("double"), F.lit(None).cast("double"))
-        return lambda w: statistic(value).over(w.rowsBetween(1 - window - shift, -shift))
+        return lambda w: statistic(_clean(column)).over(w.rowsBetween(1 - window - shift, -shift))
 
     return {rolling_name(c, method, window): make(c) for c in columns}
 
@@ -195,6 +202,8 @@ def rolling(
 ) -> DataFrame:
     """Append rolling statistics of the columns that exist; all share one window pass.
 
+    NaN counts as missing.
+
     ``shift=1`` is the fused form of lag-then-roll: the window ends at the
     previous row.
     """
@@ -205,7 +214,12 @@ def rolling(
             outputs.update(rolling_outputs(present, method, window, shift))
     if not outputs:
         return df
-    return over_series(df, series, order, outputs, before=window - 1 + shift, **scale)
+    missing = F.lit(None).cast("double")
+    cleaned = df.withColumns(
+        {_clean(c): F.nanvl(F.col(c).cast("double"), missing) for c in present}
+    )
+    rolled = over_series(cleaned, series, order, outputs, before=window - 1 + shift, **scale)
+    return rolled.drop(*[_clean(c) for c in present])
 
 
 def series_position(

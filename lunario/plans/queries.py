@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lunario import schema
@@ -51,12 +51,23 @@ SMALL_GRID = {"selector__k": [1, 2, 3], "poly__degree": [1, 2], "model__alpha":
 LINEAR_GRID = {"selector__k": [1, 2], "poly__degree": [1], "model__alpha": [1, 0.2, 0.01]}
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
-# Orders and events have few, long series: the row order is cut by day or hour.
+# Orders and events have few, long series: the row order is cut by day or hour and,
+# should one of these hold very many rows, by blocks of the key that orders it.
 ORDER_SERIES, ORDER_KEY = ["o_orderpriority"], ["o_orderdate", "o_orderkey"]
 EVENT_SERIES, EVENT_KEY = ["event_type"], ["ts", "event_id"]
+KEY_BLOCK = 2**28
 RUN_ROWS = 1_000
 
 
+def _order_unit() -> Column:
+    return F.struct("o_orderdate", F.floor(F.col("o_orderkey") / KEY_BLOCK).alias("block"))
+
+
+def _event_unit() -> Column:
+    hour = F.date_trunc("hour", "ts").alias("hour")
+    return F.struct(hour, F.floor(F.col("event_id") / KEY_BLOCK).alias("block"))
+
+
 def _rounded(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Select ``columns`` with the floating-point value and feature columns rounded."""
     kinds = {schema.TARGET: DIGITS[LAYOUT.price]}
@@ -189,6 +200,8 @@ def period_lookup(spark: SparkSession, sf: str) -> DataFrame:
         period_label(F.col("anio"), F.col("mes")).alias(schema.PERIOD),
         F.col(schema.rolling_name(LAYOUT.price, "mean")).alias("preds"),
     )
+    # Stored, as the batch job stores it: its file size decides how the join runs.
+    predictions = stage_table(predictions, "predictions")
     orders, customer = table(spark, sf, "orders"), table(spark, sf, "customer")
     month = F.month("o_orderdate").cast("string")
     key = F.col("o_orderkey")
@@ -290,7 +303,7 @@ def lag_label(spark: SparkSession, sf: str) -> DataFrame:
         ORDER_SERIES,
         ORDER_KEY,
         "o_totalprice",
-        unit=F.col("o_orderdate"),
+        unit=_order_unit(),
         target_rows=RUN_ROWS,
     )
     complete = rows.drop_incomplete(labelled, [schema.TARGET])
@@ -306,7 +319,7 @@ def lag_rows(spark: SparkSession, sf: str) -> DataFrame:
         ORDER_SERIES,
         ORDER_KEY,
         ["o_totalprice", "previous_customer"],
-        unit=F.col("o_orderdate"),
+        unit=_order_unit(),
         target_rows=RUN_ROWS,
     )
     complete = rows.drop_incomplete(lagged, ["o_totalprice"])
@@ -321,7 +334,7 @@ def _rolled_orders(spark: SparkSession, sf: str, method: str) -> DataFrame:
         ORDER_KEY,
         ["o_totalprice"],
         [method],
-        unit=F.col("o_orderdate"),
+        unit=_order_unit(),
         target_rows=RUN_ROWS,
     )
     name = schema.rolling_name("o_totalprice", method)
@@ -347,7 +360,7 @@ def rolling_window_n(spark: SparkSession, sf: str) -> DataFrame:
         ["value", "no_such_column"],
         ["mean", "std"],
         window=6,
-        unit=F.date_trunc("hour", "ts"),
+        unit=_event_unit(),
         target_rows=RUN_ROWS,
     )
     mean, std = (schema.rolling_name("value", m, 6) for m in ("mean", "std"))
@@ -362,7 +375,7 @@ def rolling_window_n(spark: SparkSession, sf: str) -> DataFrame:
 def series_position(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(*ORDER_SERIES, *ORDER_KEY)
     placed = windows.series_position(
-        orders, ORDER_SERIES, ORDER_KEY, unit=F.col("o_orderdate"), target_rows=RUN_ROWS
+        orders, ORDER_SERIES, ORDER_KEY, unit=_order_unit(), target_rows=RUN_ROWS
     )
     return placed.select(*ORDER_SERIES, "o_orderkey", "position")
 

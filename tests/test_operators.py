@@ -41,12 +41,20 @@ def expected_windows(data, window=3):
     return frame.set_index("id")
 
 
-@pytest.mark.parametrize("target_rows", [1, 7, 100, 10_000])
-def test_split_windows_equal_plain_windows(spark, target_rows):
+STEPS = {
+    "day": lambda: F.col("day"),
+    "day and key": lambda: F.struct("day", F.floor(F.col("id") / 90)),
+}
+
+
+@pytest.mark.parametrize(
+    "step, target_rows", [("day", 1), ("day", 100), ("day and key", 7), ("day", 10_000)]
+)
+def test_split_windows_equal_plain_windows(spark, step, target_rows):
     data = long_series()
     want = expected_windows(data)
     df = spark.createDataFrame(data, "s string, day int, id int, v double").repartition(5)
-    scale = {"unit": F.col("day"), "target_rows": target_rows}
+    scale = {"unit": STEPS[step](), "target_rows": target_rows}
     order = ["day", "id"]
     rolled = windows.rolling(df, ["s"], order, ["v"], ["mean", "std"], **scale)
     both = windows.lead_label(rolled, ["s"], order, "v", "lead", **scale)
@@ -70,6 +78,15 @@ def test_split_windows_without_a_series_key(spark):
     assert got == {i: np.mean(range(max(0, i - 3), i + 1)) for i in range(500)}
 
 
+def test_split_windows_shuffle_the_data_once(spark):
+    df = spark.createDataFrame(long_series(), "s string, day int, id int, v double")
+    rolled = windows.rolling(
+        df, ["s"], ["day", "id"], ["v"], ["mean"], unit=F.col("day"), target_rows=50
+    )
+    rolled.collect()
+    assert plan(rolled).count("ReusedExchange") >= 1
+
+
 def test_rolling_skips_missing_values(spark):
     df = spark.createDataFrame(
         [(1, 1.0), (2, float("nan")), (3, 4.0), (4, None)], "t int, x double"
@@ -273,6 +290,8 @@ def test_mutual_information_against_numpy(spark):
         outer = np.outer(joint.sum(1), joint.sum(0))
         mask = joint > 0
         assert got[name] == pytest.approx((joint[mask] * np.log(joint[mask] / outer[mask])).sum(), abs=1e-8)
+    joined = plan(information.mutual_information(df, names, "y"))
+    assert "BuildRight" in joined and "SortMergeJoin" not in joined
     best = information.best_features(information.mutual_information(df, names, "y"), 2)
     assert [r["feature"] for r in best.orderBy("rank").collect()] == ["twin", "x"]
 
