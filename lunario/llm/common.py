@@ -71,3 +71,39 @@ def with_next(keys: DataFrame, key: str) -> DataFrame:
         .withColumn("next_key", F.coalesce("_inside", "_after"))
         .drop("_range", "_inside", "_after")
     )
+
+
+def text_hash() -> Column:
+    """Tells rows of one id apart; a null text hashes as the empty one."""
+    return F.xxhash64(whole_text())
+
+
+def carried(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """Rows of ``docs`` with all their columns, as often as ``chosen`` says.
+
+    ``chosen`` has ``doc_id, text_hash, copies, rows``: the copies that all
+    ``rows`` rows of one id and text get together. Whole rows are shuffled once;
+    only rows that repeat in id and text meet in an aggregate.
+    """
+    named = chosen.where("copies > 0").select(
+        F.col("doc_id").alias("_id"),
+        F.col("text_hash").alias("_hash"),
+        F.col("copies").cast("int").alias("_copies"),
+        F.col("rows").alias("_rows"),
+    )
+    keyed = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
+        F.col("doc_id").alias("_key"),
+        text_hash().alias("_text"),
+    )
+    same = keyed["_key"].eqNullSafe(named["_id"]) & (keyed["_text"] == named["_hash"])
+    found = keyed.join(named, same)
+    once = found.where("_rows = 1").select("_doc", "_copies")
+    repeated = (
+        found.where("_rows > 1")
+        .groupBy("_key", "_text")
+        .agg(F.first("_doc").alias("_doc"), F.first("_copies").alias("_copies"))
+        .select("_doc", "_copies")
+    )
+    times = F.explode(F.sequence(F.lit(1), "_copies"))
+    return once.unionByName(repeated).select("_doc", times.alias("_time")).select("_doc.*")

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lunario.llm.common import SPACES, staged, whole_text
+from lunario.llm.common import SPACES, carried, staged, text_hash, whole_text
 
 #: Digests at most that are settled on the map side, and counters of the summary.
 HEAVY = 256
@@ -45,20 +45,15 @@ def heavy_digests(light: DataFrame) -> DataFrame:
     ).limit(HEAVY)
 
 
-def _winner(*columns: str) -> Column:
-    """The row that stays: most code points, smallest id, then text hash and row number."""
-    return F.min(F.struct(*columns))
-
-
 def decisions(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, n_chars."""
+    """One row per document: doc_id, keep_id, group_size, kept, text_sha256, text_hash."""
     text = whole_text()
     light = staged(
         docs.select("doc_id", text.alias("text"))
         .select(
             "doc_id",
             F.length("text").cast("long").alias("n_chars"),
-            F.xxhash64("text").alias("text_hash"),
+            text_hash().alias("text_hash"),
             digest_of(F.col("text")).alias("text_sha256"),
         )
         .withColumn("row", F.monotonically_increasing_id()),
@@ -93,39 +88,15 @@ def decisions(docs: DataFrame) -> DataFrame:
         "group_size",
         (F.col("first.row") == F.col("row")).alias("kept"),
         "text_sha256",
-        "n_chars",
+        "text_hash",
     )
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns.
-
-    A row stays when its (id, digest, length) is a winner's. Rows that repeat a
-    winner in all three are reduced to one by a map-side combined aggregate.
-    """
-    key = ["_id", "_digest", "_chars"]
-    rows = staged(decisions(docs), "decisions").select(
-        F.col("doc_id").alias("_id"),
-        F.col("text_sha256").alias("_digest"),
-        F.col("n_chars").alias("_chars"),
-        "kept",
-    )
-    winners = rows.groupBy(*key).agg(
-        F.max("kept").alias("kept"), F.count(F.lit(1)).alias("repeats")
-    ).where("kept")
-    text = whole_text()
-    keyed = docs.select(
-        F.struct(*docs.columns).alias("_doc"),
-        F.col("doc_id").alias("_id"),
-        digest_of(text).alias("_digest"),
-        F.length(text).cast("long").alias("_chars"),
-    )
-    same = (
-        keyed["_id"].eqNullSafe(winners["_id"])
-        & (keyed["_digest"] == winners["_digest"])
-        & (keyed["_chars"] == winners["_chars"])
+    """The rows of ``docs`` that stay, with all their columns."""
+    chosen = (
+        staged(decisions(docs), "decisions")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.max(F.col("kept").cast("int")).alias("copies"), F.count(F.lit(1)).alias("rows"))
     )
-    found = keyed.join(winners, same).select("_doc", keyed["_digest"].alias("_digest"), "repeats")
-    once = found.where("repeats = 1").select("_doc")
-    first = found.where("repeats > 1").groupBy("_digest").agg(F.first("_doc").alias("_doc"))
-    return once.unionByName(first.select("_doc")).select("_doc.*")
+    return carried(docs, chosen)

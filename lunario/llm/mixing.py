@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lunario.llm.common import staged, whole_text
+from lunario.llm.common import carried, staged, text_hash, whole_text
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -40,7 +40,8 @@ def _sized(docs: DataFrame) -> DataFrame:
         "source",
         F.when(F.col("source").isNull(), F.lit("-")).otherwise(F.concat(F.lit("+"), "source")).alias("src"),
         F.regexp_count(whole_text(), F.lit(WORD)).cast("long").alias("size"),
-        F.xxhash64("doc_id", "text").alias("h"),
+        text_hash().alias("text_hash"),
+        F.xxhash64("doc_id", whole_text()).alias("h"),
     )
 
 
@@ -172,7 +173,7 @@ def _allotted(by_size: DataFrame, solved: DataFrame) -> DataFrame:
 
 
 def decisions(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, size, source_size, target, copies, taken, h."""
+    """One row per document: doc_id, size, source_size, target, copies, taken, text_hash."""
     sized = staged(
         _sized(docs).withColumn("part", F.pmod(F.col("h"), F.lit(HASH_RANGES))), "sizes"
     )
@@ -202,7 +203,7 @@ def decisions(docs: DataFrame) -> DataFrame:
         .withColumn("copies", F.col("each") + F.when(rank <= F.col("more"), 1).otherwise(0))
         .select(
             "doc_id", "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"), "h",
+            (F.col("copies") * F.col("size")).alias("taken"), "text_hash",
         )
     )
 
@@ -214,24 +215,7 @@ def mixed(docs: DataFrame) -> DataFrame:
     """
     chosen = (
         staged(decisions(docs), "copies")
-        .groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h"))
-        .agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-        .where("_copies > 0")
+        .groupBy("doc_id", "text_hash")
+        .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     )
-    keyed = docs.select(
-        F.struct(*docs.columns).alias("_doc"),
-        F.col("doc_id").alias("_key"),
-        F.xxhash64("doc_id", "text").alias("_hash"),
-    )
-    found = keyed.join(
-        chosen, keyed["_key"].eqNullSafe(chosen["_id"]) & (keyed["_hash"] == chosen["_h"])
-    )
-    once = found.where("_rows = 1").select("_doc", "_copies")
-    repeated = (
-        found.where("_rows > 1")
-        .groupBy("_key", "_hash")
-        .agg(F.first("_doc").alias("_doc"), F.first("_copies").alias("_copies"))
-        .select("_doc", "_copies")
-    )
-    times = F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))
-    return once.unionByName(repeated).select("_doc", times.alias("_time")).select("_doc.*")
+    return carried(docs, chosen)

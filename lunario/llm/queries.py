@@ -4,18 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lunario.llm import exact_dedup, fingerprints, mixing, secret_scan
+from lunario.llm import byte_bpe, exact_dedup, fingerprints, mixing, secret_scan, simhash
 from lunario.llm.common import table
 
 
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return byte_bpe.round_trip(documents, RANKS, public_tokenizers.PATTERN)
+
+
 def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compared_with_next(table(spark, sf_dir, "documents"))
 
 
+def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    printed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select("doc_id", printed.alias("fingerprint"), "component_id")
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.decisions(table(spark, sf_dir, "documents")).drop("n_chars")
+    return exact_dedup.decisions(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,12 +39,14 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.decisions(table(spark, sf_dir, "documents")).drop("h")
+    return mixing.decisions(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
+        op1_byte_bpe,
         op2_document_fingerprints,
+        op3_simhash_near_dedup,
         op5_exact_dedup,
         op9_secret_scan,
         op10_source_mixing,
