@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lunario.llm import byte_bpe, exact_dedup, fingerprints, mixing, secret_scan, simhash
+from lunario.llm import byte_bpe, exact_dedup, fingerprints, importance, mixing, secret_scan, simhash, warc
 from lunario.llm.common import table
 
 
@@ -30,10 +30,19 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", printed.alias("fingerprint"), "component_id")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return importance.decisions(documents, labels).drop("text_hash")
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(table(spark, sf_dir, "documents"))
 
@@ -47,7 +56,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op1_byte_bpe,
         op2_document_fingerprints,
         op3_simhash_near_dedup,
+        op4_warc,
         op5_exact_dedup,
+        op8_quality_classifier,
         op9_secret_scan,
         op10_source_mixing,
     )
