@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lunario.llm import byte_bpe, exact_dedup, fingerprints, importance, mixing, secret_scan, simhash, warc
+from lunario.llm import byte_bpe, exact_dedup, fingerprints, importance, language_model, mixing, repeats, secret_scan, simhash, warc
 from lunario.llm.common import table
 
 
@@ -38,6 +38,14 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+def op7_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_model.scores(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return importance.decisions(documents, labels).drop("text_hash")
@@ -58,6 +66,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op3_simhash_near_dedup,
         op4_warc,
         op5_exact_dedup,
+        op6_suffix_array_dedup,
+        op7_language_model,
         op8_quality_classifier,
         op9_secret_scan,
         op10_source_mixing,
