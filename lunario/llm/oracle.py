@@ -8,19 +8,25 @@ WITH payloads AS (
   SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages
 ), hashed AS (
   SELECT page_id, octet_length(payload) AS payload_bytes, sha1(payload) AS hex FROM payloads
+), letters AS (
+  SELECT hex, i, (CAST('0x' || substr(hex, 1 + 10 * (i // 8), 10) AS BIGINT) >> (35 - 5 * (i % 8))) & 31 AS letter
+  FROM (SELECT DISTINCT hex FROM hashed) CROSS JOIN (SELECT CAST(range AS INTEGER) AS i FROM range(32))
+), digests AS (
+  SELECT hex, string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(letter AS INTEGER) + 1, 1), '' ORDER BY i)
+    AS payload_digest
+  FROM letters GROUP BY hex
 ), firsts AS (
   SELECT *, min(page_id) OVER (PARTITION BY hex) AS first_id FROM hashed
 )
 SELECT page_id,
   CAST(payload_bytes AS BIGINT) AS payload_bytes,
-  array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST(
-    (CAST('0x' || substr(hex, 1 + 10 * CAST(i // 8 AS INTEGER), 10) AS BIGINT) >> (35 - 5 * CAST(i % 8 AS INTEGER))) & 31 AS INTEGER), 1)), '')
-    AS payload_digest,
+  payload_digest,
   CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
   CASE WHEN page_id <> first_id THEN first_id END AS refers_to
-FROM firsts
+FROM firsts JOIN digests USING (hex)
 """
 
+
 OP5 = """
 WITH normal AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
