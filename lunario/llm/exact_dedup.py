@@ -37,8 +37,11 @@ def heavy_digests(light: DataFrame) -> DataFrame:
     parts = light.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g")).agg(
         F.expr(f"approx_top_k_accumulate(text_sha256, {COUNTERS})").alias("s")
     )
-    top = parts.agg(F.expr(f"approx_top_k_combine(s, {COUNTERS})").alias("s")).select(
-        F.explode(F.expr(f"approx_top_k_estimate(s, {HEAVY})")).alias("t")
+    # Merged as a group, not as a whole table: empty partitions then have no summary.
+    top = (
+        parts.groupBy(F.lit("all").alias("all"))
+        .agg(F.expr(f"approx_top_k_combine(s, {COUNTERS})").alias("s"))
+        .select(F.explode(F.expr(f"approx_top_k_estimate(s, {HEAVY})")).alias("t"))
     )
     return top.where("t.count > 1 AND t.item IS NOT NULL").select(
         F.col("t.item").alias("text_sha256")
