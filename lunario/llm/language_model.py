@@ -9,8 +9,9 @@ rarer class are weighed by their learning counts, one added.
 
 Those counts grow with the corpus and never meet in one place: tasks send the
 64-bit hashes of their documents' rarer words, packed by hash range, to the
-range's task, which counts the learning ones and sums the logs for each
-document. Ranges are as many as the corpus needs to keep one small.
+range's task, which counts the learning ones and sends each word's count back
+to its chunk of documents. Ranges are as many as the corpus needs to keep one
+small.
 
 A null text counts as empty: one end token. A null id is not held out. Rows that
 repeat in id and text have the same scores. Without learning documents the
@@ -21,17 +22,18 @@ ignored.
 from __future__ import annotations
 
 import math
-from collections import Counter
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lunario.llm import recurrent
-from lunario.llm.common import shuffle_width, staged, text_hash, whole_text, words_of
+from lunario.llm.common import shuffle_width, staged, whole_text, words_of
 
 FOLDS, HELD_OUT = 7, 2
 #: Ids of the model: the end and the frequent words.
@@ -41,7 +43,7 @@ COUNTERS = 16_384
 MERGE_GROUPS = 64
 ROUNDS = 3
 #: Tokens that a task lays out in lanes at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 #: Hashes that a range may hold, and ranges at least.
 RANGE_HASHES = 1 << 21
 #: Values per row when parameters are averaged.
@@ -53,7 +55,6 @@ def _marked(docs: DataFrame) -> DataFrame:
     return docs.select(
         "doc_id",
         whole_text().alias("text"),
-        text_hash().alias("text_hash"),
         F.coalesce(F.pmod(crc, F.lit(FOLDS)) == HELD_OUT, F.lit(False)).alias("held_out"),
         F.pmod(F.coalesce(crc, F.lit(0)) / FOLDS, F.lit(ROUNDS)).cast("int").alias("round"),
     )
@@ -184,8 +185,20 @@ def train(docs: DataFrame, known: int = KNOWN) -> tuple[list[str], np.ndarray, n
     return words, values, counts
 
 
+def _packed(values, kind) -> bytes:
+    return np.asarray(values, dtype=kind).tobytes()
+
+
+#: Rows of documents have range -1; rows of words have the places of their documents in the chunk.
+PARTS = "range int, chunk bigint, places binary, hashes binary, documents binary"
+
+
 def _scored(docs: DataFrame, words: list[str], values: np.ndarray, counts: np.ndarray, ranges: int) -> DataFrame:
-    """Per document one row with its model score, and one per range that its rarer words fall in."""
+    """Chunks of documents with their model scores, and their rarer words by hash range.
+
+    A chunk is named by its task and number, which a task that runs again gives
+    alike, so rows that repeat stay apart without being compared.
+    """
     known = len(counts) - 1
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -195,128 +208,148 @@ def _scored(docs: DataFrame, words: list[str], values: np.ndarray, counts: np.nd
         log_counts[known] = 0.0
         seen = counts > 0
         seen[known] = False
-        for rows in _chunks(batches, index, known):
+        task = TaskContext.get().partitionId()
+        for number, rows in enumerate(_chunks(batches, index, known)):
             scores = recurrent.score(model, [ids for _, _, ids, _ in rows]) / math.log(10)
-            out = []
-            for (batch, i, ids, rare), one in zip(rows, scores, strict=True):
-                key = [batch[c][i].as_py() for c in ("doc_id", "text_hash", "held_out")]
-                out.append((-1, *key, len(ids), float(one), float(log_counts[ids].sum()), int(seen[ids].sum()), None))
-                if rare:
-                    hashes = np.array([xxhash.xxh64_intdigest(w) for w in rare], dtype=np.uint64)
-                    place = (hashes % np.uint64(ranges)).astype(np.int64)
-                    order = np.argsort(place, kind="stable")
-                    hashes, place = hashes[order], place[order]
-                    cuts = np.flatnonzero(np.diff(place, prepend=-1))
-                    for start, some in zip(cuts, np.split(hashes, cuts[1:]), strict=True):
-                        out.append((int(place[start]), *key, 0, 0.0, 0.0, 0, some.tobytes()))
-                if len(out) >= 50_000:
-                    yield batch_of(out)
-                    out = []
-            if out:
-                yield batch_of(out)
-
-    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.binary()]
-    names = ["range", "doc_id", "text_hash", "held_out", "n_tokens", "model", "logs", "seen", "hashes"]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(columns, names)
-
-    schema = "range int, doc_id bigint, text_hash bigint, held_out boolean, n_tokens bigint, model double, logs double, seen bigint, hashes binary"
-    return docs.select("doc_id", "text", "text_hash", "held_out").mapInArrow(score, schema)
-
-
-SUMS = "doc_id bigint, text_hash bigint, held_out boolean, copies bigint, n_tokens bigint, model double, logs double, seen bigint, rare bigint, distinct bigint, learned bigint"
-
-
-def _summed(parts: DataFrame, ranges: int) -> DataFrame:
-    """Sums of the rarer words' logs per document, by the counts of their hash range.
-
-    A task holds the packed hashes of its ranges, about ``RANGE_HASHES`` a range.
-    Its last row has no document: it tells the distinct learned hashes.
+            chunk = (task << 32) | number
+            documents = [
+                (batch["doc_id"][i].as_py(), batch["held_out"][i].as_py(), len(ids), float(one),
+                 float(log_counts[ids].sum()), int(seen[ids].sum()), len(rare))
+                for (batch, i, ids, rare), one in zip(rows, scores, strict=True)
+            ]
+            out = [(-1, chunk, None, None, pickle.dumps(documents))]
+            places = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[3]) for r in rows])
+            hashes = np.array(
+                [xxhash.xxh64_intdigest(w) for r in rows for w in r[3]], dtype=np.uint64
+            )
+            # The held-out mark travels as the sign of the place.
+            held = np.array([d[1] for d in documents], dtype=bool)[places]
+            places = np.where(held, -1 - places, places)
+            into = (hashes % np.uint64(ranges)).astype(np.int32)
+            order = np.argsort(into, kind="stable")
+            cuts = np.flatnonzero(np.diff(into[order], prepend=-1))
+            for some in np.split(order, cuts[1:]) if len(order) else []:
+                out.append(
+                    (int(into[some[0]]), chunk, _packed(places[some], "<i4"), _packed(hashes[some], "<u8"), None)
+                )
+            yield _batch(out, PARTS)
+
+    return docs.select("doc_id", "text", "held_out").mapInArrow(score, PARTS)
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+    names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
+    columns = [pa.array([r[k] for r in rows], kinds[t]) for k, t in enumerate(types)]
+    return pa.RecordBatch.from_arrays(columns, list(names))
+
+
+COUNTED = "chunk bigint, places binary, times binary, documents binary, distinct bigint, learned bigint"
+
+
+def _counted(parts: DataFrame, ranges: int) -> DataFrame:
+    """Learning counts of every rarer word, sent back to its chunk.
+
+    A task holds the packed hashes of one range at a time, about ``RANGE_HASHES``.
+    A row without chunk tells the distinct and all learned hashes of a range.
     """
-    kinds = [pa.int64(), pa.int64(), pa.bool_(), *[pa.int64()] * 2, *[pa.float64()] * 2, *[pa.int64()] * 4]
-    names = [c.split()[0] for c in SUMS.split(", ")]
-
-    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
-        columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
-        return pa.RecordBatch.from_arrays(columns, names)
 
     def count(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        all_hashes = np.frombuffer(b"".join(r[3] for r in rows), dtype=np.uint64)
-        sizes = np.array([len(r[3]) // 8 for r in rows])
-        held = np.repeat(np.array([r[2] for r in rows], dtype=bool), sizes)
-        learned, times = np.unique(all_hashes[~held], return_counts=True)
-        place = np.searchsorted(learned, all_hashes)
-        place[place == len(learned)] = 0
-        c = np.where(learned[place] == all_hashes, times[place], 0) if len(learned) else np.zeros(len(all_hashes), dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        logs, seen = np.add.reduceat(np.log10(c + 1.0), starts), np.add.reduceat((c > 0).astype(np.int64), starts)
+        places = [np.frombuffer(r[2], dtype="<i4") for r in rows]
+        hashes = np.concatenate([np.frombuffer(r[3], dtype="<u8") for r in rows])
+        learning = np.concatenate(places) >= 0
+        learned, times = np.unique(hashes[learning], return_counts=True)
+        found = np.zeros(len(hashes), dtype=np.int64)
+        if len(learned):
+            at = np.minimum(np.searchsorted(learned, hashes), len(learned) - 1)
+            found = np.where(learned[at] == hashes, times[at], 0)
+        ends = np.cumsum([len(p) for p in places])
         out = [
-            (r[0], r[1], r[2], 0, 0, 0.0, float(a), int(s), int(n), 0, 0)
-            for r, a, s, n in zip(rows, logs, seen, sizes, strict=True)
-        ]
-        out.append((None, None, None, 0, 0, 0.0, 0.0, 0, 0, len(learned), int(times.sum())))
-        yield batch_of(out)
+            (r[1], r[2], _packed(some, "<i8"), None, 0, 0)
+            for r, some in zip(rows, np.split(found, ends[:-1]), strict=True)
+        ]
+        out.append((None, None, None, None, len(learned), int(times.sum())))
+        yield _batch(out, COUNTED)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        rows: list[tuple] = []
         for batch in batches:
-            documents = []
-            for r in zip(*(batch[c].to_pylist() for c in ("range", "doc_id", "text_hash", "held_out", "hashes", "n_tokens", "model", "logs", "seen")), strict=True):
+            names = [c.split()[0] for c in PARTS.split(", ")]
+            for r in zip(*(batch[c].to_pylist() for c in names), strict=True):
                 if r[0] < 0:
-                    documents.append((*r[1:4], 1, r[5], r[6], r[7], r[8], 0, 0, 0))
+                    yield _batch([(r[1], None, None, r[4], 0, 0)], COUNTED)
                     continue
-                if r[0] != now and rows:
+                if rows and r[0] != rows[0][0]:
                     yield from count(rows)
                     rows = []
-                now = r[0]
-                rows.append(r[1:5])
-            if documents:
-                yield batch_of(documents)
+                rows.append(r)
         if rows:
             yield from count(rows)
 
-    # Rows of documents are dealt by document, rows of words by their range.
-    placed = F.when(F.col("range") < 0, F.pmod(F.xxhash64("doc_id"), F.lit(ranges))).otherwise(F.col("range"))
+    # Rows of documents are dealt by chunk, rows of words by their range.
+    placed = F.when(F.col("range") < 0, F.pmod(F.xxhash64("chunk"), F.lit(ranges))).otherwise(F.col("range"))
     return (
-        parts.repartition(max(ranges, 1), placed.cast("int"))
+        parts.repartition(ranges, placed.cast("int"))
         .sortWithinPartitions("range")
-        .mapInArrow(task, SUMS)
+        .mapInArrow(task, COUNTED)
+    )
+
+
+SCORES = "doc_id bigint, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
+
+
+def _finished(counted: DataFrame, tokens: int, base: float, within: float) -> DataFrame:
+    """Scores of the documents of each chunk, from the counts of their rarer words."""
+
+    def finish(rows: list[tuple]) -> pa.RecordBatch:
+        documents = next(pickle.loads(r[2]) for r in rows if r[2] is not None)
+        logs, seen = np.zeros(len(documents)), np.zeros(len(documents))
+        for _, places, _, times in ((r[0], r[1], r[2], r[3]) for r in rows if r[2] is None):
+            place = np.frombuffer(places, dtype="<i4")
+            place = np.where(place < 0, -1 - place, place)
+            c = np.frombuffer(times, dtype="<i8")
+            logs += np.bincount(place, weights=np.log10(c + 1.0), minlength=len(documents))
+            seen += np.bincount(place, weights=c > 0, minlength=len(documents))
+        return _batch(
+            [
+                (doc_id, held, n, known + int(s), tokens, log + rare_log - n * base,
+                 model + rare_log - rare * within)
+                for (doc_id, held, n, model, log, known, rare), rare_log, s in zip(documents, logs.tolist(), seen, strict=True)
+            ],
+            SCORES,
+        )
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for batch in batches:
+            for r in zip(*(batch[c].to_pylist() for c in ("chunk", "places", "documents", "times")), strict=True):
+                if rows and r[0] != rows[0][0]:
+                    yield finish(rows)
+                    rows = []
+                rows.append(r)
+        if rows:
+            yield finish(rows)
+
+    width = shuffle_width(counted.sparkSession)
+    return (
+        counted.where("chunk IS NOT NULL")
+        .select("chunk", "places", "documents", "times")
+        .repartition(width, "chunk")
+        .sortWithinPartitions("chunk")
+        .mapInArrow(task, SCORES)
     )
 
 
 def scores(docs: DataFrame, known: int = KNOWN) -> DataFrame:
     """One row per document: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
-    marked = _marked(docs)
     words, values, counts = train(docs, known)
     tokens = int(counts.sum())
     ranges = max(shuffle_width(docs.sparkSession), math.ceil(counts[known] / RANGE_HASHES))
-    parts = _scored(marked, words, values, counts, ranges)
-    sums = staged(_summed(parts, ranges), "lm-sums")
-    rare = sums.where("held_out IS NULL").agg(
+    counted = staged(_counted(_scored(_marked(docs), words, values, counts, ranges), ranges), "lm-counts")
+    rare = counted.where("chunk IS NULL").agg(
         F.coalesce(F.sum("distinct"), F.lit(0)), F.coalesce(F.sum("learned"), F.lit(0))
     ).first()
     distinct = int((counts[:known] > 0).sum()) + rare[0]
     base = math.log10(tokens + distinct + 1)
     within = math.log10(rare[1] + rare[0] + 1)
-    found = (
-        sums.where("held_out IS NOT NULL")
-        .groupBy("doc_id", "text_hash", "held_out")
-        .agg(*[F.sum(c).alias(c) for c in ("copies", "n_tokens", "model", "logs", "seen", "rare")],
-             F.sum(F.when(F.col("rare") > 0, F.col("logs"))).alias("rare_logs"))
-    )
-    share = F.col("copies")
-    return found.select(
-        "doc_id",
-        "held_out",
-        F.expr("n_tokens div copies").alias("n_tokens"),
-        F.expr("seen div copies").alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        ((F.col("logs") - F.col("n_tokens") * F.lit(base)) / share).alias("base_score"),
-        (
-            (F.col("model") + F.coalesce("rare_logs", F.lit(0.0)) - F.col("rare") * F.lit(within))
-            / share
-        ).alias("score"),
-        F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy"),
-    ).drop("copy")
+    return _finished(counted, tokens, base, within)
