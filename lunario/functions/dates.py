@@ -19,8 +19,16 @@ EXTRA_DATE_LAYOUTS = [
     (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
     (r"^\d{1,2}-\d{1,2}-\d{4}$", "M-d-yyyy"),
     (r"^\d{1,2}-\d{1,2}-\d{4}$", "d-M-yyyy"),
+    (r"^\d{1,2}\.\d{1,2}\.\d{4}$", "d.M.yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{2} \d{4}$", "d MMM yyyy"),
+    (r"^[A-Z][a-z]{2} \d{4}$", "MMM yyyy"),
+    (r"^\d{1,2} [A-Z][a-z]{3,} \d{4}$", "d MMMM yyyy"),
+    (r"^[A-Z][a-z]{3,} \d{4}$", "MMMM yyyy"),
 ]
 
+# A time of day after a date that is not written in ISO form.
+CLOCK = r"^(\S+) (\d{1,2}:\d{2}(:\d{2})?)$"
+
 
 def month_of_abbreviation(name: Column, strict: bool = True) -> Column:
     """Month number 1..12 of a Spanish abbreviation in any case.
@@ -52,11 +60,17 @@ def lenient_timestamp(text: Column) -> Column:
     """
     trimmed = F.trim(text)
     tries = [trimmed.try_cast("timestamp_ntz")]
+    clock = F.regexp_extract(trimmed, CLOCK, 2)
+    day = F.when(clock != "", F.regexp_extract(trimmed, CLOCK, 1)).otherwise(trimmed)
     for shape, pattern in EXTRA_DATE_LAYOUTS:
-        tries.append(
-            F.when(trimmed.rlike(shape), F.try_to_date(trimmed, pattern)).cast("timestamp_ntz")
-        )
-    return F.coalesce(*tries)
+        tries.append(F.when(day.rlike(shape), F.try_to_date(day, pattern)))
+    found = F.coalesce(*tries[1:])
+    hour, rest = F.regexp_extract(clock, "^[0-9]+", 0), F.regexp_extract(clock, ":.*$", 0)
+    timed = F.concat(found.cast("string"), F.lit(" "), F.lpad(hour, 2, "0"), rest)
+    return F.coalesce(
+        tries[0],
+        F.when(clock != "", timed.try_cast("timestamp_ntz")).otherwise(found.cast("timestamp_ntz")),
+    )
 
 
 def period_label(year: Column, month: Column) -> Column:

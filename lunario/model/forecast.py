@@ -121,8 +121,12 @@ def apply_data_stages(pipeline: PipelineModel, merged: DataFrame) -> DataFrame:
 
 
 def write_object(df: DataFrame, path: str) -> None:
-    """Write a one-row table as a JSON object."""
-    df.limit(1).coalesce(1).write.mode("overwrite").json(path)
+    """Write a one-row table as a JSON object; any other number of rows is an error."""
+    rows = df.take(2)
+    if len(rows) != 1:
+        raise ValueError(f"one row makes an object, not {len(rows) or 'none'}")
+    one = df.sparkSession.createDataFrame(rows, df.schema)
+    one.coalesce(1).write.mode("overwrite").json(path)
 
 
 def read_object(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:

@@ -15,6 +15,7 @@ from lunario import schema
 from lunario.schema import FULL, Layout
 from lunario.functions import gdp_number, index_number, normalise_period_part
 from lunario.operators.rows import keep_first
+from lunario.sources.requests import with_request_ids
 
 
 def required_columns(merged: DataFrame) -> list[str]:
@@ -36,6 +37,10 @@ def check_requests(
         faults.append(
             F.when(size[c] != months, F.concat(F.lit(f"length of {c} is "), size[c].cast("string")))
         )
+    for c in schema.TIME_COLS:
+        # A year or month that is no integer cannot be logged; one such cell rejects its request.
+        fits = F.forall(f"data.{c}", lambda cell: cell.isNull() | cell.try_cast("int").isNotNull())
+        faults.append(F.when(~fits, F.lit(f"{c} is no integer")))
     return requests.withColumn("reason", F.coalesce(*faults)).withColumn(
         "valid", F.col("reason").isNull()
     )
@@ -143,7 +148,8 @@ def score_requests(
     sort_months: bool = False,
 ) -> DataFrame:
     """(request_id, months, pred) of valid requests; one prediction per request."""
-    valid = check_requests(requests, layout).where("valid").select("request_id", "data")
+    checked = check_requests(with_request_ids(requests), layout)
+    valid = checked.where("valid").select("request_id", "data")
     months = request_months(valid, layout, sort_months=sort_months)
     features = request_features(months, layout)
     return model.transform(features).select("request_id", "months", F.col("preds").alias("pred"))
@@ -151,7 +157,8 @@ def score_requests(
 
 def rejected_requests(requests: DataFrame, layout: Layout = FULL) -> DataFrame:
     """(request_id, reason) of requests that cannot be scored as sent."""
-    return check_requests(requests, layout).where(~F.col("valid")).select("request_id", "reason")
+    checked = check_requests(with_request_ids(requests), layout)
+    return checked.where(~F.col("valid")).select("request_id", "reason")
 
 
 def log_rows(scored: DataFrame, layout: Layout = FULL) -> DataFrame:
@@ -160,7 +167,7 @@ def log_rows(scored: DataFrame, layout: Layout = FULL) -> DataFrame:
     return rows.select(
         "request_id",
         "pos",
-        *[F.col(c).cast("int").alias(c) for c in schema.TIME_COLS],
+        *[F.col(c).try_cast("int").alias(c) for c in schema.TIME_COLS],
         *layout.values,
         "pred",
     )

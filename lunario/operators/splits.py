@@ -21,7 +21,13 @@ PREFIX_CHARS = 4
 
 
 def split_hash(keys: list[str], seed: int) -> Column:
-    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]))
+    """Digest of the seed and the keys; a NULL and a separator inside a key are spelled out."""
+
+    def spelled(key: str) -> Column:
+        text = F.replace(F.col(key).cast("string"), F.lit("|"), F.lit("||"))
+        return F.coalesce(text, F.lit("|null"))
+
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[spelled(k) for k in keys]))
 
 
 def _cut_hashes(hashes: DataFrame, cuts_of: Callable[[int], list[int]]) -> list[str]:

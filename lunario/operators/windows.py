@@ -7,9 +7,9 @@ A series key alone is a safe window partition only while every series is short.
 Callers whose series can grow without limit pass ``unit``, a coarse step of the
 leading order column such as its day. Series longer than ``target_rows`` are
 then cut into runs of consecutive units, each run is one window partition, and
-only the few rows next to a cut are worked out a second time. A unit stays whole;
-where one step of the order column can itself hold very many rows, pass a struct
-of that step and a step of the next order column.
+only the few rows next to a cut are worked out a second time, each cut in a window
+partition of its own. A unit stays whole, so pass a step fine enough that one
+holds few rows. Units must not overlap along the order; that is checked.
 """
 
 from __future__ import annotations
@@ -26,21 +26,28 @@ RUN_ROWS = 4_000_000
 
 _RUN = "__run"
 _RANK = "__rank"
-_SIZE = "__size"
+_CUTS = "__cuts"
+_CUT = "__cut"
 
 Output = Callable[[WindowSpec], Column]
 
 
 def _runs_of_long_series(
-    df: DataFrame, series: list[str], unit: Column, target_rows: int
+    df: DataFrame,
+    series: list[str],
+    unit: Column,
+    target_rows: int,
+    order: list[str | Column] = [],
+    margin: int = 0,
 ) -> DataFrame | None:
-    """(series, unit) -> run number and first row position, for the long series only.
+    """(series, unit) -> run, first row position, cuts within ``margin``; long series only.
 
     Counting passes read just the key columns and combine on the map side. There
     are at most rows / target_rows long series, and one result row for each unit
     of such a series.
     """
-    keyed = df.select(*series, unit.alias("__unit"))
+    place = F.struct(*order) if order else F.lit(None).cast("int")
+    keyed = df.select(*series, unit.alias("__unit"), place.alias("__place"))
     long_series = stage_table(
         keyed.groupBy(*series)
         .agg(F.count(F.lit(1)).alias("__total"))
@@ -49,7 +56,11 @@ def _runs_of_long_series(
     )
     if long_series.isEmpty():
         return None
-    per_unit = keyed.groupBy(*series, "__unit").agg(F.count(F.lit(1)).alias("__n"))
+    per_unit = keyed.groupBy(*series, "__unit").agg(
+        F.count(F.lit(1)).alias("__n"),
+        F.min("__place").alias("__low"),
+        F.max("__place").alias("__high"),
+    )
     if series:
         match = [F.col(f"u.{c}").eqNullSafe(F.col(f"l.{c}")) for c in series]
         per_unit = per_unit.alias("u").join(long_series.alias("l"), match, "left_semi")
@@ -57,13 +68,32 @@ def _runs_of_long_series(
         Window.unboundedPreceding, -1
     )
     in_run = Window.partitionBy(*series, _RUN)
-    runs = (
+    units = stage_table(
         per_unit.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        .withColumn("__overlaps", F.col("__low") < F.max("__high").over(before))
         .withColumn(_RUN, F.floor(F.col("__before") / target_rows))
         .withColumn("__start", F.min("__before").over(in_run))
-        .select(*series, "__unit", _RUN, "__start")
+        .select(*series, "__unit", _RUN, "__start", "__overlaps"),
+        "series-units",
+    )
+    if not units.where("__overlaps").isEmpty():
+        raise ValueError("unit decreases along the order: its steps overlap")
+    # Every run start but the first is a cut; a run knows those near both its ends.
+    starts = units.select(*series, _RUN, "__start").distinct()
+    near = Window.partitionBy(*series).orderBy("__start").rangeBetween(-margin, margin)
+    next_run = Window.partitionBy(*series).orderBy("__start")
+    cuts = (
+        starts.withColumn("__near", F.collect_set("__start").over(near))
+        .withColumn("__next", F.coalesce(F.lead("__near").over(next_run), F.array().cast("array<bigint>")))
+        .withColumn(_CUTS, F.array_remove(F.array_union("__near", "__next"), F.lit(0).cast("bigint")))
+        .select(*series, F.col(_RUN).alias("__r"), _CUTS)
+    )
+    match = [F.col(f"u.{c}").eqNullSafe(F.col(f"c.{c}")) for c in series]
+    joined = units.alias("u").join(cuts.alias("c"), [*match, F.col(f"u.{_RUN}") == F.col("c.__r")])
+    return stage_table(
+        joined.select(*[f"u.{c}" for c in [*series, "__unit", _RUN, "__start"]], f"c.{_CUTS}"),
+        "series-runs",
     )
-    return stage_table(runs, "series-runs")
 
 
 def _attach_runs(df: DataFrame, runs: DataFrame, series: list[str], unit: Column) -> DataFrame:
@@ -73,7 +103,7 @@ def _attach_runs(df: DataFrame, runs: DataFrame, series: list[str], unit: Column
     return (
         tagged.alias("d")
         .join(runs.alias("r"), match, "left")
-        .select("d.*", f"r.{_RUN}", "r.__start")
+        .select("d.*", f"r.{_RUN}", "r.__start", f"r.{_CUTS}")
         .drop("__unit")
     )
 
@@ -100,36 +130,42 @@ def over_series(
     whole = Window.partitionBy(*series).orderBy(*order)
     plain = {name: make(whole) for name, make in outputs.items()}
     runs = None
+    margin = before + after
     if unit is not None:
-        runs = _runs_of_long_series(df, series, unit, target_rows)
+        runs = _runs_of_long_series(df, series, unit, target_rows, order, margin)
     if runs is None:
         return df.withColumns(plain)
 
-    # Inside a run every row but the first `before` and the last `after` sees all
-    # the rows it needs. Rows next to a cut are recomputed over the cut margins of
-    # the whole series: a margin of before + after rows on each side of every cut
-    # holds all their neighbours, also across runs shorter than the margin.
-    tagged = _attach_runs(df, runs, series, unit).drop("__start")
-    run_keys = [*series, _RUN]
-    in_run = Window.partitionBy(*run_keys).orderBy(*order)
-    sized = tagged.withColumns(
+    # Inside a run every row sees all the rows it needs, unless a cut lies less than
+    # `after` rows ahead or `before` rows back. Those rows are worked out again over
+    # the `before + after` rows on each side of their cut, one partition per cut.
+    tagged = _attach_runs(df, runs, series, unit)
+    in_run = Window.partitionBy(*series, _RUN).orderBy(*order)
+    placed = tagged.withColumns(
         {
-            _RANK: F.row_number().over(in_run),
-            # Zero for rows of unsplit series, whose run number is NULL.
-            _SIZE: F.count(_RUN).over(
-                in_run.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-            ),
+            # NULL for rows of unsplit series, whose start is NULL.
+            _RANK: F.col("__start") + F.row_number().over(in_run) - 1,
             **{name: make(in_run) for name, make in outputs.items()},
         }
     )
-    rank, from_end = F.col(_RANK), F.col(_SIZE) - F.col(_RANK)
+    position = F.col(_RANK)
+
+    def crossed(cut: Column) -> Column:
+        return (position >= cut - after) & (position < cut + before)
+
     # Tested after the window, so that both branches below read the same shuffle.
-    split = F.col(_SIZE) > 0
-    at_cut = split & ((rank <= before) | (from_end < after))
-    margin = split & ((rank <= before + after) | (from_end < before + after))
-    kept = sized.where(~at_cut)
+    at_cut = F.coalesce(F.exists(_CUTS, crossed), F.lit(False))
+    kept = placed.where(~at_cut)
+    seen = F.filter(
+        _CUTS, lambda cut: (position >= cut - margin) & (position < cut + margin)
+    )
+    in_cut = Window.partitionBy(*series, _CUT).orderBy(*order)
     redone = (
-        sized.where(margin).withColumn("__at_cut", at_cut).withColumns(plain).where("__at_cut")
+        placed.drop(*outputs)
+        .withColumn("__first_cut", F.array_min(F.filter(_CUTS, crossed)))
+        .withColumn(_CUT, F.explode(seen))
+        .withColumns({name: make(in_cut) for name, make in outputs.items()})
+        .where(F.col(_CUT) == F.col("__first_cut"))
     )
     columns = [*df.columns, *outputs]
     return kept.select(*columns).unionByName(redone.select(*columns))
@@ -234,7 +270,7 @@ def series_position(
     """Zero-based row number within the series; long series add the start of their run."""
     runs = None
     if unit is not None:
-        runs = _runs_of_long_series(df, series, unit, target_rows)
+        runs = _runs_of_long_series(df, series, unit, target_rows, order)
     if runs is None:
         whole = Window.partitionBy(*series).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(whole) - 1).cast("bigint"))
@@ -243,4 +279,4 @@ def series_position(
     start = F.coalesce(F.col("__start"), F.lit(0))
     return tagged.withColumn(
         name, (start + F.row_number().over(in_run) - 1).cast("bigint")
-    ).drop(_RUN, "__start")
+    ).drop(_RUN, _CUTS, "__start")

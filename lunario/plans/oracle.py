@@ -460,7 +460,9 @@ def oracle_sql() -> dict[str, str]:
         "parse_date_lenient": f"""
             SELECT l_orderkey, l_linenumber, coalesce(strftime(try_strptime(written,
                 ['%Y-%m-%d', '%Y-%m-%d %H:%M:%S UTC', '%Y/%m/%d', '%Y%m%d', '%m/%d/%Y',
-                 '%m-%d-%Y', '%d-%m-%Y']), '%Y-%m-%d'), 'none') AS day
+                 '%m-%d-%Y', '%d-%m-%Y', '%Y/%m/%d %H:%M:%S', '%m/%d/%Y %H:%M', '%d.%m.%Y',
+                 '%d %b %Y', '%d %b %Y']), '%Y-%m-%d'),
+                 strftime(try_strptime('1 ' || written, '%d %b %Y'), '%Y-%m-%d'), 'none') AS day
             FROM (SELECT l_orderkey, l_linenumber, CASE l_orderkey % 8
                     WHEN 0 THEN strftime({ship}, '%Y-%m-%d')
                     WHEN 1 THEN strftime({ship}, '%Y-%m-%d') || ' 00:00:00 UTC'
@@ -469,7 +471,13 @@ def oracle_sql() -> dict[str, str]:
                     WHEN 4 THEN strftime({ship}, '%m/%d/%Y')
                     WHEN 5 THEN strftime({ship}, '%d-%m-%Y')
                     WHEN 6 THEN strftime({ship}, '%Y') || '-13-01'
-                    ELSE 'garbage' END AS written FROM lineitem)""",
+                    ELSE CASE l_linenumber
+                    WHEN 1 THEN strftime({ship}, '%Y/%m/%d %H:%M:%S')
+                    WHEN 2 THEN strftime({ship}, '%m/%d/%Y %H:%M')
+                    WHEN 3 THEN strftime({ship}, '%d.%m.%Y')
+                    WHEN 4 THEN strftime({ship}, '%-d %b %Y')
+                    WHEN 5 THEN strftime({ship}, '%b %Y')
+                    ELSE 'garbage' END END AS written FROM lineitem)""",
         "period_label": """SELECT o_orderkey, year(o_orderdate) || '-' || month(o_orderdate)
                                   AS Periodo FROM orders""",
         "fix_gdp_string": f"SELECT *, {_gdp('written')} AS number FROM ({WRITTEN})",

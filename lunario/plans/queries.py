@@ -51,21 +51,17 @@ SMALL_GRID = {"selector__k": [1, 2, 3], "poly__degree": [1, 2], "model__alpha":
 LINEAR_GRID = {"selector__k": [1, 2], "poly__degree": [1], "model__alpha": [1, 0.2, 0.01]}
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
-# Orders and events have few, long series: the row order is cut by day or hour and,
-# should one of these hold very many rows, by blocks of the key that orders it.
+# Orders and events have few, long series: the row order is cut by day or minute.
 ORDER_SERIES, ORDER_KEY = ["o_orderpriority"], ["o_orderdate", "o_orderkey"]
 EVENT_SERIES, EVENT_KEY = ["event_type"], ["ts", "event_id"]
-KEY_BLOCK = 2**28
-RUN_ROWS = 1_000
 
 
 def _order_unit() -> Column:
-    return F.struct("o_orderdate", F.floor(F.col("o_orderkey") / KEY_BLOCK).alias("block"))
+    return F.col("o_orderdate")
 
 
 def _event_unit() -> Column:
-    hour = F.date_trunc("hour", "ts").alias("hour")
-    return F.struct(hour, F.floor(F.col("event_id") / KEY_BLOCK).alias("block"))
+    return F.date_trunc("minute", "ts")
 
 
 def _rounded(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
@@ -91,9 +87,16 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return merge.monthly_features(_merged(spark, sf), SERIES, layout=LAYOUT)
 
 
-def _training(spark: SparkSession, sf: str) -> DataFrame:
+def _staged_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """The merged table, built once for queries that need both a model and requests."""
+    return stage_table(_merged(spark, sf), "merged")
+
+
+def _training(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> DataFrame:
     """Split training table, staged because every model step reads it."""
-    complete = stage_table(merge.training_table(_features(spark, sf)), "training")
+    merged = _merged(spark, sf) if merged is None else merged
+    features = merge.monthly_features(merged, SERIES, layout=LAYOUT)
+    complete = stage_table(merge.training_table(features), "training")
     return splits.train_test_split(complete, [*SERIES, schema.PERIOD])
 
 
@@ -304,7 +307,6 @@ def lag_label(spark: SparkSession, sf: str) -> DataFrame:
         ORDER_KEY,
         "o_totalprice",
         unit=_order_unit(),
-        target_rows=RUN_ROWS,
     )
     complete = rows.drop_incomplete(labelled, [schema.TARGET])
     return complete.select(*ORDER_SERIES, "o_orderkey", "o_totalprice", schema.TARGET)
@@ -320,7 +322,6 @@ def lag_rows(spark: SparkSession, sf: str) -> DataFrame:
         ORDER_KEY,
         ["o_totalprice", "previous_customer"],
         unit=_order_unit(),
-        target_rows=RUN_ROWS,
     )
     complete = rows.drop_incomplete(lagged, ["o_totalprice"])
     return complete.select(*ORDER_SERIES, "o_orderkey", "o_totalprice", "previous_customer")
@@ -335,7 +336,6 @@ def _rolled_orders(spark: SparkSession, sf: str, method: str) -> DataFrame:
         ["o_totalprice"],
         [method],
         unit=_order_unit(),
-        target_rows=RUN_ROWS,
     )
     name = schema.rolling_name("o_totalprice", method)
     return rolled.select(
@@ -361,7 +361,6 @@ def rolling_window_n(spark: SparkSession, sf: str) -> DataFrame:
         ["mean", "std"],
         window=6,
         unit=_event_unit(),
-        target_rows=RUN_ROWS,
     )
     mean, std = (schema.rolling_name("value", m, 6) for m in ("mean", "std"))
     return rolled.select(
@@ -375,7 +374,7 @@ def rolling_window_n(spark: SparkSession, sf: str) -> DataFrame:
 def series_position(spark: SparkSession, sf: str) -> DataFrame:
     orders = table(spark, sf, "orders").select(*ORDER_SERIES, *ORDER_KEY)
     placed = windows.series_position(
-        orders, ORDER_SERIES, ORDER_KEY, unit=_order_unit(), target_rows=RUN_ROWS
+        orders, ORDER_SERIES, ORDER_KEY, unit=_order_unit()
     )
     return placed.select(*ORDER_SERIES, "o_orderkey", "position")
 
@@ -439,6 +438,11 @@ def parse_date_lenient(spark: SparkSession, sf: str) -> DataFrame:
         .when(kind == 4, F.date_format(day, "MM/dd/yyyy"))
         .when(kind == 5, F.date_format(day, "dd-MM-yyyy"))
         .when(kind == 6, F.concat(F.date_format(day, "yyyy"), F.lit("-13-01")))
+        .when(F.col("l_linenumber") == 1, F.date_format(day, "yyyy/MM/dd HH:mm:ss"))
+        .when(F.col("l_linenumber") == 2, F.date_format(day, "MM/dd/yyyy HH:mm"))
+        .when(F.col("l_linenumber") == 3, F.date_format(day, "dd.MM.yyyy"))
+        .when(F.col("l_linenumber") == 4, F.date_format(day, "d MMM yyyy"))
+        .when(F.col("l_linenumber") == 5, F.date_format(day, "MMM yyyy"))
         .otherwise("garbage")
     )
     lines = table(spark, sf, "lineitem").select(
@@ -498,12 +502,12 @@ def poly_degree2(spark: SparkSession, sf: str) -> DataFrame:
 # Requests
 
 
-def _requests(spark: SparkSession, sf: str) -> DataFrame:
+def _requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> DataFrame:
     """Every three consecutive months of a nation as one request, some of them broken.
 
     Written as JSON and read back, so a missing array is really absent.
     """
-    merged = _merged(spark, sf)
+    merged = _merged(spark, sf) if merged is None else merged
     months = schema.REQUEST_MONTHS
 
     def history(column: str, dtype: str) -> windows.Output:
@@ -552,7 +556,9 @@ def request_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def score_requests(spark: SparkSession, sf: str) -> DataFrame:
-    scored = requests.score_requests(_requests(spark, sf), _model(_training(spark, sf)), LAYOUT)
+    merged = _staged_merge(spark, sf)
+    model = _model(_training(spark, sf, merged))
+    scored = requests.score_requests(_requests(spark, sf, merged), model, LAYOUT)
     return scored.select("request_id", F.round("pred", 1).alias("pred"))
 
 
@@ -562,7 +568,9 @@ def _log_view(log: DataFrame) -> DataFrame:
 
 
 def _logged(spark: SparkSession, sf: str) -> DataFrame:
-    scored = requests.score_requests(_requests(spark, sf), _model(_training(spark, sf)), LAYOUT)
+    merged = _staged_merge(spark, sf)
+    model = _model(_training(spark, sf, merged))
+    scored = requests.score_requests(_requests(spark, sf, merged), model, LAYOUT)
     path = fresh_path(spark, "request-log")
     request_files.append_log(requests.log_rows(scored, LAYOUT), path, "0")
     return request_files.read_log(spark, path)
@@ -577,9 +585,10 @@ def request_log_head(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_score_query(spark: SparkSession, sf: str) -> DataFrame:
-    model = _model(_training(spark, sf))
+    merged = _staged_merge(spark, sf)
+    model = _model(_training(spark, sf, merged))
     inbox = fresh_path(spark, "inbox")
-    request_files.write_requests(_requests(spark, sf), inbox)
+    request_files.write_requests(_requests(spark, sf, merged), inbox)
     log = fresh_path(spark, "stream-log")
     stream = request_files.stream_requests(spark, inbox, LAYOUT)
     query = stream_score(

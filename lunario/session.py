@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -37,6 +39,7 @@ def scratch_root(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     shared = tempfile.mkdtemp(prefix="lunario-")
+    atexit.register(shutil.rmtree, shared, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", shared)
     return shared
 

@@ -13,10 +13,13 @@ def read_csv(
     """CSV with a header row; malformed rows stop the job, empty cells are NULL.
 
     Columns are found by header name, extra file columns are ignored and a
-    missing one is an error. ``source_order`` adds a sortable column that follows
-    file and line order.
+    missing one is an error. All files of a folder must have one header: another
+    column order stops the job instead of being read by position. ``source_order``
+    adds a sortable column that follows file and line order.
     """
-    reader = spark.read.option("header", True).option("mode", "FAILFAST")
+    reader = (
+        spark.read.option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
+    )
     header = reader.csv(path)
     missing = [f.name for f in schema.fields if f.name not in header.columns]
     if missing:

@@ -9,7 +9,9 @@ SMALL = "/root/testdata/sf0.001"
 
 def test_every_sql_belongs_to_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"grid_search"}
+    without = set(entry.queries()) - set(entry.oracle_sql())
+    text = {n for n in without if n == "pipeline" or (n.startswith("op") and "_" in n)}
+    assert without - text == {"grid_search"}
 
 
 @pytest.mark.skipif(not os.path.isdir(SMALL), reason="driver tables are absent")
