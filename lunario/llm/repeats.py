@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -218,15 +219,40 @@ def _groups(rows: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Members of the maximal repeats of a task's buckets, which come one after another."""
+def _spans(groups: list[tuple[int, list[tuple[int, int]]]]) -> Iterator[tuple[int, int, int]]:
+    """(text, offset, length) of the stretches of each text that the groups cover together."""
+    ends: dict[int, dict[int, int]] = {}
+    for length, members in groups:
+        for i, at in members:
+            of = ends.setdefault(i, {})
+            of[at] = max(of.get(at, 0), at + length)
+    for i, of in ends.items():
+        begin = stop = -1
+        for at in sorted(of):
+            if at > stop:
+                if stop >= 0:
+                    yield i, begin, stop - begin
+                begin, stop = at, of[at]
+            stop = max(stop, of[at])
+        yield i, begin, stop - begin
+
+
+def _sorted_buckets(batches: Iterator[pa.RecordBatch], covered: bool) -> Iterator[pa.RecordBatch]:
+    """Members of the maximal repeats of a task's buckets, which come one after another.
+
+    With ``covered`` just the stretches that the repeats of a class cover. Groups
+    nest, so their members are many more than the classes; the stretches are not.
+    """
 
     def settle(bucket: int, rows: list) -> list[tuple]:
-        texts = [r[2] for r in rows]
-        out = []
-        for n, (length, members) in enumerate(maximal_repeats(texts, [r[1] for r in rows])):
-            out += [(bucket, rows[i][0], at, length, n) for i, at in members]
-        return out
+        groups = maximal_repeats([r[2] for r in rows], [r[1] for r in rows])
+        if covered:
+            return [(bucket, rows[i][0], at, length, -1) for i, at, length in _spans(groups)]
+        return [
+            (bucket, rows[i][0], at, length, n)
+            for n, (length, members) in enumerate(groups)
+            for i, at in members
+        ]
 
     now, rows, out = None, [], []
     for batch in batches:
@@ -302,8 +328,12 @@ class Repeats:
         self.classes = staged(classes.select("bucket", "class", "copies", "one.*"), "repeat-classes")
         self.width = width
 
-    def groups(self) -> DataFrame:
-        """Members of the repeats as (bucket, class, offset, length, repeat); every class counts for its copies."""
+    def groups(self, covered: bool = False) -> DataFrame:
+        """Members of the repeats as (bucket, class, offset, length, repeat); a class counts for its copies.
+
+        With ``covered`` the stretches of each class that its repeats cover.
+        """
+        sort = partial(_sorted_buckets, covered=covered)
         whole = self.classes.where("copies > 1").select(
             "bucket", "class", F.lit(0).alias("offset"),
             (_count() + F.lit(LENGTH - 1)).cast("int").alias("length"),
@@ -328,7 +358,7 @@ class Repeats:
         sorted_groups = (
             small.repartition(self.width, "bucket")
             .sortWithinPartitions("bucket")
-            .mapInArrow(_sorted_buckets, GROUPS)
+            .mapInArrow(sort, GROUPS)
         )
         large = staged(self._fetched(wanted.where(F.col("w.classes") > CLASSES)), "repeat-large")
         windows = large.mapInArrow(
@@ -349,16 +379,16 @@ class Repeats:
             _cut, "bucket bigint, class bigint, count int, copies bigint, bytes binary"
         ).dropDuplicates(["bucket", "class"])
 
-    def occurrences(self) -> DataFrame:
+    def occurrences(self, covered: bool = False) -> DataFrame:
         """Every occurrence of every repeat: key, tag, start, length, bucket, repeat."""
-        return self.segments.join(self.groups(), ["bucket", "class"]).select(
+        return self.segments.join(self.groups(covered), ["bucket", "class"]).select(
             "key", _tag().alias("tag"), (_start() + F.col("offset")).alias("start"), "length", "bucket", "repeat"
         )
 
     def cleaned(self, keep_text: bool = False) -> DataFrame:
         """Per document what is removed and the digest of what is left; with ``kept`` bytes if asked for."""
         spans = (
-            self.occurrences()
+            self.occurrences(covered=True)
             .groupBy("key", "tag")
             .agg(F.collect_set(F.shiftleft("start", 20) + F.col("length")).alias("spans"))
         )

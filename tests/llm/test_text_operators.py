@@ -249,6 +249,9 @@ def test_repeats(docs, none, monkeypatch, most):
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in got) == want
     assert all((r["n_spans"] > 0) == (r["n_removed"] > 0) for r in got)
     assert repeats.remove_repeats(none).isEmpty()
+    # The groups with all their occurrences cover the same bytes.
+    found = repeats.Repeats(docs).occurrences().where("key = 6").select("start", "length").collect()
+    assert len({p for r in found for p in range(r["start"], r["start"] + r["length"])}) == len(PASSAGE.encode())
 
 
 def test_maximal_repeats():
