@@ -21,29 +21,34 @@ ignored.
 
 from __future__ import annotations
 
+import heapq
 import math
 import pickle
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lunario.llm import recurrent
-from lunario.llm.common import shuffle_width, staged, whole_text, words_of
+from lunario.llm.common import shuffle_width, staged, whole_text
 
 FOLDS, HELD_OUT = 7, 2
 #: Ids of the model: the end and the frequent words.
 KNOWN = 1024
-#: Counters of the search for frequent words; summaries are merged in groups first.
-COUNTERS = 16_384
+#: Words that a task's search for frequent ones counts at least; it sends the ``SENT * KNOWN`` first.
+COUNTERS = 1 << 17
+SENT = 4
+SUMMARY = "word string, n bigint, texts bigint"
+#: Tasks' parameters are averaged in groups first.
 MERGE_GROUPS = 64
-ROUNDS = 3
+ROUNDS = 2
 #: Tokens that a task lays out in lanes at once.
-CHUNK = 1 << 19
+CHUNK = 1 << 21
 #: Hashes that a range may hold, and ranges at least.
 RANGE_HASHES = 1 << 21
 #: Values per row when parameters are averaged.
@@ -60,50 +65,78 @@ def _marked(docs: DataFrame) -> DataFrame:
     )
 
 
-def _lower(text: Column) -> Column:
-    upper = "".join(map(chr, range(ord("A"), ord("Z") + 1)))
-    return F.translate(text, upper, upper.lower())
+def _words(text: bytes) -> list[bytes]:
+    """Words of a UTF-8 text with A-Z lower-cased; both rules of ``bytes`` know ASCII alone."""
+    return text.lower().split()
 
 
-def frequent_words(learning: DataFrame, known: int = KNOWN) -> tuple[list[str], list[int]]:
-    """The ``known - 1`` most frequent words or fewer, and their estimated counts; bounded by ``known``."""
-    words = learning.select(F.explode(words_of(_lower(F.col("text")))).alias("word"))
-    parts = words.groupBy(F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("g")).agg(
-        F.expr(f"approx_top_k_accumulate(word, {COUNTERS})").alias("s")
-    )
+def _without_rarest(table: Counter) -> Counter:
+    """One Misra-Gries step for many words at once: the count of rank ``COUNTERS`` + 1 is taken off all."""
+    counts = np.fromiter(table.values(), np.int64, len(table))
+    off = int(np.partition(counts, len(counts) - COUNTERS - 1)[len(counts) - COUNTERS - 1])
+    return Counter({word: n - off for word, n in table.items() if n > off})
+
+
+def _summaries(learning: DataFrame, known: int) -> DataFrame:
+    """(word, n, texts): frequent words of each task, and its tokens and texts in a row without word."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, texts, tokens = Counter(), 0, 0
+        for batch in batches:
+            for text in batch["text"].cast(pa.binary()):
+                words = _words(text.as_py())
+                table.update(words)
+                texts, tokens = texts + 1, tokens + len(words)
+                if len(table) > 2 * COUNTERS:
+                    table = _without_rarest(table)
+        top = heapq.nsmallest(SENT * known, table.items(), key=lambda item: (-item[1], item[0]))
+        out = [(word.decode("utf-8"), n, 0) for word, n in top] + [(None, tokens, texts)]
+        yield _batch(out, SUMMARY)
+
+    return learning.select("text").mapInArrow(count, SUMMARY)
+
+
+def frequent_words(learning: DataFrame, known: int = KNOWN) -> tuple[list[str], list[int], int, int]:
+    """The ``known - 1`` most frequent words or fewer, their estimated counts, all words and all texts."""
+    parts = staged(_summaries(learning, known), "lm-words")
+    total = parts.where("word IS NULL").agg(F.sum("n").alias("n"), F.sum("texts").alias("texts")).first()
     top = (
-        # Merged as a group, not as a whole table: empty partitions then have no summary.
-        parts.groupBy(F.lit("all").alias("all"))
-        .agg(F.expr(f"approx_top_k_combine(s, {COUNTERS})").alias("s"))
-        .select(F.explode(F.expr(f"approx_top_k_estimate(s, {known - 1})")).alias("t"))
-        .select("t.item", "t.count")
-        .where("item IS NOT NULL")
+        parts.where("word IS NOT NULL")
+        .groupBy("word")
+        .agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "word")
+        .limit(known - 1)
         .collect()
     )
-    top = sorted(top, key=lambda r: (-r["count"], r["item"]))
-    return [r["item"] for r in top], [r["count"] for r in top]
+    return [r["word"] for r in top], [r["n"] for r in top], total["n"] or 0, total["texts"] or 0
 
 
-def _ids(text: str, index: dict[bytes, int], known: int) -> tuple[np.ndarray, list[bytes]]:
-    """Model ids of a text, its end included, and its rarer words."""
-    words = text.encode("utf-8").lower().split()
+def _ids(text: bytes, index: dict[bytes, int], known: int) -> tuple[np.ndarray, list[bytes]]:
+    """Model ids of a text, its end included, and its words."""
+    words = _words(text)
     ids = [index.get(w, known) for w in words]
-    rare = [w for w, i in zip(words, ids, strict=True) if i == known]
     ids.append(0)
-    return np.array(ids, dtype=np.int32), rare
+    return np.array(ids, dtype=np.int32), words
 
 
 def _index(words: list[str]) -> dict[bytes, int]:
     return {w.encode("utf-8"): i for i, w in enumerate(words, start=1)}
 
 
-def _chunks(batches: Iterator[pa.RecordBatch], index: dict, known: int) -> Iterator[list]:
-    """Rows with their ids, in lists of about ``CHUNK`` tokens; a text is never cut."""
+def _chunks(batches: Iterator[pa.RecordBatch], index: dict, known: int, rare: bool) -> Iterator[list]:
+    """Rows with their ids and, if asked, the hashes of their rarer words, in lists of about ``CHUNK`` tokens.
+
+    A text is never cut.
+    """
     rows, tokens = [], 0
     for batch in batches:
-        for i in range(batch.num_rows):
-            ids, rare = _ids(batch["text"][i].as_py(), index, known)
-            rows.append((batch, i, ids, rare))
+        for i, text in enumerate(batch["text"].cast(pa.binary())):
+            ids, words = _ids(text.as_py(), index, known)
+            hashes = None
+            if rare:
+                found = [xxhash.xxh64_intdigest(words[k]) for k in np.flatnonzero(ids == known).tolist()]
+                hashes = np.array(found, dtype=np.uint64)
+            rows.append((batch, i, ids, hashes))
             tokens += len(ids)
             if tokens >= CHUNK:
                 yield rows
@@ -120,12 +153,12 @@ def _train(learning: DataFrame, words: list[str], known: int, start: np.ndarray)
         model.load(start)
         trainer, tokens = recurrent.Trainer(model), 0
         counts = np.zeros(known + 1, dtype=np.float64)
-        for rows in _chunks(batches, index, known):
+        for rows in _chunks(batches, index, known, rare=False):
             texts = [ids for _, _, ids, _ in rows]
             trainer.fit(texts)
-            for ids in texts:
-                counts += np.bincount(ids, minlength=known + 1)
-                tokens += len(ids)
+            ids = np.concatenate(texts)
+            counts += np.bincount(ids, minlength=known + 1)
+            tokens += len(ids)
         if not tokens:
             return
         values = model.flat().astype(np.float64)
@@ -166,14 +199,13 @@ def _combined(pieces: DataFrame) -> DataFrame:
 def train(docs: DataFrame, known: int = KNOWN) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Frequent words, parameters, and counts by model id over all learning documents."""
     learning = _marked(docs).where(~F.col("held_out"))
-    words, estimates = frequent_words(learning, known)
+    words, estimates, n_words, n_texts = frequent_words(learning, known)
     model = recurrent.Recurrent(known)
     if words:
-        texts = learning.agg(F.count(F.lit(1)), F.sum(F.size(words_of(F.col("text"))))).first()
         around = np.zeros(known)
-        around[0] = texts[0]
+        around[0] = n_texts
         around[1 : len(words) + 1] = estimates
-        model.set_biases(around, max(1.0, texts[1] - sum(estimates)))
+        model.set_biases(around, max(1.0, n_words - sum(estimates)))
     values, counts = model.flat(), np.zeros(known + 1)
     for number in range(ROUNDS):
         part = learning.where(F.col("round") == number)
@@ -209,7 +241,7 @@ def _scored(docs: DataFrame, words: list[str], values: np.ndarray, counts: np.nd
         seen = counts > 0
         seen[known] = False
         task = TaskContext.get().partitionId()
-        for number, rows in enumerate(_chunks(batches, index, known)):
+        for number, rows in enumerate(_chunks(batches, index, known, rare=True)):
             scores = recurrent.score(model, [ids for _, _, ids, _ in rows]) / math.log(10)
             chunk = (task << 32) | number
             documents = [
@@ -219,9 +251,7 @@ def _scored(docs: DataFrame, words: list[str], values: np.ndarray, counts: np.nd
             ]
             out = [(-1, chunk, None, None, pickle.dumps(documents))]
             places = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[3]) for r in rows])
-            hashes = np.array(
-                [xxhash.xxh64_intdigest(w) for r in rows for w in r[3]], dtype=np.uint64
-            )
+            hashes = np.concatenate([r[3] for r in rows])
             # The held-out mark travels as the sign of the place.
             held = np.array([d[1] for d in documents], dtype=bool)[places]
             places = np.where(held, -1 - places, places)
@@ -238,7 +268,7 @@ def _scored(docs: DataFrame, words: list[str], values: np.ndarray, counts: np.nd
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
+    kinds = {"string": pa.string(), "int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_(), "double": pa.float64()}
     names, types = zip(*(c.split() for c in schema.split(", ")), strict=True)
     columns = [pa.array([r[k] for r in rows], kinds[t]) for k, t in enumerate(types)]
     return pa.RecordBatch.from_arrays(columns, list(names))
