@@ -64,7 +64,7 @@ class Recurrent:
         """
         x, state, H = self.p["inputs"][previous], self.p["state"], HIDDEN
         kept = {"x": previous, "first": first, "h": [], "z": [], "r": [], "n": [], "u": []}
-        out = np.empty((*previous.shape, H), np.float32)
+        out = np.empty((*previous.shape, H), state.dtype)
         fresh = first.any(axis=1).tolist()
         for t in range(len(previous)):
             if fresh[t]:
