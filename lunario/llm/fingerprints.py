@@ -31,12 +31,12 @@ def _shingle_hashes(words: Column) -> Column:
 
 def sketch_of(words: Column, k: int = K) -> Column:
     """Bottom-k sketch of an array of words."""
-    return F.slice(F.array_sort(F.array_distinct(_shingle_hashes(words))), 1, k)
+    return F.slice(F.sort_array(F.array_distinct(_shingle_hashes(words))), 1, k)
 
 
 def merged(a: Column, b: Column, k: int = K) -> Column:
     """Sketch of the union of the shingle sets of two sketches."""
-    return F.slice(F.array_sort(F.array_union(a, b)), 1, k)
+    return F.slice(F.sort_array(F.array_union(a, b)), 1, k)
 
 
 def merged_parts(parts: DataFrame, key: str, sketch: str = "sketch", k: int = K) -> DataFrame:
@@ -51,7 +51,7 @@ def merged_parts(parts: DataFrame, key: str, sketch: str = "sketch", k: int = K)
     smallest = hashes.withColumn(
         "n", F.row_number().over(Window.partitionBy(key).orderBy("h"))
     ).where(F.col("n") <= k)
-    found = smallest.groupBy(key).agg(F.array_sort(F.collect_list("h")).alias(sketch))
+    found = smallest.groupBy(key).agg(F.sort_array(F.collect_list("h")).alias(sketch))
     empty = F.array().cast("array<bigint>")
     return (
         parts.select(key).distinct().join(found, key, "left")
