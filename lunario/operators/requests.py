@@ -77,11 +77,17 @@ def request_months(
     )
 
 
-def request_rows(requests: DataFrame) -> DataFrame:
-    """One row per request month, in the columns of ``months``."""
-    return requests.select(
+def request_rows(requests: DataFrame, layout: Layout = FULL) -> DataFrame:
+    """One row per request month, in the columns of ``months``; numbers sent for texts in plain notation."""
+
+    def written(cell: str) -> Column:
+        plain = F.col(f"{cell}.number").try_cast("decimal(38,10)").cast("string")
+        return F.coalesce(plain, F.col(f"{cell}.text")).alias(cell)
+
+    rows = requests.select(
         *[c for c in requests.columns if c != "months"], F.inline("months")
     )
+    return rows.select(*[written(c) if c in layout.texts else c for c in rows.columns])
 
 
 def request_features(
@@ -89,7 +95,8 @@ def request_features(
 ) -> DataFrame:
     """Features of the last complete month of each request.
 
-    Same numbers as the monthly table gives: broken text counts as missing, the
+    Same numbers as the monthly table gives: only cells sent as text are
+    repaired, numbers count as they are; broken text counts as missing, the
     first month has no deviation, incomplete months are skipped. A request
     without a complete month gives no row.
     """
@@ -97,9 +104,12 @@ def request_features(
     def cell(column: str, i: int) -> Column:
         raw = F.col("months")[i][column]
         if column in layout.gdp:
-            return gdp_number(raw, strict=False).cast("double")
-        if column in layout.index:
-            return index_number(raw, strict=False)
+            repaired = gdp_number(raw["text"], strict=False).cast("double")
+        elif column in layout.index:
+            repaired = index_number(raw["text"], strict=False)
+        if column in layout.texts:
+            sent = raw["number"]
+            return F.when(sent.isNotNull(), sent).otherwise(repaired)
         return F.nanvl(raw.cast("double"), F.lit(None).cast("double"))
 
     def seen(column: str, i: int) -> list[str]:
@@ -163,7 +173,7 @@ def rejected_requests(requests: DataFrame, layout: Layout = FULL) -> DataFrame:
 
 def log_rows(scored: DataFrame, layout: Layout = FULL) -> DataFrame:
     """One log row per request month; all months of a request share its prediction."""
-    rows = request_rows(scored)
+    rows = request_rows(scored, layout)
     return rows.select(
         "request_id",
         "pos",

@@ -77,6 +77,15 @@ def _bank_texts() -> str:
     return ", ".join(texts)
 
 
+def _sent(column: str) -> str:
+    """A bank cell as the request log writes it: plain notation where it came as a number."""
+    if column not in (LAYOUT.gdp[0], LAYOUT.index[0]):
+        return f"m.{column}"
+    number = (_gdp if column in LAYOUT.gdp else _index)(f"m.{column}")
+    plain = f"CAST(CAST({number} AS DECIMAL(38, 10)) AS VARCHAR)"
+    return f"CASE WHEN as_numbers THEN {plain} ELSE m.{column} END AS {column}"
+
+
 def _trailing(columns: list[str], frame: str, cast: str = "{}") -> str:
     window = f"OVER (PARTITION BY series ORDER BY anio, mes ROWS BETWEEN {frame})"
     return ", ".join(
@@ -231,7 +240,7 @@ CTES = {
         SELECT *, row_number() OVER (PARTITION BY series ORDER BY anio, mes) AS nth,
                anio * 12 + mes + series AS key FROM merged""",
     "asked": f"""
-        SELECT concat_ws('|', series, anio || '-' || mes) AS request_id, series, nth,
+        SELECT concat_ws('|', series, anio || '-' || mes) AS request_id, series, nth, key % 7 = 0 AS as_numbers,
                CASE WHEN key % 11 = 0 THEN 'missing {LAYOUT.rain[0]}'
                     WHEN key % 13 = 0 THEN 'length of {LAYOUT.gdp[0]} is 2'
                     WHEN key % 17 = 0 THEN 'length of {LAYOUT.gdp[0]} is 4'
@@ -239,7 +248,8 @@ CTES = {
         FROM numbered WHERE nth >= 3""",
     "asked_rows": f"""
         SELECT request_id, CAST(m.nth - a.nth + 2 AS INTEGER) AS pos,
-               {', '.join(f'm.{c}' for c in LAYOUT.merged)}
+               {', '.join(f'm.{c}' for c in [*schema.TIME_COLS, PRICE, *LAYOUT.rain])},
+               {', '.join(_sent(c) for c in LAYOUT.texts)}
         FROM asked a JOIN numbered m ON m.series = a.series AND m.nth BETWEEN a.nth - 2 AND a.nth
         WHERE reason = 'ok'""",
     "answered": """

@@ -502,10 +502,11 @@ def poly_degree2(spark: SparkSession, sf: str) -> DataFrame:
 # Requests
 
 
-def _requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> DataFrame:
-    """Every three consecutive months of a nation as one request, some of them broken.
+def _sent_requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> str:
+    """Folder of JSON requests: every three consecutive months of a nation, some of them broken.
 
-    Written as JSON and read back, so a missing array is really absent.
+    In every seventh request the first bank columns come as JSON numbers, so that
+    a repair of them would show.
     """
     merged = _merged(spark, sf) if merged is None else merged
     months = schema.REQUEST_MONTHS
@@ -523,10 +524,17 @@ def _requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) ->
     key = F.col("anio") * 12 + F.col("mes") + F.col("series")
     first_rain, first_gdp = LAYOUT.rain[0], LAYOUT.gdp[0]
     arrays = {c: F.col(f"h_{c}") for c in LAYOUT.merged}
+    for c, repair in ((first_gdp, gdp_number), (LAYOUT.index[0], index_number)):
+
+        def sent_cell(text: Column) -> Column:
+            number = repair(text).cast("double").cast("variant")
+            return F.when(key % 7 == 0, number).otherwise(text.cast("variant"))
+
+        arrays[c] = F.transform(arrays[c], sent_cell)
     arrays[first_rain] = F.when(key % 11 != 0, arrays[first_rain])
     arrays[first_gdp] = (
         F.when(key % 13 == 0, F.slice(arrays[first_gdp], 1, 2))
-        .when(key % 17 == 0, F.concat(arrays[first_gdp], F.array(F.lit("1"))))
+        .when(key % 17 == 0, F.concat(arrays[first_gdp], F.array(F.lit("1").cast("variant"))))
         .otherwise(arrays[first_gdp])
     )
     sent = whole.where(F.col("h_rank") >= months).select(
@@ -537,7 +545,11 @@ def _requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) ->
     )
     path = fresh_path(spark, "requests")
     request_files.write_requests(sent, path)
-    return request_files.read_requests(spark, path, LAYOUT)
+    return path
+
+
+def _requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> DataFrame:
+    return request_files.read_requests(spark, _sent_requests(spark, sf, merged), LAYOUT)
 
 
 def validate_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -552,7 +564,7 @@ def validate_requests(spark: SparkSession, sf: str) -> DataFrame:
 def request_rows(spark: SparkSession, sf: str) -> DataFrame:
     valid = requests.check_requests(_requests(spark, sf), LAYOUT).where("valid")
     months = requests.request_months(valid.select("request_id", "data"), LAYOUT)
-    return _rounded(requests.request_rows(months), ["request_id", "pos", *LAYOUT.merged])
+    return _rounded(requests.request_rows(months, LAYOUT), ["request_id", "pos", *LAYOUT.merged])
 
 
 def score_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -587,8 +599,7 @@ def request_log_head(spark: SparkSession, sf: str) -> DataFrame:
 def stream_score_query(spark: SparkSession, sf: str) -> DataFrame:
     merged = _staged_merge(spark, sf)
     model = _model(_training(spark, sf, merged))
-    inbox = fresh_path(spark, "inbox")
-    request_files.write_requests(_requests(spark, sf, merged), inbox)
+    inbox = _sent_requests(spark, sf, merged)
     log = fresh_path(spark, "stream-log")
     stream = request_files.stream_requests(spark, inbox, LAYOUT)
     query = stream_score(

@@ -132,11 +132,14 @@ class Layout:
         return T.StructType(_fields([PERIOD, *self.texts], T.StringType()))
 
     def request(self) -> T.StructType:
-        """One scoring request: an id and an array of months per column."""
+        """One scoring request as sent: an id and an array of months per column.
+
+        Text columns keep the JSON type of each cell.
+        """
         numbers = [*TIME_COLS, self.price, *self.rain]
         data = T.StructType(
             _fields(numbers, T.ArrayType(T.DoubleType()))
-            + _fields(self.texts, T.ArrayType(T.StringType()))
+            + _fields(self.texts, T.ArrayType(T.VariantType()))
         )
         return T.StructType(
             [T.StructField("request_id", T.StringType()), T.StructField("data", data)]

@@ -13,7 +13,7 @@ from lunario.streaming.score import stream_rejects, stream_score
 
 SMALL = Layout(rain=("Coquimbo",), gdp=("PIB_Pesca",), index=("Imacec_comercio",))
 
-# The published sample request, cut to the columns of SMALL.
+# The published sample request, cut to the columns of SMALL.
 SAMPLE = {
     "anio": [2014.0, 2014.0, 2014.0],
     "mes": [1.0, 2.0, 3.0],
@@ -90,6 +90,21 @@ def test_last_complete_month_is_used(spark, tmp_path):
     assert got["middle"]["Coquimbo_rolling3_mean"] == 2.0
 
 
+def test_only_text_cells_are_repaired(spark, tmp_path):
+    numbers = variant(
+        PIB_Pesca=["449.097.098", 5.5, 123456.0], Imacec_comercio=[100.25, "102.175.861", 976.1]
+    )
+    frame = request_frame(spark, tmp_path, {"a": numbers, "huge": variant(PIB_Pesca=["1", "2", 1e308])})
+    months = requests.request_months(frame, SMALL)
+    got = {r["request_id"]: r for r in requests.request_features(months, SMALL).collect()}
+    assert got["a"]["PIB_Pesca"] == 123456.0 and got["a"]["Imacec_comercio"] == 976.1
+    assert got["a"]["PIB_Pesca_rolling3_mean"] == pytest.approx((449097098 + 5.5 + 123456) / 3)
+    assert got["huge"]["PIB_Pesca"] == 1e308
+    rows = requests.request_rows(months.where("request_id = 'a'"), SMALL).orderBy("pos").collect()
+    assert [r["PIB_Pesca"] for r in rows] == ["449.097.098", "5.5000000000", "123456.0000000000"]
+    assert [r["Imacec_comercio"] for r in rows] == ["100.2500000000", "102.175.861", "976.1000000000"]
+
+
 def test_months_can_be_sorted(spark, tmp_path):
     mixed = {c: [v[2], v[0], v[1]] for c, v in SAMPLE.items()}
     frame = request_frame(spark, tmp_path, {"a": mixed})
