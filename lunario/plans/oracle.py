@@ -8,7 +8,7 @@ ranking every hash, the model from its two-feature closed form.
 from __future__ import annotations
 
 from lunario import schema
-from lunario.plans.queries import DIGITS, LINE_NUMBERS, LINEAR_GRID, MODEL
+from lunario.plans.queries import DIGITS, LINE_NUMBERS, LINEAR_GRID, MODEL, SQUARE_GRID
 from lunario.plans.standins import GDP_MODULUS, INDEX_MODULUS, LAYOUT, MONTH_NAMES
 from lunario.schema import rolling_name
 
@@ -227,6 +227,31 @@ CTES = {
                                      / (count(*) * var_pop(y)) AS r2
               FROM held_out JOIN fits USING (held) GROUP BY held, a, k)
         GROUP BY a, k""",
+    # One feature and its square, for the degrees 1 and 2.
+    "squares": """
+        SELECT held, (v - m) / s AS z, power((v - m) / s, 2) AS zz, y
+        FROM long JOIN moments USING (held, position) WHERE rank = 1""",
+    "square_sums": """
+        SELECT held, count(*) * var_pop(z) AS s11, count(*) * var_pop(zz) AS s22,
+               count(*) * covar_pop(z, zz) AS s12, count(*) * covar_pop(z, y) AS s1y,
+               count(*) * covar_pop(zz, y) AS s2y, avg(y) AS my, avg(z) AS mz, avg(zz) AS mzz
+        FROM squares GROUP BY held""",
+    "square_fits": f"""
+        SELECT held, d, a, my, mz, mzz,
+               CASE d WHEN 1 THEN s1y / (s11 + a)
+                    ELSE ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                    END AS w1,
+               CASE d WHEN 1 THEN 0
+                    ELSE ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                    END AS w2
+        FROM square_sums, (SELECT unnest([1, 2]) AS d),
+             (SELECT CAST(unnest({SQUARE_GRID['model__alpha']}) AS DOUBLE) AS a)""",
+    "square_grid": """
+        SELECT a, d, avg(r2) AS mean_r2
+        FROM (SELECT held, a, d, 1 - sum(power(y - my - w1 * (z1 - mz) - w2 * (z1 * z1 - mzz), 2))
+                                     / (count(*) * var_pop(y)) AS r2
+              FROM held_out JOIN square_fits USING (held) GROUP BY held, a, d)
+        GROUP BY a, d""",
     "all_long": " UNION ALL ".join(
         f"SELECT series, Periodo, target, is_test, {i} AS position, CAST({c} AS DOUBLE) AS v FROM split"
         for i, c in enumerate(LAYOUT.features)
@@ -290,6 +315,10 @@ NEEDS = {
     "fitted": ["fits"],
     "held_out": ["base_long", "moments"],
     "grid": ["held_out", "fits"],
+    "squares": ["moments", "long"],
+    "square_sums": ["squares"],
+    "square_fits": ["square_sums"],
+    "square_grid": ["held_out", "square_fits"],
     "all_long": ["split"],
     "predicted": ["fitted", "moments", "all_long"],
     "numbered": ["merged"],
@@ -415,6 +444,13 @@ def oracle_sql() -> dict[str, str]:
         "mi_scores": _with("scores")
         + "SELECT CAST(position AS INTEGER) AS position, feature, round(score, 7) AS score FROM scores"
         " WHERE held = -1",
+        "mi_scores_lines": f"""
+            WITH long AS MATERIALIZED ({' UNION ALL '.join(
+                f"SELECT {i} AS position, '{c}' AS feature, CAST({c} AS FLOAT) AS fv, "
+                "CAST(l_extendedprice AS FLOAT) AS fy, -1 AS held FROM lineitem"
+                for i, c in enumerate(["l_quantity", "l_discount", "l_partkey"]))}),
+            {', '.join(f'{name} AS MATERIALIZED ({CTES[name]})' for name in ("ranked", "edges", "cells", "scores"))}
+            SELECT CAST(position AS INTEGER) AS position, feature, round(score, 7) AS score FROM scores""",
         "select_k_best": _with("best")
         + "SELECT CAST(rank AS INTEGER) AS rank, feature FROM best"
         " WHERE held = -1 AND rank <= 7",
@@ -541,6 +577,12 @@ def oracle_sql() -> dict[str, str]:
                      round(mean_r2, 6) AS mean_r2,
                      CAST(row_number() OVER (ORDER BY mean_r2 DESC, a DESC, k) = 1 AS INTEGER) AS best
               FROM grid""",
+        "grid_search_square": _with("square_grid")
+        + f"""SELECT CAST(row_number() OVER (ORDER BY a DESC, d) - 1 AS INTEGER) AS grid_position,
+                     a AS model__alpha, CAST(d AS INTEGER) AS poly__degree, 1 AS selector__k,
+                     round(mean_r2, 6) AS mean_r2,
+                     CAST(row_number() OVER (ORDER BY mean_r2 DESC, a DESC, d) = 1 AS INTEGER) AS best
+              FROM square_grid""",
         "model_fit_predict": test_predictions,
         "batch_predict": _with("predicted") + "SELECT series, Periodo, preds FROM predicted",
     }

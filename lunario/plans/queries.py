@@ -49,6 +49,7 @@ DIGITS |= dict.fromkeys(LAYOUT.index, 5)
 MODEL = {"selector__k": 2, "poly__degree": 1, "model__alpha": 0.2}
 SMALL_GRID = {"selector__k": [1, 2, 3], "poly__degree": [1, 2], "model__alpha": [1, 0.2, 0.01]}
 LINEAR_GRID = {"selector__k": [1, 2], "poly__degree": [1], "model__alpha": [1, 0.2, 0.01]}
+SQUARE_GRID = {"selector__k": [1], "poly__degree": [1, 2], "model__alpha": [1, 0.2, 0.01]}
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 # Orders and events have few, long series: the row order is cut by day or minute.
@@ -283,6 +284,14 @@ def mi_scores(spark: SparkSession, sf: str) -> DataFrame:
     return scores.select("position", "feature", F.round("score", 7).alias("score"))
 
 
+def mi_scores_lines(spark: SparkSession, sf: str) -> DataFrame:
+    lineitem = table(spark, sf, "lineitem")
+    features = ["l_quantity", "l_discount", "l_partkey"]
+    return information.mutual_information(lineitem, features, "l_extendedprice").select(
+        "position", "feature", F.round("score", 7).alias("score")
+    )
+
+
 def select_k_best(spark: SparkSession, sf: str) -> DataFrame:
     training = _training(spark, sf).where(~F.col("is_test"))
     scores = information.mutual_information(training, LAYOUT.features, schema.TARGET)
@@ -658,6 +667,10 @@ def grid_search(spark: SparkSession, sf: str) -> DataFrame:
     return _searched(spark, sf, SMALL_GRID)
 
 
+def grid_search_square(spark: SparkSession, sf: str) -> DataFrame:
+    return _searched(spark, sf, SQUARE_GRID)
+
+
 def grid_search_linear(spark: SparkSession, sf: str) -> DataFrame:
     return _searched(spark, sf, LINEAR_GRID)
 
@@ -693,6 +706,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "promotion_gate": promotion_gate,
         "scaler_stats": scaler_stats,
         "mi_scores": mi_scores,
+        "mi_scores_lines": mi_scores_lines,
         "select_k_best": select_k_best,
         "ridge_1d": ridge_1d,
         "lag_label": lag_label,
@@ -724,6 +738,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ridge_fit": ridge_fit,
         "grid_search": grid_search,
         "grid_search_linear": grid_search_linear,
+        "grid_search_square": grid_search_square,
         "model_fit_predict": model_fit_predict,
         "batch_predict": batch_predict,
     }

@@ -268,6 +268,23 @@ def test_metrics(spark):
     assert not metrics.promotion_gate(constant).first()["promoted"]
 
 
+def test_edges_are_exact_at_any_partitioning(spark, monkeypatch):
+    monkeypatch.setattr(information, "STEPS", 8)
+    monkeypatch.setattr(information, "SKETCH_ACCURACY", 50)
+    rng = np.random.default_rng(4)
+    spread = rng.normal(0, 1000, 3000).astype("float32")
+    tied = np.where(rng.random(3000) < 0.35, 7.0, rng.integers(0, 40, 3000)).astype("float32")
+    gaps = [None if i % 3 == 0 else float(v) for i, v in enumerate(spread)]
+    rows = [(float(a), float(b), c) for a, b, c in zip(spread, tied, gaps)]
+    df = spark.createDataFrame(rows, "spread double, tied double, gaps double")
+    want = {}
+    for name, values in (("spread", spread), ("tied", tied), ("gaps", [g for g in gaps if g is not None])):
+        values = np.sort(np.asarray(values, dtype="float32"))
+        want[name] = [float(values[int(np.ceil(i / 10 * len(values))) - 1]) for i in range(1, 10)]
+    for parts in (1, 5):
+        assert information.bin_edges(df.repartition(parts), list(want), accuracy=50) == want
+
+
 def test_mutual_information_against_numpy(spark):
     rnd = np.random.default_rng(1)
     x = rnd.normal(size=400)
