@@ -25,6 +25,8 @@ from lunario.operators.information import BINS, best_features, mutual_informatio
 
 # The normal-equation solver of Spark ML accepts at most this many features.
 NORMAL_SOLVER_LIMIT = 4096
+#: Steps of the iterative fit of wider expansions; one that needs more is refused.
+MAX_STEPS = 1000
 
 
 class PopScaler(Estimator, HasInputCols, DefaultParamsReadable, DefaultParamsWritable):
@@ -159,7 +161,7 @@ class Ridge(Estimator, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable
         width = len(dataset.select(features).first()[0])
         normal = width <= NORMAL_SOLVER_LIMIT
         deviation = stats["pop"] if normal else stats["samp"]
-        return LinearRegression(
+        model = LinearRegression(
             featuresCol=features,
             labelCol=label,
             predictionCol=self.getOrDefault(self.predictionCol),
@@ -167,6 +169,9 @@ class Ridge(Estimator, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable
             standardization=False,
             solver="normal" if normal else "l-bfgs",
             regParam=self.getOrDefault(self.alpha) * (deviation or 0.0) / stats["n"],
-            maxIter=1000,
+            maxIter=MAX_STEPS,
             tol=1e-12,
         ).fit(dataset)
+        if not normal and model.summary.totalIterations >= MAX_STEPS:
+            raise RuntimeError(f"{width} terms: the fit did not settle in {MAX_STEPS} steps")
+        return model

@@ -2,8 +2,8 @@
 
 Rows are ordered by a hash of the seed and a unique row key. The cut hashes that
 give the exact sizes are found by counting: one pass counts rows per hash
-prefix (a fixed number of groups), a second looks only inside the prefixes that
-hold a cut. The split itself then is a row-local comparison: no shuffle of the
+prefix (a fixed number of groups), the next look only inside the prefixes that
+hold a cut, so no task orders more hashes than a prefix step has. The split itself then is a row-local comparison: no shuffle of the
 data, the same result on any partitioning and after any retry.
 """
 
@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 
 from lunario.session import stage_table
 
+HASH_CHARS = 32
 PREFIX_CHARS = 4
+#: Rows of a prefix that are told apart by their whole hash at once.
+FEW = 16**PREFIX_CHARS
 
 
 def split_hash(keys: list[str], seed: int) -> Column:
@@ -48,25 +51,32 @@ def _cut_hashes(hashes: DataFrame, cuts_of: Callable[[int], list[int]]) -> list[
             for i, p in enumerate(cuts)
         ]
     ).first()
-    within = (
-        hashes.where(prefix.isin([h["prefix"] for h in holders]))
-        .groupBy(prefix.alias("prefix"), "h")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("upto", F.sum("n").over(Window.partitionBy("prefix").orderBy("h")))
-    )
-    found = within.agg(
-        *[
-            F.min(
-                F.when(
-                    (F.col("prefix") == holder["prefix"])
-                    & (F.col("upto") >= p - (holder["upto"] - holder["n"])),
-                    F.col("h"),
-                )
-            ).alias(f"h{i}")
-            for i, (p, holder) in enumerate(zip(cuts, holders))
-        ]
-    ).first()
-    by_position = dict(zip(cuts, found))
+    # Longer prefixes of the holders only, the whole hash once few rows are left in each.
+    length, before = PREFIX_CHARS, [h["upto"] - h["n"] for h in holders]
+    while length < HASH_CHARS:
+        few = all(h["n"] <= FEW for h in holders)
+        finer = HASH_CHARS if few else min(length + PREFIX_CHARS, HASH_CHARS)
+        outer = F.substring("h", 1, length)
+        within = (
+            hashes.where(outer.isin([h["prefix"] for h in holders]))
+            .groupBy(outer.alias("outer"), F.substring("h", 1, finer).alias("prefix"))
+            .agg(F.count(F.lit(1)).alias("n"))
+            .withColumn("upto", F.sum("n").over(Window.partitionBy("outer").orderBy("prefix")))
+        )
+        holders = within.agg(
+            *[
+                F.min(
+                    F.when(
+                        (F.col("outer") == holder["prefix"]) & (F.col("upto") >= p - past),
+                        F.struct("upto", "n", "prefix"),
+                    )
+                ).alias(f"p{i}")
+                for i, (p, holder, past) in enumerate(zip(cuts, holders, before))
+            ]
+        ).first()
+        before = [past + h["upto"] - h["n"] for past, h in zip(before, holders)]
+        length = finer
+    by_position = dict(zip(cuts, [h["prefix"] for h in holders]))
     return [by_position.get(p, "") for p in positions]
 
 

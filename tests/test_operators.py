@@ -268,6 +268,20 @@ def test_metrics(spark):
     assert not metrics.promotion_gate(constant).first()["promoted"]
 
 
+def test_split_sizes_are_exact_at_every_prefix_step(spark, monkeypatch):
+    df = spark.range(700).withColumnRenamed("id", "key")
+    want = {r["key"] for r in splits.train_test_split(df, ["key"], 0.2).where("is_test").collect()}
+    ranked = df.select("key", splits.split_hash(["key"], 42).alias("h")).orderBy("h").limit(140)
+    assert want == {r["key"] for r in ranked.collect()}
+    for chars, few in ((1, 2), (3, 1)):
+        monkeypatch.setattr(splits, "PREFIX_CHARS", chars)
+        monkeypatch.setattr(splits, "FEW", few)
+        got = splits.train_test_split(df, ["key"], 0.2).where("is_test").collect()
+        assert {r["key"] for r in got} == want
+        sizes = splits.kfold(df, ["key"], 3).groupBy("fold").count().collect()
+        assert sorted((r["fold"], r["count"]) for r in sizes) == [(0, 234), (1, 233), (2, 233)]
+
+
 def test_edges_are_exact_at_any_partitioning(spark, monkeypatch):
     monkeypatch.setattr(information, "STEPS", 8)
     monkeypatch.setattr(information, "SKETCH_ACCURACY", 50)
