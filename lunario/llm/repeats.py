@@ -23,7 +23,7 @@ its bucket. So the corpus is dealt by that hash:
 
 Repeats longer than a segment come as overlapping groups. A null text counts as
 empty. Rows equal in id and text are occurrences of each other. Ids may repeat
-with other texts (told apart by 21 bits of the text's hash); other columns are
+with other texts (told apart by the text's 64-bit hash); other columns are
 ignored.
 """
 
@@ -49,7 +49,8 @@ SPAN = LENGTH - GRAM + 1
 PIECE = 2 << 20
 #: Classes of a bucket that are sorted in one task.
 CLASSES = 2048
-TAG_BITS, COUNT_BITS = 21, 10
+#: Of a place, which is start and count in one number.
+COUNT_BITS = 10
 #: Odd multipliers of the k-gram hash, drawn once.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -123,10 +124,10 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, int]], np.n
 
 
 def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, class, key, place) of every segment of a task's texts."""
+    """(bucket, class, key, hash, place) of every segment of a task's texts."""
     for batch in batches:
         keys = batch["key"].to_numpy(zero_copy_only=False)
-        tags = batch["tag"].to_numpy(zero_copy_only=False)
+        told = batch["hash"].to_numpy(zero_copy_only=False)
         for parts, data, ends in _pieces(batch):
             first, count, least = segments(data, ends)
             if not len(first):
@@ -141,23 +142,20 @@ def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             row = np.array([p[0] for p in parts])[text]
             begins = np.concatenate([[0], ends[:-1]])
             start = first - begins[text] + np.array([p[1] for p in parts])[text]
-            place = (start << (COUNT_BITS + TAG_BITS)) | (count << TAG_BITS) | tags[row]
-            columns = [least.view(np.int64), np.array(hashes, np.uint64).view(np.int64), keys[row], place]
+            place = (start << COUNT_BITS) | count
+            kinds = np.array(hashes, np.uint64).view(np.int64)
+            columns = [least.view(np.int64), kinds, keys[row], told[row], place]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in columns], ["bucket", "class", "key", "place"]
+                [pa.array(c) for c in columns], ["bucket", "class", "key", "hash", "place"]
             )
 
 
-def _tag(place: str = "place"):
-    return F.col(place).bitwiseAND(F.lit((1 << TAG_BITS) - 1))
-
-
 def _start(place: str = "place"):
-    return F.shiftright(place, COUNT_BITS + TAG_BITS)
+    return F.shiftright(place, COUNT_BITS)
 
 
 def _count(place: str = "place"):
-    return F.shiftright(place, TAG_BITS).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
+    return F.col(place).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
 
 
 def maximal_repeats(texts: list[bytes], counts: list[int], least: int = LENGTH) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -316,14 +314,14 @@ class Repeats:
         width = shuffle_width(docs.sparkSession)
         self.texts = docs.select(
             F.coalesce("doc_id", F.lit(NO_ID)).alias("key"),
-            text_hash().bitwiseAND(F.lit((1 << TAG_BITS) - 1)).alias("tag"),
+            text_hash().alias("hash"),
             whole_text().alias("text"),
         )
-        light = self.texts.mapInArrow(_light, "bucket bigint, class bigint, key bigint, place bigint")
+        light = self.texts.mapInArrow(_light, "bucket bigint, class bigint, key bigint, hash bigint, place bigint")
         often = light.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         self.segments = staged(light.join(often.select("bucket"), "bucket"), "repeat-segments")
         classes = self.segments.groupBy("bucket", "class").agg(
-            F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "place")).alias("one")
+            F.count(F.lit(1)).alias("copies"), F.min(F.struct("key", "hash", "place")).alias("one")
         )
         self.classes = staged(classes.select("bucket", "class", "copies", "one.*"), "repeat-classes")
         self.width = width
@@ -347,7 +345,7 @@ class Repeats:
         wanted = (
             self.classes.join(buckets, "bucket")
             .select(
-                "key", _tag().alias("tag"),
+                "key", "hash",
                 F.struct(
                     "bucket", "class", "copies", "classes",
                     _start().alias("start"), _count().cast("int").alias("count"),
@@ -372,24 +370,24 @@ class Repeats:
 
     def _fetched(self, wanted: DataFrame) -> DataFrame:
         """One copy of the bytes of the wanted classes; a text is read for all of its own."""
-        by_text = wanted.groupBy("key", "tag").agg(F.collect_list("w").alias("wanted"))
-        found = self.texts.join(by_text, ["key", "tag"])
+        by_text = wanted.groupBy("key", "hash").agg(F.collect_list("w").alias("wanted"))
+        found = self.texts.join(by_text, ["key", "hash"])
         # Rows equal in id and text each give the same bytes: one of them is enough.
         return found.mapInArrow(
             _cut, "bucket bigint, class bigint, count int, copies bigint, bytes binary"
         ).dropDuplicates(["bucket", "class"])
 
     def occurrences(self, covered: bool = False) -> DataFrame:
-        """Every occurrence of every repeat: key, tag, start, length, bucket, repeat."""
+        """Every occurrence of every repeat: key, hash, start, length, bucket, repeat."""
         return self.segments.join(self.groups(covered), ["bucket", "class"]).select(
-            "key", _tag().alias("tag"), (_start() + F.col("offset")).alias("start"), "length", "bucket", "repeat"
+            "key", "hash", (_start() + F.col("offset")).alias("start"), "length", "bucket", "repeat"
         )
 
     def cleaned(self, keep_text: bool = False) -> DataFrame:
         """Per document what is removed and the digest of what is left; with ``kept`` bytes if asked for."""
         spans = (
             self.occurrences(covered=True)
-            .groupBy("key", "tag")
+            .groupBy("key", "hash")
             .agg(F.collect_set(F.shiftleft("start", 20) + F.col("length")).alias("spans"))
         )
         names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
@@ -423,7 +421,7 @@ class Repeats:
                 yield pa.RecordBatch.from_arrays(columns, names)
 
         schema = "key bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string"
-        joined = self.texts.join(spans, ["key", "tag"], "left")
+        joined = self.texts.join(spans, ["key", "hash"], "left")
         cleaned = joined.mapInArrow(clean, schema + ", kept binary" * keep_text)
         doc_id = F.when(F.col("key") != NO_ID, F.col("key")).alias("doc_id")
         return cleaned.select(doc_id, *names[1:])

@@ -254,6 +254,21 @@ def test_repeats(docs, none, monkeypatch, most):
     assert len({p for r in found for p in range(r["start"], r["start"] + r["length"])}) == len(PASSAGE.encode())
 
 
+def test_repeats_of_texts_alike_in_21_bits_of_their_hash(spark):
+    """Texts without an id whose hashes end alike keep their own spans and bytes."""
+    own = [random.Random(n).randbytes(150).hex() for n in range(3)]
+    low = lambda text: xxhash.xxh64_intdigest(text.encode(), 42) & ((1 << 21) - 1)
+    with_passage = {low(t): t for n in range(8000) if (t := own[0] + str(n) + PASSAGE)}
+    pairs = [(with_passage[low(t)], t) for n in range(8000) if low(t := own[1] + PASSAGE[:150] + str(n)) in with_passage]
+    assert pairs
+    texts = [*pairs[0], own[2] + PASSAGE, pairs[0][1][20:]]
+    table = spark.createDataFrame([(None, t) for t in texts], "doc_id bigint, text string")
+    want = Counter(hashlib.sha256(k).hexdigest() for k in removed([t.encode() for t in texts]))
+    got = rows_of(repeats.remove_repeats(table))
+    assert Counter(r["kept_sha256"] for r in got) == want
+    assert all(0 <= r["n_removed"] <= r["n_bytes"] for r in got)
+
+
 def test_maximal_repeats():
     texts = [b"xxabcabcyy", b"zabcabcw", b"qabcq"]
     found = repeats.maximal_repeats(texts, [8, 6, 3], least=3)
