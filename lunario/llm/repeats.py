@@ -1,4 +1,4 @@
-"""Long repeated byte strings, by enhanced suffix arrays over buckets of the corpus.
+"""Long repeated byte strings, by enhanced suffix arrays over parts of the corpus.
 
 A byte goes when it lies in a string of ``LENGTH`` bytes that starts anywhere
 else too, in the same document or another. All such strings are covered by the
@@ -21,8 +21,21 @@ its bucket. So the corpus is dealt by that hash:
 4. A bucket of more than ``CLASSES`` classes is settled by counting the hash of
    each of its windows instead, which gathers nothing in one task.
 
-Repeats longer than a segment come as overlapping groups. A null text counts as
-empty. Rows equal in id and text are occurrences of each other. Ids may repeat
+That gives the bytes that repeats cover, which ``cleaned`` removes; classes and
+the windows of step 4 are settled by 64-bit hash there. The maximal repeats
+themselves, of any length and with all occurrences, come from ``occurrences``:
+
+5. All repeats that start with one window have it as their first ``LENGTH``
+   bytes. Only windows met more than once and preceded by different bytes (or
+   opening a text) can open one; their places form a node.
+6. The suffixes of a node, up to the end of their covered stretch, are sorted
+   and scanned as in step 3, on bytes.
+7. A node too large for one task is compared with one of its own suffixes. The
+   common prefixes with it give all groups along that suffix; places that leave
+   it at one depth by one byte, or outlast the compared block, form the next
+   nodes.
+
+A null text counts as empty. Rows equal in id and text are occurrences of each other. Ids may repeat
 with other texts (told apart by the text's 64-bit hash); other columns are
 ignored.
 """
@@ -30,14 +43,16 @@ ignored.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
-from functools import partial
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from lunario.llm.common import NO_ID, shuffle_width, staged, text_hash, whole_text
 
@@ -47,10 +62,13 @@ GRAM = 32
 SPAN = LENGTH - GRAM + 1
 #: Bytes handled at once.
 PIECE = 2 << 20
-#: Classes of a bucket that are sorted in one task.
+#: Classes of a bucket, or suffixes of a node, that are sorted in one task.
 CLASSES = 2048
-#: Of a place, which is start and count in one number.
-COUNT_BITS = 10
+#: Bytes of a node's suffixes in one task; least bytes compared at once in a larger node.
+NODE_BYTES = 32 << 20
+BLOCK = 4096
+#: Of a place: start, count and the byte before plus one (0: opens its text) in one number.
+COUNT_BITS, BEFORE_BITS = 10, 9
 #: Odd multipliers of the k-gram hash, drawn once.
 MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], dtype=np.uint64)
 
@@ -100,10 +118,10 @@ def segments(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return first, stop - first, least[first]
 
 
-def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, int]], np.ndarray, np.ndarray]]:
+def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, int, int]], np.ndarray, np.ndarray]]:
     """Texts of a batch laid end to end in buffers of about ``PIECE`` bytes.
 
-    Gives (row, offset in its text) of each part, the bytes and the parts' ends.
+    Gives (row, offset in its text, byte before plus one) of each part, the bytes and the parts' ends.
     A longer text is cut; parts overlap so that each window is in one of them.
     """
     parts, data, size = [], [], 0
@@ -113,7 +131,7 @@ def _pieces(batch: pa.RecordBatch) -> Iterator[tuple[list[tuple[int, int]], np.n
             some = whole[at : at + PIECE + LENGTH - 1]
             if len(some) < LENGTH:
                 continue
-            parts.append((i, at))
+            parts.append((i, at, whole[at - 1] + 1 if at else 0))
             data.append(some)
             size += len(some)
             if size >= PIECE:
@@ -139,10 +157,11 @@ def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 for a, b in zip(first.tolist(), stops.tolist(), strict=True)
             ]
             text = np.searchsorted(ends, first, side="right")
-            row = np.array([p[0] for p in parts])[text]
-            begins = np.concatenate([[0], ends[:-1]])
-            start = first - begins[text] + np.array([p[1] for p in parts])[text]
-            place = (start << COUNT_BITS) | count
+            row, offset, opening = np.array(parts).T[:, text]
+            begin = np.concatenate([[0], ends[:-1]])[text]
+            start = first - begin + offset
+            before = np.where(first > begin, data[first - 1].astype(np.int64) + 1, opening)
+            place = (start << (COUNT_BITS + BEFORE_BITS)) | (count << BEFORE_BITS) | before
             kinds = np.array(hashes, np.uint64).view(np.int64)
             columns = [least.view(np.int64), kinds, keys[row], told[row], place]
             yield pa.RecordBatch.from_arrays(
@@ -151,11 +170,15 @@ def _light(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _start(place: str = "place"):
-    return F.shiftright(place, COUNT_BITS)
+    return F.shiftright(place, COUNT_BITS + BEFORE_BITS)
 
 
 def _count(place: str = "place"):
-    return F.col(place).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
+    return F.shiftright(place, BEFORE_BITS).bitwiseAND(F.lit((1 << COUNT_BITS) - 1))
+
+
+def _before(place: str = "place"):
+    return F.col(place).bitwiseAND(F.lit((1 << BEFORE_BITS) - 1))
 
 
 def maximal_repeats(texts: list[bytes], counts: list[int], least: int = LENGTH) -> list[tuple[int, list[tuple[int, int]]]]:
@@ -166,25 +189,34 @@ def maximal_repeats(texts: list[bytes], counts: list[int], least: int = LENGTH)
     always given.
     """
     where = [(i, at) for i, n in enumerate(counts) for at in range(n)]
-    where.sort(key=lambda w: texts[w[0]][w[1] :])
+    left = [0 if at == 0 else texts[i][at - 1] + 1 for i, at in where]
+    found = _intervals([texts[i][at:] for i, at in where], left, least)
+    return [(depth, [where[k] for k in members]) for depth, members in found]
+
+
+def _intervals(suffixes: list[bytes], before: list[int], least: int = LENGTH) -> list[tuple[int, list[int]]]:
+    """(depth, suffixes) of the maximal repeats that open some of the suffixes.
+
+    ``before`` has the byte before each suffix plus one; 0, the opening of a
+    text, differs from all others.
+    """
+    order = sorted(range(len(suffixes)), key=suffixes.__getitem__)
     found = []
     # Open intervals: depth, first suffix, the byte before all of them (None: they differ).
     stack: list[list] = []
-    left = [None if at == 0 else texts[i][at - 1] for i, at in where]
-    a = texts[where[0][0]][where[0][1] :] if where else b""
-    for rank in range(1, len(where) + 1):
+    left = [before[k] or None for k in order]
+    for rank in range(1, len(order) + 1):
         depth = 0
-        if rank < len(where):
-            b = texts[where[rank][0]][where[rank][1] :]
+        if rank < len(order):
+            a, b = suffixes[order[rank - 1]], suffixes[order[rank]]
             if a[:least] == b[:least] and min(len(a), len(b)) >= least:
                 depth = least + _common(a, b, least)
-            a = b
         first, same = rank - 1, left[rank - 1]
         while stack and stack[-1][0] > depth:
             deep, low, byte = stack.pop()
             byte = byte if byte == same else None
             if byte is None:
-                found.append((deep, where[low:rank]))
+                found.append((deep, order[low:rank]))
             first, same = low, byte
         if depth and stack and stack[-1][0] == depth:
             stack[-1][2] = stack[-1][2] if stack[-1][2] == same else None
@@ -207,12 +239,12 @@ def _common(a: bytes, b: bytes, start: int) -> int:
     return low - start
 
 
-GROUPS = "bucket bigint, class bigint, offset int, length int, repeat bigint"
+STRETCHES = "bucket bigint, class bigint, offset int, length int"
 
 
-def _groups(rows: list[tuple[int, int, int, int, int]]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
-    names = ["bucket", "class", "offset", "length", "repeat"]
+def _stretches(rows: list[tuple[int, int, int, int]]) -> pa.RecordBatch:
+    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+    names = ["bucket", "class", "offset", "length"]
     columns = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
     return pa.RecordBatch.from_arrays(columns, names)
 
@@ -235,22 +267,12 @@ def _spans(groups: list[tuple[int, list[tuple[int, int]]]]) -> Iterator[tuple[in
         yield i, begin, stop - begin
 
 
-def _sorted_buckets(batches: Iterator[pa.RecordBatch], covered: bool) -> Iterator[pa.RecordBatch]:
-    """Members of the maximal repeats of a task's buckets, which come one after another.
-
-    With ``covered`` just the stretches that the repeats of a class cover. Groups
-    nest, so their members are many more than the classes; the stretches are not.
-    """
+def _sorted_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stretches that the repeats of a task's buckets, which come one after another, cover in each class."""
 
     def settle(bucket: int, rows: list) -> list[tuple]:
         groups = maximal_repeats([r[2] for r in rows], [r[1] for r in rows])
-        if covered:
-            return [(bucket, rows[i][0], at, length, -1) for i, at, length in _spans(groups)]
-        return [
-            (bucket, rows[i][0], at, length, n)
-            for n, (length, members) in enumerate(groups)
-            for i, at in members
-        ]
+        return [(bucket, rows[i][0], at, length) for i, at, length in _spans(groups)]
 
     now, rows, out = None, [], []
     for batch in batches:
@@ -260,30 +282,37 @@ def _sorted_buckets(batches: Iterator[pa.RecordBatch], covered: bool) -> Iterato
                 out += settle(now, rows)
                 rows = []
                 if len(out) > 10_000:
-                    yield _groups(out)
+                    yield _stretches(out)
                     out = []
             now = bucket
             rows.append(rest)
     if rows:
         out += settle(now, rows)
     if out:
-        yield _groups(out)
+        yield _stretches(out)
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(bucket, class, offset, copies, window hash) of every window of the largest buckets."""
-    names = ["bucket", "class", "offset", "copies", "window"]
+    """(bucket, class, offset, copies, window hash, byte before plus one) of every window of some classes.
+
+    The byte before a class is not known here: -1.
+    """
+    names = ["bucket", "class", "offset", "copies", "window", "before"]
     for batch in batches:
         columns = (batch[c].to_pylist() for c in ("bucket", "class", "count", "bytes", "copies"))
         for bucket, klass, count, data, copies in zip(*columns, strict=True):
             hashes = [xxhash.xxh3_64_intdigest(data[at : at + LENGTH]) for at in range(count)]
             window = pa.array(np.array(hashes, np.uint64).view(np.int64))
+            before = pa.array([-1, *(byte + 1 for byte in data[: count - 1])], pa.int32())
             yield pa.RecordBatch.from_arrays(
                 [pa.array([bucket] * count, pa.int64()), pa.array([klass] * count, pa.int64()),
-                 pa.array(range(count), pa.int32()), pa.array([copies] * count, pa.int64()), window], names,
+                 pa.array(range(count), pa.int32()), pa.array([copies] * count, pa.int64()), window, before], names,
             )
 
 
+WINDOWS = "bucket bigint, class bigint, offset int, copies bigint, window bigint, before int"
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bytes of the wanted segments of each text."""
     kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary()]
@@ -307,6 +336,102 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch_of(rows)
 
 
+def _merged(packed: list[int]) -> tuple[list[int], list[int]]:
+    """Begins and ends of the stretches that packed spans cover together."""
+    begins, ends = [], []
+    for begin, length in sorted((p >> 20, p & ((1 << 20) - 1)) for p in packed):
+        if not ends or begin > ends[-1]:
+            begins.append(begin)
+            ends.append(begin + length)
+        ends[-1] = max(ends[-1], begin + length)
+    return begins, ends
+
+
+PLACES = "node bigint, key bigint, hash bigint, start bigint, before int, copies bigint, depth bigint, reach bigint"
+TAILS = "node bigint, key bigint, hash bigint, start bigint, before int, depth bigint, reach bigint, block bigint, tail binary"
+SHARED = "node bigint, key bigint, hash bigint, start bigint, before int, reach bigint, shared bigint, next int"
+MEMBERS = "key bigint, hash bigint, start bigint, length bigint, bucket bigint, repeat bigint"
+KINDS = {"bigint": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def _rows(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    fields = [field.split() for field in schema.split(", ")]
+    columns = [pa.array([r[k] for r in rows], KINDS[kind]) for k, (_, kind) in enumerate(fields)]
+    return pa.RecordBatch.from_arrays(columns, [name for name, _ in fields])
+
+
+def _reached(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places of texts with the bytes left to them in their covered stretch."""
+    for batch in batches:
+        for key, told, wanted, spans in zip(*(batch[c].to_pylist() for c in ("key", "hash", "wanted", "spans")), strict=True):
+            begins, ends = _merged(spans)
+            rows = [
+                (w["node"], key, told, w["start"], w["before"], w["copies"], 0,
+                 ends[bisect_right(begins, w["start"]) - 1] - w["start"])
+                for w in wanted
+            ]
+            yield _rows(rows, PLACES)
+
+
+def _tails(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bytes of each place from its depth on, a block of them at most."""
+    for batch in batches:
+        for key, told, text, wanted in zip(batch["key"], batch["hash"], batch["text"], batch["wanted"], strict=True):
+            data, rows, size = text.as_py().encode("utf-8"), [], 0
+            for w in wanted.as_py():
+                some = data[w["start"] + w["depth"] : w["start"] + min(w["reach"], w["depth"] + w["block"])]
+                rows.append((w["node"], key.as_py(), told.as_py(), w["start"], w["before"], w["depth"],
+                             w["reach"], w["block"], some))
+                size += len(some)
+                if size > PIECE:
+                    yield _rows(rows, TAILS)
+                    rows, size = [], 0
+            if rows:
+                yield _rows(rows, TAILS)
+
+
+def _sorted_nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Members of the maximal repeats of a task's nodes, which come one after another."""
+
+    def settle(node: int, rows: list) -> Iterator[pa.RecordBatch]:
+        out = []
+        for n, (length, members) in enumerate(_intervals([r[4] for r in rows], [r[3] for r in rows])):
+            out += [(*rows[k][:3], length, node, n) for k in members]
+            if len(out) > 10_000:
+                yield _rows(out, MEMBERS)
+                out = []
+        if out:
+            yield _rows(out, MEMBERS)
+
+    now, rows = None, []
+    for batch in batches:
+        columns = (batch[c].to_pylist() for c in ("node", "key", "hash", "start", "before", "tail"))
+        for node, *rest in zip(*columns, strict=True):
+            if node != now and rows:
+                yield from settle(now, rows)
+                rows = []
+            now = node
+            rows.append(rest)
+    if rows:
+        yield from settle(now, rows)
+
+
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many bytes each place shares with its node's leader, and what comes next.
+
+    ``next`` is the next byte plus one, 0 where the place's stretch ends and 257
+    where the whole block is shared and both may go on.
+    """
+    for batch in batches:
+        rows = []
+        columns = ("node", "key", "hash", "start", "before", "reach", "depth", "block", "tail", "leader")
+        for *place, depth, block, tail, leader in zip(*(batch[c].to_pylist() for c in columns), strict=True):
+            n = _common(tail, leader, 0)
+            after = 257 if n == block else tail[n] + 1 if n < len(tail) else 0
+            rows.append((*place, depth + n, after))
+        yield _rows(rows, SHARED)
+
+
 class Repeats:
     """The staged tables of one run: survivors (segments) and classes, and what follows from them."""
 
@@ -326,48 +451,43 @@ class Repeats:
         self.classes = staged(classes.select("bucket", "class", "copies", "one.*"), "repeat-classes")
         self.width = width
 
-    def groups(self, covered: bool = False) -> DataFrame:
-        """Members of the repeats as (bucket, class, offset, length, repeat); a class counts for its copies.
-
-        With ``covered`` the stretches of each class that its repeats cover.
-        """
-        sort = partial(_sorted_buckets, covered=covered)
+    def _stretches(self) -> DataFrame:
+        """What repeats cover of each class: (bucket, class, offset, length)."""
         whole = self.classes.where("copies > 1").select(
             "bucket", "class", F.lit(0).alias("offset"),
             (_count() + F.lit(LENGTH - 1)).cast("int").alias("length"),
-            F.lit(-1).cast("bigint").alias("repeat"),
         )
         buckets = (
             self.classes.groupBy("bucket")
             .agg(F.count(F.lit(1)).alias("classes"), F.min("copies").alias("least"))
             .where("classes > 1 AND least = 1")
         )
-        wanted = (
-            self.classes.join(buckets, "bucket")
-            .select(
-                "key", "hash",
-                F.struct(
-                    "bucket", "class", "copies", "classes",
-                    _start().alias("start"), _count().cast("int").alias("count"),
-                ).alias("w"),
-            )
-        )
+        wanted = self._wanted(self.classes.join(buckets, "bucket"), "classes")
         small = self._fetched(wanted.where(F.col("w.classes") <= CLASSES))
         sorted_groups = (
             small.repartition(self.width, "bucket")
             .sortWithinPartitions("bucket")
-            .mapInArrow(sort, GROUPS)
+            .mapInArrow(_sorted_buckets, STRETCHES)
         )
         large = staged(self._fetched(wanted.where(F.col("w.classes") > CLASSES)), "repeat-large")
-        windows = large.mapInArrow(
-            _windows, "bucket bigint, class bigint, offset int, copies bigint, window bigint"
-        )
+        windows = large.mapInArrow(_windows, WINDOWS)
         twice = windows.groupBy("bucket", "window").agg(F.sum("copies").alias("n")).where("n > 1")
         counted = windows.join(twice, ["bucket", "window"]).select(
-            "bucket", "class", "offset", F.lit(LENGTH).alias("length"), F.col("window").alias("repeat")
+            "bucket", "class", "offset", F.lit(LENGTH).alias("length")
         )
         return whole.unionByName(sorted_groups).unionByName(counted)
 
+    @staticmethod
+    def _wanted(classes: DataFrame, *more: str) -> DataFrame:
+        """The place of one copy of each class, and what the class carries."""
+        return classes.select(
+            "key", "hash",
+            F.struct(
+                "bucket", "class", "copies", *more,
+                _start().alias("start"), _count().cast("int").alias("count"),
+            ).alias("w"),
+        )
+
     def _fetched(self, wanted: DataFrame) -> DataFrame:
         """One copy of the bytes of the wanted classes; a text is read for all of its own."""
         by_text = wanted.groupBy("key", "hash").agg(F.collect_list("w").alias("wanted"))
@@ -377,19 +497,125 @@ class Repeats:
             _cut, "bucket bigint, class bigint, count int, copies bigint, bytes binary"
         ).dropDuplicates(["bucket", "class"])
 
-    def occurrences(self, covered: bool = False) -> DataFrame:
-        """Every occurrence of every repeat: key, hash, start, length, bucket, repeat."""
-        return self.segments.join(self.groups(covered), ["bucket", "class"]).select(
-            "key", "hash", (_start() + F.col("offset")).alias("start"), "length", "bucket", "repeat"
+    def _covered(self) -> DataFrame:
+        """Packed spans that repeats cover of each text: key, hash, spans."""
+        found = self.segments.join(self._stretches(), ["bucket", "class"])
+        start = _start() + F.col("offset")
+        return found.groupBy("key", "hash").agg(
+            F.collect_set(F.shiftleft(start, 20) + F.col("length")).alias("spans")
+        )
+
+    def _places(self) -> DataFrame:
+        """Places of the windows that can open a maximal repeat, in nodes of one window."""
+        fetched = staged(self._fetched(self._wanted(self.classes)), "repeat-bytes")
+        windows = fetched.mapInArrow(_windows, WINDOWS)
+        edges = self.segments.groupBy("bucket", "class").agg(
+            F.min(_before()).alias("low"), F.max(_before()).alias("high")
+        )
+        known = [F.when(F.col("before") < 0, F.col(c)).otherwise(F.col("before")).alias(c) for c in ("low", "high")]
+        heads = (
+            windows.join(edges, ["bucket", "class"])
+            .select("bucket", "window", "copies", *known)
+            .groupBy("bucket", "window")
+            .agg(F.sum("copies").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+            .where("n > 1 AND (low = 0 OR low < high)")
+            .select("bucket", "window")
+        )
+        own = windows.join(heads, ["bucket", "window"]).drop("copies")
+        before = F.when(F.col("before") < 0, _before()).otherwise(F.col("before")).cast("int")
+        places = (
+            self.segments.join(own, ["bucket", "class"])
+            .select(
+                F.col("window").alias("node"), "key", "hash",
+                (_start() + F.col("offset")).alias("start"), before.alias("before"),
+            )
+            .groupBy("node", "key", "hash", "start", "before")
+            .agg(F.count(F.lit(1)).alias("copies"))
+        )
+        by_text = places.groupBy("key", "hash").agg(
+            F.collect_list(F.struct("node", "start", "before", "copies")).alias("wanted")
+        )
+        return by_text.join(self._covered(), ["key", "hash"]).mapInArrow(_reached, PLACES)
+
+    def _suffixes(self, places: DataFrame) -> DataFrame:
+        """Bytes of the places, once for each row of their text."""
+        by_text = places.groupBy("key", "hash").agg(
+            F.collect_list(F.struct("node", "start", "before", "depth", "reach", "block")).alias("wanted")
+        )
+        return self.texts.join(by_text, ["key", "hash"]).mapInArrow(_tails, TAILS)
+
+    def occurrences(self) -> DataFrame:
+        """Every occurrence of every maximal repeat: key, hash, start, length, bucket, repeat.
+
+        A group is named by ``bucket`` and ``repeat``. A document that comes as
+        several equal rows has a row for each.
+        """
+        groups = []
+        places = staged(self._places(), "repeat-places")
+        while True:
+            nodes = (
+                places.groupBy("node")
+                .agg(
+                    F.sum("copies").alias("n"), F.sum(F.col("copies") * F.col("reach")).alias("size"),
+                    F.min("before").alias("low"), F.max("before").alias("high"),
+                )
+                .where("n > 1 AND (low = 0 OR low < high)")
+                .select(
+                    "node", ((F.col("n") <= CLASSES) & (F.col("size") <= NODE_BYTES)).alias("small"),
+                    F.greatest(F.lit(BLOCK), F.floor(F.lit(NODE_BYTES) / F.col("n"))).alias("block"),
+                )
+            )
+            open_ = staged(places.join(nodes, "node"), "repeat-nodes")
+            whole = open_.where("small").withColumns({"depth": F.lit(0), "block": F.col("reach")})
+            groups.append(
+                self._suffixes(whole)
+                .repartition(self.width, "node")
+                .sortWithinPartitions("node")
+                .mapInArrow(_sorted_nodes, MEMBERS)
+            )
+            large = open_.where("NOT small")
+            if large.isEmpty():
+                break
+            shared = self._along_leaders(large)
+            groups.append(self._branches(shared))
+            further = shared.where("next > 0").groupBy(
+                F.xxhash64("node", "shared", "next").alias("node"), "key", "hash", "start", "before",
+                F.col("shared").alias("depth"), "reach",
+            )
+            further = further.agg(F.count(F.lit(1)).alias("copies"))
+            places = staged(further.select(*places.columns), "repeat-places")
+        return reduce(DataFrame.unionByName, groups)
+
+    def _along_leaders(self, places: DataFrame) -> DataFrame:
+        """Places of large nodes with the bytes they share with one suffix of their node."""
+        tails = staged(self._suffixes(places), "repeat-tails")
+        drawn = F.xxhash64("key", "hash", "start", "depth")
+        leaders = tails.groupBy("node").agg(F.min_by("tail", drawn).alias("leader"))
+        return staged(tails.join(leaders, "node").mapInArrow(_compared, SHARED), "repeat-shared")
+
+    @staticmethod
+    def _branches(shared: DataFrame) -> DataFrame:
+        """Members of the groups along the leaders: all places that share a depth where one leaves."""
+        depths = shared.groupBy("node", "shared").agg(
+            F.count(F.lit(1)).alias("n"), F.min("before").alias("low"), F.max("before").alias("high"),
+            F.max(F.col("next") < 257).alias("leaves"),
+        )
+        deeper = Window.partitionBy("node").orderBy(F.desc("shared"))
+        found = (
+            depths.select(
+                "node", F.col("shared").alias("length"), "leaves", F.sum("n").over(deeper).alias("n"),
+                F.min("low").over(deeper).alias("low"), F.max("high").over(deeper).alias("high"),
+            )
+            .where(f"leaves AND length >= {LENGTH} AND n > 1 AND (low = 0 OR low < high)")
+            .select("node", "length")
+        )
+        return shared.join(found, "node").where("shared >= length").select(
+            "key", "hash", "start", "length", F.col("node").alias("bucket"), (-F.col("length")).alias("repeat")
         )
 
     def cleaned(self, keep_text: bool = False) -> DataFrame:
         """Per document what is removed and the digest of what is left; with ``kept`` bytes if asked for."""
-        spans = (
-            self.occurrences(covered=True)
-            .groupBy("key", "hash")
-            .agg(F.collect_set(F.shiftleft("start", 20) + F.col("length")).alias("spans"))
-        )
+        spans = self._covered()
         names = ["key", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * keep_text
         kinds = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * keep_text
 

@@ -269,6 +269,54 @@ def test_repeats_of_texts_alike_in_21_bits_of_their_hash(spark):
     assert all(0 <= r["n_removed"] <= r["n_bytes"] for r in got)
 
 
+def groups_of(texts: list[bytes]) -> Counter:
+    """Maximal repeats of 200 bytes or more by growing every string: (length, its members' places)."""
+    found = Counter()
+    alive = [(i, at) for i, b in enumerate(texts) for at in range(len(b) - 199)]
+    length = 200
+    while alive:
+        same = {}
+        for i, at in alive:
+            if at + length <= len(texts[i]):
+                same.setdefault(texts[i][at : at + length], []).append((i, at))
+        same = [m for m in same.values() if len(m) > 1]
+        for m in same:
+            left = {texts[i][at - 1] if at else (i, "opens") for i, at in m}
+            right = {texts[i][at + length] if at + length < len(texts[i]) else (i, at, "ends") for i, at in m}
+            if min(len(left), len(right)) > 1:
+                found[length, tuple(sorted(m))] += 1
+        alive = [p for m in same for p in m]
+        length += 1
+    return found
+
+
+@pytest.mark.parametrize("most", [1, 5, 2048])
+def test_groups_equal_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(repeats, "CLASSES", most)
+    monkeypatch.setattr(repeats, "PIECE", 700)
+    if most < 2048:
+        monkeypatch.setattr(repeats, "NODE_BYTES", 2000)
+        monkeypatch.setattr(repeats, "BLOCK", 150)
+    draw = random.Random(8)
+    x, y, edge, long = (draw.randbytes(n).hex() for n in (150, 150, 120, 400))
+    texts = [x + edge, x + edge, edge + y, edge + y, "q" + edge, "1" + long, "2" + long[:700], long[300:] + "é" + x,
+             "a" * 230, "b" + "a" * 212, "ab" * 110, "lone" * 5, long, long, ""]
+    ids = [1, 2, None, 4, None, 6, 6, 8, 9, 10, 11, 12, 13, 13, None]
+    rows = list(zip(ids, texts, strict=True))
+    found = repeats.Repeats(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)).occurrences()
+    groups = {}
+    for r in found.collect():
+        groups.setdefault((r["bucket"], r["repeat"], r["length"]), Counter())[r["hash"], r["start"]] += 1
+    got = Counter((k[2], frozenset(m.items())) for k, m in groups.items())
+    told = [xxhash.xxh64_intdigest(t.encode(), 42) for t in texts]
+    told = [h - (1 << 64) if h >> 63 else h for h in told]
+    want = Counter()
+    for (length, members), n in groups_of([t.encode() for t in texts]).items():
+        want[length, frozenset(Counter((told[i], at) for i, at in members).items())] += n
+    assert got == want
+    assert len({k[:2] for k in groups}) == len(groups)
+
+
 def test_maximal_repeats():
     texts = [b"xxabcabcyy", b"zabcabcw", b"qabcq"]
     found = repeats.maximal_repeats(texts, [8, 6, 3], least=3)
