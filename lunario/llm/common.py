@@ -78,32 +78,58 @@ def text_hash() -> Column:
     return F.xxhash64(whole_text())
 
 
-def carried(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+def _row_hash(docs: DataFrame) -> Column:
+    """Tells rows apart by all their columns; a null counts by its place."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    return F.xxhash64(*columns, *[c.isNull() for c in columns])
+
+
+def carried(docs: DataFrame, chosen: DataFrame, *also: str) -> DataFrame:
     """Rows of ``docs`` with all their columns, as often as ``chosen`` says.
 
-    ``chosen`` has ``doc_id, text_hash, copies, rows``: the copies that all
-    ``rows`` rows of one id and text get together. Whole rows are shuffled once;
-    only rows that repeat in id and text meet in an aggregate.
+    ``chosen`` has ``doc_id, text_hash, copies, rows`` and the columns ``also``:
+    the copies that all ``rows`` rows of one id and text (and equal in ``also``)
+    get together. Each row gets its even share; what is left over goes to the
+    rows of least hash of all columns, so the result does not follow partitions.
+    Whole rows are shuffled once; only rows that share a rest meet in an aggregate.
     """
     named = chosen.where("copies > 0").select(
         F.col("doc_id").alias("_id"),
         F.col("text_hash").alias("_hash"),
-        F.col("copies").cast("int").alias("_copies"),
-        F.col("rows").alias("_rows"),
+        *[F.col(c).alias(f"_named_{c}") for c in also],
+        F.expr("int(copies div rows)").alias("_each"),
+        F.expr("int(copies % rows)").alias("_rest"),
     )
+    own = [f"_own_{c}" for c in also]
     keyed = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_doc"),
         F.col("doc_id").alias("_key"),
         text_hash().alias("_text"),
+        *[F.col(c).alias(o) for c, o in zip(also, own, strict=True)],
+        _row_hash(docs).alias("_row"),
     )
     same = keyed["_key"].eqNullSafe(named["_id"]) & (keyed["_text"] == named["_hash"])
+    for c, o in zip(also, own, strict=True):
+        same = same & keyed[o].eqNullSafe(named[f"_named_{c}"])
     found = keyed.join(named, same)
-    once = found.where("_rows = 1").select("_doc", "_copies")
-    repeated = (
-        found.where("_rows > 1")
-        .groupBy("_key", "_text")
-        .agg(F.first("_doc").alias("_doc"), F.first("_copies").alias("_copies"))
-        .select("_doc", "_copies")
+    group = ["_key", "_text", *own]
+    even = found.where("_each > 0").select("_doc", F.col("_each").alias("_copies"))
+    one = (
+        found.where("_rest = 1")
+        .groupBy(*group)
+        .agg(F.min_by("_doc", "_row").alias("_doc"))
+        .select("_doc", F.lit(1).alias("_copies"))
+    )
+    # Full repeats are counted first, so a window holds the different rows only.
+    ahead = Window.partitionBy(*group).orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
+    several = (
+        found.where("_rest > 1")
+        .groupBy(*group, "_row")
+        .agg(F.first("_doc").alias("_doc"), F.count(F.lit(1)).alias("_n"), F.first("_rest").alias("_rest"))
+        .withColumn("_left", F.col("_rest") - F.coalesce(F.sum("_n").over(ahead), F.lit(0)))
+        .where("_left > 0")
+        .select("_doc", F.least("_n", "_left").cast("int").alias("_copies"))
     )
+    dealt = even.unionByName(one).unionByName(several)
     times = F.explode(F.sequence(F.lit(1), "_copies"))
-    return once.unionByName(repeated).select("_doc", times.alias("_time")).select("_doc.*")
+    return dealt.select("_doc", times.alias("_time")).select("_doc.*")

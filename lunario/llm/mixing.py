@@ -174,6 +174,10 @@ def _allotted(by_size: DataFrame, solved: DataFrame) -> DataFrame:
 
 def decisions(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, size, source_size, target, copies, taken, text_hash."""
+    return _decided(docs).drop("source")
+
+
+def _decided(docs: DataFrame) -> DataFrame:
     sized = staged(
         _sized(docs).withColumn("part", F.pmod(F.col("h"), F.lit(HASH_RANGES))), "sizes"
     )
@@ -203,7 +207,7 @@ def decisions(docs: DataFrame) -> DataFrame:
         .withColumn("copies", F.col("each") + F.when(rank <= F.col("more"), 1).otherwise(0))
         .select(
             "doc_id", "size", "source_size", "target", "copies",
-            (F.col("copies") * F.col("size")).alias("taken"), "text_hash",
+            (F.col("copies") * F.col("size")).alias("taken"), "text_hash", "source",
         )
     )
 
@@ -211,11 +215,11 @@ def decisions(docs: DataFrame) -> DataFrame:
 def mixed(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it, with all their columns.
 
-    Rows equal in id and text share their copies; they meet only where they repeat.
+    Rows equal in id, text and source share their copies; they meet only where they repeat.
     """
     chosen = (
-        staged(decisions(docs), "copies")
-        .groupBy("doc_id", "text_hash")
+        staged(_decided(docs), "copies")
+        .groupBy("doc_id", "text_hash", "source")
         .agg(F.sum("copies").alias("copies"), F.count(F.lit(1)).alias("rows"))
     )
-    return carried(docs, chosen)
+    return carried(docs, chosen, "source")

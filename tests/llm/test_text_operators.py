@@ -476,6 +476,43 @@ def test_mixing(spark, docs, none):
     assert mixing.mixed(none).isEmpty()
 
 
+def test_rows_alike_in_id_and_text_keep_their_other_columns(spark):
+    rows = [(None, "", "s1", "en"), (None, "", "s2", "de"), (None, "", "s2", "de"), (None, None, None, "fr"),
+            (None, "", "fr", None), (7, "a b c", "s1", "en"), (7, "a b c", "s1", "de")]
+    rows += [(7, "a b c", "s2", lang) for lang in ("x", "y", "z", "z", "z")] + [(8, "d " * 40, "s3", "en")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, source string, lang string")
+    labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
+    assert Counter(map(tuple, importance.resampled(table, labels).collect())) == Counter(rows)
+    taken = Counter()
+    for r in mixing.decisions(table).collect():
+        taken[r["source_size"]] += r["taken"]
+    mixed = mixing.mixed(table)
+    words = Counter()
+    for r in mixed.collect():
+        assert tuple(r) in rows
+        words[r["source"]] += len((r["text"] or "").split())
+    size = {"s1": 6, "s2": 15, "s3": 40}
+    assert {size[s]: n for s, n in words.items() if n} == {s: n for s, n in taken.items() if n}
+    for apply in (mixing.mixed, exact_dedup.deduplicated, simhash.deduplicated):
+        one, many = (Counter(map(tuple, apply(table.repartition(n)).collect())) for n in (1, 7))
+        assert one == many and set(one) <= set(rows)
+
+
+@pytest.mark.parametrize("copies", [1, 2, 3, 5, 7, 11])
+def test_copies_are_dealt_over_alike_rows(spark, copies):
+    from lunario.llm.common import carried, text_hash
+
+    rows = [(1, "t", lang) for lang in ("x", "y", "z", "z", "z")]
+    table = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    chosen = table.limit(1).select(
+        "doc_id", text_hash().alias("text_hash"), F.lit(copies).alias("copies"), F.lit(5).alias("rows")
+    )
+    got = Counter(r["lang"] for r in carried(table, chosen).collect())
+    each, rest = divmod(copies, 5)
+    assert sum(got.values()) == copies
+    assert all(n * each <= got[k] <= n * each + min(n, rest) for k, n in {"x": 1, "y": 1, "z": 3}.items())
+
+
 def test_pipeline(spark):
     import corpus_pipeline as c
     from lunario.llm.common import staged, table
