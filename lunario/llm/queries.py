@@ -8,11 +8,26 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lunario.llm import byte_bpe, exact_dedup, fingerprints, importance, language_model, mixing, repeats, secret_scan, simhash, warc
+from lunario.llm import (
+    byte_bpe,
+    collocations,
+    exact_dedup,
+    fingerprints,
+    importance,
+    language_model,
+    mixing,
+    piece_bpe,
+    repeats,
+    secret_scan,
+    simhash,
+    spelling,
+    warc,
+)
 from lunario.llm.common import table
 
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +74,18 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.decisions(table(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_bpe.round_trip(table(spark, sf_dir, "documents"), PIECES)
+
+
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         op1_byte_bpe,
@@ -71,5 +98,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_quality_classifier,
         op9_secret_scan,
         op10_source_mixing,
+        op11_sentencepiece,
+        op12_phrase_collocations,
+        op13_spelling_variants,
     )
     return {query.__name__: query for query in registered}
