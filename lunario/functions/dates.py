@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -52,25 +54,39 @@ def strict_date(text: Column) -> Column:
     return F.when(text.isNotNull() & parsed.isNull(), broken).otherwise(parsed)
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of ``value``, with the value worked out once however often ``use`` names it.
+
+    Keeps plans and generated code small where filters repeat the whole expression.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def lenient_timestamp(text: Column) -> Column:
     """Timestamp of any known layout, NULL for anything else.
 
     Works on local fields without a zone, so year and month do not depend on the
     session time zone.
     """
-    trimmed = F.trim(text)
-    tries = [trimmed.try_cast("timestamp_ntz")]
-    clock = F.regexp_extract(trimmed, CLOCK, 2)
-    day = F.when(clock != "", F.regexp_extract(trimmed, CLOCK, 1)).otherwise(trimmed)
-    for shape, pattern in EXTRA_DATE_LAYOUTS:
-        tries.append(F.when(day.rlike(shape), F.try_to_date(day, pattern)))
-    found = F.coalesce(*tries[1:])
-    hour, rest = F.regexp_extract(clock, "^[0-9]+", 0), F.regexp_extract(clock, ":.*$", 0)
-    timed = F.concat(found.cast("string"), F.lit(" "), F.lpad(hour, 2, "0"), rest)
-    return F.coalesce(
-        tries[0],
-        F.when(clock != "", timed.try_cast("timestamp_ntz")).otherwise(found.cast("timestamp_ntz")),
-    )
+
+    def day_of(day: Column) -> Column:
+        return F.coalesce(
+            *[F.when(day.rlike(s), F.try_to_date(day, p)) for s, p in EXTRA_DATE_LAYOUTS]
+        )
+
+    def other(trimmed: Column) -> Column:
+        return _once(F.regexp_extract(trimmed, CLOCK, 2), lambda clock: with_clock(trimmed, clock))
+
+    def with_clock(trimmed: Column, clock: Column) -> Column:
+        hour, rest = F.regexp_extract(clock, "^[0-9]+", 0), F.regexp_extract(clock, ":.*$", 0)
+        day = F.when(clock != "", F.regexp_extract(trimmed, CLOCK, 1)).otherwise(trimmed)
+        found = _once(day, day_of)
+        timed = F.concat(found.cast("string"), F.lit(" "), F.lpad(hour, 2, "0"), rest)
+        return F.when(clock != "", timed.try_cast("timestamp_ntz")).otherwise(
+            found.cast("timestamp_ntz")
+        )
+
+    return _once(F.trim(text), lambda t: F.coalesce(t.try_cast("timestamp_ntz"), other(t)))
 
 
 def period_label(year: Column, month: Column) -> Column:

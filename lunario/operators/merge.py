@@ -14,6 +14,9 @@ from lunario.operators.rows import drop_incomplete, take_columns
 from lunario.operators.windows import over_series, rolling
 
 
+_REPAIRED = "__repaired"
+
+
 def join_periods(left: DataFrame, right: DataFrame, series: list[str] = []) -> DataFrame:
     """Inner join on series and month. NULL keys match nothing; repeated months multiply."""
     return left.join(right, [*series, *schema.TIME_COLS], "inner")
@@ -57,11 +60,21 @@ def merge_sources(
 def repair_numbers(
     df: DataFrame, columns: Iterable[str], kind: str, strict: bool = True
 ) -> DataFrame:
-    """Repair the listed columns that exist and are text; ``kind`` is ``gdp`` or ``index``."""
+    """Repair the listed columns that exist and are text; ``kind`` is ``gdp`` or ``index``.
+
+    The columns are repaired as one array, so that the repair stands in the plan
+    once and wide tables stay within generated code.
+    """
     repair = {"gdp": gdp_number, "index": index_number}[kind]
     text = {f.name for f in df.schema.fields if f.dataType.typeName() == "string"}
-    chosen = {c: repair(F.col(c), strict) for c in columns if c in text}
-    return df.withColumns(chosen) if chosen else df
+    chosen = [c for c in dict.fromkeys(columns) if c in text]
+    if not chosen:
+        return df
+    cells = F.array(*[F.col(f"`{c}`") for c in chosen])
+    repaired = df.withColumn(_REPAIRED, F.transform(cells, lambda cell: repair(cell, strict)))
+    return repaired.withColumns(
+        {c: F.col(_REPAIRED)[i] for i, c in enumerate(chosen)}
+    ).drop(_REPAIRED)
 
 
 def monthly_features(

@@ -1,12 +1,17 @@
 """Multi-month scoring requests and period lookups.
 
-A request carries its own few months, so its rolling features are row-local
-expressions over its arrays: scoring needs neither an explode nor a shuffle, and
-the same code runs on a batch and on a stream.
+A request carries its own few months, so its features are row-local: its cells
+form a small matrix, months by columns, and one expression over arrays repairs
+them and rolls the window over the months. The plan names each column once,
+whatever the number of months and features, so wide layouts neither outgrow
+generated code nor planning. Scoring needs no explode, no shuffle and no state,
+and the same code runs on a batch and on a stream.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +34,19 @@ def check_requests(
     months: int = schema.REQUEST_MONTHS,
 ) -> DataFrame:
     """Add ``valid`` and, for bad requests, ``reason``: the first column of wrong length."""
-    size = {c: F.size(F.col(f"data.{c}")) for c in layout.merged}
-    faults = []
-    for c in layout.merged:
-        column = F.col(f"data.{c}")
-        faults.append(F.when(column.isNull(), F.lit(f"missing {c}")))
-        faults.append(
-            F.when(size[c] != months, F.concat(F.lit(f"length of {c} is "), size[c].cast("string")))
-        )
+    sent = F.array(
+        *[
+            F.struct(F.lit(c).alias("name"), F.array_size(f"data.{c}").alias("size"))
+            for c in layout.merged
+        ]
+    )
+    wrong = F.filter(sent, lambda column: ~column["size"].eqNullSafe(F.lit(months)))
+    described = F.transform(
+        wrong,
+        lambda column: F.when(column["size"].isNull(), F.concat(F.lit("missing "), column["name"]))
+        .otherwise(F.concat(F.lit("length of "), column["name"], F.lit(" is "), column["size"])),
+    )
+    faults = [F.get(described, F.lit(0))]
     for c in schema.TIME_COLS:
         # A year or month that is no integer cannot be logged; one such cell rejects its request.
         fits = F.forall(f"data.{c}", lambda cell: cell.isNull() | cell.try_cast("int").isNotNull())
@@ -52,26 +62,21 @@ def request_months(
     months: int = schema.REQUEST_MONTHS,
     sort_months: bool = False,
 ) -> DataFrame:
-    """Replace ``data`` by ``months``: one struct per array position, optionally in time order."""
+    """Replace ``data`` by ``months``: a struct (pos, month) per array position.
 
-    def month(i: int) -> Column:
-        cells = [F.get(F.col(f"data.{c}"), F.lit(i)).alias(c) for c in layout.merged]
-        return F.struct(*cells, F.lit(i).alias("pos"))
-
-    array = F.array(*[month(i) for i in range(months)])
+    The first ``months`` positions count; ``sort_months`` puts them in time
+    order, the position settles equal months.
+    """
+    zipped = F.slice(F.arrays_zip(*[f"data.{c}" for c in layout.merged]), 1, months)
+    array = F.transform(zipped, lambda m, i: F.struct(i.alias("pos"), m.alias("month")))
     if sort_months:
-        # Year and month lead the struct, the position settles equal months.
-        order = F.array(
-            *[
-                F.struct(
-                    *[F.get(F.col(f"data.{c}"), F.lit(i)).alias(c) for c in schema.TIME_COLS],
-                    F.lit(i).alias("pos"),
-                    month(i).alias("month"),
-                )
-                for i in range(months)
-            ]
+        keyed = F.transform(
+            array,
+            lambda m: F.struct(
+                *[m["month"][c].alias(c) for c in schema.TIME_COLS], m["pos"], m.alias("month")
+            ),
         )
-        array = F.transform(F.sort_array(order), lambda m: m["month"])
+        array = F.transform(F.sort_array(keyed), lambda m: m["month"])
     return requests.select(
         *[c for c in requests.columns if c != "data"], array.alias("months")
     )
@@ -79,15 +84,74 @@ def request_months(
 
 def request_rows(requests: DataFrame, layout: Layout = FULL) -> DataFrame:
     """One row per request month, in the columns of ``months``; numbers sent for texts in plain notation."""
+    months = requests.schema["months"].dataType.elementType
+    columns = months["month"].dataType.names
+
+    def written(cell: Column) -> Column:
+        plain = cell["number"].try_cast("decimal(38,10)").cast("string")
+        return F.coalesce(plain, cell["text"])
+
+    def row(m: Column) -> Column:
+        month = m["month"]
+        cells = [(written(month[c]) if c in layout.texts else month[c]).alias(c) for c in columns]
+        return F.struct(*cells, m["pos"].alias("pos"))
+
+    return requests.select(
+        *[c for c in requests.columns if c != "months"], F.inline(F.transform("months", row))
+    )
+
 
-    def written(cell: str) -> Column:
-        plain = F.col(f"{cell}.number").try_cast("decimal(38,10)").cast("string")
-        return F.coalesce(plain, F.col(f"{cell}.text")).alias(cell)
+def _matrix(layout: Layout) -> Column:
+    """Months by columns, in the order of ``layout.values``; what is broken or no number is NULL."""
 
-    rows = requests.select(
-        *[c for c in requests.columns if c != "months"], F.inline("months")
+    def repaired(cells: list[Column], repair: Callable[[Column], Column]) -> Column:
+        def number(cell: Column) -> Column:
+            return F.coalesce(cell["number"], repair(cell["text"]).cast("double"))
+
+        return F.transform(F.array(*cells), number)
+
+    def row(m: Column) -> Column:
+        month = m["month"]
+        numbers = F.array(*[month[c].cast("double") for c in (layout.price, *layout.rain)])
+        parts = [F.transform(numbers, lambda x: F.nanvl(x, F.lit(None).cast("double")))]
+        for columns, repair in ((layout.gdp, gdp_number), (layout.index, index_number)):
+            if columns:
+                parts.append(
+                    repaired([month[c] for c in columns], lambda text: repair(text, strict=False))
+                )
+        return F.concat(*parts)
+
+    return F.transform("months", row)
+
+
+def _month_features(matrix: Column, columns: int, month: Column) -> Column:
+    """Rolling means, rolling deviations and values of one month, in the order of the features."""
+    window = schema.ROLLING_WINDOW
+    first = F.greatest(month - window + 2, F.lit(1))
+    rows = F.slice(matrix, first, month - first + 2)
+    each = F.sequence(F.lit(0), F.lit(columns - 1))
+    zero = F.lit(0.0)
+
+    def seen(j: Column) -> Column:
+        return F.filter(F.transform(rows, lambda row: row[j]), lambda x: x.isNotNull())
+
+    def mean(values: Column) -> Column:
+        return F.try_divide(F.aggregate(values, zero, lambda total, x: total + x), F.size(values))
+
+    def deviation(values: Column) -> Column:
+        # One value in an array, so that the mean is worked out once.
+        centred = F.flatten(
+            F.transform(
+                F.array(mean(values)), lambda m: F.transform(values, lambda x: (x - m) * (x - m))
+            )
+        )
+        total = F.aggregate(centred, zero, lambda total, x: total + x)
+        return F.sqrt(F.try_divide(total, F.size(values) - 1))
+
+    windows = F.transform(each, seen)
+    return F.concat(
+        F.transform(windows, mean), F.transform(windows, deviation), F.element_at(matrix, month + 1)
     )
-    return rows.select(*[written(c) if c in layout.texts else c for c in rows.columns])
 
 
 def request_features(
@@ -100,54 +164,18 @@ def request_features(
     first month has no deviation, incomplete months are skipped. A request
     without a complete month gives no row.
     """
-
-    def cell(column: str, i: int) -> Column:
-        raw = F.col("months")[i][column]
-        if column in layout.gdp:
-            repaired = gdp_number(raw["text"], strict=False).cast("double")
-        elif column in layout.index:
-            repaired = index_number(raw["text"], strict=False)
-        if column in layout.texts:
-            sent = raw["number"]
-            return F.when(sent.isNotNull(), sent).otherwise(repaired)
-        return F.nanvl(raw.cast("double"), F.lit(None).cast("double"))
-
-    def seen(column: str, i: int) -> list[str]:
-        return [f"`{column}__{j}`" for j in range(max(0, i - schema.ROLLING_WINDOW + 1), i + 1)]
-
-    def count(column: str, i: int) -> str:
-        return " + ".join(f"int({v} IS NOT NULL)" for v in seen(column, i))
-
-    def mean(column: str, i: int) -> str:
-        total = " + ".join(f"coalesce({v}, 0D)" for v in seen(column, i))
-        return f"try_divide({total}, {count(column, i)})"
-
-    def deviation(column: str, i: int) -> str:
-        squares = [f"({v} - `{column}__mean{i}`)" for v in seen(column, i)]
-        total = " + ".join(f"coalesce({d} * {d}, 0D)" for d in squares)
-        return f"sqrt(try_divide({total}, {count(column, i)} - 1))"
-
-    def candidate(i: int) -> str:
-        columns = layout.values
-        sources = [f"{c}__mean{i}" for c in columns] + [f"{c}__std{i}" for c in columns]
-        sources += [f"{c}__{i}" for c in columns]
-        fields = ", ".join(f"'{name}', `{c}`" for name, c in zip(layout.features, sources))
-        complete = " AND ".join(f"`{c}` IS NOT NULL" for c in sources)
-        return f"CASE WHEN {complete} THEN named_struct({fields}) END"
-
+    columns = [F.col(f"`{c}`") for c in requests.columns]
+    typed = requests.select(*columns, _matrix(layout).alias("__matrix"))
     # Month 0 has no deviation, so only the later ones can be complete.
-    scored = range(1, months)
-    each = [(c, i) for c in layout.values for i in scored]
-    typed = requests.select(
-        "*", *[cell(c, i).alias(f"{c}__{i}") for c in layout.values for i in range(months)]
+    newest_first = F.sequence(F.lit(months - 1), F.lit(1), F.lit(-1))
+    features = F.transform(
+        newest_first, lambda i: _month_features(F.col("__matrix"), len(layout.values), i)
     )
-    averaged = typed.selectExpr("*", *[f"{mean(c, i)} AS `{c}__mean{i}`" for c, i in each])
-    spread = averaged.selectExpr("*", *[f"{deviation(c, i)} AS `{c}__std{i}`" for c, i in each])
-    # Emitting the chosen month from an array, rather than filtering on all its
-    # features, keeps the filter out of the planner's constraint inference.
-    newest_first = ", ".join(candidate(i) for i in reversed(scored))
-    return spread.select(
-        *requests.columns, F.expr(f"inline(slice(array_compact(array({newest_first})), 1, 1))")
+    complete = F.filter(features, lambda values: F.forall(values, lambda x: x.isNotNull()))
+    # A generator gives no row for no month, and is worked out once for all features.
+    newest = typed.select(*columns, F.explode(F.slice(complete, 1, 1)).alias("__features"))
+    return newest.select(
+        *columns, *[F.col("__features")[j].alias(c) for j, c in enumerate(layout.features)]
     )
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from lunario import schema
 from lunario.plans.queries import DIGITS, LINE_NUMBERS, LINEAR_GRID, MODEL, SQUARE_GRID
 from lunario.plans.standins import GDP_MODULUS, INDEX_MODULUS, LAYOUT, MONTH_NAMES
-from lunario.schema import rolling_name
+from lunario.schema import FULL, Layout, rolling_name
 
 PRICE = LAYOUT.price
 KEYS = "series, anio, mes"
@@ -53,22 +53,22 @@ def _int_part(part: str, column: str) -> str:
     return f"CAST({part}({column}) AS INTEGER)"
 
 
-def _sums() -> str:
+def _sums(layout: Layout) -> str:
     whole = "CAST(floor(l_extendedprice) AS BIGINT)"
     rain = [
-        f"sum(CASE WHEN l_linenumber % 3 = {i} THEN l_quantity ELSE 0.0::DOUBLE END) AS {c}"
-        for i, c in enumerate(LAYOUT.rain)
+        f"sum(CASE WHEN l_linenumber % {len(layout.rain)} = {i} THEN l_quantity ELSE 0.0::DOUBLE END) AS {c}"
+        for i, c in enumerate(layout.rain)
     ]
     weighted = [
         f"CAST(sum({whole} * ((l_partkey + {i}) % {m} + 1)) AS BIGINT) AS n_{c}"
-        for names, m in ((LAYOUT.gdp, GDP_MODULUS), (LAYOUT.index, INDEX_MODULUS))
+        for names, m in ((layout.gdp, GDP_MODULUS), (layout.index, INDEX_MODULUS))
         for i, c in enumerate(names)
     ]
     return ", ".join(rain + weighted)
 
 
-def _bank_texts() -> str:
-    first, *others = LAYOUT.texts
+def _bank_texts(layout: Layout) -> str:
+    first, *others = layout.texts
     texts = [
         f"""CASE WHEN copy = 1 THEN '7.777.777'
             WHEN key % 10 <> 0 THEN {_dotted(f'n_{first}', 'mes % 2 = 0')} END AS {first}"""
@@ -77,11 +77,11 @@ def _bank_texts() -> str:
     return ", ".join(texts)
 
 
-def _sent(column: str) -> str:
+def _sent(column: str, layout: Layout) -> str:
     """A bank cell as the request log writes it: plain notation where it came as a number."""
-    if column not in (LAYOUT.gdp[0], LAYOUT.index[0]):
+    if column not in (layout.gdp[0], layout.index[0]):
         return f"m.{column}"
-    number = (_gdp if column in LAYOUT.gdp else _index)(f"m.{column}")
+    number = (_gdp if column in layout.gdp else _index)(f"m.{column}")
     plain = f"CAST(CAST({number} AS DECIMAL(38, 10)) AS VARCHAR)"
     return f"CASE WHEN as_numbers THEN {plain} ELSE m.{column} END AS {column}"
 
@@ -95,197 +95,200 @@ def _trailing(columns: list[str], frame: str, cast: str = "{}") -> str:
     )
 
 
-CTES = {
-    "price": f"""
-        SELECT c_nationkey AS series, {_int_part('year', 'o_orderdate')} AS anio,
-               {_int_part('month', 'o_orderdate')} AS mes,
-               (CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) // count(*))
-                   / 100.0::DOUBLE AS {PRICE}
-        FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3""",
-    "line_months": f"""
-        SELECT s_nationkey AS series, {_int_part('year', 'l_shipdate')} AS anio,
-               {_int_part('month', 'l_shipdate')} AS mes, {_sums()}
-        FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3""",
-    "rain": f"SELECT {KEYS}, {', '.join(LAYOUT.rain)} FROM line_months",
-    "bank_copies": """
-        SELECT m.*, copy, anio * 12 + mes + series AS key
-        FROM line_months m, (SELECT unnest([0, 1]) AS copy) c
-        WHERE copy = 0 OR (anio * 12 + mes + series) % 5 = 0""",
-    "bank_raw": f"""
-        SELECT series, (anio * 12 + mes) * 2 + copy AS source_order,
-               CASE WHEN key % 17 = 0 THEN printf('%d-13-01', anio)
-                    WHEN key % 3 = 0 THEN printf('%d-%02d-01 00:00:00 UTC', anio, mes)
-                    WHEN key % 3 = 1 THEN printf('%d/%02d/01', anio, mes)
-                    ELSE printf('%d-%02d-01', anio, mes) END AS written,
-               {_bank_texts()}
-        FROM bank_copies""",
-    "bank_first": """
-        SELECT *, row_number() OVER (PARTITION BY series, day ORDER BY source_order) AS nth
-        FROM (SELECT *, try_strptime(written, ['%Y-%m-%d', '%Y-%m-%d %H:%M:%S UTC', '%Y/%m/%d'])
-                  AS day FROM bank_raw)""",
-    "bank": f"""
-        SELECT series, {_int_part('year', 'day')} AS anio, {_int_part('month', 'day')} AS mes,
-               {', '.join(LAYOUT.texts)}
-        FROM bank_first
-        WHERE nth = 1 AND day IS NOT NULL
-          AND {' AND '.join(f'{c} IS NOT NULL' for c in LAYOUT.texts)}""",
-    "joined": """
-        SELECT * FROM price JOIN rain USING (series, anio, mes)
-        JOIN bank USING (series, anio, mes)""",
-    "shifted": f"""
-        SELECT series, {', '.join(f'lag({c}) OVER w AS {c}' for c in LAYOUT.merged)},
-               {PRICE} AS target
-        FROM joined WINDOW w AS (PARTITION BY series ORDER BY anio, mes)""",
-    "merged": f"""
-        SELECT * FROM shifted
-        WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*LAYOUT.merged, 'target'])}""",
-    "repaired": f"""
-        SELECT {KEYS}, target, {', '.join([PRICE, *LAYOUT.rain])},
-               {', '.join(f'{_gdp(c)} AS {c}' for c in LAYOUT.gdp)},
-               {', '.join(f'{_index(c)} AS {c}' for c in LAYOUT.index)}
-        FROM merged""",
-    "rolled": f"""
-        SELECT *, anio || '-' || mes AS Periodo,
-               {_trailing(LAYOUT.values, '2 PRECEDING AND CURRENT ROW', 'CAST({} AS DOUBLE)')}
-        FROM repaired""",
-    "complete": f"""
-        SELECT series, Periodo, target, {', '.join(LAYOUT.features)} FROM rolled
-        WHERE {rolling_name(PRICE, 'std')} IS NOT NULL""",
-    "split": """
-        SELECT *, CAST(row_number() OVER (ORDER BY md5(concat_ws('|', '42', series, Periodo)))
-                       <= ceil(0.2 * count(*) OVER ()) AS INTEGER) AS is_test
-        FROM complete""",
-    "train": """
-        SELECT *, concat_ws('|', series, Periodo) AS id,
-               ntile(3) OVER (ORDER BY md5(concat_ws('|', '42', series, Periodo))) - 1 AS fold
-        FROM split WHERE is_test = 0""",
-    "base_long": " UNION ALL ".join(
-        f"SELECT id, fold, target AS y, {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS v,\n            CAST({c} AS FLOAT) AS fv, CAST(target AS FLOAT) AS fy FROM train"
-        for i, c in enumerate(LAYOUT.features)
-    ),
-    # Fitting rows of every fold; fold -1 holds nothing out.
-    "long": """
-        SELECT held, b.* FROM base_long b, (SELECT unnest([-1, 0, 1, 2]) AS held)
-        WHERE fold <> held""",
-    "ranked": """
-        SELECT *, row_number() OVER (PARTITION BY held, position ORDER BY fv) AS rv,
-               row_number() OVER (PARTITION BY held, position ORDER BY fy) AS ry,
-               count(*) OVER (PARTITION BY held, position) AS n
-        FROM long""",
-    "edges": f"""
-        SELECT held, position, {', '.join(
-            f"max(CASE WHEN r{s} = ceil(CAST(0.{i} AS DOUBLE) * n) THEN f{s} END) AS {s}{i}"
-            for s in 'vy' for i in range(1, BINS))}
-        FROM ranked GROUP BY held, position""",
-    "cells": f"""
-        SELECT held, position, feature, {' + '.join(f'(fv > v{i})::INT' for i in range(1, BINS))} AS bx,
-               {' + '.join(f'(fy > y{i})::INT' for i in range(1, BINS))} AS by_,
-               count(*)::DOUBLE AS n
-        FROM long JOIN edges USING (held, position) GROUP BY ALL""",
-    "scores": """
-        SELECT held, position, feature, round(sum(n / t * ln(n * t / (x * y))), 9) AS score
-        FROM (SELECT held, position, feature, n, sum(n) OVER (PARTITION BY held, position) AS t,
-                     sum(n) OVER (PARTITION BY held, position, bx) AS x,
-                     sum(n) OVER (PARTITION BY held, position, by_) AS y FROM cells)
-        GROUP BY held, position, feature""",
-    "best": """
-        SELECT held, position, feature,
-               row_number() OVER (PARTITION BY held ORDER BY score DESC, position DESC) AS rank
-        FROM scores""",
-    "moments": """
-        SELECT held, rank, position, avg(v) AS m, stddev_pop(v) AS s
-        FROM long JOIN best USING (held, position) WHERE rank <= 2 GROUP BY held, rank, position""",
-    "sums": """
-        SELECT held, count(*) * var_pop(z1) AS s11, count(*) * var_pop(z2) AS s22,
-               count(*) * covar_pop(z1, z2) AS s12, count(*) * covar_pop(z1, y) AS s1y,
-               count(*) * covar_pop(z2, y) AS s2y, avg(y) AS my
-        FROM (SELECT held, id, any_value(y) AS y, sum(CASE WHEN rank = 1 THEN (v - m) / s END) AS z1,
-                     sum(CASE WHEN rank = 2 THEN (v - m) / s END) AS z2
-              FROM long JOIN moments USING (held, position) GROUP BY held, id)
-        GROUP BY held""",
-    "fits": f"""
-        SELECT held, k, a, my,
-               CASE k WHEN 1 THEN s1y / (s11 + a)
-                    ELSE ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12)
-                    END AS w1,
-               CASE k WHEN 1 THEN 0
-                    ELSE ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12)
-                    END AS w2
-        FROM sums, (SELECT unnest([1, 2]) AS k),
-             (SELECT CAST(unnest({LINEAR_GRID['model__alpha']}) AS DOUBLE) AS a)""",
-    "fitted": f"""
-        SELECT * FROM fits
-        WHERE held = -1 AND k = 2 AND a = CAST({MODEL['model__alpha']} AS DOUBLE)""",
-    "held_out": """
-        SELECT held, id, any_value(y) AS y, sum(CASE WHEN rank = 1 THEN (v - m) / s END) AS z1,
-               sum(CASE WHEN rank = 2 THEN (v - m) / s END) AS z2
-        FROM base_long JOIN moments ON fold = held AND moments.position = base_long.position
-        GROUP BY held, id""",
-    "grid": """
-        SELECT a, k, avg(r2) AS mean_r2
-        FROM (SELECT held, a, k, 1 - sum(power(y - my - w1 * z1 - w2 * z2, 2))
-                                     / (count(*) * var_pop(y)) AS r2
-              FROM held_out JOIN fits USING (held) GROUP BY held, a, k)
-        GROUP BY a, k""",
-    # One feature and its square, for the degrees 1 and 2.
-    "squares": """
-        SELECT held, (v - m) / s AS z, power((v - m) / s, 2) AS zz, y
-        FROM long JOIN moments USING (held, position) WHERE rank = 1""",
-    "square_sums": """
-        SELECT held, count(*) * var_pop(z) AS s11, count(*) * var_pop(zz) AS s22,
-               count(*) * covar_pop(z, zz) AS s12, count(*) * covar_pop(z, y) AS s1y,
-               count(*) * covar_pop(zz, y) AS s2y, avg(y) AS my, avg(z) AS mz, avg(zz) AS mzz
-        FROM squares GROUP BY held""",
-    "square_fits": f"""
-        SELECT held, d, a, my, mz, mzz,
-               CASE d WHEN 1 THEN s1y / (s11 + a)
-                    ELSE ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12)
-                    END AS w1,
-               CASE d WHEN 1 THEN 0
-                    ELSE ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12)
-                    END AS w2
-        FROM square_sums, (SELECT unnest([1, 2]) AS d),
-             (SELECT CAST(unnest({SQUARE_GRID['model__alpha']}) AS DOUBLE) AS a)""",
-    "square_grid": """
-        SELECT a, d, avg(r2) AS mean_r2
-        FROM (SELECT held, a, d, 1 - sum(power(y - my - w1 * (z1 - mz) - w2 * (z1 * z1 - mzz), 2))
-                                     / (count(*) * var_pop(y)) AS r2
-              FROM held_out JOIN square_fits USING (held) GROUP BY held, a, d)
-        GROUP BY a, d""",
-    "all_long": " UNION ALL ".join(
-        f"SELECT series, Periodo, target, is_test, {i} AS position, CAST({c} AS DOUBLE) AS v FROM split"
-        for i, c in enumerate(LAYOUT.features)
-    ),
-    "predicted": """
-        SELECT series, Periodo, target, is_test,
-               round(any_value(my) + sum((CASE WHEN rank = 1 THEN w1 ELSE w2 END) * (v - m) / s), 1)
-                   AS preds
-        FROM all_long JOIN moments USING (position) JOIN fitted USING (held) GROUP BY ALL""",
-    "numbered": """
-        SELECT *, row_number() OVER (PARTITION BY series ORDER BY anio, mes) AS nth,
-               anio * 12 + mes + series AS key FROM merged""",
-    "asked": f"""
-        SELECT concat_ws('|', series, anio || '-' || mes) AS request_id, series, nth, key % 7 = 0 AS as_numbers,
-               CASE WHEN key % 11 = 0 THEN 'missing {LAYOUT.rain[0]}'
-                    WHEN key % 13 = 0 THEN 'length of {LAYOUT.gdp[0]} is 2'
-                    WHEN key % 17 = 0 THEN 'length of {LAYOUT.gdp[0]} is 4'
-                    ELSE 'ok' END AS reason
-        FROM numbered WHERE nth >= 3""",
-    "asked_rows": f"""
-        SELECT request_id, CAST(m.nth - a.nth + 2 AS INTEGER) AS pos,
-               {', '.join(f'm.{c}' for c in [*schema.TIME_COLS, PRICE, *LAYOUT.rain])},
-               {', '.join(_sent(c) for c in LAYOUT.texts)}
-        FROM asked a JOIN numbered m ON m.series = a.series AND m.nth BETWEEN a.nth - 2 AND a.nth
-        WHERE reason = 'ok'""",
-    "answered": """
-        SELECT request_id, preds AS pred
-        FROM asked a JOIN predicted p ON a.request_id = concat_ws('|', p.series, p.Periodo)
-        WHERE reason = 'ok'""",
-    "quality": """
-        SELECT count(*) AS n, avg(power(l_extendedprice - l_quantity * p_retailprice, 2)) AS mse,
-               var_pop(l_extendedprice) AS spread
-        FROM lineitem JOIN part ON l_partkey = p_partkey""",
-}
+def _ctes(layout: Layout) -> dict[str, str]:
+    """The steps from the tables to the model, by name."""
+    return {
+        "price": f"""
+            SELECT c_nationkey AS series, {_int_part('year', 'o_orderdate')} AS anio,
+                   {_int_part('month', 'o_orderdate')} AS mes,
+                   (CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) // count(*))
+                       / 100.0::DOUBLE AS {PRICE}
+            FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2, 3""",
+        "line_months": f"""
+            SELECT s_nationkey AS series, {_int_part('year', 'l_shipdate')} AS anio,
+                   {_int_part('month', 'l_shipdate')} AS mes, {_sums(layout)}
+            FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1, 2, 3""",
+        "rain": f"SELECT {KEYS}, {', '.join(layout.rain)} FROM line_months",
+        "bank_copies": """
+            SELECT m.*, copy, anio * 12 + mes + series AS key
+            FROM line_months m, (SELECT unnest([0, 1]) AS copy) c
+            WHERE copy = 0 OR (anio * 12 + mes + series) % 5 = 0""",
+        "bank_raw": f"""
+            SELECT series, (anio * 12 + mes) * 2 + copy AS source_order,
+                   CASE WHEN key % 17 = 0 THEN printf('%d-13-01', anio)
+                        WHEN key % 3 = 0 THEN printf('%d-%02d-01 00:00:00 UTC', anio, mes)
+                        WHEN key % 3 = 1 THEN printf('%d/%02d/01', anio, mes)
+                        ELSE printf('%d-%02d-01', anio, mes) END AS written,
+                   {_bank_texts(layout)}
+            FROM bank_copies""",
+        "bank_first": """
+            SELECT *, row_number() OVER (PARTITION BY series, day ORDER BY source_order) AS nth
+            FROM (SELECT *, try_strptime(written, ['%Y-%m-%d', '%Y-%m-%d %H:%M:%S UTC', '%Y/%m/%d'])
+                      AS day FROM bank_raw)""",
+        "bank": f"""
+            SELECT series, {_int_part('year', 'day')} AS anio, {_int_part('month', 'day')} AS mes,
+                   {', '.join(layout.texts)}
+            FROM bank_first
+            WHERE nth = 1 AND day IS NOT NULL
+              AND {' AND '.join(f'{c} IS NOT NULL' for c in layout.texts)}""",
+        "joined": """
+            SELECT * FROM price JOIN rain USING (series, anio, mes)
+            JOIN bank USING (series, anio, mes)""",
+        "shifted": f"""
+            SELECT series, {', '.join(f'lag({c}) OVER w AS {c}' for c in layout.merged)},
+                   {PRICE} AS target
+            FROM joined WINDOW w AS (PARTITION BY series ORDER BY anio, mes)""",
+        "merged": f"""
+            SELECT * FROM shifted
+            WHERE {' AND '.join(f'{c} IS NOT NULL' for c in [*layout.merged, 'target'])}""",
+        "repaired": f"""
+            SELECT {KEYS}, target, {', '.join([PRICE, *layout.rain])},
+                   {', '.join(f'{_gdp(c)} AS {c}' for c in layout.gdp)},
+                   {', '.join(f'{_index(c)} AS {c}' for c in layout.index)}
+            FROM merged""",
+        "rolled": f"""
+            SELECT *, anio || '-' || mes AS Periodo,
+                   {_trailing(layout.values, '2 PRECEDING AND CURRENT ROW', 'CAST({} AS DOUBLE)')}
+            FROM repaired""",
+        "complete": f"""
+            SELECT series, Periodo, target, {', '.join(layout.features)} FROM rolled
+            WHERE {rolling_name(PRICE, 'std')} IS NOT NULL""",
+        "split": """
+            SELECT *, CAST(row_number() OVER (ORDER BY md5(concat_ws('|', '42', series, Periodo)))
+                           <= ceil(0.2 * count(*) OVER ()) AS INTEGER) AS is_test
+            FROM complete""",
+        "train": """
+            SELECT *, concat_ws('|', series, Periodo) AS id,
+                   ntile(3) OVER (ORDER BY md5(concat_ws('|', '42', series, Periodo))) - 1 AS fold
+            FROM split WHERE is_test = 0""",
+        "base_long": " UNION ALL ".join(
+            f"SELECT id, fold, target AS y, {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS v,\n            CAST({c} AS FLOAT) AS fv, CAST(target AS FLOAT) AS fy FROM train"
+            for i, c in enumerate(layout.features)
+        ),
+        # Fitting rows of every fold; fold -1 holds nothing out.
+        "long": """
+            SELECT held, b.* FROM base_long b, (SELECT unnest([-1, 0, 1, 2]) AS held)
+            WHERE fold <> held""",
+        "ranked": """
+            SELECT *, row_number() OVER (PARTITION BY held, position ORDER BY fv) AS rv,
+                   row_number() OVER (PARTITION BY held, position ORDER BY fy) AS ry,
+                   count(*) OVER (PARTITION BY held, position) AS n
+            FROM long""",
+        "edges": f"""
+            SELECT held, position, {', '.join(
+                f"max(CASE WHEN r{s} = ceil(CAST(0.{i} AS DOUBLE) * n) THEN f{s} END) AS {s}{i}"
+                for s in 'vy' for i in range(1, BINS))}
+            FROM ranked GROUP BY held, position""",
+        "cells": f"""
+            SELECT held, position, feature, {' + '.join(f'(fv > v{i})::INT' for i in range(1, BINS))} AS bx,
+                   {' + '.join(f'(fy > y{i})::INT' for i in range(1, BINS))} AS by_,
+                   count(*)::DOUBLE AS n
+            FROM long JOIN edges USING (held, position) GROUP BY ALL""",
+        "scores": """
+            SELECT held, position, feature, round(sum(n / t * ln(n * t / (x * y))), 9) AS score
+            FROM (SELECT held, position, feature, n, sum(n) OVER (PARTITION BY held, position) AS t,
+                         sum(n) OVER (PARTITION BY held, position, bx) AS x,
+                         sum(n) OVER (PARTITION BY held, position, by_) AS y FROM cells)
+            GROUP BY held, position, feature""",
+        "best": """
+            SELECT held, position, feature,
+                   row_number() OVER (PARTITION BY held ORDER BY score DESC, position DESC) AS rank
+            FROM scores""",
+        "moments": """
+            SELECT held, rank, position, avg(v) AS m, stddev_pop(v) AS s
+            FROM long JOIN best USING (held, position) WHERE rank <= 2 GROUP BY held, rank, position""",
+        "sums": """
+            SELECT held, count(*) * var_pop(z1) AS s11, count(*) * var_pop(z2) AS s22,
+                   count(*) * covar_pop(z1, z2) AS s12, count(*) * covar_pop(z1, y) AS s1y,
+                   count(*) * covar_pop(z2, y) AS s2y, avg(y) AS my
+            FROM (SELECT held, id, any_value(y) AS y, sum(CASE WHEN rank = 1 THEN (v - m) / s END) AS z1,
+                         sum(CASE WHEN rank = 2 THEN (v - m) / s END) AS z2
+                  FROM long JOIN moments USING (held, position) GROUP BY held, id)
+            GROUP BY held""",
+        "fits": f"""
+            SELECT held, k, a, my,
+                   CASE k WHEN 1 THEN s1y / (s11 + a)
+                        ELSE ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                        END AS w1,
+                   CASE k WHEN 1 THEN 0
+                        ELSE ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                        END AS w2
+            FROM sums, (SELECT unnest([1, 2]) AS k),
+                 (SELECT CAST(unnest({LINEAR_GRID['model__alpha']}) AS DOUBLE) AS a)""",
+        "fitted": f"""
+            SELECT * FROM fits
+            WHERE held = -1 AND k = 2 AND a = CAST({MODEL['model__alpha']} AS DOUBLE)""",
+        "held_out": """
+            SELECT held, id, any_value(y) AS y, sum(CASE WHEN rank = 1 THEN (v - m) / s END) AS z1,
+                   sum(CASE WHEN rank = 2 THEN (v - m) / s END) AS z2
+            FROM base_long JOIN moments ON fold = held AND moments.position = base_long.position
+            GROUP BY held, id""",
+        "grid": """
+            SELECT a, k, avg(r2) AS mean_r2
+            FROM (SELECT held, a, k, 1 - sum(power(y - my - w1 * z1 - w2 * z2, 2))
+                                         / (count(*) * var_pop(y)) AS r2
+                  FROM held_out JOIN fits USING (held) GROUP BY held, a, k)
+            GROUP BY a, k""",
+        # One feature and its square, for the degrees 1 and 2.
+        "squares": """
+            SELECT held, (v - m) / s AS z, power((v - m) / s, 2) AS zz, y
+            FROM long JOIN moments USING (held, position) WHERE rank = 1""",
+        "square_sums": """
+            SELECT held, count(*) * var_pop(z) AS s11, count(*) * var_pop(zz) AS s22,
+                   count(*) * covar_pop(z, zz) AS s12, count(*) * covar_pop(z, y) AS s1y,
+                   count(*) * covar_pop(zz, y) AS s2y, avg(y) AS my, avg(z) AS mz, avg(zz) AS mzz
+            FROM squares GROUP BY held""",
+        "square_fits": f"""
+            SELECT held, d, a, my, mz, mzz,
+                   CASE d WHEN 1 THEN s1y / (s11 + a)
+                        ELSE ((s22 + a) * s1y - s12 * s2y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                        END AS w1,
+                   CASE d WHEN 1 THEN 0
+                        ELSE ((s11 + a) * s2y - s12 * s1y) / ((s11 + a) * (s22 + a) - s12 * s12)
+                        END AS w2
+            FROM square_sums, (SELECT unnest([1, 2]) AS d),
+                 (SELECT CAST(unnest({SQUARE_GRID['model__alpha']}) AS DOUBLE) AS a)""",
+        "square_grid": """
+            SELECT a, d, avg(r2) AS mean_r2
+            FROM (SELECT held, a, d, 1 - sum(power(y - my - w1 * (z1 - mz) - w2 * (z1 * z1 - mzz), 2))
+                                         / (count(*) * var_pop(y)) AS r2
+                  FROM held_out JOIN square_fits USING (held) GROUP BY held, a, d)
+            GROUP BY a, d""",
+        "all_long": " UNION ALL ".join(
+            f"SELECT series, Periodo, target, is_test, {i} AS position, CAST({c} AS DOUBLE) AS v FROM split"
+            for i, c in enumerate(layout.features)
+        ),
+        "predicted": """
+            SELECT series, Periodo, target, is_test,
+                   round(any_value(my) + sum((CASE WHEN rank = 1 THEN w1 ELSE w2 END) * (v - m) / s), 1)
+                       AS preds
+            FROM all_long JOIN moments USING (position) JOIN fitted USING (held) GROUP BY ALL""",
+        "numbered": """
+            SELECT *, row_number() OVER (PARTITION BY series ORDER BY anio, mes) AS nth,
+                   anio * 12 + mes + series AS key FROM merged""",
+        "asked": f"""
+            SELECT concat_ws('|', series, anio || '-' || mes) AS request_id, series, nth, key % 7 = 0 AS as_numbers,
+                   CASE WHEN key % 11 = 0 THEN 'missing {layout.rain[0]}'
+                        WHEN key % 13 = 0 THEN 'length of {layout.gdp[0]} is 2'
+                        WHEN key % 17 = 0 THEN 'length of {layout.gdp[0]} is 4'
+                        ELSE 'ok' END AS reason
+            FROM numbered WHERE nth >= 3""",
+        "asked_rows": f"""
+            SELECT request_id, CAST(m.nth - a.nth + 2 AS INTEGER) AS pos,
+                   {', '.join(f'm.{c}' for c in [*schema.TIME_COLS, PRICE, *layout.rain])},
+                   {', '.join(_sent(c, layout) for c in layout.texts)}
+            FROM asked a JOIN numbered m ON m.series = a.series AND m.nth BETWEEN a.nth - 2 AND a.nth
+            WHERE reason = 'ok'""",
+        "answered": """
+            SELECT request_id, preds AS pred
+            FROM asked a JOIN predicted p ON a.request_id = concat_ws('|', p.series, p.Periodo)
+            WHERE reason = 'ok'""",
+        "quality": """
+            SELECT count(*) AS n, avg(power(l_extendedprice - l_quantity * p_retailprice, 2)) AS mse,
+                   var_pop(l_extendedprice) AS spread
+            FROM lineitem JOIN part ON l_partkey = p_partkey""",
+    }
+
 
 # Each table and what it is made from, so that a query names only its last step.
 NEEDS = {
@@ -328,7 +331,7 @@ NEEDS = {
 }
 
 
-def _with(*names: str) -> str:
+def _with(*names: str, layout: Layout = LAYOUT) -> str:
     wanted: set[str] = set()
     queue = list(names)
     while queue:
@@ -336,7 +339,7 @@ def _with(*names: str) -> str:
         if name not in wanted:
             wanted.add(name)
             queue += NEEDS.get(name, [])
-    parts = [f"{name} AS MATERIALIZED ({sql})" for name, sql in CTES.items() if name in wanted]
+    parts = [f"{name} AS MATERIALIZED ({sql})" for name, sql in _ctes(layout).items() if name in wanted]
     return "WITH " + ",\n".join(parts) + "\n"
 
 
@@ -352,10 +355,11 @@ def _by_priority(expression: str) -> str:
     return f"{expression} OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey)"
 
 
-LOG_COLUMNS = (
-    f"request_id, pos, anio, mes, {_round(PRICE, PRICE)}, {', '.join(LAYOUT.texts)}, pred"
-)
-LOG = f"SELECT {LOG_COLUMNS} FROM asked_rows JOIN answered USING (request_id)"
+def _log(layout: Layout = LAYOUT) -> str:
+    columns = f"request_id, pos, anio, mes, {_round(PRICE, PRICE)}, {', '.join(layout.texts)}, pred"
+    return f"SELECT {columns} FROM asked_rows JOIN answered USING (request_id)"
+
+
 QUALITY = """SELECT n, round(mse, 1) AS mse, round(sqrt(mse), 4) AS rmse,
                     round(1 - mse / spread, 8) AS r2 FROM quality"""
 CENTS = "CAST(round(l_extendedprice * 100) AS BIGINT)"
@@ -449,7 +453,7 @@ def oracle_sql() -> dict[str, str]:
                 f"SELECT {i} AS position, '{c}' AS feature, CAST({c} AS FLOAT) AS fv, "
                 "CAST(l_extendedprice AS FLOAT) AS fy, -1 AS held FROM lineitem"
                 for i, c in enumerate(["l_quantity", "l_discount", "l_partkey"]))}),
-            {', '.join(f'{name} AS MATERIALIZED ({CTES[name]})' for name in ("ranked", "edges", "cells", "scores"))}
+            {', '.join(f'{name} AS MATERIALIZED ({_ctes(LAYOUT)[name]})' for name in ("ranked", "edges", "cells", "scores"))}
             SELECT CAST(position AS INTEGER) AS position, feature, round(score, 7) AS score FROM scores""",
         "select_k_best": _with("best")
         + "SELECT CAST(rank AS INTEGER) AS rank, feature FROM best"
@@ -546,10 +550,11 @@ def oracle_sql() -> dict[str, str]:
                      {_round(PRICE, PRICE)}, {', '.join([*LAYOUT.rain, *LAYOUT.texts])}
               FROM asked_rows""",
         "score_requests": _with("answered") + "SELECT request_id, pred FROM answered",
-        "request_log": _with("asked_rows", "answered") + LOG,
+        "request_log": _with("asked_rows", "answered") + _log(),
+        "request_log_full": _with("asked_rows", "answered", layout=FULL) + _log(FULL),
         "request_log_head": _with("asked_rows", "answered")
-        + f"{LOG} ORDER BY request_id, pos LIMIT 100",
-        "stream_score": _with("asked_rows", "answered") + LOG,
+        + f"{_log()} ORDER BY request_id, pos LIMIT 100",
+        "stream_score": _with("asked_rows", "answered") + _log(),
         "monthly_features": _with("complete")
         + f"""SELECT series, Periodo, {_round('target', PRICE, 'target')}, {_feature_columns()}
               FROM complete""",

@@ -37,6 +37,7 @@ from lunario.plans.standins import (
     raw_price,
     table,
 )
+from lunario.schema import FULL, Layout
 from lunario.session import fresh_path, stage_table
 from lunario.sources import files
 from lunario.sources import requests as request_files
@@ -44,8 +45,8 @@ from lunario.sources.collectors import collect_price
 from lunario.streaming.score import stream_score
 
 # Decimals kept per column kind, some six significant digits.
-DIGITS = {LAYOUT.price: 4} | dict.fromkeys(LAYOUT.rain, 4) | dict.fromkeys(LAYOUT.gdp, 0)
-DIGITS |= dict.fromkeys(LAYOUT.index, 5)
+DIGITS = {FULL.price: 4} | dict.fromkeys(FULL.rain, 4) | dict.fromkeys(FULL.gdp, 0)
+DIGITS |= dict.fromkeys(FULL.index, 5)
 MODEL = {"selector__k": 2, "poly__degree": 1, "model__alpha": 0.2}
 SMALL_GRID = {"selector__k": [1, 2, 3], "poly__degree": [1, 2], "model__alpha": [1, 0.2, 0.01]}
 LINEAR_GRID = {"selector__k": [1, 2], "poly__degree": [1], "model__alpha": [1, 0.2, 0.01]}
@@ -80,29 +81,31 @@ def _rounded(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     )
 
 
-def _merged(spark: SparkSession, sf: str) -> DataFrame:
-    return merge.merge_sources(*collected(spark, sf), SERIES, layout=LAYOUT)
+def _merged(spark: SparkSession, sf: str, layout: Layout = LAYOUT) -> DataFrame:
+    return merge.merge_sources(*collected(spark, sf, layout), SERIES, layout=layout)
 
 
 def _features(spark: SparkSession, sf: str) -> DataFrame:
     return merge.monthly_features(_merged(spark, sf), SERIES, layout=LAYOUT)
 
 
-def _staged_merge(spark: SparkSession, sf: str) -> DataFrame:
+def _staged_merge(spark: SparkSession, sf: str, layout: Layout = LAYOUT) -> DataFrame:
     """The merged table, built once for queries that need both a model and requests."""
-    return stage_table(_merged(spark, sf), "merged")
+    return stage_table(_merged(spark, sf, layout), "merged")
 
 
-def _training(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> DataFrame:
+def _training(
+    spark: SparkSession, sf: str, merged: DataFrame | None = None, layout: Layout = LAYOUT
+) -> DataFrame:
     """Split training table, staged because every model step reads it."""
-    merged = _merged(spark, sf) if merged is None else merged
-    features = merge.monthly_features(merged, SERIES, layout=LAYOUT)
+    merged = _merged(spark, sf, layout) if merged is None else merged
+    features = merge.monthly_features(merged, SERIES, layout=layout)
     complete = stage_table(merge.training_table(features), "training")
     return splits.train_test_split(complete, [*SERIES, schema.PERIOD])
 
 
-def _model(training: DataFrame) -> PipelineModel:
-    return forecast.fit_model(training.where(~F.col("is_test")), MODEL, LAYOUT.features)
+def _model(training: DataFrame, layout: Layout = LAYOUT) -> PipelineModel:
+    return forecast.fit_model(training.where(~F.col("is_test")), MODEL, layout.features)
 
 
 def _scored(model: PipelineModel, features: DataFrame) -> DataFrame:
@@ -516,29 +519,31 @@ def poly_degree2(spark: SparkSession, sf: str) -> DataFrame:
 # Requests
 
 
-def _sent_requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> str:
+def _sent_requests(
+    spark: SparkSession, sf: str, merged: DataFrame | None = None, layout: Layout = LAYOUT
+) -> str:
     """Folder of JSON requests: every three consecutive months of a nation, some of them broken.
 
     In every seventh request the first bank columns come as JSON numbers, so that
     a repair of them would show.
     """
-    merged = _merged(spark, sf) if merged is None else merged
+    merged = _merged(spark, sf, layout) if merged is None else merged
     months = schema.REQUEST_MONTHS
 
     def history(column: str, dtype: str) -> windows.Output:
         value = F.col(column).cast(dtype)
         return lambda w: F.array(*[F.lag(value, i).over(w) for i in reversed(range(months))])
 
-    numbers = {*schema.TIME_COLS, LAYOUT.price, *LAYOUT.rain}
+    numbers = {*schema.TIME_COLS, layout.price, *layout.rain}
     outputs = {
-        f"h_{c}": history(c, "double" if c in numbers else "string") for c in LAYOUT.merged
+        f"h_{c}": history(c, "double" if c in numbers else "string") for c in layout.merged
     }
     outputs["h_rank"] = lambda w: F.row_number().over(w)
     whole = windows.over_series(merged, SERIES, schema.TIME_COLS, outputs, before=months - 1)
     key = F.col("anio") * 12 + F.col("mes") + F.col("series")
-    first_rain, first_gdp = LAYOUT.rain[0], LAYOUT.gdp[0]
-    arrays = {c: F.col(f"h_{c}") for c in LAYOUT.merged}
-    for c, repair in ((first_gdp, gdp_number), (LAYOUT.index[0], index_number)):
+    first_rain, first_gdp = layout.rain[0], layout.gdp[0]
+    arrays = {c: F.col(f"h_{c}") for c in layout.merged}
+    for c, repair in ((first_gdp, gdp_number), (layout.index[0], index_number)):
 
         def sent_cell(text: Column) -> Column:
             number = repair(text).cast("double").cast("variant")
@@ -562,8 +567,10 @@ def _sent_requests(spark: SparkSession, sf: str, merged: DataFrame | None = None
     return path
 
 
-def _requests(spark: SparkSession, sf: str, merged: DataFrame | None = None) -> DataFrame:
-    return request_files.read_requests(spark, _sent_requests(spark, sf, merged), LAYOUT)
+def _requests(
+    spark: SparkSession, sf: str, merged: DataFrame | None = None, layout: Layout = LAYOUT
+) -> DataFrame:
+    return request_files.read_requests(spark, _sent_requests(spark, sf, merged, layout), layout)
 
 
 def validate_requests(spark: SparkSession, sf: str) -> DataFrame:
@@ -588,17 +595,17 @@ def score_requests(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("request_id", F.round("pred", 1).alias("pred"))
 
 
-def _log_view(log: DataFrame) -> DataFrame:
-    columns = ["request_id", "pos", *schema.TIME_COLS, LAYOUT.price, *LAYOUT.texts, "pred"]
+def _log_view(log: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
+    columns = ["request_id", "pos", *schema.TIME_COLS, layout.price, *layout.texts, "pred"]
     return _rounded(log.withColumn("pred", F.round("pred", 1)), columns)
 
 
-def _logged(spark: SparkSession, sf: str) -> DataFrame:
-    merged = _staged_merge(spark, sf)
-    model = _model(_training(spark, sf, merged))
-    scored = requests.score_requests(_requests(spark, sf, merged), model, LAYOUT)
+def _logged(spark: SparkSession, sf: str, layout: Layout = LAYOUT) -> DataFrame:
+    merged = _staged_merge(spark, sf, layout)
+    model = _model(_training(spark, sf, merged, layout), layout)
+    scored = requests.score_requests(_requests(spark, sf, merged, layout), model, layout)
     path = fresh_path(spark, "request-log")
-    request_files.append_log(requests.log_rows(scored, LAYOUT), path, "0")
+    request_files.append_log(requests.log_rows(scored, layout), path, "0")
     return request_files.read_log(spark, path)
 
 
@@ -606,6 +613,11 @@ def request_log(spark: SparkSession, sf: str) -> DataFrame:
     return _log_view(_logged(spark, sf))
 
 
+def request_log_full(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests over all 47 columns, scored by a model of all 141 features."""
+    return _log_view(_logged(spark, sf, FULL), FULL)
+
+
 def request_log_head(spark: SparkSession, sf: str) -> DataFrame:
     return _log_view(request_files.log_head(_logged(spark, sf), 100))
 
@@ -735,6 +747,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "request_rows": request_rows,
         "score_requests": score_requests,
         "request_log": request_log,
+        "request_log_full": request_log_full,
         "request_log_head": request_log_head,
         "stream_score": stream_score_query,
         "monthly_features": monthly_features,

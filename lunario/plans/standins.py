@@ -71,23 +71,24 @@ def dotted(number: Column, from_left: Column) -> Column:
     )
 
 
-def line_sums() -> dict[str, Column]:
+def line_sums(layout: Layout = LAYOUT) -> dict[str, Column]:
     """Monthly line-item figures: rainfall per line number, weighted sums for the bank."""
     whole = F.floor("l_extendedprice").cast("bigint")
+    regions = len(layout.rain)
 
     def weighted(i: int, modulus: int) -> Column:
         return F.sum(whole * ((F.col("l_partkey") + i) % modulus + 1))
 
     sums = {
-        c: F.sum(F.when(F.col("l_linenumber") % 3 == i, F.col("l_quantity")).otherwise(0.0))
-        for i, c in enumerate(LAYOUT.rain)
+        c: F.sum(F.when(F.col("l_linenumber") % regions == i, F.col("l_quantity")).otherwise(0.0))
+        for i, c in enumerate(layout.rain)
     }
-    sums |= {c: weighted(i, GDP_MODULUS) for i, c in enumerate(LAYOUT.gdp)}
-    sums |= {c: weighted(i, INDEX_MODULUS) for i, c in enumerate(LAYOUT.index)}
+    sums |= {c: weighted(i, GDP_MODULUS) for i, c in enumerate(layout.gdp)}
+    sums |= {c: weighted(i, INDEX_MODULUS) for i, c in enumerate(layout.index)}
     return sums
 
 
-def line_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+def line_months(spark: SparkSession, sf_dir: str, layout: Layout = LAYOUT) -> DataFrame:
     """Every line-item figure per nation and month, staged: two sources read it."""
     lineitem = table(spark, sf_dir, "lineitem")
     supplier = table(spark, sf_dir, "supplier")
@@ -98,18 +99,18 @@ def line_months(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.year("l_shipdate").alias("anio"),
             F.month("l_shipdate").alias("mes"),
         )
-        .agg(*[total.alias(c) for c, total in line_sums().items()])
+        .agg(*[total.alias(c) for c, total in line_sums(layout).items()])
     )
     return stage_table(monthly, "line-months")
 
 
-def raw_rain(months: DataFrame) -> DataFrame:
+def raw_rain(months: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
     """(series, date, regions)."""
     date = F.format_string("%d-%02d-01", "anio", "mes")
-    return months.select("series", date.alias("date"), *LAYOUT.rain)
+    return months.select("series", date.alias("date"), *layout.rain)
 
 
-def raw_bank(months: DataFrame) -> DataFrame:
+def raw_bank(months: DataFrame, layout: Layout = LAYOUT) -> DataFrame:
     """(series, source_order, Periodo, texts) with unreadable dates and repeated months.
 
     Every fifth month comes twice; in every tenth the first copy is incomplete,
@@ -123,7 +124,7 @@ def raw_bank(months: DataFrame) -> DataFrame:
         .otherwise(F.format_string("%d-%02d-01", "anio", "mes"))
     )
     copies = F.when(key % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    first, *others = LAYOUT.texts
+    first, *others = layout.texts
     from_left = F.col("mes") % 2 == 0
     copied = months.withColumn("copy", F.explode(copies))
     return copied.select(
@@ -137,11 +138,13 @@ def raw_bank(months: DataFrame) -> DataFrame:
     )
 
 
-def collected(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def collected(
+    spark: SparkSession, sf_dir: str, layout: Layout = LAYOUT
+) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Collected price, rainfall and bank tables."""
-    months = line_months(spark, sf_dir)
+    months = line_months(spark, sf_dir, layout)
     return (
-        collect_price(raw_price(spark, sf_dir), SERIES, LAYOUT),
-        collect_rain(raw_rain(months), SERIES, LAYOUT),
-        collect_bank(raw_bank(months), SERIES, layout=LAYOUT),
+        collect_price(raw_price(spark, sf_dir), SERIES, layout),
+        collect_rain(raw_rain(months, layout), SERIES, layout),
+        collect_bank(raw_bank(months, layout), SERIES, layout=layout),
     )

@@ -77,6 +77,54 @@ def test_online_features_equal_batch_features(spark, tmp_path):
     assert row["PIB_Pesca"] == 107007804 and row["Imacec_comercio"] == 117.37
 
 
+def wide_merged(spark, months=9):
+    """Months of the full layout, as the merged table holds them."""
+    full, rnd = schema.FULL, random.Random(4)
+    rows = []
+    for i in range(months):
+        numbers = [rnd.uniform(0, 300) for _ in (full.price, *full.rain)]
+        texts = [f"{rnd.randint(100, 999)}.{rnd.randint(100, 999)}.{rnd.randint(100, 999)}" for _ in full.texts]
+        rows.append((2014, i + 1, *numbers, *texts, 1.0))
+    kinds = ["int", "int"] + ["double"] * (1 + len(full.rain)) + ["string"] * len(full.texts) + ["double"]
+    names = [*full.merged, schema.TARGET]
+    return spark.createDataFrame(rows, ", ".join(f"`{n}` {k}" for n, k in zip(names, kinds)))
+
+
+def test_all_47_columns_score_within_generated_code(spark, tmp_path):
+    import json
+
+    full, merged = schema.FULL, wide_merged(spark)
+    sent = merged.orderBy("mes").collect()
+    bodies = [
+        {"request_id": str(i), "data": {c: [r[c] for r in sent[i : i + 3]] for c in full.merged}}
+        for i in range(len(sent) - 2)
+    ]
+    (tmp_path / "wide.json").write_text("\n".join(map(json.dumps, bodies)))
+    frame = request_files.read_requests(spark, str(tmp_path / "wide.json"))
+    online = requests.request_features(requests.request_months(frame))
+    assert len(full.merged) == 49 and len(full.features) == 141
+    batch = {r["Periodo"]: r for r in merge.monthly_features(merged).collect()}
+    got = online.drop("months").collect()
+    assert len(got) == 7
+    for r in got:
+        want = batch[f"2014-{int(r['request_id']) + 3}"]
+        for name in full.features:
+            assert r[name] == pytest.approx(want[name], rel=1e-12), name
+
+    rnd = random.Random(8)
+    names = [*full.features, "target"]
+    train = spark.createDataFrame([[rnd.uniform(0, 100) for _ in names] for _ in range(40)], names)
+    model = forecast.fit_model(train, {"selector__k": 3, "poly__degree": 2, "model__alpha": 0.2})
+    scored = requests.log_rows(requests.score_requests(frame, model))
+    assert scored.count() == 21
+    # Every stage compiles: a method above the limit of 64 KB would have been left out.
+    plan = scored._jdf.queryExecution().executedPlan()
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+    stages = debug.codegenStringSeq(plan)
+    sizes = [stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())]
+    assert sizes and all(0 < size < 1 << 16 for size in sizes)
+
+
 def test_last_complete_month_is_used(spark, tmp_path):
     broken_last = variant(PIB_Pesca=["449.097.098", "530.628.153", "oops"])
     broken_middle = variant(Coquimbo=[1.0, None, 3.0])
