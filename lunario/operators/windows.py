@@ -8,8 +8,11 @@ Callers whose series can grow without limit pass ``unit``, a coarse step of the
 leading order column such as its day. Series longer than ``target_rows`` are
 then cut into runs of consecutive units, each run is one window partition, and
 only the few rows next to a cut are worked out a second time, each cut in a window
-partition of its own. A unit stays whole, so pass a step fine enough that one
-holds few rows. Units must not overlap along the order; that is checked.
+partition of its own. A unit with more than ``target_rows`` rows is itself cut
+into pieces, ranges of the order key that a range partitioner deals out, so a day
+or minute that holds a whole table is split as well. Positions of the pieces come
+from a prefix sum in two levels, over blocks of pieces and within each block. Units
+must not overlap along the order; that is checked.
 """
 
 from __future__ import annotations
@@ -24,6 +27,9 @@ from lunario.session import stage_table
 
 RUN_ROWS = 4_000_000
 
+_UNIT = "__unit"
+_PIECE = "__piece"
+_BLOCK = "__block"
 _RUN = "__run"
 _RANK = "__rank"
 _CUTS = "__cuts"
@@ -32,6 +38,82 @@ _CUT = "__cut"
 Output = Callable[[WindowSpec], Column]
 
 
+def _same(left: str, right: str, columns: list[str]) -> list[Column]:
+    return [F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}")) for c in columns]
+
+
+def _in_pieces(
+    df: DataFrame, series: list[str], order: list[str | Column], target_rows: int, units: DataFrame
+) -> DataFrame:
+    """``df`` (with ``__unit``) plus ``__piece``: 0, or the order-key range in a unit that is too long.
+
+    ``units`` has the rows per unit of long series. Only rows of units above
+    ``target_rows`` move: a range partitioner deals them out by series, unit and
+    order key, and they are staged, so that every reader sees the same ranges.
+    """
+    oversize = stage_table(
+        units.where(F.col("__n") > target_rows).select(*series, _UNIT, "__n"), "oversize-units"
+    )
+    total = oversize.agg(F.sum("__n")).first()[0]
+    if total is None:
+        return df.withColumn(_PIECE, F.lit(0))
+    keys = [*series, _UNIT]
+    # At most rows / target_rows units are too long.
+    named = oversize.select(*keys, F.lit(True).alias("__oversize"))
+    marked = df.alias("d").join(named.alias("o"), _same("d", "o", keys), "left").select(
+        "d.*", F.coalesce("o.__oversize", F.lit(False)).alias("__oversize")
+    )
+    ranges = -(-total // target_rows)
+    dealt = (
+        marked.where("__oversize")
+        .repartitionByRange(ranges, *[F.col(k) for k in keys], *order)
+        .withColumn(_PIECE, F.spark_partition_id())
+    )
+    whole = marked.where("NOT __oversize").withColumn(_PIECE, F.lit(0))
+    return whole.unionByName(stage_table(dealt, "series-pieces")).drop("__oversize")
+
+
+def _positions(pieces: DataFrame, series: list[str]) -> DataFrame:
+    """Adds ``__before``, the rows of the series ahead of a piece, and whether the piece overlaps one.
+
+    Pieces are dealt to blocks in order. A window never holds more than the
+    pieces of a block, or one row per block of a series.
+    """
+    place = [_UNIT, _PIECE]
+    blocks = stage_table(
+        pieces.repartitionByRange(*[F.col(c) for c in [*series, *place]]).withColumn(
+            _BLOCK, F.spark_partition_id()
+        ),
+        "series-blocks",
+    )
+    ahead = Window.partitionBy(*series).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    totals = (
+        blocks.groupBy(*series, _BLOCK)
+        .agg(F.sum("__n").alias("__n"), F.max("__high").alias("__high"))
+        .withColumn("__blocks_before", F.coalesce(F.sum("__n").over(ahead), F.lit(0)))
+        .withColumn("__blocks_high", F.max("__high").over(ahead))
+        .drop("__n", "__high")
+    )
+    before = (
+        Window.partitionBy(*series, _BLOCK)
+        .orderBy(*place)
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    inside = blocks.withColumn(
+        "__inside", F.coalesce(F.sum("__n").over(before), F.lit(0))
+    ).withColumn("__inside_high", F.max("__high").over(before))
+    highest = F.greatest("t.__blocks_high", "i.__inside_high")
+    return (
+        inside.alias("i")
+        .join(totals.alias("t"), _same("i", "t", [*series, _BLOCK]))
+        .select(
+            *[f"i.{c}" for c in [*series, *place, "__n"]],
+            (F.col("t.__blocks_before") + F.col("i.__inside")).alias("__before"),
+            (F.col("i.__low") < highest).alias("__overlaps"),
+        )
+    )
+
+
 def _runs_of_long_series(
     df: DataFrame,
     series: list[str],
@@ -39,15 +121,16 @@ def _runs_of_long_series(
     target_rows: int,
     order: list[str | Column] = [],
     margin: int = 0,
-) -> DataFrame | None:
-    """(series, unit) -> run, first row position, cuts within ``margin``; long series only.
+) -> tuple[DataFrame, DataFrame] | None:
+    """The rows with unit and piece, and (series, unit, piece) -> run, first row position, cuts.
 
-    Counting passes read just the key columns and combine on the map side. There
-    are at most rows / target_rows long series, and one result row for each unit
-    of such a series.
+    Cuts are those within ``margin`` rows of the run. Counting passes read just
+    the key columns and combine on the map side. There are at most rows /
+    target_rows long series.
     """
+    tagged = df.withColumn(_UNIT, unit)
     place = F.struct(*order) if order else F.lit(None).cast("int")
-    keyed = df.select(*series, unit.alias("__unit"), place.alias("__place"))
+    keyed = tagged.select(*series, _UNIT)
     long_series = stage_table(
         keyed.groupBy(*series)
         .agg(F.count(F.lit(1)).alias("__total"))
@@ -56,55 +139,61 @@ def _runs_of_long_series(
     )
     if long_series.isEmpty():
         return None
-    per_unit = keyed.groupBy(*series, "__unit").agg(
-        F.count(F.lit(1)).alias("__n"),
-        F.min("__place").alias("__low"),
-        F.max("__place").alias("__high"),
-    )
-    if series:
-        match = [F.col(f"u.{c}").eqNullSafe(F.col(f"l.{c}")) for c in series]
-        per_unit = per_unit.alias("u").join(long_series.alias("l"), match, "left_semi")
-    before = Window.partitionBy(*series).orderBy("__unit").rowsBetween(
-        Window.unboundedPreceding, -1
+
+    def of_long(keys: DataFrame) -> DataFrame:
+        if not series:
+            return keys
+        return keys.alias("u").join(long_series.alias("l"), _same("u", "l", series), "left_semi")
+
+    sizes = of_long(keyed.groupBy(*series, _UNIT).agg(F.count(F.lit(1)).alias("__n")))
+    tagged = _in_pieces(tagged, series, order, target_rows, sizes)
+    pieces = of_long(
+        tagged.select(*series, _UNIT, _PIECE, place.alias("__place"))
+        .groupBy(*series, _UNIT, _PIECE)
+        .agg(
+            F.count(F.lit(1)).alias("__n"),
+            F.min("__place").alias("__low"),
+            F.max("__place").alias("__high"),
+        )
     )
-    in_run = Window.partitionBy(*series, _RUN)
-    units = stage_table(
-        per_unit.withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
-        .withColumn("__overlaps", F.col("__low") < F.max("__high").over(before))
-        .withColumn(_RUN, F.floor(F.col("__before") / target_rows))
-        .withColumn("__start", F.min("__before").over(in_run))
-        .select(*series, "__unit", _RUN, "__start", "__overlaps"),
-        "series-units",
+    placed = stage_table(
+        _positions(pieces, series).withColumn(_RUN, F.floor(F.col("__before") / target_rows)),
+        "series-places",
     )
-    if not units.where("__overlaps").isEmpty():
+    if not placed.where("__overlaps").isEmpty():
         raise ValueError("unit decreases along the order: its steps overlap")
-    # Every run start but the first is a cut; a run knows those near both its ends.
-    starts = units.select(*series, _RUN, "__start").distinct()
-    near = Window.partitionBy(*series).orderBy("__start").rangeBetween(-margin, margin)
-    next_run = Window.partitionBy(*series).orderBy("__start")
-    cuts = (
-        starts.withColumn("__near", F.collect_set("__start").over(near))
-        .withColumn("__next", F.coalesce(F.lead("__near").over(next_run), F.array().cast("array<bigint>")))
-        .withColumn(_CUTS, F.array_remove(F.array_union("__near", "__next"), F.lit(0).cast("bigint")))
-        .select(*series, F.col(_RUN).alias("__r"), _CUTS)
+    runs = placed.groupBy(*series, _RUN).agg(
+        F.min("__before").alias("__start"), F.max(F.col("__before") + F.col("__n")).alias("__end")
+    )
+    # Every run start but the first is a cut; a run meets those near it by steps of the row position.
+    step = target_rows + margin
+    spots = F.sequence(
+        F.floor((F.col("__start") - margin) / step), F.floor((F.col("__end") + margin) / step)
+    )
+    cuts = runs.where("__start > 0").select(
+        *series, F.col("__start").alias(_CUT), F.floor(F.col("__start") / step).alias("__spot")
+    )
+    seen = runs.withColumn("__spot", F.explode(spots)).alias("r")
+    near = F.col(f"c.{_CUT}").between(F.col("r.__start") - margin, F.col("r.__end") + margin)
+    marked = (
+        seen.join(cuts.alias("c"), [*_same("r", "c", [*series, "__spot"]), near], "left")
+        .select(*[f"r.{c}" for c in [*series, _RUN, "__start"]], f"c.{_CUT}")
+        .groupBy(*series, _RUN, "__start")
+        .agg(F.sort_array(F.collect_set(_CUT)).alias(_CUTS))
     )
-    match = [F.col(f"u.{c}").eqNullSafe(F.col(f"c.{c}")) for c in series]
-    joined = units.alias("u").join(cuts.alias("c"), [*match, F.col(f"u.{_RUN}") == F.col("c.__r")])
-    return stage_table(
-        joined.select(*[f"u.{c}" for c in [*series, "__unit", _RUN, "__start"]], f"c.{_CUTS}"),
-        "series-runs",
+    joined = placed.alias("u").join(marked.alias("c"), _same("u", "c", [*series, _RUN]))
+    keys = [*series, _UNIT, _PIECE]
+    return tagged, stage_table(
+        joined.select(*[f"u.{c}" for c in [*keys, _RUN]], "c.__start", f"c.{_CUTS}"), "series-runs"
     )
 
 
-def _attach_runs(df: DataFrame, runs: DataFrame, series: list[str], unit: Column) -> DataFrame:
-    keys = [*series, "__unit"]
-    tagged = df.withColumn("__unit", unit)
-    match = [F.col(f"d.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys]
+def _attach_runs(tagged: DataFrame, runs: DataFrame, series: list[str]) -> DataFrame:
     return (
         tagged.alias("d")
-        .join(runs.alias("r"), match, "left")
+        .join(runs.alias("r"), _same("d", "r", [*series, _UNIT, _PIECE]), "left")
         .select("d.*", f"r.{_RUN}", "r.__start", f"r.{_CUTS}")
-        .drop("__unit")
+        .drop(_UNIT, _PIECE)
     )
 
 
@@ -122,7 +211,8 @@ def over_series(
     """Add window columns that look at most ``before`` rows back and ``after`` rows ahead.
 
     ``outputs`` maps each new column to a function from the ordered window to an
-    expression. ``unit`` must not decrease along ``order``.
+    expression. ``unit`` must not decrease along ``order``, whose columns must tell the rows
+    of a series apart.
     """
     taken = [name for name in outputs if name in df.columns]
     if taken:
@@ -139,7 +229,7 @@ def over_series(
     # Inside a run every row sees all the rows it needs, unless a cut lies less than
     # `after` rows ahead or `before` rows back. Those rows are worked out again over
     # the `before + after` rows on each side of their cut, one partition per cut.
-    tagged = _attach_runs(df, runs, series, unit)
+    tagged = _attach_runs(*runs, series)
     in_run = Window.partitionBy(*series, _RUN).orderBy(*order)
     placed = tagged.withColumns(
         {
@@ -274,7 +364,7 @@ def series_position(
     if runs is None:
         whole = Window.partitionBy(*series).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(whole) - 1).cast("bigint"))
-    tagged = _attach_runs(df, runs, series, unit)
+    tagged = _attach_runs(*runs, series)
     in_run = Window.partitionBy(*series, _RUN).orderBy(*order)
     start = F.coalesce(F.col("__start"), F.lit(0))
     return tagged.withColumn(
