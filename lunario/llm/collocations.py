@@ -163,24 +163,33 @@ def _word_hashes(words: list[bytes]) -> np.ndarray:
     return np.array([zlib.crc32(w) | zlib.adler32(w) << 32 for w in words], np.uint64)
 
 
-def _pack(words: list[bytes], rows: np.ndarray, counts: np.ndarray) -> bytes:
-    """Rows of word numbers with the words that they use, compressed."""
-    used, local = np.unique(rows, return_inverse=True)
-    local = local.reshape(rows.shape)
-    small = np.uint16 if len(used) < 1 << 16 else np.uint32
-    wide = np.uint8 if counts.max() < 1 << 8 else np.uint64
-    head = np.array([len(rows), rows.shape[1], small().itemsize, wide().itemsize], np.int64)
-    body = head.tobytes() + local.T.astype(small).tobytes() + counts.astype(wide).tobytes()
-    return zlib.compress(body + b" ".join([words[i] for i in used]), 1)
+class _Packer:
+    """Packs rows of word numbers with just the words that they use."""
+
+    def __init__(self, words: list[bytes], lang: str):
+        self.words = words
+        self.hashes = _word_hashes(words) ^ np.uint64(zlib.crc32(lang.encode()))
+        self.seen = np.zeros(len(words), bool)
+        self.place = np.zeros(len(words), np.uint32)
+
+    def pack(self, rows: np.ndarray, counts: np.ndarray) -> bytes:
+        self.seen[rows] = True
+        used = np.flatnonzero(self.seen)
+        self.seen[used] = False
+        self.place[used] = np.arange(len(used), dtype=np.uint32)
+        small = np.uint16 if len(used) < 1 << 16 else np.uint32
+        wide = np.uint8 if counts.max() < 1 << 8 else np.uint64
+        head = np.array([len(rows), rows.shape[1], small().itemsize, wide().itemsize], np.int64)
+        body = self.place[rows].T.astype(small).tobytes() + counts.astype(wide).tobytes()
+        return head.tobytes() + body + b" ".join([self.words[i] for i in used.tolist()])
 
 
 def _unpack(blob: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
-    data = zlib.decompress(blob)
-    size, width, small, wide = np.frombuffer(data, np.int64, 4)
+    size, width, small, wide = np.frombuffer(blob, np.int64, 4).tolist()
     at = 32 + size * width * small
-    rows = np.frombuffer(data, f"u{small}", size * width, 32).reshape(width, size).T
-    counts = np.frombuffer(data, f"u{wide}", size, at)
-    return data[at + size * wide :].split(b" "), rows, counts.astype(np.int64)
+    rows = np.frombuffer(blob, f"u{small}", size * width, 32).reshape(width, size).T
+    counts = np.frombuffer(blob, f"u{wide}", size, at)
+    return blob[at + size * wide :].split(b" "), rows, counts.astype(np.int64)
 
 
 def _named(docs: DataFrame) -> DataFrame:
@@ -227,24 +236,27 @@ SINGLE, PAIRED, HOT = 1, 2, 3
 
 
 def _dealt(
-    lang: str, kind: int, words: list[bytes], rows: np.ndarray, counts: np.ndarray, buckets: int, keys: int
-) -> Iterator[tuple[int, str, int, bytes]]:
-    """Packed rows by bucket; only ``bucket % keys`` counts, so there are ``keys`` at most."""
-    hashes = _word_hashes(words) ^ np.uint64(zlib.crc32(lang.encode()))
+    packer: _Packer, kind: int, rows: np.ndarray, counts: np.ndarray, buckets: int, keys: int
+) -> Iterator[tuple[int, int, bytes]]:
+    """(bucket, kind, packed rows); only ``bucket % keys`` counts, so there are ``keys`` at most."""
     depth = rows.shape[1] if kind == HOT else kind
-    mixed = _mixed(*[hashes[rows[:, k]] for k in range(depth)])
+    mixed = _mixed(*[packer.hashes[rows[:, k]] for k in range(depth)])
     bucket = (mixed % np.uint64(buckets) % np.uint64(keys)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     bounds = np.flatnonzero(np.diff(bucket[order])) + 1
     for mine in np.split(order, bounds) if len(order) else []:
-        yield int(bucket[mine[0]]), lang, kind, _pack(words, rows[mine], counts[mine])
+        yield int(bucket[mine[0]]), kind, packer.pack(rows[mine], counts[mine])
 
 
-def _batch(packed: list[tuple[int, str, int, bytes]]) -> pa.RecordBatch:
-    columns = list(zip(*packed)) or [(), (), (), ()]
-    kinds = (pa.int64(), pa.string(), pa.int32(), pa.binary())
-    arrays = [pa.array(column, kind) for column, kind in zip(columns, kinds, strict=True)]
-    return pa.RecordBatch.from_arrays(arrays, ["bucket", "lang", "kind", "packed"])
+def _batch(lang: str, packed: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    buckets, kinds, blobs = zip(*packed) if packed else ((), (), ())
+    columns = {
+        "bucket": pa.array(buckets, pa.int64()),
+        "lang": pa.array([lang] * len(packed), pa.string()),
+        "kind": pa.array(kinds, pa.int32()),
+        "packed": pa.array(blobs, pa.binary()),
+    }
+    return pa.RecordBatch.from_pydict(columns)
 
 
 def _gathered(
@@ -286,9 +298,10 @@ def _routed(docs: DataFrame, longest: int, buckets: int, hot: list[tuple[str, by
     keys = min(buckets, FAN)
 
     def chunk(lang, words, rows, counts):
+        packer = _Packer(words, lang)
         single, at = np.unique(rows[:, 0], return_inverse=True)
         sums = np.bincount(at, counts).astype(np.int64)
-        yield from _dealt(lang, SINGLE, words, single[:, None], sums, buckets, keys)
+        yield from _dealt(packer, SINGLE, single[:, None], sums, buckets, keys)
         paired = rows[:, 1] != 0
         rows, counts = rows[paired], counts[paired]
         pairs = []
@@ -298,18 +311,19 @@ def _routed(docs: DataFrame, longest: int, buckets: int, hot: list[tuple[str, by
             pairs = [a * len(words) + b for a, b in found if a is not None and b is not None]
         is_hot = np.isin(rows[:, 0].astype(np.int64) * len(words) + rows[:, 1], pairs)
         for kind, chosen in ((PAIRED, ~is_hot), (HOT, is_hot)):
-            yield from _dealt(lang, kind, words, rows[chosen], counts[chosen], buckets, keys)
+            yield from _dealt(packer, kind, rows[chosen], counts[chosen], buckets, keys)
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, words, ids, ahead in _chunks(batches, longest - 1):
             rows, counts = _counted(_suffixes(ids, longest, ahead), len(words))
             if len(rows):
-                yield _batch(list(chunk(lang, words, rows, counts)))
+                yield _batch(lang, list(chunk(lang, words, rows, counts)))
 
     def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, kind, words, rows, counts in _gathered(batches, CHUNK):
             rows, counts = _counted(rows, len(words), counts)
-            yield _batch(list(_dealt(lang, kind, words, rows, counts, buckets, buckets)))
+            dealt = _dealt(_Packer(words, lang), kind, rows, counts, buckets, buckets)
+            yield _batch(lang, list(dealt))
 
     routed = _named(docs).mapInArrow(packed, PACKED)
     return routed if keys == buckets else routed.groupBy("bucket").applyInArrow(again, PACKED)
@@ -329,22 +343,23 @@ def multikey_quicksort(
     while work:
         pointers, depth = work.pop()
         need = least if depth + 1 >= whole else 1
-        keys = columns[depth][pointers]
+        keys, times = columns[depth][pointers], counts[pointers]
         if len(pointers) <= SMALL:
-            of_word: dict[int, list[int]] = {}
-            for pointer, key in zip(pointers.tolist(), keys.tolist(), strict=True):
-                of_word.setdefault(key, []).append(pointer)
-            equal = [(key, np.array(mine)) for key, mine in of_word.items()]
+            # Too few to halve: equal parts at once, the rare ones abandoned uncut.
+            sizes: dict[int, int] = {}
+            for key, n in zip(keys.tolist(), times.tolist(), strict=True):
+                sizes[key] = sizes.get(key, 0) + n
+            equal = [(pointers[keys == k], n) for k, n in sizes.items() if k and n >= need]
         else:
             pivot = np.partition(keys[:: len(keys) // 9][:9], 4)[4]
-            equal = [(int(pivot), pointers[keys == pivot])]
-            for part in (pointers[keys < pivot], pointers[keys > pivot]):
-                if counts[part].sum() >= need:
-                    work.append((part, depth))
-        for key, part in equal:
-            size = int(counts[part].sum())
-            if key == 0 or size < need:
-                continue
+            same, less = keys == pivot, keys < pivot
+            size, below = int(times[same].sum()), int(times[less].sum())
+            equal = [(pointers[same], size)] if pivot and size >= need else []
+            if below >= need:
+                work.append((pointers[less], depth))
+            if int(times.sum()) - size - below >= need:
+                work.append((pointers[keys > pivot], depth))
+        for part, size in equal:
             yield int(part[0]), depth + 1, size
             if depth + 1 < len(columns):
                 work.append((part, depth + 1))
