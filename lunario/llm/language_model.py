@@ -48,9 +48,9 @@ SUMMARY = "word string, n bigint, texts bigint"
 MERGE_GROUPS = 64
 ROUNDS = 2
 #: Tokens that a task lays out in lanes at once.
-CHUNK = 1 << 21
+CHUNK = 1 << 20
 #: Hashes that a range may hold, and ranges at least.
-RANGE_HASHES = 1 << 21
+RANGE_HASHES = 1 << 18
 #: Values per row when parameters are averaged.
 PIECE = 4096
 
@@ -124,19 +124,21 @@ def _index(words: list[str]) -> dict[bytes, int]:
 
 
 def _chunks(batches: Iterator[pa.RecordBatch], index: dict, known: int, rare: bool) -> Iterator[list]:
-    """Rows with their ids and, if asked, the hashes of their rarer words, in lists of about ``CHUNK`` tokens.
+    """(doc_id, held_out, ids, hashes) of rows in lists of about ``CHUNK`` tokens.
 
-    A text is never cut.
+    Asked for ``rare``, rows have their marks and the hashes of their rarer words.
+    A text is never cut; no row holds on to its batch.
     """
     rows, tokens = [], 0
     for batch in batches:
         for i, text in enumerate(batch["text"].cast(pa.binary())):
             ids, words = _ids(text.as_py(), index, known)
-            hashes = None
+            doc_id = held_out = hashes = None
             if rare:
                 found = [xxhash.xxh64_intdigest(words[k]) for k in np.flatnonzero(ids == known).tolist()]
                 hashes = np.array(found, dtype=np.uint64)
-            rows.append((batch, i, ids, hashes))
+                doc_id, held_out = batch["doc_id"][i].as_py(), batch["held_out"][i].as_py()
+            rows.append((doc_id, held_out, ids, hashes))
             tokens += len(ids)
             if tokens >= CHUNK:
                 yield rows
@@ -245,9 +247,9 @@ def _scored(docs: DataFrame, words: list[str], values: np.ndarray, counts: np.nd
             scores = recurrent.score(model, [ids for _, _, ids, _ in rows]) / math.log(10)
             chunk = (task << 32) | number
             documents = [
-                (batch["doc_id"][i].as_py(), batch["held_out"][i].as_py(), len(ids), float(one),
+                (doc_id, held_out, len(ids), float(one),
                  float(log_counts[ids].sum()), int(seen[ids].sum()), len(rare))
-                for (batch, i, ids, rare), one in zip(rows, scores, strict=True)
+                for (doc_id, held_out, ids, rare), one in zip(rows, scores, strict=True)
             ]
             out = [(-1, chunk, None, None, pickle.dumps(documents))]
             places = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r[3]) for r in rows])

@@ -10,6 +10,8 @@ that of whole texts. Gradients are cut at window starts.
 
 from __future__ import annotations
 
+import heapq
+
 import numpy as np
 
 HIDDEN = 16
@@ -18,6 +20,8 @@ LANES = 256
 #: Steps that gradients go back; scores do not depend on the window.
 WINDOW = 16
 SCORE_WINDOW = 64
+#: Steps whose cells are laid out at once, about.
+STRETCH = 1024
 RATE = 0.12
 
 
@@ -161,44 +165,63 @@ class Recurrent:
         return grads, float(found.sum()), kept["last"]
 
 
-def lanes(texts: list[np.ndarray], size: int, width: int = LANES):
+class Lanes:
     """Texts laid end to end in lanes of similar length, longest lane first.
 
-    Gives ``target``, ``previous``, ``first``, ``mask`` and ``text``, all (time,
-    lane); ``text`` is the index of the text that a cell belongs to.
+    Cells are laid out for a stretch of time only: however long one text is, the
+    lanes beside it take no room once their own texts have ended.
     """
-    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-    fill = [[0, k, []] for k in range(min(width, max(1, len(texts))))]
-    import heapq
-
-    for i in order:
-        lane = heapq.heappop(fill)
-        lane[0] += len(texts[i])
-        lane[2].append(i)
-        heapq.heappush(fill, lane)
-    fill.sort(key=lambda lane: -lane[0])
-    longest = fill[0][0]
-    shape = (longest, len(fill))
-    target = np.zeros(shape, np.int32)
-    previous = np.full(shape, size + 1, np.int32)
-    first, mask = np.zeros(shape, bool), np.zeros(shape, bool)
-    text = np.zeros(shape, np.int32)
-    for k, (_, _, members) in enumerate(fill):
-        at = 0
-        for i in members:
-            ids, end = texts[i], at + len(texts[i])
-            target[at:end, k] = ids
-            previous[at + 1 : end, k] = ids[:-1]
-            first[at, k] = True
-            mask[at:end, k] = True
-            text[at:end, k] = i
-            at = end
-    return target, previous, first, mask, text
 
+    def __init__(self, texts: list[np.ndarray], size: int, width: int = LANES):
+        self.start = size + 1
+        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+        fill: list[tuple[int, int, list[int]]] = [(0, k, []) for k in range(min(width, max(1, len(texts))))]
+        for i in order:
+            total, k, members = heapq.heappop(fill)
+            members.append(i)
+            heapq.heappush(fill, (total + len(texts[i]), k, members))
+        fill.sort(key=lambda lane: (-lane[0], lane[1]))
+        self.lengths = [total for total, _, _ in fill]
+        self.ids = [np.concatenate([texts[i] for i in m]) if m else np.zeros(0, np.int32) for _, _, m in fill]
+        self.ends = [np.cumsum([len(texts[i]) for i in m]) for _, _, m in fill]
+        self.members = [np.array(m, np.int32) for _, _, m in fill]
+
+    def cells(self, begin: int, steps: int):
+        """``target``, ``previous``, ``first``, ``mask`` and ``text``, all (time, lane), of lanes that still run."""
+        live = sum(length > begin for length in self.lengths)
+        shape = (max(0, min(steps, self.lengths[0] - begin)), live)
+        target, text = np.zeros(shape, np.int32), np.zeros(shape, np.int32)
+        previous = np.full(shape, self.start, np.int32)
+        first, mask = np.zeros(shape, bool), np.zeros(shape, bool)
+        for k in range(live):
+            ids, ends = self.ids[k][begin : begin + steps], self.ends[k]
+            n = len(ids)
+            target[:n, k], mask[:n, k] = ids, True
+            of = np.searchsorted(ends, np.arange(begin, begin + n), side="right")
+            text[:n, k] = self.members[k][of]
+            previous[1:n, k] = ids[:-1]
+            if begin:
+                previous[0, k] = self.ids[k][begin - 1]
+            starts = np.append(0, ends[:-1]) - begin
+            starts = starts[(starts >= 0) & (starts < n)]
+            first[starts, k] = True
+            previous[starts, k] = self.start
+        return target, previous, first, mask, text
 
-def _live(mask: np.ndarray, t: int) -> int:
-    """Lanes that still run at time ``t``; lanes are sorted by length."""
-    return int(np.count_nonzero(mask[t]))
+    def windows(self, steps: int):
+        """The cells of one window after another; a stretch of windows is laid out at once."""
+        stretch = steps * max(1, STRETCH // steps)
+        for begin in range(0, self.lengths[0], stretch):
+            laid = self.cells(begin, stretch)
+            for t in range(0, len(laid[0]), steps):
+                k = int(np.count_nonzero(laid[3][t]))
+                yield tuple(part[t : t + steps, :k] for part in laid)
+
+
+def lanes(texts: list[np.ndarray], size: int, width: int = LANES):
+    """All cells of ``Lanes`` at once: ``target``, ``previous``, ``first``, ``mask`` and ``text``."""
+    laid = Lanes(texts, size, width)
+    return laid.cells(0, laid.lengths[0])
 
 
 class Trainer:
@@ -210,15 +233,12 @@ class Trainer:
 
     def fit(self, texts: list[np.ndarray]) -> float:
         model, total = self.model, 0.0
-        target, previous, first, mask, _ = lanes(texts, model.size)
-        h = np.zeros((target.shape[1], HIDDEN), np.float32)
-        for t in range(0, len(target), WINDOW):
-            w, k = slice(t, t + WINDOW), _live(mask, t)
-            grads, found, h = model.gradients(
-                previous[w, :k], first[w, :k], target[w, :k], mask[w, :k], h[:k]
-            )
+        laid = Lanes(texts, model.size)
+        h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+        for target, previous, first, mask, _ in laid.windows(WINDOW):
+            grads, found, h = model.gradients(previous, first, target, mask, h[: target.shape[1]])
             total += found
-            cells = np.float32(mask[w, :k].sum())
+            cells = np.float32(mask.sum())
             for name, g in grads.items():
                 g /= cells
                 self.seen[name] += g * g
@@ -229,13 +249,12 @@ class Trainer:
 def score(model: Recurrent, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each text, with the state carried from its first to its last id."""
     found = np.zeros(len(texts))
-    target, previous, first, mask, text = lanes(texts, model.size)
-    h = np.zeros((target.shape[1], HIDDEN), np.float32)
-    for t in range(0, len(target), SCORE_WINDOW):
-        w, k = slice(t, t + SCORE_WINDOW), _live(mask, t)
-        kept = model.steps(previous[w, :k], first[w, :k], h[:k], keep=False)
+    laid = Lanes(texts, model.size)
+    h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
+    for target, previous, first, mask, text in laid.windows(SCORE_WINDOW):
+        kept = model.steps(previous, first, h[: target.shape[1]], keep=False)
         h = kept["last"]
-        live = np.flatnonzero(mask[w, :k].ravel())
-        logs, _ = model.output(kept["out"][live], target[w, :k].ravel()[live])
-        found += np.bincount(text[w, :k].ravel()[live], weights=logs, minlength=len(texts))
+        live = np.flatnonzero(mask.ravel())
+        logs, _ = model.output(kept["out"][live], target.ravel()[live])
+        found += np.bincount(text.ravel()[live], weights=logs, minlength=len(texts))
     return found
