@@ -50,6 +50,39 @@ def test_no_window_of_a_whole_series(events):
     assert kinds and all("__run" in line or "__cut" in line for line in kinds)
 
 
+@pytest.mark.parametrize("series", [[], ["s"]])
+def test_a_unit_that_holds_all_rows_is_split(events, series):
+    outputs = {
+        "mean": lambda w: F.avg("x").over(w.rowsBetween(-3, 0)),
+        "next": lambda w: F.lead("x", 2).over(w),
+    }
+    scale = {"unit": F.lit("one minute"), "target_rows": 40}
+    split = windows.over_series(events, series, ["t", "e"], outputs, before=3, after=2, **scale)
+    plain = windows.over_series(events, series, ["t", "e"], outputs, before=3, after=2)
+    assert split.count() == 600 and plain.exceptAll(split).isEmpty()
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    kinds = [line for line in plan.splitlines() if "windowspecdefinition" in line.lower()]
+    assert kinds and all("__run" in line or "__cut" in line for line in kinds)
+
+    tagged, runs = windows._runs_of_long_series(events, series, target_rows=40, unit=scale["unit"], order=["t", "e"])
+    assert tagged.where("__unit IS NULL").isEmpty()
+    sizes = windows._attach_runs(tagged, runs, series).groupBy(*series, "__run").count()
+    largest = sizes.agg(F.max("count")).first()[0]
+    assert sizes.count() >= 10 and largest <= 3 * 40
+
+    numbered = windows.series_position(events, series, ["t", "e"], **scale)
+    whole = Window.partitionBy(*series).orderBy("t", "e")
+    assert numbered.withColumn("want", F.row_number().over(whole) - 1).where("want <> position").isEmpty()
+
+
+def test_null_series_and_units_are_split_as_well(events):
+    rows = events.withColumn("s", F.when(F.col("s") == 1, 1)).withColumn("u", F.when(F.col("t") >= 200, F.col("t")))
+    outputs = {"last": lambda w: F.lag("x", 1).over(w)}
+    split = windows.over_series(rows, ["s"], ["t"], outputs, before=1, unit=F.col("u"), target_rows=30)
+    plain = windows.over_series(rows, ["s"], ["t"], outputs, before=1)
+    assert plain.exceptAll(split).isEmpty() and split.count() == 600
+
+
 def test_overlapping_units_are_refused(events):
     with pytest.raises(ValueError, match="overlap"):
         windows.lead_label(
