@@ -8,7 +8,7 @@ ranking every hash, the model from its two-feature closed form.
 from __future__ import annotations
 
 from lunario import schema
-from lunario.plans.queries import DIGITS, LINE_NUMBERS, LINEAR_GRID, MODEL, SQUARE_GRID
+from lunario.plans.queries import DIGITS, LINE_NUMBERS, LINEAR_GRID, MODEL, SMALL_GRID, SQUARE_GRID
 from lunario.plans.standins import GDP_MODULUS, INDEX_MODULUS, LAYOUT, MONTH_NAMES
 from lunario.schema import FULL, Layout, rolling_name
 
@@ -95,6 +95,78 @@ def _trailing(columns: list[str], frame: str, cast: str = "{}") -> str:
     )
 
 
+#: Terms of the small grid: the place of its last variable, its degree, its value.
+CUBE = [(1, 1, "z1"), (2, 1, "z2"), (3, 1, "z3"), (1, 2, "z1 * z1"), (2, 2, "z1 * z2"), (2, 2, "z2 * z2"),
+        (3, 2, "z1 * z3"), (3, 2, "z2 * z3"), (3, 2, "z3 * z3")]
+
+
+def _cube() -> dict[str, str]:
+    """Ridge fits of up to three features and their products, by elimination."""
+    terms = ", ".join(f"{{'f': {i}, 'k': {k}, 'd': {d}, 'v': {v}}}" for i, (k, d, v) in enumerate(CUBE))
+    steps = {
+        "cube_systems": f"""
+        SELECT held, k, d, a, list(line ORDER BY f) AS m
+        FROM (SELECT held, s.k, s.d, a, f,
+                     list_append(list(c + CASE WHEN f = g THEN a ELSE 0 END ORDER BY g), any_value(b)) AS line
+              FROM cube_products p
+              JOIN (SELECT unnest({SMALL_GRID['selector__k']}) AS k) s1 ON p.fk <= s1.k AND p.gk <= s1.k
+              JOIN (SELECT unnest({SMALL_GRID['poly__degree']}) AS d) s2 ON p.fd <= s2.d AND p.gd <= s2.d
+              CROSS JOIN LATERAL (SELECT s1.k AS k, s2.d AS d) s
+              CROSS JOIN (SELECT CAST(unnest({SMALL_GRID['model__alpha']}) AS DOUBLE) AS a)
+              GROUP BY held, s.k, s.d, a, f)
+        GROUP BY held, k, d, a"""
+    }
+    last = "cube_systems"
+    for p in range(1, len(CUBE) + 1):
+        steps[f"cube_{p}"] = f"""
+        SELECT held, k, d, a, CASE WHEN len(m) < {p} THEN m ELSE list_transform(m, lambda line, i:
+            CASE WHEN i = {p} THEN list_transform(line, lambda x: x / line[{p}])
+                 ELSE list_transform(line, lambda x, j: x - line[{p}] * m[{p}][j] / m[{p}][{p}]) END) END AS m
+        FROM {last}"""
+        last = f"cube_{p}"
+    return {
+        "cube_moments": """
+        SELECT held, rank, position, avg(v) AS m, stddev_pop(v) AS s
+        FROM long JOIN best USING (held, position) WHERE rank <= 3 AND held >= 0
+        GROUP BY held, rank, position""",
+        "cube_rows": """
+        SELECT held, id, any_value(fold) = held AS is_held, any_value(y) AS y,
+               sum(CASE WHEN rank = 1 THEN (v - m) / s END) AS z1,
+               sum(CASE WHEN rank = 2 THEN (v - m) / s END) AS z2,
+               sum(CASE WHEN rank = 3 THEN (v - m) / s END) AS z3
+        FROM base_long JOIN cube_moments USING (position) GROUP BY held, id""",
+        "cube_terms": f"""
+        SELECT held, id, is_held, y, t.f, t.k, t.d, t.v FROM (
+            SELECT held, id, is_held, y, unnest([{terms}]) AS t FROM cube_rows)""",
+        "cube_means": """
+        SELECT held, f, avg(v) AS mean, avg(y) AS my FROM cube_terms WHERE NOT is_held GROUP BY held, f""",
+        "cube_products": """
+        SELECT x.held, x.f, x.k AS fk, x.d AS fd, w.f AS g, w.k AS gk, w.d AS gd,
+               count(*) * covar_pop(x.v, w.v) AS c, count(*) * covar_pop(x.v, x.y) AS b
+        FROM cube_terms x JOIN cube_terms w ON x.held = w.held AND x.id = w.id
+        WHERE NOT x.is_held GROUP BY ALL""",
+        **steps,
+        "cube_weights": f"""
+        SELECT held, k, d, a, place, m[place][-1] AS w
+        FROM (SELECT held, k, d, a, m, unnest(range(1, len(m) + 1)) AS place FROM {last})""",
+        "cube_named": """
+        SELECT s.held, s.k, s.d, s.a, n.f, s.w FROM cube_weights s JOIN (
+            SELECT k, d, f, row_number() OVER (PARTITION BY k, d ORDER BY f) AS place
+            FROM (SELECT DISTINCT w.k, w.d, t.f FROM cube_weights w JOIN cube_terms t ON t.k <= w.k AND t.d <= w.d)) n
+          USING (k, d, place)""",
+        "cube_grid": """
+        SELECT a, d, k, avg(r2) AS mean_r2
+        FROM (SELECT held, a, d, k, 1 - sum(power(y - p, 2)) / (count(*) * var_pop(y)) AS r2
+              FROM (SELECT t.held, t.id, n.a, n.d, n.k, any_value(t.y) AS y,
+                           any_value(c.my) + sum(n.w * (t.v - c.mean)) AS p
+                    FROM cube_terms t JOIN cube_named n ON t.held = n.held AND t.f = n.f
+                    JOIN cube_means c ON c.held = t.held AND c.f = t.f
+                    WHERE t.is_held GROUP BY t.held, t.id, n.a, n.d, n.k)
+              GROUP BY held, a, d, k)
+        GROUP BY a, d, k""",
+    }
+
+
 def _ctes(layout: Layout) -> dict[str, str]:
     """The steps from the tables to the model, by name."""
     return {
@@ -287,6 +359,7 @@ def _ctes(layout: Layout) -> dict[str, str]:
             SELECT count(*) AS n, avg(power(l_extendedprice - l_quantity * p_retailprice, 2)) AS mse,
                    var_pop(l_extendedprice) AS spread
             FROM lineitem JOIN part ON l_partkey = p_partkey""",
+        **_cube(),
     }
 
 
@@ -322,6 +395,17 @@ NEEDS = {
     "square_sums": ["squares"],
     "square_fits": ["square_sums"],
     "square_grid": ["held_out", "square_fits"],
+    "cube_moments": ["best", "long"],
+    "cube_rows": ["cube_moments", "base_long"],
+    "cube_terms": ["cube_rows"],
+    "cube_means": ["cube_terms"],
+    "cube_products": ["cube_terms"],
+    "cube_systems": ["cube_products"],
+    "cube_1": ["cube_systems"],
+    **{f"cube_{p}": [f"cube_{p - 1}"] for p in range(2, len(CUBE) + 1)},
+    "cube_weights": [f"cube_{len(CUBE)}"],
+    "cube_named": ["cube_weights", "cube_terms"],
+    "cube_grid": ["cube_named", "cube_means"],
     "all_long": ["split"],
     "predicted": ["fitted", "moments", "all_long"],
     "numbered": ["merged"],
@@ -576,6 +660,12 @@ def oracle_sql() -> dict[str, str]:
             SELECT 'l_quantity' AS term, round(w1, 4) AS weight FROM w
             UNION ALL SELECT 'l_discount', round(w2, 4) FROM w
             UNION ALL SELECT 'intercept', round(my - w1 * mq - w2 * md, 4) FROM w""",
+        "grid_search": _with("cube_grid")
+        + """SELECT CAST(row_number() OVER (ORDER BY a DESC, d, k) - 1 AS INTEGER) AS grid_position,
+                    a AS model__alpha, CAST(d AS INTEGER) AS poly__degree, CAST(k AS INTEGER) AS selector__k,
+                    round(mean_r2, 6) AS mean_r2,
+                    CAST(row_number() OVER (ORDER BY mean_r2 DESC, a DESC, d, k) = 1 AS INTEGER) AS best
+             FROM cube_grid""",
         "grid_search_linear": _with("grid")
         + f"""SELECT CAST(row_number() OVER (ORDER BY a DESC, k) - 1 AS INTEGER) AS grid_position,
                      a AS model__alpha, 1 AS poly__degree, k AS selector__k,

@@ -107,6 +107,74 @@ def test_grid_search_falls_back_for_wide_expansions(sample, monkeypatch):
     assert wide == pytest.approx(exact, rel=1e-6)
 
 
+def brute_r2(rows, folds, columns, degree, alpha):
+    """Mean validation r2 of dense ridge fits on all monomials of the scaled columns."""
+    from itertools import combinations_with_replacement as combos
+
+    found = []
+    for held in sorted(set(folds)):
+        fit, out = folds != held, folds == held
+        x, y = rows[:, columns[held]], rows[:, -1]
+        z = (x - x[fit].mean(axis=0)) / x[fit].std(axis=0)
+        terms = [np.prod(z[:, list(c)], axis=1) for d in range(1, degree + 1) for c in combos(range(z.shape[1]), d)]
+        e = np.array(terms).T
+        centre, mean = e[fit].mean(axis=0), y[fit].mean()
+        # The dual form: as many unknowns as rows, whatever the width.
+        a = e[fit] - centre
+        dual = np.linalg.solve(a @ a.T + alpha * np.eye(len(a)), y[fit] - mean)
+        error = y[out] - mean - (e[out] - centre) @ (a.T @ dual)
+        found.append(1 - (error**2).sum() / ((y[out] - y[out].mean()) ** 2).sum())
+    return np.mean(found)
+
+
+@pytest.fixture(scope="module")
+def cubic(spark):
+    draw = np.random.default_rng(12)
+    x = draw.normal(size=(90, 10))
+    y = x[:, 0] - x[:, 1] ** 2 + 0.5 * x[:, 2] * x[:, 0] + 0.1 * draw.normal(size=90)
+    rows = np.column_stack([x, y])
+    names = [*"abcdefghij", "target"]
+    table = spark.createDataFrame([(int(i % 3), *map(float, r)) for i, r in enumerate(rows)], ["fold", *names])
+    return rows, np.arange(90) % 3, table.repartition(4)
+
+
+@pytest.mark.parametrize("limit", [1024, 4])
+def test_every_set_of_the_grid_equals_a_dense_fit(cubic, monkeypatch, limit):
+    rows, folds, table = cubic
+    monkeypatch.setattr(grid, "NORMAL_SOLVER_LIMIT", limit)
+    monkeypatch.setattr(grid, "BLOCK", 5)
+    monkeypatch.setattr(grid, "BATCH", 400)
+    space = {"selector__k": [1, 3], "poly__degree": [1, 2, 3], "model__alpha": [1, 0.05]}
+    names = list("abcdefghij")
+    learned = grid._learned(table, "fold", names, "target", 3)
+    columns = {f.held: [names.index(c) for c in f.columns] for f in learned}
+    for r in grid.grid_search(table, grid=space, features=names).collect():
+        chosen = {held: some[: r["selector__k"]] for held, some in columns.items()}
+        want = brute_r2(rows, folds, chosen, r["poly__degree"], r["model__alpha"])
+        assert r["mean_r2"] == pytest.approx(want, rel=1e-6, abs=1e-8)
+
+
+def test_the_widest_published_expansion_is_fitted(cubic):
+    """19,447 terms for all penalties in one Krylov space per fold."""
+    rows, folds, table = cubic
+    names = list("abcdefghij")
+    few = table.where("a > 0.2").coalesce(2)
+    space = {"selector__k": [10], "poly__degree": [7], "model__alpha": [1, 0.01]}
+    kept = rows[:, 0] > 0.2
+    learned = {f.held: [names.index(c) for c in f.columns] for f in grid._learned(few, "fold", names, "target", 10)}
+    for r in grid.grid_search(few, grid=space, features=names).collect():
+        want = brute_r2(rows[kept], folds[kept], learned, 7, r["model__alpha"])
+        assert r["mean_r2"] == pytest.approx(want, rel=1e-4)
+
+
+def test_wide_fits_that_do_not_settle_are_refused(cubic, monkeypatch):
+    monkeypatch.setattr(grid, "NORMAL_SOLVER_LIMIT", 4)
+    monkeypatch.setattr(grid, "MAX_STEPS", 2)
+    space = {"selector__k": [3], "poly__degree": [3], "model__alpha": [0.01]}
+    with pytest.raises(RuntimeError, match="settle"):
+        grid.grid_search(cubic[2], grid=space, features=list("abcdefghij"))
+
+
 def test_equal_scores_prefer_the_earlier_set(spark):
     scores = spark.createDataFrame(
         [(0, 1.0, 1, 3, 0.5), (1, 1.0, 1, 4, 0.7), (2, 0.1, 1, 3, 0.7)],
