@@ -48,7 +48,7 @@ SUMMARY = "word string, n bigint, texts bigint"
 MERGE_GROUPS = 64
 ROUNDS = 2
 #: Tokens that a task lays out in lanes at once.
-CHUNK = 1 << 20
+CHUNK = 1 << 21
 #: Hashes that a range may hold, and ranges at least.
 RANGE_HASHES = 1 << 18
 #: Values per row when parameters are averaged.
