@@ -20,6 +20,8 @@ LANES = 256
 #: Steps that gradients go back; scores do not depend on the window.
 WINDOW = 16
 SCORE_WINDOW = 64
+#: Lanes of scoring, which do not change its results; more lanes share each step.
+SCORE_LANES = 1024
 #: Steps whose cells are laid out at once, about.
 STRETCH = 1024
 RATE = 0.12
@@ -249,7 +251,7 @@ class Trainer:
 def score(model: Recurrent, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each text, with the state carried from its first to its last id."""
     found = np.zeros(len(texts))
-    laid = Lanes(texts, model.size)
+    laid = Lanes(texts, model.size, SCORE_LANES)
     h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
     for target, previous, first, mask, text in laid.windows(SCORE_WINDOW):
         kept = model.steps(previous, first, h[: target.shape[1]], keep=False)
