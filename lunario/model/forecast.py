@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import json
+import os
+import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import PolynomialExpansion
 from pyspark.sql import DataFrame, SparkSession
@@ -26,19 +28,27 @@ def data_stages(
     layout: Layout = FULL,
     keys: list[str] = [],
     unit: str = "",
+    tie_break: list[str] = [],
 ) -> Pipeline:
-    """Number repair, rolling mean and deviation, feature columns."""
+    """Number repair, rolling mean and deviation, feature columns.
+
+    ``tie_break`` columns order repeated months of a series and are kept.
+    """
     return Pipeline(
         stages=[
             RepairNumbers(columns=list(layout.gdp), kind="gdp"),
             RepairNumbers(columns=list(layout.index), kind="index"),
             RollingFeatures(
-                columns=layout.values, methods=["mean", "std"], series=list(series), unit=unit
+                columns=layout.values,
+                methods=["mean", "std"],
+                series=list(series),
+                order=[*schema.TIME_COLS, *tie_break],
+                unit=unit,
             ),
             PeriodLabel(),
             TakeColumns(
                 columns=layout.features,
-                keys=[*series, schema.PERIOD, schema.TARGET, *keys],
+                keys=[*series, schema.PERIOD, schema.TARGET, *tie_break, *keys],
             ),
         ]
     )
@@ -105,16 +115,56 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+POINTER = "seq bigint, version string"
+
+
+def _newest_pointer(spark: SparkSession, prod_path: str) -> tuple[int, str] | None:
+    """(seq, version) of the last promotion that was completed."""
+    pointers = os.path.join(prod_path, "pointers")
+    try:
+        # Files of a write that did not end are hidden in its temporary folder.
+        found = spark.read.schema(POINTER).option("recursiveFileLookup", True).json(pointers)
+        newest = found.orderBy(F.desc("seq")).first()
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    return (newest["seq"], newest["version"]) if newest else None
+
+
+def load_promoted(spark: SparkSession, prod_path: str) -> PipelineModel:
+    """The model of the last completed promotion."""
+    newest = _newest_pointer(spark, prod_path)
+    if newest is None:
+        raise ValueError(f"no model was promoted to {prod_path}")
+    return load_model(os.path.join(prod_path, "versions", newest[1]))
+
+
 def promote(metrics: DataFrame, staging_path: str, prod_path: str) -> DataFrame:
-    """Copy the staged model to production if the gate passes, otherwise raise."""
+    """Make the staged model the live one if the gate passes, otherwise raise.
+
+    A promotion writes a new version folder and then a pointer to it, of one row;
+    nothing is overwritten or deleted. Whoever loads the model follows the last
+    complete pointer, so a promotion that fails at any point leaves the old
+    model live, and an older one is live again once its pointer is the last.
+    """
     verdict = promotion_gate(metrics)
     row = verdict.first()
     if not row["promoted"]:
         raise ValueError(f"model rejected: mse={row['mse']}, r2={row['r2']}")
-    save_model(load_model(staging_path), prod_path)
+    spark = metrics.sparkSession
+    newest = _newest_pointer(spark, prod_path)
+    version = uuid.uuid4().hex
+    save_model(load_model(staging_path), os.path.join(prod_path, "versions", version))
+    _point(spark, prod_path, newest[0] + 1 if newest else 0, version)
     return verdict
 
 
+def _point(spark: SparkSession, prod_path: str, seq: int, version: str) -> None:
+    pointer = spark.createDataFrame([(seq, version)], POINTER).coalesce(1)
+    pointer.write.json(os.path.join(prod_path, "pointers", version))
+
+
 def apply_data_stages(pipeline: PipelineModel, merged: DataFrame) -> DataFrame:
     """Features of the merged table, complete rows only."""
     return drop_incomplete(pipeline.transform(merged))

@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lunario import schema
@@ -23,9 +23,25 @@ from lunario.operators.rows import keep_first
 from lunario.sources.requests import with_request_ids
 
 
-def required_columns(merged: DataFrame) -> list[str]:
-    """What a request must carry: every column of the merged table but the label."""
-    return [c for c in merged.columns if c != schema.TARGET]
+HEADER = "position int, name string"
+
+
+def required_columns(merged: DataFrame, keys: list[str] = []) -> list[str]:
+    """What a request must carry: every column of the merged table but the label and the ``keys``."""
+    return [c for c in merged.columns if c not in (schema.TARGET, *keys)]
+
+
+def write_header(merged: DataFrame, path: str, keys: list[str] = []) -> None:
+    """Save the required columns, in order, for whoever scores requests."""
+    rows = list(enumerate(required_columns(merged, keys)))
+    header = merged.sparkSession.createDataFrame(rows, HEADER)
+    header.coalesce(1).write.mode("overwrite").json(path)
+
+
+def read_header(spark: SparkSession, path: str) -> Layout:
+    """The layout that the saved header asks of requests."""
+    rows = spark.read.schema(HEADER).json(path).orderBy("position").collect()
+    return Layout.of_header([r["name"] for r in rows])
 
 
 def check_requests(
@@ -33,11 +49,11 @@ def check_requests(
     layout: Layout = FULL,
     months: int = schema.REQUEST_MONTHS,
 ) -> DataFrame:
-    """Add ``valid`` and, for bad requests, ``reason``: the first column of wrong length."""
+    """Add ``valid`` and, for bad requests, ``reason``: the first required column of wrong length."""
     sent = F.array(
         *[
-            F.struct(F.lit(c).alias("name"), F.array_size(f"data.{c}").alias("size"))
-            for c in layout.merged
+            F.struct(F.lit(c).alias("name"), F.array_size(f"data.`{c}`").alias("size"))
+            for c in layout.required
         ]
     )
     wrong = F.filter(sent, lambda column: ~column["size"].eqNullSafe(F.lit(months)))

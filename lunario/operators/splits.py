@@ -108,21 +108,80 @@ def kfold(
     return df.withColumn(name, sum(above, F.lit(0)))
 
 
+#: Parts that a range of values is cut into by one counting pass.
+PARTS = 4096
+
+
+def _as_number(df: DataFrame, column: str) -> Column:
+    """The column as a whole number in the same order: its own, days, or microseconds."""
+    kind = df.schema[column].dataType.typeName()
+    value = F.col(column)
+    if kind in ("byte", "short", "integer", "long", "boolean"):
+        return value.cast("bigint")
+    if kind == "date":
+        return F.unix_date(value).cast("bigint")
+    if kind == "timestamp":
+        return F.unix_micros(value)
+    if kind == "timestamp_ntz":
+        # From its parts, so that no time zone moves or merges wall-clock times.
+        minutes = F.unix_date(value.cast("date")).cast("bigint") * 1440 + F.hour(value) * 60 + F.minute(value)
+        seconds = F.extract(F.lit("SECOND"), value) * 1_000_000
+        return minutes * 60_000_000 + seconds.cast("bigint")
+    raise TypeError(f"{column}: no ordered split by {kind}")
+
+
+def _from_top(numbers: DataFrame, wanted: int) -> tuple[int, int] | None:
+    """The largest number that ``wanted`` rows reach or pass, and the rows above it.
+
+    Every pass counts rows in ``PARTS`` parts of a range and goes on in the part
+    that holds the cut, so no task orders more than ``PARTS`` counts and five or
+    six passes settle any 64-bit key.
+    """
+    ends = numbers.agg(F.min("x"), F.max("x"), F.count("x")).first()
+    low, high, n = ends[0], ends[1], ends[2]
+    if not n or n < wanted:
+        return None
+    above = 0
+    while low < high:
+        # In Python's whole numbers: a range of 64-bit keys can be wider than 64 bits.
+        width = -(-(high - low + 1) // PARTS)
+        offset = f"cast(x as decimal(20,0)) - cast('{low}' as decimal(20,0))"
+        part = F.expr(f"int(({offset}) div cast('{width}' as decimal(20,0)))")
+        counts = (
+            numbers.where(F.col("x").between(low, high)).groupBy(part.alias("part")).count().collect()
+        )
+        for row in sorted(counts, key=lambda r: -r["part"]):
+            if above + row["count"] >= wanted:
+                low, high = low + row["part"] * width, min(high, low + (row["part"] + 1) * width - 1)
+                break
+            above += row["count"]
+    return low, above
+
+
 def time_split(
     df: DataFrame, time_cols: list[str], test_share: float = 0.2, name: str = "is_test"
 ) -> DataFrame:
     """Flag the newest periods as test: as many whole periods as reach the test share.
 
-    Keeps overlapping rolling windows of neighbouring months on one side. Works
-    on the counts per period, so its size is the calendar, not the table.
+    Keeps overlapping rolling windows of neighbouring months on one side. The cut
+    is found column by column, by counts over narrowing ranges of values, so
+    periods may be as fine as single microseconds. Rows without a period are the
+    oldest. Time columns are whole numbers, dates or timestamps.
     """
-    newest_first = Window.orderBy(*[F.col(c).desc() for c in time_cols])
-    per_period = df.groupBy(*time_cols).agg(F.count(F.lit(1)).alias("n"))
-    running = per_period.withColumn("upto", F.sum("n").over(newest_first)).withColumn(
-        "total", F.sum("n").over(Window.partitionBy())
-    )
-    cut = running.where(F.col("upto") >= F.ceil(F.col("total") * test_share)).orderBy("upto").first()
-    if cut is None:
-        return df.withColumn(name, F.lit(False))
-    edge = F.struct(*[F.lit(cut[c]).alias(c) for c in time_cols])
-    return df.withColumn(name, F.struct(*[F.col(c) for c in time_cols]) >= edge)
+    wanted = math.ceil(test_share * df.count())
+    numbers = df.select(*[_as_number(df, c).alias(f"t{i}") for i, c in enumerate(time_cols)])
+    rows, edge = numbers, []
+    for i in range(len(time_cols)):
+        found = _from_top(rows.select(F.col(f"t{i}").alias("x")), wanted) if wanted else None
+        if found is None:
+            break
+        edge.append(found[0])
+        wanted -= found[1]
+        rows = rows.where(F.col(f"t{i}") == found[0])
+    if not edge:
+        # Either no test rows are wanted, or so many that those without a period count too.
+        return df.withColumn(name, F.lit(wanted > 0))
+    place = [_as_number(df, c) for c in time_cols[: len(edge)]]
+    cut = F.struct(*[F.lit(x).cast("bigint").alias(f"t{i}") for i, x in enumerate(edge)])
+    here = F.struct(*[p.alias(f"t{i}") for i, p in enumerate(place)])
+    return df.withColumn(name, F.coalesce(here >= cut, F.lit(False)))

@@ -8,7 +8,7 @@ ranking every hash, the model from its two-feature closed form.
 from __future__ import annotations
 
 from lunario import schema
-from lunario.plans.queries import DIGITS, LINE_NUMBERS, LINEAR_GRID, MODEL, SMALL_GRID, SQUARE_GRID
+from lunario.plans.queries import DIGITS, HEADER_ONLY, LINE_NUMBERS, LINEAR_GRID, MODEL, SMALL_GRID, SQUARE_GRID
 from lunario.plans.standins import GDP_MODULUS, INDEX_MODULUS, LAYOUT, MONTH_NAMES
 from lunario.schema import FULL, Layout, rolling_name
 
@@ -340,6 +340,7 @@ def _ctes(layout: Layout) -> dict[str, str]:
                    anio * 12 + mes + series AS key FROM merged""",
         "asked": f"""
             SELECT concat_ws('|', series, anio || '-' || mes) AS request_id, series, nth, key % 7 = 0 AS as_numbers,
+               key % 5 = 0 AS is_bare,
                    CASE WHEN key % 11 = 0 THEN 'missing {layout.rain[0]}'
                         WHEN key % 13 = 0 THEN 'length of {layout.gdp[0]} is 2'
                         WHEN key % 17 = 0 THEN 'length of {layout.gdp[0]} is 4'
@@ -475,6 +476,12 @@ def oracle_sql() -> dict[str, str]:
     ship = "l_shipdate"
     return {
         "csv_roundtrip": "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders",
+        "csv_quarantine": f"""
+            SELECT o_orderkey, CASE WHEN reason = 'ok' THEN round(o_totalprice, 2) ELSE -1.0 END AS o_totalprice,
+                   reason
+            FROM (SELECT *, CASE WHEN o_orderkey % 83 = 0 OR o_orderkey % 89 = 0 THEN 'wrong number of cells'
+                                 WHEN o_orderkey % 97 = 0 THEN 'o_totalprice is no double: n/a'
+                                 ELSE 'ok' END AS reason FROM orders)""",
         "collect_price": _with("price") + f"SELECT {KEYS}, {_round(PRICE, PRICE)} FROM price",
         "collect_weather": _with("rain") + "SELECT * FROM rain",
         "collect_finance": _with("bank") + "SELECT * FROM bank",
@@ -524,6 +531,28 @@ def oracle_sql() -> dict[str, str]:
         "eval_mse_rmse_r2": _with("quality") + QUALITY,
         "promotion_gate": _with("quality")
         + f"SELECT *, mse > 0 AND r2 > 0 AS promoted FROM ({QUALITY})",
+        "drift_report": _with("all_long", "edges")
+        + f"""
+            , marked AS (
+                SELECT a.position, is_test, {' + '.join(f'(CAST(v AS FLOAT) > v{i})::INT' for i in range(1, BINS))} AS bin
+                FROM all_long a JOIN edges e ON a.position = e.position AND e.held = -1),
+            sides AS (
+                SELECT position, bin, count(*) FILTER (is_test = 0) AS b, count(*) FILTER (is_test = 1) AS c
+                FROM marked GROUP BY position, bin),
+            grid AS (
+                SELECT position, bin, coalesce(b, 0) AS b, coalesce(c, 0) AS c
+                FROM (SELECT DISTINCT position FROM marked) CROSS JOIN (SELECT unnest(range({BINS + 1})) AS bin)
+                LEFT JOIN sides USING (position, bin)),
+            totals AS (SELECT position, sum(b) AS nb, sum(c) AS nc FROM grid GROUP BY position),
+            shares AS (
+                SELECT position, bin, nb, nc, (b + 0.5::DOUBLE) / (nb + {0.5 * (BINS + 1)}::DOUBLE) AS p,
+                       (c + 0.5::DOUBLE) / (nc + {0.5 * (BINS + 1)}::DOUBLE) AS q,
+                       abs(sum(b) OVER w / nb::DOUBLE - sum(c) OVER w / nc::DOUBLE) AS gap
+                FROM grid JOIN totals USING (position) WINDOW w AS (PARTITION BY position ORDER BY bin))
+            SELECT CAST(s.position AS INTEGER) AS position, f.feature, CAST(max(nb) AS BIGINT) AS n_before, CAST(max(nc) AS BIGINT) AS n_now,
+                   round(sum((p - q) * ln(p / q)), 7) AS psi, round(max(gap), 7) AS ks
+            FROM shares s JOIN (SELECT DISTINCT position, feature FROM base_long) f USING (position)
+            GROUP BY s.position, f.feature""",
         "scaler_stats": " UNION ALL ".join(
             f"""SELECT '{c}' AS feature, round(avg({c}), 6) AS mean,
                        round(stddev_pop({c}), 6) AS std FROM lineitem"""
@@ -539,6 +568,36 @@ def oracle_sql() -> dict[str, str]:
                 for i, c in enumerate(["l_quantity", "l_discount", "l_partkey"]))}),
             {', '.join(f'{name} AS MATERIALIZED ({_ctes(LAYOUT)[name]})' for name in ("ranked", "edges", "cells", "scores"))}
             SELECT CAST(position AS INTEGER) AS position, feature, round(score, 7) AS score FROM scores""",
+        "mi_neighbours": f"""
+            WITH long AS ({' UNION ALL '.join(
+                f"SELECT {i} AS position, '{c}' AS feature, CAST({c} AS DOUBLE) AS x, "
+                "CAST(p_retailprice AS DOUBLE) AS y, p_partkey AS id FROM part"
+                for i, c in enumerate(["p_size", "p_partkey"]))}),
+            scaled AS MATERIALIZED (
+                SELECT position, feature, id, x / stddev_pop(x) OVER w AS x, y / stddev_pop(y) OVER w AS y,
+                       count(*) OVER w AS n
+                FROM long WINDOW w AS (PARTITION BY position)),
+            reach AS MATERIALIZED (
+                SELECT a.position, a.id, list_sort(min(greatest(abs(a.x - b.x), abs(a.y - b.y)), 3))[3] AS r,
+                       count(*) FILTER (a.x = b.x AND a.y = b.y) AS same
+                FROM scaled a JOIN scaled b ON a.position = b.position AND a.id <> b.id GROUP BY a.position, a.id),
+            counted AS (
+                SELECT a.position, a.id, any_value(r) AS r, any_value(same) AS same,
+                       count(*) FILTER (abs(a.x - b.x) <= greatest(r - 4e-15 * (abs(a.x) + r), 0)) AS nx,
+                       count(*) FILTER (abs(a.y - b.y) <= greatest(r - 4e-15 * (abs(a.y) + r), 0)) AS ny
+                FROM scaled a JOIN reach USING (position, id) JOIN scaled b ON a.position = b.position
+                GROUP BY a.position, a.id),
+            harmonic AS MATERIALIZED (
+                SELECT m, -0.5772156649015329::DOUBLE + coalesce(sum(1.0::DOUBLE / (m - 1)) OVER (
+                           ORDER BY m ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS psi
+                FROM (SELECT unnest(range(2, 1 + (SELECT count(*) FROM part))) AS m)
+                UNION ALL SELECT 1, -0.5772156649015329::DOUBLE)
+            SELECT CAST(s.position AS INTEGER) AS position, s.feature,
+                   round(greatest(avg(k.psi + t.psi - hx.psi - hy.psi), 0), 7) AS score
+            FROM counted c JOIN scaled s USING (position, id)
+            JOIN harmonic k ON k.m = CASE WHEN r > 0 THEN 3 ELSE same END
+            JOIN harmonic t ON t.m = s.n JOIN harmonic hx ON hx.m = nx JOIN harmonic hy ON hy.m = ny
+            GROUP BY s.position, s.feature""",
         "select_k_best": _with("best")
         + "SELECT CAST(rank AS INTEGER) AS rank, feature FROM best"
         " WHERE held = -1 AND rank <= 7",
@@ -590,6 +649,10 @@ def oracle_sql() -> dict[str, str]:
                          WHERE upto >= ceil(0.2 * (SELECT count(*) FROM orders)))
             SELECT o_orderkey, CAST(date_trunc('month', o_orderdate) >= cut.m AS INTEGER) AS is_test
             FROM orders, cut""",
+        "ordered_split": """
+            SELECT event_id, CAST(row_number() OVER (ORDER BY ts DESC, event_id DESC)
+                                  <= ceil(0.2 * count(*) OVER ()) AS INTEGER) AS is_test
+            FROM events""",
         "parse_month_es": f"SELECT o_orderkey, {_int_part('month', 'o_orderdate')} AS mes FROM orders",
         "parse_date_lenient": f"""
             SELECT l_orderkey, l_linenumber, coalesce(strftime(try_strptime(written,
@@ -629,6 +692,12 @@ def oracle_sql() -> dict[str, str]:
             FROM lineitem""",
         "validate_requests": _with("asked")
         + "SELECT request_id, CAST(reason = 'ok' AS INTEGER) AS valid, reason FROM asked",
+        "validate_requests_header": _with("asked")
+        + f"""SELECT request_id, CAST(reason = 'ok' AND NOT is_bare AS INTEGER) AS valid,
+                     CASE WHEN reason = 'ok' AND is_bare THEN 'missing {HEADER_ONLY}' ELSE reason END AS reason
+              FROM asked""",
+        "request_ids": _with("asked")
+        + "SELECT CAST(1 AS BIGINT) AS ids, count(*) AS requests, count(*) AS different FROM asked",
         "request_rows": _with("asked_rows")
         + f"""SELECT request_id, pos, CAST(anio AS DOUBLE) AS anio, CAST(mes AS DOUBLE) AS mes,
                      {_round(PRICE, PRICE)}, {', '.join([*LAYOUT.rain, *LAYOUT.texts])}
@@ -639,6 +708,9 @@ def oracle_sql() -> dict[str, str]:
         "request_log_head": _with("asked_rows", "answered")
         + f"{_log()} ORDER BY request_id, pos LIMIT 100",
         "stream_score": _with("asked_rows", "answered") + _log(),
+        "stream_log_and_rejects": _with("asked_rows", "answered")
+        + """SELECT request_id, pos, pred, 'ok' AS reason FROM asked_rows JOIN answered USING (request_id)
+             UNION ALL SELECT request_id, -1, -1.0, reason FROM asked WHERE reason <> 'ok'""",
         "monthly_features": _with("complete")
         + f"""SELECT series, Periodo, {_round('target', PRICE, 'target')}, {_feature_columns()}
               FROM complete""",

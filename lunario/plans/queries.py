@@ -15,6 +15,7 @@ from pyspark.ml.feature import PolynomialExpansion, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructType
 
 from lunario import schema
 from lunario.functions import (
@@ -27,7 +28,7 @@ from lunario.functions import (
 from lunario.model import forecast, grid
 from lunario.model.estimators import PopScaler, Ridge
 from lunario.model.stages import DropIncomplete, TakeColumns
-from lunario.operators import information, merge, metrics, quality, requests, rows, splits, windows
+from lunario.operators import drift, information, merge, metrics, neighbours, quality, requests, rows, splits, windows
 from lunario.plans.standins import (
     LAYOUT,
     SERIES,
@@ -42,7 +43,7 @@ from lunario.session import fresh_path, stage_table
 from lunario.sources import files
 from lunario.sources import requests as request_files
 from lunario.sources.collectors import collect_price
-from lunario.streaming.score import stream_score
+from lunario.streaming.score import stream_log_and_rejects, stream_score
 
 # Decimals kept per column kind, some six significant digits.
 DIGITS = {FULL.price: 4} | dict.fromkeys(FULL.rain, 4) | dict.fromkeys(FULL.gdp, 0)
@@ -53,6 +54,14 @@ LINEAR_GRID = {"selector__k": [1, 2], "poly__degree": [1], "model__alpha": [1, 0
 SQUARE_GRID = {"selector__k": [1], "poly__degree": [1, 2], "model__alpha": [1, 0.2, 0.01]}
 LINE_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
+ORDER_LINES = (
+    StructType().add("o_orderkey", LongType()).add("o_totalprice", DoubleType()).add("o_custkey", LongType())
+)
+#: A tenth of the rows may be broken; about three in a hundred are.
+BAD_SHARE = 0.1
+#: A request column that only the saved header names.
+HEADER_ONLY = "Otros"
+
 # Orders and events have few, long series: the row order is cut by day or minute.
 ORDER_SERIES, ORDER_KEY = ["o_orderpriority"], ["o_orderdate", "o_orderkey"]
 EVENT_SERIES, EVENT_KEY = ["event_type"], ["ts", "event_id"]
@@ -125,6 +134,25 @@ def csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return files.read_csv(spark, path, orders.schema)
 
 
+def csv_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders written as lines of which some are broken: the good rows beside the put-aside ones."""
+    key = F.col("o_orderkey")
+    price = F.when(key % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string"))
+    more = F.when(key % 89 == 0, F.lit(",x")).otherwise(F.lit(""))
+    line = F.when(key % 83 == 0, key.cast("string")).otherwise(
+        F.concat(F.concat_ws(",", key, price, "o_custkey"), more)
+    )
+    path = fresh_path(spark, "broken-csv")
+    table(spark, sf, "orders").select(line.alias("value")).write.text(path)
+    good, bad = files.read_checked_csv(
+        spark, path, ORDER_LINES, header=False, bad_share=BAD_SHARE
+    )
+    put_aside = F.get(F.split("line", ","), F.lit(0)).cast("bigint")
+    return good.select("o_orderkey", F.round("o_totalprice", 2).alias("o_totalprice"), F.lit("ok").alias("reason")).unionByName(
+        bad.select(put_aside.alias("o_orderkey"), F.lit(-1.0).alias("o_totalprice"), "reason")
+    )
+
+
 def collect_price_query(spark: SparkSession, sf: str) -> DataFrame:
     price = collect_price(raw_price(spark, sf), SERIES, LAYOUT)
     return _rounded(price)
@@ -275,6 +303,17 @@ def eval_mse_rmse_r2(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def drift_report(spark: SparkSession, sf: str) -> DataFrame:
+    """How far the held-out rows of every feature lie from the stored profile of the training rows."""
+    training = _training(spark, sf)
+    path = fresh_path(spark, "profile")
+    files.write_table(drift.profile(training.where(~F.col("is_test")), LAYOUT.features), path)
+    report = drift.drift(files.read_table(spark, path), training.where("is_test"))
+    return report.select(
+        "position", "feature", "n_before", "n_now", F.round("psi", 7).alias("psi"), F.round("ks", 7).alias("ks")
+    )
+
+
 def promotion_gate(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.promotion_gate(eval_mse_rmse_r2(spark, sf))
 
@@ -300,6 +339,20 @@ def mi_scores_lines(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def mi_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    return neighbours.neighbour_information(
+        table(spark, sf, "part"), ["p_size", "p_partkey"], "p_retailprice"
+    ).select("position", "feature", F.round("score", 7).alias("score"))
+
+
+def mi_neighbours_lines(spark: SparkSession, sf: str) -> DataFrame:
+    lineitem = table(spark, sf, "lineitem")
+    features = ["l_quantity", "l_discount", "l_partkey"]
+    return neighbours.neighbour_information(lineitem, features, "l_extendedprice").select(
+        "position", "feature", F.round("score", 7).alias("score")
+    )
+
+
 def select_k_best(spark: SparkSession, sf: str) -> DataFrame:
     training = _training(spark, sf).where(~F.col("is_test"))
     scores = information.mutual_information(training, LAYOUT.features, schema.TARGET)
@@ -430,6 +483,13 @@ def time_split(spark: SparkSession, sf: str) -> DataFrame:
     return split.select("o_orderkey", F.col("is_test").cast("int").alias("is_test"))
 
 
+def ordered_split(spark: SparkSession, sf: str) -> DataFrame:
+    """The newest fifth of all events, cut by their timestamps and then their ids."""
+    events = table(spark, sf, "events").select("event_id", "ts")
+    split = splits.time_split(events, ["ts", "event_id"])
+    return split.select("event_id", F.col("is_test").cast("int").alias("is_test"))
+
+
 # Scalar functions
 
 
@@ -556,10 +616,14 @@ def _sent_requests(
         .when(key % 17 == 0, F.concat(arrays[first_gdp], F.array(F.lit("1").cast("variant"))))
         .otherwise(arrays[first_gdp])
     )
+    # A column that only some queries ask for; the others ignore it.
+    spare = F.when(key % 5 != 0, F.array(*[F.lit(i) for i in range(months)]))
     sent = whole.where(F.col("h_rank") >= months).select(
         F.concat_ws("|", "series", period_label(F.col("anio"), F.col("mes"))).alias("request_id"),
         F.struct(
-            *[a.alias(c) for c, a in arrays.items()], F.array(F.lit(1)).alias("extra")
+            *[a.alias(c) for c, a in arrays.items()],
+            spare.alias(HEADER_ONLY),
+            F.array(F.lit(1)).alias("extra"),
         ).alias("data"),
     )
     path = fresh_path(spark, "requests")
@@ -582,6 +646,38 @@ def validate_requests(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def validate_requests_header(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests checked against the saved header of a merged table that has a further column."""
+    merged = _staged_merge(spark, sf)
+    path = fresh_path(spark, "header")
+    requests.write_header(merged.withColumn(HEADER_ONLY, F.lit(1.0)), path, SERIES)
+    layout = requests.read_header(spark, path)
+    sent = _sent_requests(spark, sf, merged)
+    checked = requests.check_requests(request_files.read_requests(spark, sent, layout), layout)
+    return checked.select(
+        "request_id",
+        F.col("valid").cast("int").alias("valid"),
+        F.coalesce("reason", F.lit("ok")).alias("reason"),
+    )
+
+
+def request_ids(spark: SparkSession, sf: str) -> DataFrame:
+    """Requests sent without an id get one; per request the id is counted after two readings."""
+    merged = _staged_merge(spark, sf)
+    sent = _requests(spark, sf, merged)
+    named = F.col("request_id")
+    bare = sent.withColumn("sent_as", named).withColumn(
+        "request_id", F.when(F.xxhash64(named) % 2 == 0, named)
+    )
+    first, again = (request_files.with_request_ids(bare) for _ in range(2))
+    ids = first.unionByName(again).groupBy("sent_as").agg(
+        F.count_distinct("request_id").alias("ids"), F.min("request_id").alias("request_id")
+    )
+    return ids.groupBy("ids").agg(
+        F.count(F.lit(1)).alias("requests"), F.count_distinct("request_id").alias("different")
+    )
+
+
 def request_rows(spark: SparkSession, sf: str) -> DataFrame:
     valid = requests.check_requests(_requests(spark, sf), LAYOUT).where("valid")
     months = requests.request_months(valid.select("request_id", "data"), LAYOUT)
@@ -635,6 +731,24 @@ def stream_score_query(spark: SparkSession, sf: str) -> DataFrame:
     return _log_view(files.read_table(spark, log))
 
 
+def stream_log_and_rejects_query(spark: SparkSession, sf: str) -> DataFrame:
+    """Log rows and rejects of one stream, side by side."""
+    merged = _staged_merge(spark, sf)
+    model = _model(_training(spark, sf, merged))
+    stream = request_files.stream_requests(spark, _sent_requests(spark, sf, merged), LAYOUT)
+    log, rejects = fresh_path(spark, "stream-log"), fresh_path(spark, "stream-rejects")
+    state = fresh_path(spark, "stream-state")
+    query = stream_log_and_rejects(stream, model, log, rejects, state, once=True, layout=LAYOUT)
+    query.awaitTermination()
+    logged = request_files.read_log(spark, log).select(
+        "request_id", "pos", F.round("pred", 1).alias("pred"), F.lit("ok").alias("reason")
+    )
+    refused = request_files.read_log(spark, rejects).select(
+        "request_id", F.lit(-1).alias("pos"), F.lit(-1.0).alias("pred"), "reason"
+    )
+    return logged.unionByName(refused)
+
+
 # Features and model
 
 
@@ -705,6 +819,7 @@ def batch_predict(spark: SparkSession, sf: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "csv_roundtrip": csv_roundtrip,
+        "csv_quarantine": csv_quarantine,
         "collect_price": collect_price_query,
         "collect_weather": collect_weather,
         "collect_finance": collect_finance,
@@ -721,9 +836,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "validate_nonempty": validate_nonempty,
         "eval_mse_rmse_r2": eval_mse_rmse_r2,
         "promotion_gate": promotion_gate,
+        "drift_report": drift_report,
         "scaler_stats": scaler_stats,
         "mi_scores": mi_scores,
         "mi_scores_lines": mi_scores_lines,
+        "mi_neighbours": mi_neighbours,
+        "mi_neighbours_lines": mi_neighbours_lines,
         "select_k_best": select_k_best,
         "ridge_1d": ridge_1d,
         "lag_label": lag_label,
@@ -736,6 +854,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "train_test_split": train_test_split,
         "kfold_assign": kfold_assign,
         "time_split": time_split,
+        "ordered_split": ordered_split,
         "parse_month_es": parse_month_es,
         "parse_date_lenient": parse_date_lenient,
         "period_label": period_label_query,
@@ -744,12 +863,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "standardize": standardize,
         "poly_degree2": poly_degree2,
         "validate_requests": validate_requests,
+        "validate_requests_header": validate_requests_header,
+        "request_ids": request_ids,
         "request_rows": request_rows,
         "score_requests": score_requests,
         "request_log": request_log,
         "request_log_full": request_log_full,
         "request_log_head": request_log_head,
         "stream_score": stream_score_query,
+        "stream_log_and_rejects": stream_log_and_rejects_query,
         "monthly_features": monthly_features,
         "training_table": training_table,
         "feature_store": feature_store,

@@ -82,6 +82,27 @@ class Layout:
     gdp: tuple[str, ...] = tuple(GDP_COLS)
     index: tuple[str, ...] = tuple(INDEX_COLS)
     price: str = PRICE
+    #: Columns of the merged table's header beyond the known ones: a request must carry them too.
+    extra: tuple[str, ...] = ()
+
+    @classmethod
+    def of_header(cls, columns: list[str]) -> Layout:
+        """The layout of a merged table's columns; what no group knows is required all the same."""
+        absent = [c for c in [*TIME_COLS, PRICE] if c not in columns]
+        if absent:
+            raise ValueError(f"columns missing in the header: {absent}")
+        known = {*TIME_COLS, PRICE, *RAIN_COLS, *GDP_COLS, *INDEX_COLS}
+        return cls(
+            rain=tuple(c for c in RAIN_COLS if c in columns),
+            gdp=tuple(c for c in GDP_COLS if c in columns),
+            index=tuple(c for c in INDEX_COLS if c in columns),
+            extra=tuple(c for c in columns if c not in known),
+        )
+
+    @property
+    def required(self) -> list[str]:
+        """Columns that a request must carry."""
+        return [*self.merged, *self.extra]
 
     @property
     def price_table(self) -> list[str]:
@@ -139,7 +160,7 @@ class Layout:
         numbers = [*TIME_COLS, self.price, *self.rain]
         data = T.StructType(
             _fields(numbers, T.ArrayType(T.DoubleType()))
-            + _fields(self.texts, T.ArrayType(T.VariantType()))
+            + _fields([*self.texts, *self.extra], T.ArrayType(T.VariantType()))
         )
         return T.StructType(
             [T.StructField("request_id", T.StringType()), T.StructField("data", data)]

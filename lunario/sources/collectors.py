@@ -12,23 +12,23 @@ from lunario.operators.rows import drop_incomplete, keep_first, nan_to_null
 
 
 def collect_price(
-    raw: DataFrame, series: list[str] = [], layout: Layout = FULL
+    raw: DataFrame, series: list[str] = [], layout: Layout = FULL, keep: list[str] = []
 ) -> DataFrame:
-    """Price rows with the month name turned into a number."""
+    """Price rows with the month name turned into a number; ``keep`` names further columns."""
     return (
         raw.withColumnsRenamed({"Anio": "anio", "Mes": "mes"})
         .withColumn("mes", month_of_abbreviation(F.col("mes")))
-        .select(*series, *layout.price_table)
+        .select(*series, *layout.price_table, *keep)
     )
 
 
 def collect_rain(
-    raw: DataFrame, series: list[str] = [], layout: Layout = FULL
+    raw: DataFrame, series: list[str] = [], layout: Layout = FULL, keep: list[str] = []
 ) -> DataFrame:
     """Rainfall rows with year and month of their ISO date; repeated months stay."""
     day = strict_date(F.col("date"))
     dated = raw.withColumns({"mes": F.month(day), "anio": F.year(day)})
-    return nan_to_null(dated.select(*series, *layout.rain_table))
+    return nan_to_null(dated.select(*series, *layout.rain_table, *keep))
 
 
 def collect_bank(

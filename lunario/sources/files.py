@@ -6,6 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lunario.session import stage_table
+
+_LINE, _ORDER = "__line", "__order"
+
 
 def read_csv(
     spark: SparkSession, path: str, schema: T.StructType, source_order: str | None = None
@@ -34,6 +38,67 @@ def read_csv(
     return with_source_order(rows, source_order).select(*schema.names, source_order)
 
 
+def read_checked_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    source_order: str | None = None,
+    *,
+    header: bool = True,
+    bad_share: float = 0.0,
+) -> tuple[DataFrame, DataFrame]:
+    """Good rows of a CSV folder, and its malformed rows as (file, line, reason).
+
+    A row is malformed if it has too few or too many cells, or a cell that is no
+    value of its column's type; the first fault is the reason. The files are read
+    once. More malformed rows than ``bad_share`` of all stop the job, as do a
+    missing column and files of different headers. Without ``header`` columns go
+    by position.
+    """
+    reader = (
+        spark.read.option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("enforceSchema", not header)
+        .option("columnNameOfCorruptRecord", _LINE)
+    )
+    names = reader.csv(path).columns if header else schema.names
+    missing = [c for c in schema.names if c not in names]
+    if missing:
+        raise ValueError(f"columns missing in {path}: {missing}")
+    cells = T.StructType([T.StructField(c, T.StringType()) for c in [*names, _LINE]])
+    rows = with_source_order(reader.schema(cells).csv(path), _ORDER)
+    faults = [F.when(F.col(_LINE).isNotNull(), F.lit("wrong number of cells"))]
+    typed = []
+    for field in schema.fields:
+        cell = F.col(f"`{field.name}`")
+        value = cell.try_cast(field.dataType)
+        typed.append(value.alias(field.name))
+        said = F.concat(F.lit(f"{field.name} is no {field.dataType.simpleString()}: "), cell)
+        faults.append(F.when(cell.isNotNull() & value.isNull(), said))
+    line = F.coalesce(F.col(_LINE), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in names])))
+    checked = stage_table(
+        rows.select(
+            *typed,
+            F.col(_ORDER),
+            F.coalesce(*faults).alias("__reason"),
+            line.alias(_LINE),
+        ),
+        "checked-csv",
+    )
+    bad = checked.where("__reason IS NOT NULL").select(
+        F.col(f"{_ORDER}.file").alias("file"), F.col(_LINE).alias("line"), F.col("__reason").alias("reason")
+    )
+    counts = checked.agg(F.count(F.lit(1)).alias("rows"), F.count("__reason").alias("bad")).first()
+    if counts["bad"] > bad_share * counts["rows"]:
+        raise ValueError(
+            f"{counts['bad']} of {counts['rows']} rows in {path} are malformed: {bad.first()['reason']}"
+        )
+    good = checked.where("__reason IS NULL")
+    if source_order is None:
+        return good.select(*schema.names), bad
+    return good.select(*schema.names, F.col(_ORDER).alias(source_order)), bad
+
+
 def with_source_order(rows: DataFrame, name: str = "source_order") -> DataFrame:
     """Add a struct that sorts rows of a file scan by file, block and line."""
     return rows.withColumn(

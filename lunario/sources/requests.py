@@ -31,7 +31,7 @@ def _cell(sent: Column) -> Column:
 def _with_cells(sent: DataFrame, layout: Layout) -> DataFrame:
     columns = [
         F.transform(f"data.{c}", _cell).alias(c) if c in layout.texts else F.col(f"data.{c}")
-        for c in layout.merged
+        for c in layout.required
     ]
     return sent.withColumn("data", F.struct(*columns))
 
