@@ -20,11 +20,11 @@ LANES = 256
 #: Steps that gradients go back; scores do not depend on the window.
 WINDOW = 16
 SCORE_WINDOW = 64
-#: Lanes of scoring, which do not change its results; more lanes share each step.
-SCORE_LANES = 1024
 #: Steps whose cells are laid out at once, about.
 STRETCH = 1024
 RATE = 0.12
+#: Logits up to this size need no shift in single precision.
+LARGEST = 60.0
 
 
 class Recurrent:
@@ -94,41 +94,55 @@ class Recurrent:
         kept["out"], kept["last"] = out.reshape(-1, H), h
         return kept
 
+    def _within_range(self) -> bool:
+        """Whether no state, which lies between -1 and 1, gives a logit that ``exp`` could not hold."""
+        p = self.p
+        classes = np.abs(p["class_w"]).sum(axis=0) + np.abs(p["class_b"])
+        words = np.abs(p["word_w"]).sum(axis=1) + np.abs(p["word_b"])
+        return max(classes.max(), words.max()) < LARGEST
+
     def output(self, h: np.ndarray, target: np.ndarray, grads: dict | None = None):
         """Natural log probability of each target; with ``grads`` also adds to them, and dh."""
         p, rows = self.p, np.arange(len(target))
+        # Shifting logits by their largest changes nothing but their range.
+        shift = not self._within_range()
         of = np.minimum(target, self.size) // WIDTH
         logits = h @ p["class_w"] + p["class_b"]
-        logits -= logits.max(axis=1, keepdims=True)
+        if shift:
+            logits -= logits.max(axis=1, keepdims=True)
         e = np.exp(logits)
-        total = e.sum(axis=1)
+        total = e @ np.ones(self.classes, e.dtype)
         found = (logits[rows, of] - np.log(total)).astype(np.float64)
         dh = None
         if grads is not None:
             e /= -total[:, None]
             e[rows, of] += 1
             grads["class_w"] += h.T @ e
-            grads["class_b"] += e.sum(axis=0)
+            grads["class_b"] += np.ones(len(e), e.dtype) @ e
             dh = e @ p["class_w"].T
         order = np.argsort(of, kind="stable")
-        cuts = np.searchsorted(of[order], np.arange(self.classes))
+        cuts = np.searchsorted(of[order], np.arange(self.classes)).tolist()
+        hs_all, inside_all, wide = h[order], (target - of * WIDTH)[order], np.ones(WIDTH, e.dtype)
         for c in range(self.classes - 1):
-            some = order[cuts[c] : cuts[c + 1]]
-            if not len(some):
+            begin, end = cuts[c], cuts[c + 1]
+            if begin == end:
                 continue
-            inside = target[some] - c * WIDTH
-            hs = h[some]
-            logits = hs @ p["word_w"][c] + p["word_b"][c]
-            logits -= logits.max(axis=1, keepdims=True)
-            e = np.exp(logits)
-            total = e.sum(axis=1)
-            one = np.arange(len(some))
-            found[some] += logits[one, inside] - np.log(total)
+            hs, one = hs_all[begin:end], rows[: end - begin]
+            inside = inside_all[begin:end]
+            logits = hs @ p["word_w"][c]
+            logits += p["word_b"][c]
+            if shift:
+                logits -= logits.max(axis=1, keepdims=True)
+            picked = logits[one, inside]
+            e = np.exp(logits, out=logits)
+            total = e @ wide
+            some = order[begin:end]
+            found[some] += picked - np.log(total)
             if grads is not None:
                 e /= -total[:, None]
                 e[one, inside] += 1
                 grads["word_w"][c] += hs.T @ e
-                grads["word_b"][c] += e.sum(axis=0)
+                grads["word_b"][c] += np.ones(len(e), e.dtype) @ e
                 dh[some] += e @ p["word_w"][c].T
         return found, dh
 
@@ -251,7 +265,7 @@ class Trainer:
 def score(model: Recurrent, texts: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each text, with the state carried from its first to its last id."""
     found = np.zeros(len(texts))
-    laid = Lanes(texts, model.size, SCORE_LANES)
+    laid = Lanes(texts, model.size)
     h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
     for target, previous, first, mask, text in laid.windows(SCORE_WINDOW):
         kept = model.steps(previous, first, h[: target.shape[1]], keep=False)
