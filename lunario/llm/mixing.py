@@ -6,9 +6,10 @@ rate = min(CAP, exp(lambda * size / mean size)). The dual is convex with one
 unknown per source; safeguarded Newton steps solve it, each step one aggregate
 over the table of distinct (source, size), which is all the dual depends on.
 
-Rates become copies per (source, size): a fold over the sizes of a source, from
-large to small, carries the words still owed, so a source ends within half of
-its smallest document of its target. Which documents of a size get the copy
+Rates become copies per (source, size), from large sizes to small: along running
+sums over ranges of sizes, fractions of copies go on from size to size, and a fold
+over the smallest ``TAIL`` sizes of a source carries the words still owed, so a
+source ends within half of its smallest document of its target. Which documents of a size get the copy
 more is settled by their hash, in 4,096 hash ranges per size, so no size of a
 hot source meets in one task. Nothing is random: reruns agree.
 
@@ -23,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lunario.llm.common import carried, staged, text_hash, whole_text
+from lunario.llm.common import carried, shuffle_width, staged, text_hash, whole_text
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 WEIGHTS = (5, 2, 1)
@@ -32,6 +33,10 @@ CAP = 3
 HASH_RANGES = 4096
 TOLERANCE = 1e-10
 STEPS = 80
+#: Largest share of a target that a multiplier may still miss after all steps.
+MISSED = 1e-6
+#: Smallest sizes of a source that are folded one after the other; parts of a copy.
+TAIL, UNIT = 1024, 1_000_000_000
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -97,6 +102,7 @@ def solve(by_size: DataFrame, wanted: DataFrame) -> DataFrame:
         wanted.select(
             "src", "target", "source_size", mean.alias("mean"), F.lit(0.0).alias("tilt"),
             (mean * -60).alias("low"), (mean * 2).alias("high"), F.lit(False).alias("done"),
+            F.lit(0.0).alias("missed"),
         ),
         "tilt",
     )
@@ -124,42 +130,96 @@ def solve(by_size: DataFrame, wanted: DataFrame) -> DataFrame:
                 .alias("tilt"),
                 low.alias("low"), high.alias("high"),
                 (F.col("done") | met | narrow).alias("done"),
+                F.abs(F.try_divide(gap, "target")).alias("missed"),
             ),
             "tilt",
         )
         if state.where(~F.col("done")).isEmpty():
-            break
+            return state
+    far = state.where(~F.col("done") & (F.col("missed") > MISSED)).count()
+    if far:
+        raise RuntimeError(f"the targets of {far} sources are not met in {STEPS} steps")
     return state
 
 
+def _rounded_along(large: DataFrame, width: int) -> DataFrame:
+    """Copies of the large sizes of each source: every fraction of a copy goes on to the next size.
+
+    Fractions are whole billionths, so their running sums do not follow the order
+    of partitions. Sizes are dealt in ranges; a sum within each range is completed
+    by the sums of the ranges before, so no task sees all sizes of a source.
+    """
+    ranged = staged(
+        large.repartitionByRange(width, F.col("src"), F.desc("size")).withColumn(
+            "range", F.spark_partition_id()
+        ),
+        "size-ranges",
+    )
+    ahead = Window.partitionBy("src").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per source and range.
+    offsets = (
+        ranged.groupBy("src", "range")
+        .agg(F.sum("fraction").alias("all"))
+        .select("src", "range", F.coalesce(F.sum("all").over(ahead), F.lit(0)).alias("offset"))
+    )
+    inside = Window.partitionBy("src", "range").orderBy(F.desc("size"))
+    upto = F.sum("fraction").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = ranged.withColumn("run", upto).join(offsets, ["src", "range"])
+    whole = F.expr(f"(offset + run) div {UNIT} - (offset + run - fraction) div {UNIT}")
+    return run.withColumn("copies", F.col("least") + whole)
+
+
 def _allotted(by_size: DataFrame, solved: DataFrame) -> DataFrame:
-    """Copies for all documents of a (source, size), by a fold that carries the words owed."""
+    """Copies for all documents of a (source, size), from large sizes to small.
+
+    Sizes above the ``TAIL`` smallest of their source are rounded along the running
+    sum of their expected copies, which leaves a source at most its largest document
+    off. The words then owed are carried through its ``TAIL`` smallest sizes by a fold.
+    """
     rate = F.when(
         F.col("target") >= CAP * F.col("source_size") * (1 - 1e-12), F.lit(float(CAP))
     ).otherwise(_rate(F.col("tilt")))
-    sizes = (
-        by_size.join(solved, "src")
+    expected = by_size.join(solved, "src").select(
+        "src", "size", "docs", (F.col("docs") * rate).alias("expected")
+    )
+    least = F.floor(F.col("expected") + 0.5 / UNIT).cast("long")
+    fraction = F.round((F.col("expected") - least) * UNIT).cast("long")
+    expected = staged(
+        expected.withColumn("least", least).withColumn("fraction", F.greatest(fraction, F.lit(0))), "expected"
+    )
+    place = F.row_number().over(Window.partitionBy("src").orderBy("size"))
+    small = expected.select("src", "size", place.alias("place")).where(F.col("place") <= TAIL)
+    edges = small.groupBy("src").agg(F.max("size").alias("edge"))
+    sides = expected.join(edges, "src")
+    width = shuffle_width(by_size.sparkSession)
+    large = staged(
+        _rounded_along(sides.where(F.col("size") > F.col("edge")).drop("edge"), width).select(
+            "src", "size", "copies", (F.col("size") * (F.col("expected") - F.col("copies"))).alias("owed")
+        ),
+        "allotted-large",
+    )
+    owed = large.groupBy("src").agg(F.round(F.sum("owed"), 3).alias("owed"))
+    tail = (
+        sides.where(F.col("size") <= F.col("edge"))
         .groupBy("src")
         .agg(
-            F.reverse(
-                F.array_sort(F.collect_list(F.struct("size", "docs", rate.alias("rate"))))
-            ).alias("sizes")
+            F.reverse(F.array_sort(F.collect_list(F.struct("size", "docs", "expected")))).alias("sizes")
         )
+        .join(owed, "src", "left")
     )
     start = F.struct(
-        F.lit(0.0).alias("owed"),
+        F.coalesce("owed", F.lit(0.0)).alias("owed"),
         F.array().cast("array<struct<size:bigint,copies:bigint>>").alias("out"),
     )
 
     def step(state: Column, one: Column) -> Column:
-        expected = one["docs"] * one["rate"]
-        wish = F.round(expected + state["owed"] / F.greatest(one["size"], F.lit(1)))
+        wish = F.round(one["expected"] + state["owed"] / F.greatest(one["size"], F.lit(1)))
         most = (one["docs"] * CAP).cast("double")
         copies = F.when(one["size"] == 0, one["docs"].cast("double")).otherwise(
             F.greatest(F.lit(0.0), F.least(most, wish))
         )
         return F.struct(
-            (state["owed"] + one["size"] * (expected - copies)).alias("owed"),
+            (state["owed"] + one["size"] * (one["expected"] - copies)).alias("owed"),
             F.concat(
                 state["out"],
                 F.array(
@@ -168,8 +228,9 @@ def _allotted(by_size: DataFrame, solved: DataFrame) -> DataFrame:
             ).alias("out"),
         )
 
-    folded = sizes.select("src", F.aggregate("sizes", start, step, lambda s: s["out"]).alias("out"))
-    return folded.select("src", F.explode("out").alias("o")).select("src", "o.size", "o.copies")
+    folded = tail.select("src", F.aggregate("sizes", start, step, lambda s: s["out"]).alias("out"))
+    rest = folded.select("src", F.explode("out").alias("o")).select("src", "o.size", "o.copies")
+    return large.select("src", "size", "copies").unionByName(rest)
 
 
 def decisions(docs: DataFrame) -> DataFrame:

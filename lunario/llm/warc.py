@@ -247,7 +247,7 @@ def write(pages: DataFrame, root: str | None = None) -> tuple[DataFrame, str]:
     tasks = max(shuffle_width(spark), len(bounds) + 1)
     manifest = (
         both.withColumn("shard", shard_of("key"))
-        .repartition(tasks, "shard")
+        .repartitionById(tasks, F.col("shard"))
         .sortWithinPartitions("shard", "key", F.desc("marker"), "url", "digest")
         .mapInArrow(_writing(root), MANIFEST)
     )
