@@ -22,6 +22,7 @@ import hashlib
 import heapq
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pyarrow as pa
 import regex
@@ -32,13 +33,29 @@ from pyspark.sql import types as T
 from lunario.llm.common import whole_text
 
 #: Bytes that are encoded at once, without cutting.
-LEAF = 64
-#: Matches whose ids a task remembers.
-CACHE = 200_000
+LEAF = 8
+#: Matches whose ids a task remembers, and characters of the longest of them.
+CACHE, SHORT = 200_000, 64
 #: Tokens that are decoded at once.
 CHUNK = 256
 
 
+class _Remembered(dict):
+    """Ids by match; computes what is missing and forgets all when full."""
+
+    def __init__(self, find):
+        super().__init__()
+        self.find = find
+
+    def __missing__(self, match: str) -> tuple[int, ...]:
+        ids = tuple(self.find(match.encode("utf-8")))
+        if len(match) <= SHORT:
+            if len(self) >= CACHE:
+                self.clear()
+            self[match] = ids
+        return ids
+
+
 class ByteBPE:
     """Encoder and decoder for one table of ranks."""
 
@@ -47,7 +64,7 @@ class ByteBPE:
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.pattern = regex.compile(pattern)
         self.pairs: dict[tuple[int, int], bool] = {}
-        self.matches: dict[str, tuple[int, ...]] = {}
+        self.matches = _Remembered(self.encode_match)
 
     @classmethod
     def from_file(cls, path: str, pattern: str) -> ByteBPE:
@@ -102,8 +119,8 @@ class ByteBPE:
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """Encoding of the joined bytes of two encodings; the empty list is neutral."""
-        if not left or not right:
-            return left or right
+        if not left or not right or self.stable(left[-1], right[0]):
+            return left + right
         i = j = 1
         while True:
             seam = left[-i:] + right[:j]
@@ -116,30 +133,20 @@ class ByteBPE:
             j = j if right_done else min(2 * j, len(right))
 
     def encode_bytes(self, data: bytes) -> list[int]:
-        """Ids of one match: the tree over its halves."""
+        """Ids of the bytes: the tree over their halves."""
         if len(data) <= LEAF:
             return self.merge(data) if data else []
         half = len(data) // 2
         return self.join(self.encode_bytes(data[:half]), self.encode_bytes(data[half:]))
 
-    def encode_match(self, match: str) -> tuple[int, ...]:
-        ids = self.matches.get(match)
-        if ids is None:
-            data = match.encode("utf-8")
-            rank = self.ranks.get(data)
-            ids = tuple(self.encode_bytes(data)) if rank is None else (rank,)
-            if len(match) <= LEAF:
-                if len(self.matches) >= CACHE:
-                    self.matches.clear()
-                self.matches[match] = ids
-        return ids
+    def encode_match(self, data: bytes) -> list[int]:
+        """Ids of one match of the pattern; one that is a token as a whole stays whole."""
+        rank = self.ranks.get(data)
+        return self.encode_bytes(data) if rank is None else [rank]
 
     def encode(self, text: str) -> list[int]:
         """Ids of a whole text; matches of the pattern do not interact."""
-        ids: list[int] = []
-        for match in self.pattern.findall(text):
-            ids.extend(self.encode_match(match))
-        return ids
+        return list(chain.from_iterable(map(self.matches.__getitem__, self.pattern.findall(text))))
 
     def decode(self, ids: list[int]) -> bytes:
         """Bytes of the ids, joined pairwise up the tree."""

@@ -36,3 +36,29 @@ def test_stretches_join_to_the_whole_layout(width, monkeypatch):
             assert not whole[3][at : at + len(part), k:].any()
         at += len(window[0])
     assert at == len(whole[0])
+
+
+def test_ordinary_words_go_through_the_tree(monkeypatch):
+    import random
+
+    import public_tokenizers
+    import tiktoken
+
+    from lunario.llm import byte_bpe
+
+    coder = byte_bpe.ByteBPE.from_file(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    own = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=coder.ranks, special_tokens={})
+    joins, join = [], coder.join
+    monkeypatch.setattr(coder, "join", lambda left, right: joins.append((left, right)) or join(left, right))
+    rng = random.Random(3)
+    parts = "anti constitution tion al ly thed inthe bleness Éclat über straße 数字 ing".split()
+    words = ["".join(rng.choices(parts, k=rng.randint(1, 5))) for _ in range(3000)]
+    text = " ".join(words) + "\n" + "ab" * 700 + " " * 90
+    assert coder.encode(text) == own.encode_ordinary(text)
+    # Most words are longer than a leaf; some seams are stable at once, others are merged anew.
+    assert len(joins) > 2000
+    stable = sum(bool(a and b) and coder.stable(a[-1], b[0]) for a, b in joins)
+    assert 200 < stable < len(joins) - 200
+    for a, b in joins[:500]:
+        data = coder.decode(a + b)
+        assert join(a, b) == coder.merge(data)
