@@ -11,7 +11,6 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lunario import schema
 from lunario.model import forecast
 from lunario.operators import drift, requests, splits
 from lunario.schema import Layout
