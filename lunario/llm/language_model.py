@@ -41,7 +41,7 @@ FOLDS, HELD_OUT = 7, 2
 #: Ids of the model: the end and the frequent words.
 KNOWN = 1024
 #: Words that a task's search for frequent ones counts at least; it sends the ``SENT * KNOWN`` first.
-COUNTERS = 1 << 17
+COUNTERS = 1 << 19
 SENT = 4
 SUMMARY = "word string, n bigint, texts bigint"
 #: Tasks' parameters are averaged in groups first.
@@ -50,7 +50,7 @@ ROUNDS = 2
 #: Tokens that a task lays out in lanes at once.
 CHUNK = 1 << 21
 #: Hashes that a range may hold, and ranges at least.
-RANGE_HASHES = 1 << 18
+RANGE_HASHES = 1 << 19
 #: Values per row when parameters are averaged.
 PIECE = 4096
 

@@ -202,8 +202,11 @@ class Lanes:
         self.ends = [np.cumsum([len(texts[i]) for i in m]) for _, _, m in fill]
         self.members = [np.array(m, np.int32) for _, _, m in fill]
 
-    def cells(self, begin: int, steps: int):
-        """``target``, ``previous``, ``first``, ``mask`` and ``text``, all (time, lane), of lanes that still run."""
+    def cells(self, begin: int, steps: int, named: bool = True):
+        """``target``, ``previous``, ``first``, ``mask`` and ``text``, all (time, lane), of lanes that still run.
+
+        ``text`` is the index of the text that a cell belongs to, 0 everywhere unless ``named``.
+        """
         live = sum(length > begin for length in self.lengths)
         shape = (max(0, min(steps, self.lengths[0] - begin)), live)
         target, text = np.zeros(shape, np.int32), np.zeros(shape, np.int32)
@@ -213,8 +216,9 @@ class Lanes:
             ids, ends = self.ids[k][begin : begin + steps], self.ends[k]
             n = len(ids)
             target[:n, k], mask[:n, k] = ids, True
-            of = np.searchsorted(ends, np.arange(begin, begin + n), side="right")
-            text[:n, k] = self.members[k][of]
+            if named:
+                of = np.searchsorted(ends, np.arange(begin, begin + n), side="right")
+                text[:n, k] = self.members[k][of]
             previous[1:n, k] = ids[:-1]
             if begin:
                 previous[0, k] = self.ids[k][begin - 1]
@@ -224,11 +228,11 @@ class Lanes:
             previous[starts, k] = self.start
         return target, previous, first, mask, text
 
-    def windows(self, steps: int):
+    def windows(self, steps: int, named: bool = True):
         """The cells of one window after another; a stretch of windows is laid out at once."""
         stretch = steps * max(1, STRETCH // steps)
         for begin in range(0, self.lengths[0], stretch):
-            laid = self.cells(begin, stretch)
+            laid = self.cells(begin, stretch, named)
             for t in range(0, len(laid[0]), steps):
                 k = int(np.count_nonzero(laid[3][t]))
                 yield tuple(part[t : t + steps, :k] for part in laid)
@@ -251,7 +255,7 @@ class Trainer:
         model, total = self.model, 0.0
         laid = Lanes(texts, model.size)
         h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
-        for target, previous, first, mask, _ in laid.windows(WINDOW):
+        for target, previous, first, mask, _ in laid.windows(WINDOW, named=False):
             grads, found, h = model.gradients(previous, first, target, mask, h[: target.shape[1]])
             total += found
             cells = np.float32(mask.sum())
