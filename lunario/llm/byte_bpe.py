@@ -33,7 +33,7 @@ from pyspark.sql import types as T
 from lunario.llm.common import whole_text
 
 #: Bytes that are encoded at once, without cutting.
-LEAF = 8
+LEAF = 16
 #: Matches whose ids a task remembers, and characters of the longest of them.
 CACHE, SHORT = 200_000, 64
 #: Tokens that are decoded at once.

@@ -55,10 +55,10 @@ def test_ordinary_words_go_through_the_tree(monkeypatch):
     words = ["".join(rng.choices(parts, k=rng.randint(1, 5))) for _ in range(3000)]
     text = " ".join(words) + "\n" + "ab" * 700 + " " * 90
     assert coder.encode(text) == own.encode_ordinary(text)
-    # Most words are longer than a leaf; some seams are stable at once, others are merged anew.
-    assert len(joins) > 2000
+    # Many words are longer than a leaf; some seams are stable at once, others are merged anew.
+    assert len(joins) > 1000
     stable = sum(bool(a and b) and coder.stable(a[-1], b[0]) for a, b in joins)
-    assert 200 < stable < len(joins) - 200
+    assert 50 < stable < len(joins) - 50
     for a, b in joins[:500]:
         data = coder.decode(a + b)
         assert join(a, b) == coder.merge(data)
