@@ -37,7 +37,7 @@ LEAF = 16
 #: Matches whose ids a task remembers, and characters of the longest of them.
 CACHE, SHORT = 200_000, 64
 #: Tokens that are decoded at once.
-CHUNK = 256
+CHUNK = 4096
 
 
 class _Remembered(dict):
@@ -62,6 +62,7 @@ class ByteBPE:
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.written = {rank: str(rank) for rank in self.tokens}
         self.pattern = regex.compile(pattern)
         self.pairs: dict[tuple[int, int], bool] = {}
         self.matches = _Remembered(self.encode_match)
@@ -152,7 +153,7 @@ class ByteBPE:
         """Bytes of the ids, joined pairwise up the tree."""
         tokens = self.tokens
         level = [
-            b"".join([tokens[t] for t in ids[i : i + CHUNK]]) for i in range(0, len(ids), CHUNK)
+            b"".join(map(tokens.__getitem__, ids[i : i + CHUNK])) for i in range(0, len(ids), CHUNK)
         ]
         while len(level) > 1:
             level = [b"".join(level[i : i + 2]) for i in range(0, len(level), 2)]
@@ -211,7 +212,8 @@ def round_trip(docs: DataFrame, path: str, pattern: str, keep_ids: bool = False)
 
     def row(coder: ByteBPE, text: str) -> tuple:
         ids = coder.encode(text)
-        written = hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        written = " ".join(map(coder.written.__getitem__, ids))
+        written = hashlib.sha256(written.encode()).hexdigest()
         decoded = hashlib.sha256(coder.decode(ids)).hexdigest()
         return (len(ids), written, decoded) + ((ids,) if keep_ids else ())
 
