@@ -14,9 +14,12 @@ All features are worked out together, keyed by feature:
 - The plane is cut into cells of about ``CELL`` points by a tree of medians, taken from a
   bounded sample; the sample only balances the cells. Neighbours inside a cell come from
   blocks of its points. A point whose square crosses its cell asks the other cells that
-  the square touches, so the distances are exact.
-- Counts along a column are differences of ranks. Values and questions are sorted in
-  ranges, running sums within a range are completed by the sums of the ranges before.
+  the square touches, so the distances are exact; of a cell, only the points as near to
+  its border as the farthest question reaches are asked.
+- Counts along a column are differences of ranks. The column's different values are cut
+  into ranges; a point's question goes to the range that holds both ends of its distance,
+  or to the two ranges that hold one each. The sums of the ranges before complete them.
+  Ranges that many points ask (ties, hot values) are answered by several tasks.
 
 Rows with a missing feature or label do not count for that feature. A feature, or label,
 of fewer than two values, or of ``k`` points or fewer, scores zero. Scores are in nats.
@@ -28,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lunario.operators.information import SCORE_DIGITS
@@ -36,10 +39,10 @@ from lunario.session import stage_table
 
 NEIGHBOURS = 3
 #: Points per cell, about; points per block within a cell.
-CELL, BLOCK = 20_000, 128
+CELL, BLOCK = 20_000, 64
 #: Sampled points per cell that place the cuts, and cells per feature at most.
 SAMPLED, CELLS = 40, 4096
-#: Points to a range when ranks are counted, about.
+#: Points to a range when ranks are counted, and questions that a task answers at once, about.
 RANGE = 1_000_000
 
 EULER = 0.5772156649015329
@@ -63,13 +66,26 @@ class Cells:
                 values = np.unique(mine[:, dim]) if len(mine) else mine[:, dim]
                 if len(values) > 1:
                     middle = np.sort(mine[:, dim])[len(mine) // 2]
-                    cut = middle if middle > values[0] else values[1]
+                    upper = max(1, int(np.searchsorted(values, middle)))
+                    # Halfway, so that a value of many points is not itself a border.
+                    cut = (values[upper - 1] + values[upper]) / 2
+                    cut = cut if cut > values[upper - 1] else values[upper]
                     self.dim[node], self.cut[node] = dim, cut
                     below = mine[:, dim] < cut
                     break
             else:
                 below[:] = True
             held[2 * node + 1], held[2 * node + 2] = mine[below], mine[~below]
+        self.low, self.high = np.full((2 * size + 1, 2), -np.inf), np.full((2 * size + 1, 2), np.inf)
+        for node in range(size):
+            for child in (2 * node + 1, 2 * node + 2):
+                self.low[child], self.high[child] = self.low[node], self.high[node]
+            self.high[2 * node + 1, self.dim[node]] = self.cut[node]
+            self.low[2 * node + 2, self.dim[node]] = self.cut[node]
+
+    def borders(self, cell: int) -> tuple[np.ndarray, np.ndarray]:
+        """Lower borders of a cell, which belong to it, and upper ones, which do not."""
+        return self.low[cell + len(self.cut)], self.high[cell + len(self.cut)]
 
     def of(self, points: np.ndarray) -> np.ndarray:
         """The cell of each point."""
@@ -162,7 +178,9 @@ def _within(points: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray,
 
 
 POINT = "position int, x double, y double, w bigint"
-FOUND = f"{POINT}, cell bigint, distances array<double>, weights array<bigint>"
+#: ``edge`` is the distance to the cell's border; the lists are kept where ``open`` squares cross it.
+FOUND = f"{POINT}, cell int, r double, edge double, open boolean, distances array<double>, weights array<bigint>"
+ANSWERS = f"{POINT}, distances array<double>, weights array<bigint>"
 
 
 def _points(df: DataFrame, features: list[str], label: str) -> DataFrame:
@@ -219,33 +237,43 @@ def _neighbours(points: DataFrame, trees: dict[int, Cells], k: int) -> DataFrame
 
     def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            cell = np.zeros(len(frame), np.int64)
-            for i, mine in frame.groupby("position").indices.items():
-                cell[mine] = trees[i].of(frame[["x", "y"]].to_numpy()[mine])
+            position, xy = frame["position"].to_numpy(), frame[["x", "y"]].to_numpy()
+            cell = np.zeros(len(frame), np.int32)
+            for i in np.unique(position).tolist():
+                mine = position == i
+                cell[mine] = trees[i].of(xy[mine])
             yield frame.assign(cell=cell)
 
     def inside(frame: pd.DataFrame) -> pd.DataFrame:
-        distance, weight = _within(frame[["x", "y"]].to_numpy(), frame["w"].to_numpy(), k)
-        return frame.assign(distances=list(distance), weights=list(weight))
+        xy, w = frame[["x", "y"]].to_numpy(), frame["w"].to_numpy()
+        distance, weight = _within(xy, w, k)
+        r = _reach(distance, weight, w - 1, k)
+        low, high = trees[int(frame["position"].iloc[0])].borders(int(frame["cell"].iloc[0]))
+        crosses = ((xy - r[:, None] < low) | (xy + r[:, None] >= high)).any(axis=1)
+        lists = np.full((2, len(frame)), None, object)
+        for i in np.flatnonzero(crosses).tolist():
+            lists[0, i], lists[1, i] = distance[i], weight[i]
+        edge = np.minimum(xy - low, high - xy).min(axis=1)
+        return frame.assign(r=r, edge=edge, open=crosses, distances=lists[0], weights=lists[1])
 
     def asking(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Points for every other cell that their squares reach."""
         for frame in frames:
-            xy, own = frame[["x", "y"]].to_numpy(), frame["cell"].to_numpy()
-            lists = np.stack(frame["distances"]), np.stack(frame["weights"])
-            reach = _reach(*lists, frame["w"].to_numpy() - 1, k)
+            position, own = frame["position"].to_numpy(), frame["cell"].to_numpy()
+            xy, reach = frame[["x", "y"]].to_numpy(), frame["r"].to_numpy()
             out = []
-            for i, mine in frame.groupby("position").indices.items():
+            for i in np.unique(position).tolist():
+                mine = np.flatnonzero(position == i)
                 for cell, places in trees[i].touched(xy[mine], reach[mine]):
                     places = mine[places]
                     places = places[own[places] != cell]
                     if len(places):
-                        some = frame.iloc[places][["position", "x", "y", "w"]]
-                        out.append(some.assign(cell=cell))
+                        out.append(frame.iloc[places][["position", "x", "y", "w", "r"]].assign(cell=cell))
             if out:
                 yield pd.concat(out)
 
     def answered(there: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        asked = asked[["position", "x", "y", "w"]]
         if not len(there) or not len(asked):
             none = pd.Series([], dtype=object)
             return asked.iloc[:0].assign(distances=none, weights=none)
@@ -258,13 +286,18 @@ def _neighbours(points: DataFrame, trees: dict[int, Cells], k: int) -> DataFrame
             of += list(w)
         return asked.assign(distances=near, weights=of)
 
-    cells = points.mapInPandas(placed, f"{POINT}, cell bigint")
+    cells = points.mapInPandas(placed, f"{POINT}, cell int")
     found = stage_table(cells.groupBy("position", "cell").applyInPandas(inside, FOUND), "neighbour-cells")
-    asked = found.mapInPandas(asking, f"{POINT}, cell bigint")
-    here = found.select("position", "x", "y", "w", "cell").groupBy("position", "cell")
-    answers = here.cogroup(asked.groupBy("position", "cell")).applyInPandas(answered, FOUND)
+    crossing = found.where("open")
+    asked = stage_table(crossing.mapInPandas(asking, f"{POINT}, r double, cell int"), "neighbour-questions")
+    # One row per cell that is asked.
+    farthest = asked.groupBy("position", "cell").agg(F.max("r").alias("reach"))
+    here = found.select("position", "x", "y", "w", "cell", "edge").join(F.broadcast(farthest), ["position", "cell"])
+    here = here.where("edge <= reach").select("position", "x", "y", "w", "cell").groupBy("position", "cell")
+    answers = here.cogroup(asked.groupBy("position", "cell")).applyInPandas(answered, ANSWERS)
     lists = (
-        found.unionByName(answers)
+        crossing.select("position", "x", "y", "w", "distances", "weights")
+        .unionByName(answers)
         .groupBy("position", "x", "y", "w")
         .agg(F.flatten(F.collect_list(F.arrays_zip("distances", "weights"))).alias("near"))
     )
@@ -279,65 +312,148 @@ def _neighbours(points: DataFrame, trees: dict[int, Cells], k: int) -> DataFrame
         return F.struct(upto.alias("upto"), reached.alias("r"))
 
     r = F.aggregate(F.sort_array("near"), start, nearer, lambda state: state["r"])
-    return stage_table(lists.select("position", "x", "y", "w", r.alias("r")), "neighbour-distances")
-
-
-def _ranks(found: DataFrame, ranges: int) -> DataFrame:
-    """(position, x, y, side, n): rows whose value along ``side`` lies within the point's distance, itself too."""
-    events = []
-    none, nothing = F.lit(None).cast("double"), F.lit(0).cast("bigint")
-    for side in ("x", "y"):
-        value, head = F.col(side), ["position", F.lit(side).alias("side")]
-        # What lies at the distance itself is outside, also where rounding would move it in.
-        inner = F.greatest(F.col("r") - ROUNDING * (F.abs(value) + F.col("r")), F.lit(0.0))
-        values = found.groupBy("position", value.alias("v")).agg(F.sum("w").alias("w"))
-        events.append(
-            values.select(
-                *head, "v", F.lit(1).alias("kind"), "w", none.alias("px"), none.alias("py"), nothing.alias("sign")
-            )
-        )
-        # Asked before a value, what is smaller is counted; after it, what is as large too.
-        for end, kind, sign in ((value - inner, 0, -1), (value + inner, 2, 1)):
-            events.append(
-                found.select(
-                    *head,
-                    end.alias("v"),
-                    F.lit(kind).alias("kind"),
-                    nothing.alias("w"),
-                    F.col("x").alias("px"),
-                    F.col("y").alias("py"),
-                    F.lit(sign).cast("bigint").alias("sign"),
-                )
-            )
-    union = events[0]
-    for more in events[1:]:
-        union = union.unionByName(more)
-    order = ["position", "side", "v", "kind", "px", "py"]
+    crossed = stage_table(lists.select("position", "x", "y", "w", r.alias("r")), "neighbour-distances")
+    return found.where("NOT open").select("position", "x", "y", "w", "r").unionByName(crossed)
+
+
+def digamma(n: np.ndarray) -> np.ndarray:
+    """Of whole numbers from 1 on: by its sum up to nine, by the series beyond."""
+    sums = np.array([0.0, *(-EULER + sum(1.0 / j for j in range(1, m)) for m in range(1, 10))])
+    x = np.asarray(n, np.float64)
+    series = np.log(x) - 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6) + 1 / (240 * x**8)
+    return np.where(x < 10, sums[np.minimum(x, 9).astype(np.int64)], series)
+
+
+class Ranges:
+    """Ranges of every column's values, one row each: their first values and what lies before them."""
+
+    def __init__(self, rows: list):
+        self.keys = [(r["position"], r["side"]) for r in rows]
+        self.range = [r["range"] for r in rows]
+        self.least = np.array([r["least"] for r in rows])
+        w = np.array([r["w"] for r in rows], np.int64)
+        self.of = {}
+        for at, key in enumerate(self.keys):
+            self.of[key] = (self.of.get(key, (at,))[0], at + 1)
+        self.before = np.zeros(len(rows), np.int64)
+        for begin, end in self.of.values():
+            self.before[begin:end] = np.cumsum(w[begin:end]) - w[begin:end]
+
+    def asked(self, frame: pd.DataFrame) -> Iterator[tuple]:
+        """(places, lower ends, upper ends, their ranges) of the points along every column."""
+        position, r = frame["position"].to_numpy(), frame["r"].to_numpy()
+        for i in np.unique(position).tolist():
+            mine = np.flatnonzero(position == i)
+            for side, name in enumerate("xy"):
+                begin, end = self.of[i, side]
+                value = frame[name].to_numpy()[mine]
+                # What lies at the distance itself is outside, also where rounding would move it in.
+                inner = np.maximum(r[mine] - ROUNDING * (np.abs(value) + r[mine]), 0.0)
+                ends = value - inner, value + inner
+                least = self.least[begin:end]
+                into = [begin + np.maximum(np.searchsorted(least, e, side="right") - 1, 0) for e in ends]
+                yield mine, *ends, *into
+
+
+QUESTIONS = "task int, low double, high double, x double, y double, w bigint"
+#: ``part`` sums the points whose ends lie in one range; of the others, each end is a row with its count.
+COUNTS = "position int, side int, x double, y double, w bigint, n bigint, part double"
+
+
+def _counts(points: DataFrame, found: DataFrame, width: int, k: int) -> tuple[DataFrame, dict[int, float]]:
+    """(position, part): sums of the points' digammas along both columns; and by feature those of their neighbours."""
+    sides = F.array(*[F.struct(F.lit(i).alias("side"), F.col(c).alias("v")) for i, c in enumerate("xy")])
+    values = points.select("position", "w", F.inline(sides)).groupBy("position", "side", "v").agg(F.sum("w").alias("w"))
     dealt = stage_table(
-        union.repartitionByRange(ranges, *[F.col(c) for c in order]).withColumn("range", F.spark_partition_id()),
-        "neighbour-ranks",
+        values.repartitionByRange(width, "position", "side", "v").withColumn("range", F.spark_partition_id()),
+        "neighbour-values",
     )
-    # One row per range and column.
-    totals = dealt.groupBy("position", "side", "range").agg(F.sum("w").alias("w"))
-    ahead = Window.partitionBy("position", "side").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    before = totals.select("position", "side", "range", F.coalesce(F.sum("w").over(ahead), F.lit(0)).alias("before"))
-    running = Window.partitionBy("position", "side", "range").orderBy("v", "kind").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
+    rows = dealt.groupBy("position", "side", "range").agg(F.min("v").alias("least"), F.sum("w").alias("w"))
+    ranges = Ranges(sorted(rows.collect(), key=lambda r: (r["position"], r["side"], r["range"])))
+
+    def size(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """Questions by range; by feature, in rows without one, the digammas of the neighbours."""
+        n, near = np.zeros(len(ranges.keys), np.int64), {}
+        for frame in frames:
+            for _, _, _, low, high in ranges.asked(frame):
+                n += np.bincount(low, minlength=len(n)) + np.bincount(high[high != low], minlength=len(n))
+            w = frame["w"].to_numpy()
+            psi = w * digamma(np.where(frame["r"].to_numpy() > 0, k, np.maximum(w - 1, 1)))
+            for i, part in pd.Series(psi).groupby(frame["position"].to_numpy()).sum().items():
+                near[i] = near.get(i, 0.0) + part
+        yield pd.DataFrame({"place": np.arange(len(n)), "position": None, "n": n, "part": 0.0})
+        yield pd.DataFrame({"place": None, "position": list(near), "n": 0, "part": list(near.values())})
+
+    sizes = (
+        found.mapInPandas(size, "place int, position int, n bigint, part double")
+        .groupBy("place", "position")
+        .agg(F.sum("n").alias("n"), F.sum("part").alias("part"))
+        .collect()
     )
-    ranked = dealt.withColumn("upto", F.sum("w").over(running)).where("sign <> 0")
-    return (
-        ranked.join(before, ["position", "side", "range"])
-        .groupBy("position", F.col("px").alias("x"), F.col("py").alias("y"), "side")
-        .agg(F.sum(F.col("sign") * (F.col("upto") + F.col("before"))).alias("n"))
+    tasks = np.ones(len(ranges.keys), np.int64)
+    for r in sizes:
+        if r["place"] is not None:
+            tasks[r["place"]] = max(1, -(-r["n"] // RANGE))
+    first = np.cumsum(tasks) - tasks
+
+    def asking(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        def row(some: pd.DataFrame, into: np.ndarray, low, high, named: bool) -> pd.DataFrame:
+            task = first[into] + np.arange(len(into)) % tasks[into]
+            x, y = (some["x"], some["y"]) if named else (np.nan, np.nan)
+            return pd.DataFrame({"task": task, "low": low, "high": high, "x": x, "y": y, "w": some["w"].to_numpy()})
+
+        for frame in frames:
+            for mine, low, high, of_low, of_high in ranges.asked(frame):
+                same = of_low == of_high
+                one = mine[same]
+                yield row(frame.iloc[one], of_low[same], low[same], high[same], False)
+                some = frame.iloc[mine[~same]]
+                yield row(some, of_low[~same], low[~same], np.nan, True)
+                yield row(some, of_high[~same], np.nan, high[~same], True)
+
+    def counted(there: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+        names = [c.split()[0] for c in COUNTS.split(", ")]
+        if not len(asked):
+            return pd.DataFrame({c: [] for c in names})
+        at = int(np.searchsorted(first, asked["task"].iloc[0], side="right")) - 1
+        there = there.sort_values("v")
+        v, upto = there["v"].to_numpy(), np.append(0, np.cumsum(there["w"].to_numpy()))
+        low, high = asked["low"].to_numpy(), asked["high"].to_numpy()
+        # Before the lower end what is smaller counts; up to the upper end what is as large too.
+        below = np.where(np.isnan(low), 0, ranges.before[at] + upto[np.searchsorted(v, low, side="left")])
+        within = np.where(np.isnan(high), 0, ranges.before[at] + upto[np.searchsorted(v, high, side="right")])
+        whole = ~np.isnan(low) & ~np.isnan(high)
+        out = asked[~whole][["x", "y", "w"]].assign(n=(within - below)[~whole], part=np.nan)
+        part = float((asked["w"].to_numpy()[whole] * digamma((within - below)[whole])).sum())
+        out = pd.concat([out, pd.DataFrame({"x": [np.nan], "y": [np.nan], "w": [0], "n": [0], "part": [part]})])
+        return out.assign(position=ranges.keys[at][0], side=ranges.keys[at][1])[names]
+
+    places = pd.DataFrame(ranges.keys, columns=["position", "side"]).astype("int32")
+    places = places.assign(range=np.array(ranges.range, np.int32), first=first, tasks=tasks)
+    dealing = found.sparkSession.createDataFrame(places, "position int, side int, range int, first int, tasks int")
+    task = F.explode(F.sequence(F.col("first"), F.col("first") + F.col("tasks") - 1)).alias("task")
+    there = dealt.join(F.broadcast(dealing), ["position", "side", "range"]).select(task, "v", "w")
+    asked = found.mapInPandas(asking, QUESTIONS)
+    # As many partitions as tasks, so that a partition holds few of them.
+    several = max(width, int(tasks.sum()))
+    counts = stage_table(
+        there.repartition(several, "task")
+        .groupBy("task")
+        .cogroup(asked.repartition(several, "task").groupBy("task"))
+        .applyInPandas(counted, COUNTS),
+        "neighbour-ranks",
     )
 
+    def summed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            part = frame["w"].to_numpy() * digamma(frame["n"].to_numpy())
+            yield frame[["position"]].assign(part=part)
 
-def digamma(n: Column) -> Column:
-    """Of a whole number from 1 on: by its sum up to nine, by the series beyond."""
-    sums = [-EULER + sum(1.0 / j for j in range(1, m)) for m in range(1, 10)]
-    x = n.cast("double")
-    series = F.log(x) - 1 / (2 * x) - 1 / (12 * x**2) + 1 / (120 * x**4) - 1 / (252 * x**6) + 1 / (240 * x**8)
-    return F.when(n < 10, F.element_at(F.array(*map(F.lit, sums)), n.cast("int"))).otherwise(series)
+    split = counts.where("x IS NOT NULL").groupBy("position", "side", "x", "y", "w").agg(F.sum("n").alias("n"))
+    parts = counts.where("x IS NULL").select("position", "part").unionByName(
+        split.select("position", "w", "n").mapInPandas(summed, "position int, part double")
+    )
+    return parts, {r["position"]: r["part"] for r in sizes if r["place"] is None}
 
 
 def neighbour_information(
@@ -345,7 +461,6 @@ def neighbour_information(
 ) -> DataFrame:
     """(position, feature, score) of every feature with the label, by its ``k`` nearest neighbours."""
     spark = df.sparkSession
-    names = spark.createDataFrame(list(enumerate(features)), "position int, feature string")
     points = _points(df, features, label)
     sizes = {
         r["position"]: (r["points"], r["rows"])
@@ -353,19 +468,21 @@ def neighbour_information(
     }
     sizes = {i: n for i, n in sizes.items() if n[1] > k}
     if not sizes:
+        names = spark.createDataFrame(list(enumerate(features)), "position int, feature string")
         return names.select("position", "feature", F.lit(0.0).alias("score"))
     points = points.where(F.col("position").isin(list(sizes)))
     found = _neighbours(points, _trees(points, {i: n for i, (n, _) in sizes.items()}), k)
     most = sum(n for n, _ in sizes.values())
-    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-5 * most // RANGE))
-    counts = _ranks(found, width)
-    of_side = {side: F.max(F.when(F.col("side") == side, F.col("n"))).alias(f"n{side}") for side in "xy"}
-    sided = counts.groupBy("position", "x", "y").agg(*of_side.values())
-    both = found.join(sided, ["position", "x", "y"])
-    near = F.when(F.col("r") > 0, F.lit(k)).otherwise(F.col("w") - 1)
+    width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-2 * most // RANGE))
+    parts, near = _counts(points, found, width, k)
+    known = [
+        (i, name, sizes[i][1], near[i] / sizes[i][1] + float(digamma(sizes[i][1]))) if i in sizes else (i, name, 1, 0.0)
+        for i, name in enumerate(features)
+    ]
+    names = spark.createDataFrame(known, "position int, feature string, rows bigint, head double")
     # The counts hold the point itself, as the estimator's n + 1 does.
-    one = F.col("w") * (digamma(near) - digamma(F.col("nx")) - digamma(F.col("ny")))
-    sums = both.groupBy("position").agg((F.sum(one) / F.sum("w") + digamma(F.sum("w"))).alias("score"))
-    score = F.round(F.greatest(F.coalesce("score", F.lit(0.0)), F.lit(0.0)), SCORE_DIGITS)
+    sums = parts.groupBy("position").agg(F.sum("part").alias("part"))
+    score = F.col("head") - F.coalesce("part", F.lit(0.0)) / F.col("rows")
+    score = F.round(F.greatest(score, F.lit(0.0)), SCORE_DIGITS)
     # One row per feature.
     return names.join(F.broadcast(sums), "position", "left").select("position", "feature", score.alias("score"))

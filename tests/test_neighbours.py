@@ -77,6 +77,36 @@ def test_a_label_of_ties_and_hot_points(spark):
     assert points.count() == len(set(rows)) and points.agg({"w": "max"}).first()[0] >= 200
 
 
+def test_ranks_are_summed_where_they_are_counted(spark, monkeypatch):
+    staged = {}
+
+    def stage(df, label, real=neighbours.stage_table):
+        staged[label] = real(df, label)
+        return staged[label]
+
+    monkeypatch.setattr(neighbours, "stage_table", stage)
+    monkeypatch.setattr(neighbours, "RANGE", 400)
+    monkeypatch.setattr(neighbours, "CELL", 300)
+    rnd = random.Random(12)
+    rows = []
+    for i in range(1600):
+        y = rnd.gauss(0, 1)
+        # Half of the points ask about one hot value, more than a task answers at once.
+        rows.append((0.0 if i % 2 else y + rnd.gauss(0, 0.5), y))
+    table = spark.createDataFrame(rows, "a double, y double")
+    got = neighbours.neighbour_information(table, ["a"], "y").first()["score"]
+    assert got == pytest.approx(brute([r[0] for r in rows], [r[1] for r in rows]), abs=1e-8)
+    # Most points leave their counting task within one sum, not as rows of values and questions.
+    assert staged["neighbour-ranks"].count() < len(rows)
+    # Points whose squares stay inside their cell keep no lists.
+    assert 0 < staged["neighbour-cells"].where("open").count() < len(rows)
+    assert staged["neighbour-cells"].where("NOT open AND distances IS NOT NULL").count() == 0
+
+
+def test_digamma_of_whole_numbers():
+    assert neighbours.digamma(np.arange(1, 60)) == pytest.approx([psi(n) for n in range(1, 60)], abs=1e-10)
+
+
 def test_gaussian_information_is_found(spark):
     draw = np.random.default_rng(2)
     a = draw.normal(size=4000)
