@@ -26,6 +26,7 @@ import math
 import pickle
 from collections import Counter
 from collections.abc import Iterator
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -114,9 +115,9 @@ def frequent_words(learning: DataFrame, known: int = KNOWN) -> tuple[list[str],
 def _ids(text: bytes, index: dict[bytes, int], known: int) -> tuple[np.ndarray, list[bytes]]:
     """Model ids of a text, its end included, and its words."""
     words = _words(text)
-    ids = [index.get(w, known) for w in words]
-    ids.append(0)
-    return np.array(ids, dtype=np.int32), words
+    ids = np.zeros(len(words) + 1, np.int32)
+    ids[:-1] = np.fromiter(map(index.get, words, repeat(known)), np.int32, len(words))
+    return ids, words
 
 
 def _index(words: list[str]) -> dict[bytes, int]:
@@ -135,8 +136,8 @@ def _chunks(batches: Iterator[pa.RecordBatch], index: dict, known: int, rare: bo
             ids, words = _ids(text.as_py(), index, known)
             doc_id = held_out = hashes = None
             if rare:
-                found = [xxhash.xxh64_intdigest(words[k]) for k in np.flatnonzero(ids == known).tolist()]
-                hashes = np.array(found, dtype=np.uint64)
+                some = compress(words, (ids == known).tolist())
+                hashes = np.fromiter(map(xxhash.xxh64_intdigest, some), np.uint64)
                 doc_id, held_out = batch["doc_id"][i].as_py(), batch["held_out"][i].as_py()
             rows.append((doc_id, held_out, ids, hashes))
             tokens += len(ids)

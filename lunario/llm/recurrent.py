@@ -17,12 +17,16 @@ import numpy as np
 HIDDEN = 16
 WIDTH = 32
 LANES = 256
-#: Steps that gradients go back; scores do not depend on the window.
+#: Steps that gradients go back, with all lanes; scores do not depend on the window.
 WINDOW = 16
 SCORE_WINDOW = 64
+#: Times as many steps that a window takes at most where few lanes still run, so that it holds as many cells.
+LONGEST = 16
 #: Steps whose cells are laid out at once, about.
 STRETCH = 1024
 RATE = 0.12
+#: Known targets up to this number are weighed at once, not class by class.
+FEW = 256
 #: Logits up to this size need no shift in single precision.
 LARGEST = 60.0
 
@@ -66,32 +70,39 @@ class Recurrent:
     def steps(self, previous: np.ndarray, first: np.ndarray, h: np.ndarray, keep: bool = True) -> dict:
         """Runs the gates over a window; arrays are (time, lane), ``h`` the state carried in.
 
-        With ``keep`` also what the gradients need: x, first, and h, z, r, n, u by step.
+        With ``keep`` also what the gradients need: h, z, r, n, u by step.
         """
-        x, state, H = self.p["inputs"][previous], self.p["state"], HIDDEN
-        kept = {"x": previous, "first": first, "h": [], "z": [], "r": [], "n": [], "u": []}
-        out = np.empty((*previous.shape, H), state.dtype)
-        fresh = first.any(axis=1).tolist()
-        for t in range(len(previous)):
+        H, (T, L) = HIDDEN, previous.shape
+        x, state = self.p["inputs"][previous], self.p["state"].copy()
+        # Both gates need the negative of their sums.
+        for part in (x, state):
+            np.negative(part[..., : 2 * H], out=part[..., : 2 * H])
+        out = np.empty((T, L, H), state.dtype)
+        rows = T if keep else min(T, 1)
+        g, gates, n = (np.empty((rows, L, width * H), state.dtype) for width in (3, 2, 1))
+        fresh, begin = first.any(axis=1).tolist(), h
+        views = g, g[..., : 2 * H], g[..., 2 * H :], gates, gates[..., :H], gates[..., H:], n
+        views = list(zip(*views)) if keep else list(zip(*views)) * T
+        for t, (x_gates, x_n, to) in enumerate(zip(x[..., : 2 * H], x[..., 2 * H :], out)):
             if fresh[t]:
                 h = np.where(first[t][:, None], np.float32(0), h)
-            g = h @ state
-            gates = x[t, :, : 2 * H] + g[:, : 2 * H]
-            np.negative(gates, out=gates)
-            np.exp(gates, out=gates)
-            gates += 1
-            np.reciprocal(gates, out=gates)
-            z, r, u = gates[:, :H], gates[:, H:], g[:, 2 * H :]
-            n = r * u
-            n += x[t, :, 2 * H :]
-            np.tanh(n, out=n)
-            if keep:
-                for name, value in (("h", h), ("z", z), ("r", r), ("n", n), ("u", u)):
-                    kept[name].append(value)
-            h = np.subtract(h, n, out=out[t])
-            h *= z
-            h += n
-        kept["out"], kept["last"] = out.reshape(-1, H), h
+            sums, g_gates, u, both, z, r, new = views[t]
+            np.matmul(h, state, out=sums)
+            np.add(x_gates, g_gates, out=both)
+            np.exp(both, out=both)
+            np.add(both, 1, out=both)
+            np.reciprocal(both, out=both)
+            np.multiply(r, u, out=new)
+            np.add(new, x_n, out=new)
+            np.tanh(new, out=new)
+            np.subtract(h, new, out=to)
+            np.multiply(to, z, out=to)
+            h = np.add(to, new, out=to)
+        kept = {"out": out.reshape(-1, H), "last": h}
+        if keep:
+            before = np.concatenate([begin[None], out[:-1]])
+            before[first] = 0
+            kept |= {"h": before, "z": gates[..., :H], "r": gates[..., H:], "n": n, "u": g[..., 2 * H :]}
         return kept
 
     def _within_range(self) -> bool:
@@ -122,6 +133,9 @@ class Recurrent:
             dh = e @ p["class_w"].T
         order = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order], np.arange(self.classes)).tolist()
+        if cuts[-1] <= FEW:
+            self._few(h, target, of, order[: cuts[-1]], shift, found, grads, dh)
+            return found, dh
         hs_all, inside_all, wide = h[order], (target - of * WIDTH)[order], np.ones(WIDTH, e.dtype)
         for c in range(self.classes - 1):
             begin, end = cuts[c], cuts[c + 1]
@@ -146,6 +160,29 @@ class Recurrent:
                 dh[some] += e @ p["word_w"][c].T
         return found, dh
 
+    def _few(self, h, target, of, some, shift, found, grads, dh) -> None:
+        """The words of known targets, the places ``some`` sorted by class, at once: adds to ``found``, ``grads``, ``dh``."""
+        if not len(some):
+            return
+        classes, hs = of[some], h[some]
+        one, inside = np.arange(len(some)), target[some] - classes * WIDTH
+        weights = self.p["word_w"][classes]
+        logits = np.matmul(hs[:, None, :], weights)[:, 0, :]
+        logits += self.p["word_b"][classes]
+        if shift:
+            logits -= logits.max(axis=1, keepdims=True)
+        picked = logits[one, inside]
+        e = np.exp(logits, out=logits)
+        total = e.sum(axis=1)
+        found[some] += picked - np.log(total)
+        if grads is not None:
+            e /= -total[:, None]
+            e[one, inside] += 1
+            starts = np.flatnonzero(np.diff(classes, prepend=-1))
+            grads["word_w"][classes[starts]] += np.add.reduceat(hs[:, :, None] * e[:, None, :], starts, axis=0)
+            grads["word_b"][classes[starts]] += np.add.reduceat(e, starts, axis=0)
+            dh[some] += np.matmul(weights, e[:, :, None])[:, :, 0]
+
     def gradients(self, previous, first, target, mask, h) -> tuple[dict, float, np.ndarray]:
         """Gradients of the window's log-likelihood, that likelihood, and the state carried out."""
         kept = self.steps(previous, first, h)
@@ -156,23 +193,27 @@ class Recurrent:
         dh_out = np.zeros((T * L, HIDDEN), np.float32)
         dh_out[live] = dh_live
         dh_out = dh_out.reshape(T, L, HIDDEN)
-        dx = np.empty((T, L, 3 * HIDDEN), np.float32)
-        dh = np.zeros((L, HIDDEN), np.float32)
-        H = HIDDEN
-        dg = np.empty((L, 3 * H), np.float32)
+        H, back = HIDDEN, np.ascontiguousarray(self.p["state"].T)
+        h0, z, r, n, u = (kept[k] for k in ("h", "z", "r", "n", "u"))
+        # What a state's gradient is multiplied by, for all steps; the loop carries that gradient back.
+        by_n = (1 - z) * (1 - n * n)
+        factors = np.empty((T, L, 3, H), np.float32)
+        np.multiply((h0 - n) * z, 1 - z, out=factors[:, :, 0])
+        np.multiply(by_n, r, out=factors[:, :, 2])
+        np.multiply(factors[:, :, 2], u * (1 - r), out=factors[:, :, 1])
+        carried, dg = np.empty((T, L, H), np.float32), factors.reshape(T, L, 3 * H)
+        fresh, dh = first.any(axis=1).tolist(), np.zeros((L, H), np.float32)
         for t in range(T - 1, -1, -1):
-            dh = dh + dh_out[t]
-            h0, z, r, n, u = (kept[k][t] for k in ("h", "z", "r", "n", "u"))
-            dn = dh * (1 - z) * (1 - n * n)
-            dg[:, :H] = dh * (h0 - n) * z * (1 - z)
-            dg[:, H : 2 * H] = dn * u * r * (1 - r)
-            dg[:, 2 * H :] = dn * r
-            dx[t, :, : 2 * H] = dg[:, : 2 * H]
-            dx[t, :, 2 * H :] = dn
-            grads["state"] += h0.T @ dg
-            dh = dh * z + dg @ self.p["state"].T
-            if first[t].any():
-                dh = np.where(first[t][:, None], np.float32(0), dh)
+            one = np.add(dh, dh_out[t], out=carried[t])
+            factors[t] *= one[:, None, :]
+            dh = dg[t] @ back
+            one = one * z[t]
+            dh += one
+            if fresh[t]:
+                dh[first[t]] = 0
+        grads["state"] += kept["h"].reshape(T * L, H).T @ dg.reshape(T * L, 3 * H)
+        dx = dg
+        np.multiply(carried, by_n, out=dx[..., 2 * H :])
         ids = previous.ravel()
         order = np.argsort(ids, kind="stable")
         starts = np.flatnonzero(np.diff(ids[order], prepend=-1))
@@ -228,14 +269,19 @@ class Lanes:
             previous[starts, k] = self.start
         return target, previous, first, mask, text
 
-    def windows(self, steps: int, named: bool = True):
-        """The cells of one window after another; a stretch of windows is laid out at once."""
+    def windows(self, steps: int, named: bool = True, longest: int = 1):
+        """The cells of one window after another; a stretch of windows is laid out at once.
+
+        A window takes ``steps``, or up to ``longest`` times as many where only a part of the lanes still run.
+        """
         stretch = steps * max(1, STRETCH // steps)
         for begin in range(0, self.lengths[0], stretch):
-            laid = self.cells(begin, stretch, named)
-            for t in range(0, len(laid[0]), steps):
+            laid, t = self.cells(begin, stretch, named), 0
+            while t < len(laid[0]):
                 k = int(np.count_nonzero(laid[3][t]))
-                yield tuple(part[t : t + steps, :k] for part in laid)
+                end = t + steps * max(1, min(longest, len(self.lengths) // k))
+                yield tuple(part[t:end, :k] for part in laid)
+                t = end
 
 
 def lanes(texts: list[np.ndarray], size: int, width: int = LANES):
@@ -255,14 +301,17 @@ class Trainer:
         model, total = self.model, 0.0
         laid = Lanes(texts, model.size)
         h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
-        for target, previous, first, mask, _ in laid.windows(WINDOW, named=False):
+        for target, previous, first, mask, _ in laid.windows(WINDOW, named=False, longest=LONGEST):
             grads, found, h = model.gradients(previous, first, target, mask, h[: target.shape[1]])
             total += found
             cells = np.float32(mask.sum())
             for name, g in grads.items():
-                g /= cells
-                self.seen[name] += g * g
-                model.p[name] += RATE * g / np.sqrt(self.seen[name])
+                # Ids that the window lacks have no gradient, so their inputs stay as they are.
+                rows = np.flatnonzero(np.bincount(previous.ravel())) if name == "inputs" else slice(None)
+                g = g[rows] / cells
+                seen = self.seen[name][rows] + g * g
+                self.seen[name][rows] = seen
+                model.p[name][rows] += RATE * g / np.sqrt(seen)
         return total
 
 
@@ -271,7 +320,7 @@ def score(model: Recurrent, texts: list[np.ndarray]) -> np.ndarray:
     found = np.zeros(len(texts))
     laid = Lanes(texts, model.size)
     h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
-    for target, previous, first, mask, text in laid.windows(SCORE_WINDOW):
+    for target, previous, first, mask, text in laid.windows(SCORE_WINDOW, longest=LONGEST):
         kept = model.steps(previous, first, h[: target.shape[1]], keep=False)
         h = kept["last"]
         live = np.flatnonzero(mask.ravel())

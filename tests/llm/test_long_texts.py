@@ -38,6 +38,38 @@ def test_stretches_join_to_the_whole_layout(width, monkeypatch):
     assert at == len(whole[0])
 
 
+def test_windows_hold_more_steps_where_few_lanes_run():
+    draw = np.random.default_rng(3)
+    texts = [draw.integers(0, 65, n).astype(np.int32) for n in [5000] + [40] * 600]
+    laid = recurrent.Lanes(texts, 64)
+    cells = [[part[mask] for part in (target, previous)] for target, previous, _, mask, _ in laid.windows(16, longest=recurrent.LONGEST)]
+    # Every id is a target once, after the id before it, whatever the windows are.
+    plain = [[part[mask] for part in (target, previous)] for target, previous, _, mask, _ in laid.windows(16)]
+    for k in range(2):
+        assert (np.concatenate([c[k] for c in cells]) == np.concatenate([c[k] for c in plain])).all()
+    assert sum(len(c[0]) for c in cells) == sum(map(len, texts))
+    # One long text does not cost a pass over all parameters for every 16 of its words.
+    model, passes = recurrent.Recurrent(64), []
+    gradients = model.gradients
+    model.gradients = lambda *a: passes.append(1) or gradients(*a)
+    recurrent.Trainer(model).fit(texts)
+    assert len(passes) < 5000 / 16 / 8
+
+
+def test_known_targets_at_once_equal_those_by_class(monkeypatch):
+    draw = np.random.default_rng(4)
+    model, found = recurrent.Recurrent(128), []
+    h = draw.normal(size=(90, recurrent.HIDDEN)).astype(np.float32) / 4
+    target = draw.integers(0, 129, 90).astype(np.int32)
+    for few in (0, 1000):
+        monkeypatch.setattr(recurrent, "FEW", few)
+        grads = {name: np.zeros_like(v) for name, v in model.p.items()}
+        logs, dh = model.output(h, target, grads)
+        found.append([logs, dh, *grads.values()])
+    for a, b in zip(*found, strict=True):
+        assert a == pytest.approx(b, rel=1e-4, abs=1e-5)
+
+
 def test_ordinary_words_go_through_the_tree(monkeypatch):
     import random
 
