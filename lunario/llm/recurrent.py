@@ -17,16 +17,14 @@ import numpy as np
 HIDDEN = 16
 WIDTH = 32
 LANES = 256
-#: Steps that gradients go back, with all lanes; scores do not depend on the window.
+#: Steps that gradients go back; scores do not depend on the window.
 WINDOW = 16
 SCORE_WINDOW = 64
-#: Times as many steps that a window takes at most where few lanes still run, so that it holds as many cells.
+#: Times as many steps that a scoring window takes at most where few lanes still run, so that it holds as many cells.
 LONGEST = 16
 #: Steps whose cells are laid out at once, about.
 STRETCH = 1024
 RATE = 0.12
-#: Known targets up to this number are weighed at once, not class by class.
-FEW = 256
 #: Logits up to this size need no shift in single precision.
 LARGEST = 60.0
 
@@ -133,9 +131,6 @@ class Recurrent:
             dh = e @ p["class_w"].T
         order = np.argsort(of, kind="stable")
         cuts = np.searchsorted(of[order], np.arange(self.classes)).tolist()
-        if cuts[-1] <= FEW:
-            self._few(h, target, of, order[: cuts[-1]], shift, found, grads, dh)
-            return found, dh
         hs_all, inside_all, wide = h[order], (target - of * WIDTH)[order], np.ones(WIDTH, e.dtype)
         for c in range(self.classes - 1):
             begin, end = cuts[c], cuts[c + 1]
@@ -160,29 +155,6 @@ class Recurrent:
                 dh[some] += e @ p["word_w"][c].T
         return found, dh
 
-    def _few(self, h, target, of, some, shift, found, grads, dh) -> None:
-        """The words of known targets, the places ``some`` sorted by class, at once: adds to ``found``, ``grads``, ``dh``."""
-        if not len(some):
-            return
-        classes, hs = of[some], h[some]
-        one, inside = np.arange(len(some)), target[some] - classes * WIDTH
-        weights = self.p["word_w"][classes]
-        logits = np.matmul(hs[:, None, :], weights)[:, 0, :]
-        logits += self.p["word_b"][classes]
-        if shift:
-            logits -= logits.max(axis=1, keepdims=True)
-        picked = logits[one, inside]
-        e = np.exp(logits, out=logits)
-        total = e.sum(axis=1)
-        found[some] += picked - np.log(total)
-        if grads is not None:
-            e /= -total[:, None]
-            e[one, inside] += 1
-            starts = np.flatnonzero(np.diff(classes, prepend=-1))
-            grads["word_w"][classes[starts]] += np.add.reduceat(hs[:, :, None] * e[:, None, :], starts, axis=0)
-            grads["word_b"][classes[starts]] += np.add.reduceat(e, starts, axis=0)
-            dh[some] += np.matmul(weights, e[:, :, None])[:, :, 0]
-
     def gradients(self, previous, first, target, mask, h) -> tuple[dict, float, np.ndarray]:
         """Gradients of the window's log-likelihood, that likelihood, and the state carried out."""
         kept = self.steps(previous, first, h)
@@ -193,27 +165,33 @@ class Recurrent:
         dh_out = np.zeros((T * L, HIDDEN), np.float32)
         dh_out[live] = dh_live
         dh_out = dh_out.reshape(T, L, HIDDEN)
-        H, back = HIDDEN, np.ascontiguousarray(self.p["state"].T)
+        H, back = HIDDEN, self.p["state"].T
         h0, z, r, n, u = (kept[k] for k in ("h", "z", "r", "n", "u"))
-        # What a state's gradient is multiplied by, for all steps; the loop carries that gradient back.
-        by_n = (1 - z) * (1 - n * n)
-        factors = np.empty((T, L, 3, H), np.float32)
-        np.multiply((h0 - n) * z, 1 - z, out=factors[:, :, 0])
-        np.multiply(by_n, r, out=factors[:, :, 2])
-        np.multiply(factors[:, :, 2], u * (1 - r), out=factors[:, :, 1])
-        carried, dg = np.empty((T, L, H), np.float32), factors.reshape(T, L, 3 * H)
+        # Factors that need no gradient are laid out for all steps, in the order in which a step multiplies.
+        z_rest, r_rest = 1 - z, 1 - r
+        one = np.stack([h0 - n, z_rest], axis=2)
+        two = np.stack([z, 1 - n * n], axis=2)
+        three = np.stack([u, r], axis=2)
+        parts, by_gate = np.empty((T, L, 3, H), np.float32), np.empty((T, L, 2, H), np.float32)
+        dg = parts.reshape(T, L, 3 * H)
         fresh, dh = first.any(axis=1).tolist(), np.zeros((L, H), np.float32)
         for t in range(T - 1, -1, -1):
-            one = np.add(dh, dh_out[t], out=carried[t])
-            factors[t] *= one[:, None, :]
-            dh = dg[t] @ back
-            one = one * z[t]
-            dh += one
+            dh = dh + dh_out[t]
+            both = np.multiply(dh[:, None, :], one[t], out=by_gate[t])
+            both *= two[t]
+            np.multiply(both[:, 0], z_rest[t], out=parts[t, :, 0])
+            np.multiply(both[:, 1:], three[t], out=parts[t, :, 1:])
+            to_r = parts[t, :, 1]
+            to_r *= r[t]
+            to_r *= r_rest[t]
+            dh *= z[t]
+            dh += dg[t] @ back
             if fresh[t]:
                 dh[first[t]] = 0
-        grads["state"] += kept["h"].reshape(T * L, H).T @ dg.reshape(T * L, 3 * H)
-        dx = dg
-        np.multiply(carried, by_n, out=dx[..., 2 * H :])
+        # Step by step from the last, as they would be added in the loop.
+        grads["state"] += np.add.reduce(np.matmul(h0.transpose(0, 2, 1), dg)[::-1], axis=0)
+        dx = dg.copy()
+        dx[..., 2 * H :] = by_gate[:, :, 1]
         ids = previous.ravel()
         order = np.argsort(ids, kind="stable")
         starts = np.flatnonzero(np.diff(ids[order], prepend=-1))
@@ -301,7 +279,7 @@ class Trainer:
         model, total = self.model, 0.0
         laid = Lanes(texts, model.size)
         h = np.zeros((len(laid.lengths), HIDDEN), np.float32)
-        for target, previous, first, mask, _ in laid.windows(WINDOW, named=False, longest=LONGEST):
+        for target, previous, first, mask, _ in laid.windows(WINDOW, named=False):
             grads, found, h = model.gradients(previous, first, target, mask, h[: target.shape[1]])
             total += found
             cells = np.float32(mask.sum())

@@ -48,26 +48,39 @@ def test_windows_hold_more_steps_where_few_lanes_run():
     for k in range(2):
         assert (np.concatenate([c[k] for c in cells]) == np.concatenate([c[k] for c in plain])).all()
     assert sum(len(c[0]) for c in cells) == sum(map(len, texts))
-    # One long text does not cost a pass over all parameters for every 16 of its words.
-    model, passes = recurrent.Recurrent(64), []
-    gradients = model.gradients
-    model.gradients = lambda *a: passes.append(1) or gradients(*a)
-    recurrent.Trainer(model).fit(texts)
-    assert len(passes) < 5000 / 16 / 8
-
-
-def test_known_targets_at_once_equal_those_by_class(monkeypatch):
-    draw = np.random.default_rng(4)
-    model, found = recurrent.Recurrent(128), []
-    h = draw.normal(size=(90, recurrent.HIDDEN)).astype(np.float32) / 4
-    target = draw.integers(0, 129, 90).astype(np.int32)
-    for few in (0, 1000):
-        monkeypatch.setattr(recurrent, "FEW", few)
-        grads = {name: np.zeros_like(v) for name, v in model.p.items()}
-        logs, dh = model.output(h, target, grads)
-        found.append([logs, dh, *grads.values()])
-    for a, b in zip(*found, strict=True):
-        assert a == pytest.approx(b, rel=1e-4, abs=1e-5)
+    # One long text does not cost a scoring window for every 64 of its words.
+    model, calls = recurrent.Recurrent(64), []
+    steps = model.steps
+    model.steps = lambda *a, **k: calls.append(1) or steps(*a, **k)
+    recurrent.score(model, texts)
+    assert len(calls) < 5000 / 64 / 4
+
+
+def test_gradients_by_steps_equal_those_of_the_window():
+    draw = np.random.default_rng(6)
+    model, H = recurrent.Recurrent(64), recurrent.HIDDEN
+    texts = [np.append(draw.integers(1, 65, n), 0).astype(np.int32) for n in draw.integers(1, 9, 40)]
+    target, previous, first, mask, _ = recurrent.lanes(texts, 64, 6)
+    h = np.zeros((target.shape[1], H), np.float32)
+    grads, _, last = model.gradients(previous, first, target, mask, h)
+    kept, live = model.steps(previous, first, h), np.flatnonzero(mask.ravel())
+    fresh = {name: np.zeros_like(v) for name, v in model.p.items()}
+    dh_out = np.zeros((mask.size, H), np.float32)
+    dh_out[live] = model.output(kept["out"][live], target.ravel()[live], fresh)[1]
+    dh_out, dh, state = dh_out.reshape(*mask.shape, H), np.zeros_like(h), np.zeros_like(model.p["state"])
+    inputs = np.zeros(model.p["inputs"].shape)
+    for t in range(len(mask) - 1, -1, -1):
+        dh = dh + dh_out[t]
+        h0, z, r, n, u = (kept[k][t] for k in ("h", "z", "r", "n", "u"))
+        dn = dh * (1 - z) * (1 - n * n)
+        to_z, to_r = dh * (h0 - n) * z * (1 - z), dn * u * r * (1 - r)
+        dg = np.hstack([to_z, to_r, dn * r])
+        np.add.at(inputs, previous[t], np.hstack([to_z, to_r, dn]))
+        state += h0.T @ dg
+        dh = np.where(first[t][:, None], np.float32(0), dh * z + dg @ model.p["state"].T)
+    assert grads["state"] == pytest.approx(state, rel=1e-5, abs=1e-5)
+    assert grads["inputs"] == pytest.approx(inputs, rel=1e-4, abs=1e-5)
+    assert (last == kept["last"]).all()
 
 
 def test_ordinary_words_go_through_the_tree(monkeypatch):
